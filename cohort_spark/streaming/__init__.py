@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The workflows this library re-expresses are daily batch jobs. They have no
+stream source, watermark, window over event time, state or late-data rule, so
+there is nothing to express with Structured Streaming. A scheduled batch run of
+a flow in :mod:`cohort_spark.plans.flows` is the equivalent.
+"""
