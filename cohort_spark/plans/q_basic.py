@@ -399,7 +399,7 @@ def q_same_columns(spark, sf):
 EXPECTED_CUSTOMER = ["c_custkey", "c_name", "c_address", "c_nationkey", "c_phone", "c_acctbal", "c_mktsegment"]
 
 
-@query("missing_columns", "SELECT * FROM (VALUES (2, 'c_address'), (4, 'c_phone')) t(position, "column")")
+@query("missing_columns", 'SELECT * FROM (VALUES (2, \'c_address\'), (4, \'c_phone\')) t(position, "column")')
 def q_missing_columns(spark, sf):
     cust = tb(spark, sf, "customer")
     miss = set(J.missing_columns(cust, EXPECTED_CUSTOMER))
