@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohort_spark.functions.names import qcol
+
 # Java date patterns for the Python formats the workflows use (fixed values).
 PY_TO_SPARK_FORMAT = {"%m/%Y": "MM/yyyy", "%Y-%m-%d": "yyyy-MM-dd", "%Y-%m-%d %H:%M:%S": "yyyy-MM-dd HH:mm:ss"}
 # Formats tried, in order, when a date column's format is not given.
@@ -14,7 +16,7 @@ INFERRED_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy", "MM/yyyy"
 
 
 def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return qcol(c) if isinstance(c, str) else c
 
 
 def parse_date(c: str | Column, fmt: str | None = "MM/yyyy", coerce: bool = True) -> Column:
@@ -62,7 +64,7 @@ def cut_equal_width(df: DataFrame, c: str, n: int, out: str, label: str = "Bin {
     gets the string ``'nan'`` (faithful to the workflow's bias report).
     One aggregate (two numbers) feeds the bin expression.
     """
-    mm = df.agg(F.min(c).alias("lo"), F.max(c).alias("hi")).collect()[0]
+    mm = df.agg(F.min(qcol(c)).alias("lo"), F.max(qcol(c)).alias("hi")).collect()[0]
     lo, hi = mm["lo"], mm["hi"]
     if lo is None:
         return df.withColumn(out, F.lit("nan"))
@@ -127,7 +129,7 @@ def model_path(c: str | Column, folder: str = "models", suffix: str = "") -> Col
 
 def parse_feature_record(df: DataFrame, c: str, names: Sequence[str], sep: str = ",") -> DataFrame:
     """Split a text record such as ``"1.5, 2.3, 3.8"``, trim, cast to double, name by position."""
-    parts = F.transform(F.split(F.col(c), sep), lambda x: F.trim(x).cast("double"))
+    parts = F.transform(F.split(qcol(c), sep), lambda x: F.trim(x).cast("double"))
     tmp = df.withColumn("_parts", parts)
     return tmp.select(*[x for x in df.columns if x != c],
                       *[F.get(F.col("_parts"), i).alias(n) for i, n in enumerate(names)])

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from cohort_spark.functions.names import qcol
 from pyspark.sql import types as T
 
 
@@ -38,17 +40,17 @@ def select_by_type(df: DataFrame, kind: str = "number") -> DataFrame:
 
 def filter_isin(df: DataFrame, col: str, values: Sequence) -> DataFrame:
     """Rows whose value is in ``values`` (NULL never is)."""
-    return df.where(F.col(col).isin(list(values)))
+    return df.where(qcol(col).isin(list(values)))
 
 
 def filter_eq(df: DataFrame, col: str, v) -> DataFrame:
     """P5: rows equal to ``v``."""
-    return df.where(F.col(col) == F.lit(v))
+    return df.where(qcol(col) == F.lit(v))
 
 
 def filter_ne_keep_null(df: DataFrame, col: str, v) -> DataFrame:
     """Rows not equal to ``v``; a missing value passes (pandas ``!=``)."""
-    return df.where(~F.col(col).eqNullSafe(F.lit(v)))
+    return df.where(~qcol(col).eqNullSafe(F.lit(v)))
 
 
 def split_target(df: DataFrame, label: str, key: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -90,7 +92,7 @@ def first_n(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
 def table_info(df: DataFrame) -> DataFrame:
     """``(position, column, dtype, non_null, n_rows)`` from one aggregate over the table."""
     spark = df.sparkSession
-    aggs = [F.count(F.lit(1)).alias("_n")] + [F.count(F.col(c)).alias(f"_nn{i}") for i, c in enumerate(df.columns)]
+    aggs = [F.count(F.lit(1)).alias("_n")] + [F.count(qcol(c)).alias(f"_nn{i}") for i, c in enumerate(df.columns)]
     one = df.agg(*aggs)
     meta = spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
                                  "position int, column string, dtype string")

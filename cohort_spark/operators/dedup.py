@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohort_spark.functions.names import qcol
+
 from cohort_spark.operators.ordered import global_rank
 
 
@@ -20,19 +22,19 @@ def _order_fields(order: Sequence[str], descending: bool, nulls_last: bool = Tru
     """Struct fields whose ascending comparison gives the wanted order, NULLs last."""
     fields = []
     for i, c in enumerate(order):
-        fields.append(F.col(c).isNull().alias(f"_n{i}") if nulls_last else F.col(c).isNotNull().alias(f"_n{i}"))
-        fields.append(F.col(c).alias(f"_o{i}"))
+        fields.append(qcol(c).isNull().alias(f"_n{i}") if nulls_last else qcol(c).isNotNull().alias(f"_n{i}"))
+        fields.append(qcol(c).alias(f"_o{i}"))
     return fields
 
 
 def _first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = False,
               null_safe_keys: bool = True) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
-    fields = _order_fields(order, last) + [F.col(c).alias(f"_r{i}") for i, c in enumerate(rest)]
+    fields = _order_fields(order, last) + [qcol(c).alias(f"_r{i}") for i, c in enumerate(rest)]
     agg = F.max if last else F.min
     grouped = df.groupBy(*keys).agg(agg(F.struct(*fields)).alias("_best"))
-    out = grouped.select(*keys, *[F.col(f"_best._r{i}").alias(c) for i, c in enumerate(rest)])
-    return out.select(*df.columns)
+    out = grouped.select(*[qcol(k) for k in keys], *[F.col(f"_best._r{i}").alias(c) for i, c in enumerate(rest)])
+    return out.select(*[qcol(c) for c in df.columns])
 
 
 def earliest_per_key(df: DataFrame, key: str | Sequence[str], ts: str, tie: Sequence[str] = ()) -> DataFrame:
@@ -64,12 +66,12 @@ def handle_duplicates(df: DataFrame, subset: Sequence[str] | None = None, keep:
     if keep is False:
         if set(subset) == set(df.columns):
             counted = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_n"))
-            out = counted.where("_n = 1").select(*df.columns)
+            out = counted.where("_n = 1").select(*[qcol(c) for c in df.columns])
         else:
             rest = [c for c in df.columns if c not in subset]
             counted = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_n"),
-                                              F.min(F.struct(*[F.col(c) for c in rest])).alias("_row"))
-            out = counted.where("_n = 1").select(*subset, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+                                              F.min(F.struct(*[qcol(c) for c in rest])).alias("_row"))
+            out = counted.where("_n = 1").select(*[qcol(c) for c in subset], *[F.col("_row").getField(c).alias(c) for c in rest]).select(*[qcol(c) for c in df.columns])
     elif keep in ("first", "last"):
         if set(subset) == set(df.columns):
             out = df.dropDuplicates()
@@ -78,7 +80,7 @@ def handle_duplicates(df: DataFrame, subset: Sequence[str] | None = None, keep:
     else:
         raise ValueError("keep must be 'first', 'last' or False")
     if reindex:
-        ranked = global_rank(out, [*[F.col(c).asc_nulls_last() for c in order]], rank_col="_rank")
+        ranked = global_rank(out, [*[qcol(c).asc_nulls_last() for c in order]], rank_col="_rank")
         out = ranked.withColumn(index_col, F.col("_rank") - 1).drop("_rank")
     return out
 
@@ -92,7 +94,7 @@ def analyze_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> Da
     if set(subset) == set(df.columns):
         counted = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
         # rows of a repeated group are identical: emit each group _n times without a join
-        return counted.select(*subset, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).select(*df.columns)
+        return counted.select(*[qcol(c) for c in subset], F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).select(*[qcol(c) for c in df.columns])
     dup_keys = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     cond = None
     for c in subset:
@@ -103,16 +105,16 @@ def analyze_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> Da
 
 def count_duplicates(df: DataFrame) -> DataFrame:
     """Number of rows beyond the first of each whole-row group (one row)."""
-    whole = F.struct(*[F.col(c) for c in df.columns])
+    whole = F.struct(*[qcol(c) for c in df.columns])
     return df.agg((F.count(F.lit(1)) - F.count_distinct(whole)).alias("n_duplicates"))
 
 
 def sort_rows(df: DataFrame, keys: Sequence[str], ascending: bool = True) -> DataFrame:
     """Multi-key sort with missing values last (Spark's default puts them first)."""
-    cols = [F.col(k).asc_nulls_last() if ascending else F.col(k).desc_nulls_last() for k in keys]
+    cols = [qcol(k).asc_nulls_last() if ascending else qcol(k).desc_nulls_last() for k in keys]
     return df.orderBy(*cols)
 
 
 def top_k(df: DataFrame, col: str, k: int, tie: Sequence[str] = ()) -> DataFrame:
     """The ``k`` largest values of ``col`` (a top-k report: the limit is the feature)."""
-    return df.orderBy(F.col(col).desc_nulls_last(), *[F.col(t) for t in tie]).limit(k)
+    return df.orderBy(qcol(col).desc_nulls_last(), *[qcol(t) for t in tie]).limit(k)

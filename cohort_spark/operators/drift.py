@@ -39,20 +39,20 @@ def ks_drift(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None, alph
     cols = list(cols or [c for c in columns_of_kind(a, "number") if c in b.columns])
     counts = _two_sample_counts(a, b, cols, "double")
     cum = cumulative_sums(counts, ["column"], ["value"], ["na", "nb"])
-    tot = counts.groupBy("column").agg(F.sum("na").alias("Na"), F.sum("nb").alias("Nb"))
+    tot = counts.groupBy("column").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
     d = (cum.join(tot, "column")
-         .groupBy("column", "Na", "Nb")
-         .agg(F.max(F.abs(F.col("cum_na") / F.col("Na") - F.col("cum_nb") / F.col("Nb"))).alias("statistic")))
-    en = F.sqrt(F.col("Na") * F.col("Nb") / (F.col("Na") + F.col("Nb")))
+         .groupBy("column", "tot_a", "tot_b")
+         .agg(F.max(F.abs(F.col("cum_na") / F.col("tot_a") - F.col("cum_nb") / F.col("tot_b"))).alias("statistic")))
+    en = F.sqrt(F.col("tot_a") * F.col("tot_b") / (F.col("tot_a") + F.col("tot_b")))
     return d.select("column", "statistic", kolmogorov_sf(en * F.col("statistic")).alias("p_value"),
-                    F.col("Na").cast("bigint").alias("n_a"), F.col("Nb").cast("bigint").alias("n_b")).withColumn(
+                    F.col("tot_a").cast("bigint").alias("n_a"), F.col("tot_b").cast("bigint").alias("n_b")).withColumn(
         "drift", F.col("p_value") < alpha)
 
 
 def _freq_pairs(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, value, na, nb, Na, Nb)`` over the union of observed values."""
     counts = _two_sample_counts(a, b, cols, "string")
-    tot = counts.groupBy("column").agg(F.sum("na").alias("Na"), F.sum("nb").alias("Nb"), F.count(F.lit(1)).alias("r"))
+    tot = counts.groupBy("column").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"), F.count(F.lit(1)).alias("r"))
     return counts.join(tot, "column")
 
 
@@ -98,9 +98,9 @@ def chi2_drift(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None, al
     (statistic, degrees of freedom, p-value, drift when p < alpha)."""
     cols = list(cols or [c for c in columns_of_kind(a, "string") if c in b.columns])
     fp = _freq_pairs(a, b, cols)
-    n = F.col("Na") + F.col("Nb")
-    ea = (F.col("na") + F.col("nb")) * F.col("Na") / n
-    eb = (F.col("na") + F.col("nb")) * F.col("Nb") / n
+    n = F.col("tot_a") + F.col("tot_b")
+    ea = (F.col("na") + F.col("nb")) * F.col("tot_a") / n
+    eb = (F.col("na") + F.col("nb")) * F.col("tot_b") / n
     stat = fp.groupBy("column", "r").agg(
         F.sum((F.col("na") - ea) ** 2 / ea + (F.col("nb") - eb) ** 2 / eb).alias("statistic"))
     out = stat.select("column", "statistic", (F.col("r") - 1).cast("bigint").alias("dof"))
@@ -126,12 +126,12 @@ def feature_drift_score(a: DataFrame, b: DataFrame, num_cols: Sequence[str] | No
     if cat:
         st = chi2_drift(a, b, cat, with_p=False)
         tot = _freq_pairs(a, b, cat)
-        nn = tot.groupBy("column").agg(F.first(F.col("Na") + F.col("Nb")).alias("N"), F.first("r").alias("r"))
+        nn = tot.groupBy("column").agg(F.first(F.col("tot_a") + F.col("tot_b")).alias("N"), F.first("r").alias("r"))
         v = st.join(nn, "column").select(
             "column", F.lit("cramer_v").alias("method"),
             F.when(F.col("r") > 1, F.sqrt(F.col("statistic") / F.col("N"))).otherwise(F.lit(0.0)).alias("score"))
-        pa = F.greatest(F.col("na") / F.col("Na"), F.lit(eps))
-        pb = F.greatest(F.col("nb") / F.col("Nb"), F.lit(eps))
+        pa = F.greatest(F.col("na") / F.col("tot_a"), F.lit(eps))
+        pb = F.greatest(F.col("nb") / F.col("tot_b"), F.lit(eps))
         psi = tot.groupBy("column").agg(F.sum((pb - pa) * F.log(pb / pa)).alias("score")).select(
             "column", F.lit("psi").alias("method"), "score")
         parts += [v, psi]
@@ -147,9 +147,9 @@ def wasserstein(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     cum = cumulative_sums(counts, ["column"], ["value"], ["na", "nb"])
     ones = cum.withColumn("_one", F.lit(1))
     ranked = cumulative_sums(ones, ["column"], ["value"], ["_one"], prefix="rk")  # rank of the value
-    tot = counts.groupBy("column").agg(F.sum("na").alias("Na"), F.sum("nb").alias("Nb"))
+    tot = counts.groupBy("column").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
     cur = ranked.join(tot, "column").select("column", "value", "rk_one",
-                                            F.abs(F.col("cum_na") / F.col("Na") - F.col("cum_nb") / F.col("Nb")).alias("gap"))
+                                            F.abs(F.col("cum_na") / F.col("tot_a") - F.col("cum_nb") / F.col("tot_b")).alias("gap"))
     nxt = ranked.select("column", (F.col("rk_one") - 1).alias("rk_one"), F.col("value").alias("next_value"))
     return (cur.join(nxt, ["column", "rk_one"])
             .groupBy("column").agg(F.sum(F.col("gap") * (F.col("next_value") - F.col("value"))).alias("wasserstein")))
@@ -158,7 +158,7 @@ def wasserstein(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
 def jensen_shannon(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, jensen_shannon)``: JS distance (base 2) between the two frequency tables."""
     fp = _freq_pairs(a, b, cols)
-    pa, pb = F.col("na") / F.col("Na"), F.col("nb") / F.col("Nb")
+    pa, pb = F.col("na") / F.col("tot_a"), F.col("nb") / F.col("tot_b")
     m = (pa + pb) / 2
 
     def kl(p):

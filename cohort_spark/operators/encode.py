@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohort_spark.functions.names import qcol
+
 from cohort_spark.operators.ordered import fused_single_row, global_rank
 
 MAX_LEVELS = 1000  # guard: one-hot width must stay bounded
@@ -29,8 +31,8 @@ def level_name(v) -> str:
 
 def scale_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population standard deviation per column (one aggregate)."""
-    st = fused_single_row(df, {**{f"m{i}": F.avg(c) for i, c in enumerate(cols)},
-                               **{f"s{i}": F.stddev_pop(c) for i, c in enumerate(cols)}})
+    st = fused_single_row(df, {**{f"m{i}": F.avg(qcol(c)) for i, c in enumerate(cols)},
+                               **{f"s{i}": F.stddev_pop(qcol(c)) for i, c in enumerate(cols)}})
     return {c: (st[f"m{i}"], st[f"s{i}"]) for i, c in enumerate(cols)}
 
 
@@ -40,15 +42,15 @@ def standard_scale(df: DataFrame, cols: Sequence[str], stats: dict | None = None
     ex = {}
     for c in cols:
         m, s = stats[c]
-        ex[c] = (F.col(c) - F.lit(m)) / F.lit(s if s not in (None, 0.0) else 1.0)
-    return df.select(*[ex[c].alias(c) if c in ex else F.col(c) for c in df.columns])
+        ex[c] = (qcol(c) - F.lit(m)) / F.lit(s if s not in (None, 0.0) else 1.0)
+    return df.select(*[ex[c].alias(c) if c in ex else qcol(c) for c in df.columns])
 
 
 def levels_of(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
     """Sorted distinct non-null levels per column; refuses unbounded domains."""
     out = {}
     for c in cols:
-        vals = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().limit(max_levels + 1).collect()]
+        vals = [r[0] for r in df.select(c).where(qcol(c).isNotNull()).distinct().limit(max_levels + 1).collect()]
         if len(vals) > max_levels:
             raise ValueError(f"{c} has more than {max_levels} levels")
         out[c] = sorted(vals)
@@ -59,9 +61,9 @@ def one_hot(df: DataFrame, cols: Sequence[str], levels: dict | None = None, keep
     """One 0/1 double column ``col_level`` per observed level (sorted); an unknown level or a
     missing value gives all zeros. Encoded columns replace the originals, appended at the end."""
     levels = levels or levels_of(df, cols)
-    dummies = [F.coalesce((F.col(c) == F.lit(v)).cast("double"), F.lit(0.0)).alias(f"{c}_{level_name(v)}")
+    dummies = [F.coalesce((qcol(c) == F.lit(v)).cast("double"), F.lit(0.0)).alias(f"{c}_{level_name(v)}")
                for c in cols for v in levels[c]]
-    rest = [F.col(c) for c in df.columns if keep_original or c not in set(cols)]
+    rest = [qcol(c) for c in df.columns if keep_original or c not in set(cols)]
     return df.select(*rest, *dummies)
 
 
@@ -75,19 +77,19 @@ def get_dummies(df: DataFrame, cols: Sequence[str] | None = None, drop_first: bo
     dummies = []
     for c in cols:
         lv = levels[c][1:] if drop_first else levels[c]
-        dummies += [F.coalesce(F.col(c) == F.lit(v), F.lit(False)).alias(f"{c}_{level_name(v)}") for v in lv]
-    return df.select(*[F.col(c) for c in df.columns if c not in set(cols)], *dummies)
+        dummies += [F.coalesce(qcol(c) == F.lit(v), F.lit(False)).alias(f"{c}_{level_name(v)}") for v in lv]
+    return df.select(*[qcol(c) for c in df.columns if c not in set(cols)], *dummies)
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Sorted distinct values -> 0 .. n-1 (exact, distributed ranks of the distinct values)."""
     out = out or col
-    codes = global_rank(df.select(col).where(F.col(col).isNotNull()).distinct(), [col], "_code")
+    codes = global_rank(df.select(col).where(qcol(col).isNotNull()).distinct(), [col], "_code")
     codes = codes.select(col, (F.col("_code") - 1).cast("int").alias("_enc"))
     joined = df.join(codes, on=col, how="left")
     res = joined.withColumn(out, F.col("_enc"))
     cols = [c for c in df.columns] + ([out] if out not in df.columns else [])
-    return res.select(*cols)
+    return res.select(*[qcol(c) for c in cols])
 
 
 @dataclass
@@ -99,6 +101,7 @@ class Preprocessor:
     scale: dict = field(default_factory=dict)
     levels: dict = field(default_factory=dict)
     knn_k: int = 5
+    knn_cols: list = field(default_factory=list)
 
     def output_columns(self) -> list[str]:
         return ([*self.numerical] + [f"{c}_{level_name(v)}" for c in self.categorical for v in self.levels[c]]
@@ -118,9 +121,12 @@ def fit_preprocessor(df: DataFrame, numerical: Sequence[str], categorical: Seque
     categorical columns; everything else passes through."""
     from cohort_spark.operators.missing import knn_impute
 
+    from cohort_spark.operators.missing import _numeric
+
     num, cat = list(numerical), list(categorical)
-    filled = knn_impute(df, cat, knn_k) if cat else df
-    return Preprocessor(numerical=num, categorical=cat,
+    knn_cols = [c for c in cat if c in set(_numeric(df))]  # distances need numeric codes
+    filled = knn_impute(df, knn_cols, knn_k) if knn_cols else df
+    return Preprocessor(numerical=num, categorical=cat, knn_cols=knn_cols,
                         passthrough=[c for c in df.columns if c not in set(num) | set(cat)],
                         scale={c: list(v) for c, v in scale_stats(df, num).items()},
                         levels={c: [float(x) if isinstance(x, (int, float)) else x for x in v]
@@ -128,18 +134,19 @@ def fit_preprocessor(df: DataFrame, numerical: Sequence[str], categorical: Seque
                         knn_k=knn_k)
 
 
+
 def apply_preprocessor(df: DataFrame, pre: Preprocessor, impute: bool = True) -> DataFrame:
     """E5 (apply): scaled numeric columns, one-hot columns, then pass-through columns."""
     from cohort_spark.operators.missing import knn_impute
 
-    x = knn_impute(df, pre.categorical, pre.knn_k) if (impute and pre.categorical) else df
-    num = [((F.col(c) - F.lit(m)) / F.lit(s if s not in (None, 0.0) else 1.0)).alias(c)
+    x = knn_impute(df, pre.knn_cols, pre.knn_k) if (impute and pre.knn_cols) else df
+    num = [((qcol(c) - F.lit(m)) / F.lit(s if s not in (None, 0.0) else 1.0)).alias(c)
            for c, (m, s) in ((c, pre.scale[c]) for c in pre.numerical)]
-    hot = [F.coalesce((F.col(c).cast("double") == F.lit(v)).cast("double"), F.lit(0.0)).alias(f"{c}_{level_name(v)}")
+    hot = [F.coalesce((qcol(c).cast("double") == F.lit(v)).cast("double"), F.lit(0.0)).alias(f"{c}_{level_name(v)}")
            if isinstance(v, float) else
-           F.coalesce((F.col(c) == F.lit(v)).cast("double"), F.lit(0.0)).alias(f"{c}_{level_name(v)}")
+           F.coalesce((qcol(c) == F.lit(v)).cast("double"), F.lit(0.0)).alias(f"{c}_{level_name(v)}")
            for c in pre.categorical for v in pre.levels[c]]
-    return x.select(*num, *hot, *[F.col(c) for c in pre.passthrough])
+    return x.select(*num, *hot, *[qcol(c) for c in pre.passthrough])
 
 
 def lda_project(df: DataFrame, features: Sequence[str], label: str, n_components: int | None = None,
@@ -152,8 +159,8 @@ def lda_project(df: DataFrame, features: Sequence[str], label: str, n_components
     """
     feats = list(features)
     p = len(feats)
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(F.col(f).cast("double")).alias(f"s{i}") for i, f in enumerate(feats)]
-    aggs += [F.sum(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"x{i}_{j}")
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(qcol(f).cast("double")).alias(f"s{i}") for i, f in enumerate(feats)]
+    aggs += [F.sum(qcol(a).cast("double") * qcol(b).cast("double")).alias(f"x{i}_{j}")
              for i, a in enumerate(feats) for j, b in enumerate(feats) if j >= i]
     rows = df.groupBy(label).agg(*aggs).collect()  # one row per class
     classes = sorted(r[label] for r in rows)
@@ -176,6 +183,6 @@ def lda_project(df: DataFrame, features: Sequence[str], label: str, n_components
     vals, vecs = np.linalg.eig(sw_pinv @ sb)
     order = np.argsort(-vals.real)[:k]
     w = vecs[:, order].real
-    proj = [sum(F.col(f).cast("double") * float(w[i, j]) for i, f in enumerate(feats)).alias(f"{out_prefix}{j + 1}")
+    proj = [sum(qcol(f).cast("double") * float(w[i, j]) for i, f in enumerate(feats)).alias(f"{out_prefix}{j + 1}")
             for j in range(k)]
-    return df.select(*[F.col(c) for c in df.columns if c not in set(feats)], *proj)
+    return df.select(*[qcol(c) for c in df.columns if c not in set(feats)], *proj)

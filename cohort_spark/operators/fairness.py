@@ -13,13 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohort_spark.functions.names import qcol
 from cohort_spark.functions.scalar import model_family, slice_label
 
 
 def _rates(df: DataFrame, keys: Sequence[str], y: str | Column, p: str | Column, group: str | Column) -> DataFrame:
-    yc = F.col(y) if isinstance(y, str) else y
-    pc = F.col(p) if isinstance(p, str) else p
-    g = F.col(group) if isinstance(group, str) else group
+    yc = qcol(y) if isinstance(y, str) else y
+    pc = qcol(p) if isinstance(p, str) else p
+    g = qcol(group) if isinstance(group, str) else group
     return (df.select(*keys, g.alias("_grp"), yc.cast("double").alias("_y"), pc.cast("double").alias("_p"))
             .groupBy(*keys, "_grp")
             .agg(F.avg("_p").alias("sel"),
@@ -62,7 +63,7 @@ def fairness_by_group(preds: DataFrame, y: str, p: str, features: Sequence[str],
     classes = list(classes) if classes is not None else sorted(r[0] for r in preds.select(y).distinct().collect())
     b = binarized(preds, y, p, classes)
     long = b.select(model, "cls", "y_bin", "p_bin",
-                    F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("grp"))
+                    F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), qcol(f).cast("string").alias("grp"))
                                         for f in features])).alias("s")).select(model, "cls", "y_bin", "p_bin", "s.*")
     rates = _rates(long, [model, "cls", "feature"], "y_bin", "p_bin", "grp")
     diffs = _between(rates, [model, "cls", "feature"])
@@ -82,7 +83,7 @@ def bias_report(preds: DataFrame, y: str, p: str, features: Sequence[str], binne
     feats = list(features) + ([binned] if binned else [])
     b = binarized(preds, y, p, classes)
     long = b.select(model, "cls", "y_bin", "p_bin",
-                    F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("grp"))
+                    F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), qcol(f).cast("string").alias("grp"))
                                         for f in feats])).alias("s")).select(model, "cls", "y_bin", "p_bin", "s.*")
     diffs = _between(_rates(long, [model, "cls", "feature"], "y_bin", "p_bin", "grp"), [model, "cls", "feature"])
     acc = preds.groupBy(model).agg(F.avg((F.col(y) == F.col(p)).cast("double")).alias("accuracy"))
@@ -92,7 +93,7 @@ def bias_report(preds: DataFrame, y: str, p: str, features: Sequence[str], binne
     if not binned:
         out = plain
     else:
-        bins = preds.groupBy(model, F.col(binned).cast("string").alias("_bin")).agg(
+        bins = preds.groupBy(model, qcol(binned).cast("string").alias("_bin")).agg(
             F.avg((F.col(y) == F.col(p)).cast("double")).alias("slice_accuracy"))
         rows = (diffs.where(F.col("feature") == F.lit(binned)).join(bins, model).join(acc, model)
                 .select(model, "cls", slice_label(F.col("_bin"), slice_prefix).alias("slice"), "dp_diff", "eo_diff",

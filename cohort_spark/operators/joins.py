@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohort_spark.functions.names import qcol
+
 
 def _cond(l: DataFrame, r: DataFrame, lk: str, rk: str, null_safe: bool):
     return l[lk].eqNullSafe(r[rk]) if null_safe else l[lk] == r[rk]
@@ -23,8 +25,8 @@ def join_inner_suffix(l: DataFrame, r: DataFrame, lk: str, rk: str,
     """Inner join on differently named keys; both keys kept, overlapping names suffixed."""
     overlap = set(l.columns) & set(r.columns)
     ls, rs = suffixes
-    lq = l.select(*[F.col(c).alias(c + ls if c in overlap else c) for c in l.columns])
-    rq = r.select(*[F.col(c).alias(c + rs if c in overlap else c) for c in r.columns])
+    lq = l.select(*[qcol(c).alias(c + ls if c in overlap else c) for c in l.columns])
+    rq = r.select(*[qcol(c).alias(c + rs if c in overlap else c) for c in r.columns])
     lk2 = lk + ls if lk in overlap else lk
     rk2 = rk + rs if rk in overlap else rk
     return lq.join(rq, _cond(lq, rq, lk2, rk2, null_safe), "inner")
@@ -50,7 +52,7 @@ def outer_join_all(dfs: Sequence[DataFrame], key: str, suffix: str = "_dup") ->
     taken: set[str] = {key}
     pieces = []
     for i, d in enumerate(dfs):
-        sel = [F.col(key).alias(f"_k{i}")]
+        sel = [qcol(key).alias(f"_k{i}")]
         for c in d.columns:
             if c == key:
                 continue
@@ -58,12 +60,12 @@ def outer_join_all(dfs: Sequence[DataFrame], key: str, suffix: str = "_dup") ->
             if name in taken:
                 continue
             taken.add(name)
-            sel.append(F.col(c).alias(name))
+            sel.append(qcol(c).alias(name))
         pieces.append(d.select(*sel))
     acc = pieces[0].withColumnRenamed("_k0", key)
     for i, p in enumerate(pieces[1:], start=1):
         acc = (acc.join(p, acc[key] == p[f"_k{i}"], "full_outer")
-               .withColumn(key, F.coalesce(F.col(key), F.col(f"_k{i}"))).drop(f"_k{i}"))
+               .withColumn(key, F.coalesce(qcol(key), F.col(f"_k{i}"))).drop(f"_k{i}"))
     return acc
 
 
@@ -72,8 +74,8 @@ def inner_join_all(dfs: Sequence[DataFrame], key: str, suffixes: tuple[str, str]
     acc = dfs[0]
     for d in dfs[1:]:
         overlap = (set(acc.columns) & set(d.columns)) - {key}
-        lq = acc.select(*[F.col(c).alias(c + suffixes[0] if c in overlap else c) for c in acc.columns])
-        rq = d.select(*[F.col(c).alias(c + suffixes[1] if c in overlap else c) for c in d.columns])
+        lq = acc.select(*[qcol(c).alias(c + suffixes[0] if c in overlap else c) for c in acc.columns])
+        rq = d.select(*[qcol(c).alias(c + suffixes[1] if c in overlap else c) for c in d.columns])
         acc = lq.join(rq, on=key, how="inner")
     return acc
 
@@ -82,7 +84,7 @@ def join_on_group_min(df: DataFrame, key: str, ts: str, where=None, min_name: st
     """Per-key minimum of ``ts`` (over rows matching ``where``) joined back to the
     whole table on (key, ts): ties and rows of other kinds on that date are kept."""
     src = df.where(where) if where is not None else df
-    mins = src.groupBy(key).agg(F.min(ts).alias(min_name))
+    mins = src.groupBy(key).agg(F.min(qcol(ts)).alias(min_name))
     return df.join(mins, (df[key] == mins[key]) & (df[ts] == mins[min_name]), "inner").drop(mins[key])
 
 

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohort_spark.functions.names import qcol
+
 from cohort_spark.operators.ordered import cumulative_sums
 
 MAX_CLASSES = 1000
@@ -19,17 +21,17 @@ MAX_CLASSES = 1000
 
 def accuracy(df: DataFrame, y: str, p: str) -> DataFrame:
     """V1: share of rows with prediction equal to label."""
-    return df.agg(F.avg((F.col(y) == F.col(p)).cast("double")).alias("accuracy"))
+    return df.agg(F.avg((qcol(y) == qcol(p)).cast("double")).alias("accuracy"))
 
 
 def model_accuracies(preds: DataFrame, y: str, p: str, model: str = "model") -> DataFrame:
     """V2: accuracy per model of a stacked prediction table."""
-    return preds.groupBy(model).agg(F.avg((F.col(y) == F.col(p)).cast("double")).alias("accuracy"))
+    return preds.groupBy(model).agg(F.avg((qcol(y) == qcol(p)).cast("double")).alias("accuracy"))
 
 
 def class_labels(df: DataFrame, y: str, p: str) -> list:
     """Sorted labels seen as truth or prediction (bounded)."""
-    vals = (df.select(F.col(y).alias("v")).union(df.select(F.col(p).alias("v"))).where("v IS NOT NULL")
+    vals = (df.select(qcol(y).alias("v")).union(df.select(qcol(p).alias("v"))).where("v IS NOT NULL")
             .distinct().limit(MAX_CLASSES + 1).collect())
     if len(vals) > MAX_CLASSES:
         raise ValueError("too many classes")
@@ -40,7 +42,7 @@ def confusion_matrix(df: DataFrame, y: str, p: str, labels: Sequence | None = No
     """V3: ``(y_true, y_pred, count)`` for every pair of labels, zero cells included."""
     labels = list(labels) if labels is not None else class_labels(df, y, p)
     spark = df.sparkSession
-    counts = df.groupBy(F.col(y).alias("y_true"), F.col(p).alias("y_pred")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(qcol(y).alias("y_true"), qcol(p).alias("y_pred")).agg(F.count(F.lit(1)).alias("n"))
     grid = spark.createDataFrame([(a, b) for a in labels for b in labels], counts.schema[:2])  # classes² cells
     return (grid.join(counts, ["y_true", "y_pred"], "left")
             .select("y_true", "y_pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("count")))
@@ -53,7 +55,7 @@ def _safe_div(a, b):
 def classification_report(df: DataFrame, y: str, p: str) -> DataFrame:
     """V4: per class precision, recall, F1 and support, then ``accuracy``, ``macro avg`` and
     ``weighted avg`` rows; an empty denominator gives 0."""
-    per = (df.select(F.col(y).alias("t"), F.col(p).alias("q"))
+    per = (df.select(qcol(y).alias("t"), qcol(p).alias("q"))
            .select(F.explode(F.array(F.struct(F.col("t").alias("label"), F.lit(1).alias("is_true"), F.lit(0).alias("is_pred"),
                                               (F.col("t") == F.col("q")).cast("int").alias("hit")),
                                      F.struct(F.col("q").alias("label"), F.lit(0).alias("is_true"), F.lit(1).alias("is_pred"),
@@ -76,9 +78,11 @@ def classification_report(df: DataFrame, y: str, p: str) -> DataFrame:
         F.struct(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
                  F.lit(None).cast("double").alias("recall"), (F.col("tp") / F.col("n")).alias("f1"),
                  F.col("n").cast("bigint").alias("support")),
-        F.struct(F.lit("macro avg"), F.col("mp"), F.col("mr"), F.col("mf"), F.col("n").cast("bigint")),
-        F.struct(F.lit("weighted avg"), F.col("wp") / F.col("n"), F.col("wr") / F.col("n"), F.col("wf") / F.col("n"),
-                 F.col("n").cast("bigint")))).alias("s")).select("s.*")
+        F.struct(F.lit("macro avg").alias("label"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
+                 F.col("mf").alias("f1"), F.col("n").cast("bigint").alias("support")),
+        F.struct(F.lit("weighted avg").alias("label"), (F.col("wp") / F.col("n")).alias("precision"),
+                 (F.col("wr") / F.col("n")).alias("recall"), (F.col("wf") / F.col("n")).alias("f1"),
+                 F.col("n").cast("bigint").alias("support")))).alias("s")).select("s.*")
     return per.select("label", "precision", "recall", "f1", "support").unionByName(summary)
 
 
@@ -92,8 +96,8 @@ def roc_curve(df: DataFrame, y: str, score: str, pos_label=1) -> DataFrame:
     """V5: ``(threshold, fpr, tpr)`` at every distinct score (descending), starting at
     (+inf, 0, 0); intermediate points are kept."""
     spark = df.sparkSession
-    base = df.where(F.col(score).isNotNull()).select(
-        F.col(score).cast("double").alias("threshold"), (F.col(y) == F.lit(pos_label)).cast("long").alias("pos"))
+    base = df.where(qcol(score).isNotNull()).select(
+        qcol(score).cast("double").alias("threshold"), (qcol(y) == F.lit(pos_label)).cast("long").alias("pos"))
     per = base.groupBy("threshold").agg(F.sum("pos").alias("pos"), F.sum(1 - F.col("pos")).alias("neg"))
     P, N = per.agg(F.sum("pos"), F.sum("neg")).collect()[0]
     per = per.withColumn("_g", F.lit(0))
@@ -108,7 +112,7 @@ def roc_auc_ovr(df: DataFrame, y: str, scores: dict) -> DataFrame:
     """V6: area under the ROC curve per class (one-vs-rest) by the average-rank formula, plus
     a ``mean`` row. ``scores`` maps class label -> score column."""
     parts = [df.select(F.lit(str(c)).alias("cls"), F.col(s).cast("double").alias("score"),
-                       (F.col(y) == F.lit(c)).cast("long").alias("pos")) for c, s in scores.items()]
+                       (qcol(y) == F.lit(c)).cast("long").alias("pos")) for c, s in scores.items()]
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)

@@ -12,6 +12,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+
+from cohort_spark.functions.names import qcol
 from pyspark.sql import types as T
 
 from cohort_spark.operators.columns import columns_of_kind, drop_strict
@@ -46,7 +48,7 @@ def modes_of(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
 
 
 def _fill(df: DataFrame, values: dict[str, object]) -> DataFrame:
-    return df.select(*[F.coalesce(F.col(c), F.lit(values[c])).alias(c) if values.get(c) is not None else F.col(c)
+    return df.select(*[F.coalesce(qcol(c), F.lit(values[c])).alias(c) if values.get(c) is not None else qcol(c)
                        for c in df.columns])
 
 
@@ -89,7 +91,7 @@ def impute_mean_mode(df: DataFrame) -> DataFrame:
     """M4: numeric columns -> mean truncated toward zero, text columns -> smallest mode."""
     num = _numeric(df)
     txt = columns_of_kind(df, "string")
-    stats = fused_single_row(df, {f"m{i}": F.avg(c).cast("bigint") for i, c in enumerate(num)}) if num else {}
+    stats = fused_single_row(df, {f"m{i}": F.avg(qcol(c)).cast("bigint") for i, c in enumerate(num)}) if num else {}
     fills: dict[str, object] = {c: stats[f"m{i}"] for i, c in enumerate(num)}
     fills.update(modes_of(df, txt))
     return _fill(df, fills)
@@ -111,7 +113,7 @@ def handle_missing_values(df, identify_only: bool = False, drop_threshold: float
         raise TypeError("Input must be a Spark DataFrame")
     cols = df.columns
     stats = fused_single_row(df, {"_n": F.count(F.lit(1)),
-                                  **{f"m{i}": F.count_if(F.col(c).isNull()) for i, c in enumerate(cols)}})
+                                  **{f"m{i}": F.count_if(qcol(c).isNull()) for i, c in enumerate(cols)}})
     counts = {c: stats[f"m{i}"] for i, c in enumerate(cols)}
     if identify_only:
         return counts
@@ -131,17 +133,17 @@ def handle_missing_values(df, identify_only: bool = False, drop_threshold: float
             if c not in out.columns:
                 continue
             if isinstance(m, str) and m == "median":
-                exprs[c] = F.coalesce(F.col(c), F.lit(meds[c]))
+                exprs[c] = F.coalesce(qcol(c), F.lit(meds[c]))
             elif isinstance(m, str) and m == "constant" and constant_value is not None:
-                exprs[c] = F.coalesce(F.col(c), F.lit(constant_value))
+                exprs[c] = F.coalesce(qcol(c), F.lit(constant_value))
             elif callable(m):
-                exprs[c] = m(F.col(c))
+                exprs[c] = m(qcol(c))
             else:
                 raise ValueError(f"Invalid strategy '{m}' for column '{c}'")
-        return out.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in out.columns])
+        return out.select(*[exprs[c].alias(c) if c in exprs else qcol(c) for c in out.columns])
     num = [c for c in _numeric(out)]
     other = [c for c in out.columns if c not in set(num)]
-    means = fused_single_row(out, {f"a{i}": F.avg(c) for i, c in enumerate(num)}) if num else {}
+    means = fused_single_row(out, {f"a{i}": F.avg(qcol(c)) for i, c in enumerate(num)}) if num else {}
     fills: dict[str, object] = {c: means[f"a{i}"] for i, c in enumerate(num)}
     fills.update(modes_of(out, other))
     return _fill(out, fills)
@@ -163,9 +165,9 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5) -> DataFrame:
     combinations present, however many rows there are.
     """
     cols = list(cols)
-    x = df.withColumn("_pat", F.struct(*[F.col(c).cast("double").alias(c) for c in cols]))
+    x = df.withColumn("_pat", F.struct(*[qcol(c).cast("double").alias(c) for c in cols]))
     ratios = missing_ratio_map(df, cols)
-    means = fused_single_row(df, {f"m{i}": F.avg(F.col(c).cast("double")) for i, c in enumerate(cols)})
+    means = fused_single_row(df, {f"m{i}": F.avg(qcol(c).cast("double")) for i, c in enumerate(cols)})
     d = float(len(cols))
     out = x
     for i, c in enumerate(cols):
@@ -193,7 +195,7 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5) -> DataFrame:
             (F.sum(F.col("_take") * F.col(f"_d.{c}")) / F.sum("_take")).alias(f"_imp{i}"))
         out = out.join(imp, out["_pat"].eqNullSafe(imp["_r"]), "left").drop("_r")
         fill = F.coalesce(F.col(f"_imp{i}"), F.lit(means[f"m{i}"]))
-        out = out.withColumn(c, F.when(F.col(c).isNull(), fill).otherwise(F.col(c).cast("double"))).drop(f"_imp{i}")
+        out = out.withColumn(c, F.when(qcol(c).isNull(), fill).otherwise(qcol(c).cast("double"))).drop(f"_imp{i}")
     return out.drop("_pat")
 
 

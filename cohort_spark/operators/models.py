@@ -11,7 +11,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.ml import Estimator, Pipeline, Transformer
+from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -104,19 +104,20 @@ def fit_svm(df: DataFrame, label: str = "label", C: float = 1.0, kernel: str = "
             n_components: int = 200, seed: int = 42, features_col: str = "features", max_iter: int = 100):
     """L4: one-vs-rest linear SVM (regParam = 1 / (C · n)); ``kernel='rbf'`` first maps the
     features with random Fourier features. Returns a fitted pipeline."""
+    from cohort_spark.operators.ordered import reliable
+
     n = df.count()
     svc = LinearSVC(labelCol=label, regParam=1.0 / (C * n), maxIter=max_iter)
-    stages = []
     if kernel == "rbf":
         p = len(df.select(features_col).first()[0])
-        stages.append(RandomFourierFeatures(p, rbf_gamma(df, features_col, p, gamma), n_components, seed,
-                                            features_col, "rff"))
+        rff = RandomFourierFeatures(p, rbf_gamma(df, features_col, p, gamma), n_components, seed, features_col, "rff")
         svc.setFeaturesCol("rff")
         ovr = OneVsRest(classifier=svc, featuresCol="rff", labelCol=label)
-    else:
-        svc.setFeaturesCol(features_col)
-        ovr = OneVsRest(classifier=svc, featuresCol=features_col, labelCol=label)
-    return Pipeline(stages=[*stages, ovr]).fit(df)
+        mapped = reliable(rff.transform(df))  # the Python mapping runs once, not once per iteration
+        return PipelineModel(stages=[rff, ovr.fit(mapped)])
+    svc.setFeaturesCol(features_col)
+    ovr = OneVsRest(classifier=svc, featuresCol=features_col, labelCol=label)
+    return ovr.fit(df)
 
 
 def grid_search(est: Estimator, grid: dict, df: DataFrame, label: str = "label", folds: int = 3,
@@ -144,7 +145,7 @@ def predict_batch(model, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Class (and probabilities when the model has them) for a whole table."""
     out = model.transform(df)
     cols = [*keep, "prediction"] + (["probability"] if "probability" in out.columns else [])
-    return out.select(*cols)
+    return out.select(*[F.col('`' + c + '`') for c in cols])
 
 
 def feature_importance(model, names: Sequence[str], k: int = 10) -> DataFrame:

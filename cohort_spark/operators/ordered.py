@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohort_spark.functions.names import qcol
+
 from cohort_spark.session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the in-partition row number in the low 33 bits
@@ -29,7 +31,7 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
 
 
 def _as_cols(cols: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]
+    return [qcol(c) if isinstance(c, str) else c for c in cols]
 
 
 def reliable(df: DataFrame) -> DataFrame:
@@ -79,14 +81,14 @@ def cumulative_sums(df: DataFrame, groups: Sequence[str], order: Sequence[str |
     n = _partitions(df, partitions)
     ranged = reliable(df.repartitionByRange(n, *group_cols, *order_cols)
                       .withColumn("_pid", F.spark_partition_id()))
-    totals = ranged.groupBy("_pid", *groups).agg(*[F.sum(v).alias(f"_tot_{v}") for v in values])
+    totals = ranged.groupBy("_pid", *groups).agg(*[F.sum(qcol(v)).alias(f"_tot_{v}") for v in values])
     before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", *groups, *[
         F.coalesce(F.sum(f"_tot_{v}").over(before), F.lit(0)).alias(f"_off_{v}") for v in values])
     local = Window.partitionBy("_pid", *groups).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    with_local = ranged.select("*", *[F.sum(v).over(local).alias(f"_loc_{v}") for v in values])
+    with_local = ranged.select("*", *[F.sum(qcol(v)).over(local).alias(f"_loc_{v}") for v in values])
     joined = with_local.join(offsets, on=["_pid", *groups], how="inner")
-    out = joined.select(*[F.col(c) for c in df.columns],
+    out = joined.select(*[qcol(c) for c in df.columns],
                         *[(F.col(f"_loc_{v}") + F.col(f"_off_{v}")).alias(f"{prefix}{v}") for v in values])
     return out
 
@@ -94,8 +96,8 @@ def cumulative_sums(df: DataFrame, groups: Sequence[str], order: Sequence[str |
 def unpivot_values(df: DataFrame, cols: Sequence[str], value_type: str = "double",
                    name_col: str = "column", value_col: str = "value", ids: Sequence[str] = ()) -> DataFrame:
     """Long form ``(column, value)`` of the listed columns, nulls removed."""
-    cast = df.select(*ids, *[F.col(c).cast(value_type).alias(c) for c in cols])
-    return (cast.unpivot(list(ids), list(cols), name_col, value_col)
+    cast = df.select(*ids, *[qcol(c).cast(value_type).alias(c) for c in cols])
+    return (cast.unpivot([qcol(i) for i in ids], [qcol(c) for c in cols], name_col, value_col)
             .where(F.col(value_col).isNotNull()))
 
 

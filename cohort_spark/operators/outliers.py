@@ -13,6 +13,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohort_spark.functions.names import qcol
+
 from cohort_spark.operators.columns import columns_of_kind
 from cohort_spark.operators.missing import impute_mean_mode, drop_sparse_columns, medians_of
 from cohort_spark.operators.ordered import exact_quantiles, fused_single_row
@@ -31,15 +33,15 @@ def outlier_zscore_median(df: DataFrame, cols: Sequence[str] | None = None, t: f
     """O1: |z| (population std) not below ``t`` -> column median. A missing value fails the
     test and is also set to the median; a constant column (z undefined) becomes its median."""
     cols = list(cols or columns_of_kind(df, "number"))
-    st = fused_single_row(df, {**{f"m{i}": F.avg(c) for i, c in enumerate(cols)},
-                               **{f"s{i}": F.stddev_pop(c) for i, c in enumerate(cols)}})
+    st = fused_single_row(df, {**{f"m{i}": F.avg(qcol(c)) for i, c in enumerate(cols)},
+                               **{f"s{i}": F.stddev_pop(qcol(c)) for i, c in enumerate(cols)}})
     med = medians_of(df, cols)
     exprs = {}
     for i, c in enumerate(cols):
         mean, sd = st[f"m{i}"], st[f"s{i}"]
-        z = F.abs((F.col(c) - F.lit(mean)) / F.lit(sd)) if sd not in (None, 0) else F.lit(None)
-        exprs[c] = F.when(z < t, F.col(c)).otherwise(F.lit(med.get(c)))
-    return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns])
+        z = F.abs((qcol(c) - F.lit(mean)) / F.lit(sd)) if sd not in (None, 0) else F.lit(None)
+        exprs[c] = F.when(z < t, qcol(c)).otherwise(F.lit(med.get(c)))
+    return df.select(*[exprs[c].alias(c) if c in exprs else qcol(c) for c in df.columns])
 
 
 def outlier_iqr_median(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5) -> DataFrame:
@@ -52,8 +54,8 @@ def outlier_iqr_median(df: DataFrame, cols: Sequence[str] | None = None, k: floa
         if q1 is None:
             continue
         lo, hi = q1 - k * (q3 - q1), q3 + k * (q3 - q1)
-        exprs[c] = F.when((F.col(c) >= lo) & (F.col(c) <= hi), F.col(c)).otherwise(F.lit(med))
-    return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns])
+        exprs[c] = F.when((qcol(c) >= lo) & (qcol(c) <= hi), qcol(c)).otherwise(F.lit(med))
+    return df.select(*[exprs[c].alias(c) if c in exprs else qcol(c) for c in df.columns])
 
 
 def outlier_to_null(df: DataFrame, cols: Sequence[str] | None = None, method: str = "zscore",
@@ -64,13 +66,13 @@ def outlier_to_null(df: DataFrame, cols: Sequence[str] | None = None, method: st
     cols = [c for c in (cols or columns_of_kind(df, "number")) if c in df.columns and c in num]
     exprs = {}
     if method == "zscore":
-        st = fused_single_row(df, {**{f"m{i}": F.avg(c) for i, c in enumerate(cols)},
-                                   **{f"s{i}": F.stddev_samp(c) for i, c in enumerate(cols)}})
+        st = fused_single_row(df, {**{f"m{i}": F.avg(qcol(c)) for i, c in enumerate(cols)},
+                                   **{f"s{i}": F.stddev_samp(qcol(c)) for i, c in enumerate(cols)}})
         for i, c in enumerate(cols):
             mean, sd = st[f"m{i}"], st[f"s{i}"]
             if sd in (None, 0) or (isinstance(sd, float) and math.isnan(sd)):
                 continue
-            exprs[c] = F.when(F.abs((F.col(c) - F.lit(mean)) / F.lit(sd)) > t, F.lit(None)).otherwise(F.col(c))
+            exprs[c] = F.when(F.abs((qcol(c) - F.lit(mean)) / F.lit(sd)) > t, F.lit(None)).otherwise(qcol(c))
     elif method == "iqr":
         qs = _quartiles(df, cols)
         for c in cols:
@@ -78,21 +80,21 @@ def outlier_to_null(df: DataFrame, cols: Sequence[str] | None = None, method: st
             if q1 is None or q3 - q1 == 0:
                 continue
             lo, hi = q1 - (q3 - q1), q3 + (q3 - q1)
-            exprs[c] = F.when((F.col(c) < lo) | (F.col(c) > hi), F.lit(None)).otherwise(F.col(c))
+            exprs[c] = F.when((qcol(c) < lo) | (qcol(c) > hi), F.lit(None)).otherwise(qcol(c))
     else:
         raise ValueError("method must be 'zscore' or 'iqr'")
-    return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns])
+    return df.select(*[exprs[c].alias(c) if c in exprs else qcol(c) for c in df.columns])
 
 
 def outlier_report(before: DataFrame, after: DataFrame) -> DataFrame:
     """Per numeric column of ``before``: mean and sample std before and after, and the
     number of missing values after (``Points_Modified``)."""
     cols = columns_of_kind(before, "number")
-    b = fused_single_row(before, {**{f"m{i}": F.avg(c) for i, c in enumerate(cols)},
-                                  **{f"s{i}": F.stddev_samp(c) for i, c in enumerate(cols)}})
-    a = fused_single_row(after, {**{f"m{i}": F.avg(c) for i, c in enumerate(cols)},
-                                 **{f"s{i}": F.stddev_samp(c) for i, c in enumerate(cols)},
-                                 **{f"n{i}": F.count_if(F.col(c).isNull()) for i, c in enumerate(cols)}})
+    b = fused_single_row(before, {**{f"m{i}": F.avg(qcol(c)) for i, c in enumerate(cols)},
+                                  **{f"s{i}": F.stddev_samp(qcol(c)) for i, c in enumerate(cols)}})
+    a = fused_single_row(after, {**{f"m{i}": F.avg(qcol(c)) for i, c in enumerate(cols)},
+                                 **{f"s{i}": F.stddev_samp(qcol(c)) for i, c in enumerate(cols)},
+                                 **{f"n{i}": F.count_if(qcol(c).isNull()) for i, c in enumerate(cols)}})
     rows = [(c, b[f"m{i}"], a[f"m{i}"], b[f"s{i}"], a[f"s{i}"], int(a[f"n{i}"])) for i, c in enumerate(cols)]
     return before.sparkSession.createDataFrame(
         rows, "Column string, Original_Mean double, Cleaned_Mean double, Original_Std double, "
@@ -163,9 +165,9 @@ def outlier_isolation_median(df: DataFrame, cols: Sequence[str], share: float =
     cap = n_trees * max_samples
     out = df
     for j, c in enumerate(cols):
-        sample = (df.where(F.col(c).isNotNull())
-                  .select(F.col(c).cast("double").alias("v"),
-                          F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(c), F.col(c).cast("string"),
+        sample = (df.where(qcol(c).isNotNull())
+                  .select(qcol(c).cast("double").alias("v"),
+                          F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(c), qcol(c).cast("string"),
                                             F.monotonically_increasing_id().cast("string"))).alias("h"))
                   .orderBy("h").limit(cap).select("v").toPandas()["v"].to_numpy())  # bounded: cap values
         if len(sample) == 0:
@@ -182,11 +184,11 @@ def outlier_isolation_median(df: DataFrame, cols: Sequence[str], share: float =
             s[np.isnan(x)] = np.nan
             return pd.Series(s)
 
-        scored = out.withColumn("_score", score(F.col(c).cast("double")))
+        scored = out.withColumn("_score", score(qcol(c).cast("double")))
         cut = exact_quantiles(scored, ["_score"], [share]).collect()
         thr = cut[0]["value"] if cut else None
         keep = (F.col("_score") >= F.lit(thr)) if thr is not None else F.lit(True)
-        out = scored.withColumn(c, F.when(keep & F.col(c).isNotNull(), F.col(c)).otherwise(F.lit(med.get(c)))).drop(
+        out = scored.withColumn(c, F.when(keep & qcol(c).isNotNull(), qcol(c)).otherwise(F.lit(med.get(c)))).drop(
             "_score")
     return out
 

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohort_spark.functions.names import qcol
+
 from cohort_spark.functions.scalar import cut_labels
 from cohort_spark.operators.joins import union_groups
 from cohort_spark.operators.ordered import global_rank
@@ -20,12 +22,12 @@ from cohort_spark.operators.ordered import global_rank
 
 def seeded_hash(key: str | Column, seed: int | str) -> Column:
     """Hex md5 of ``'<seed>:<key>'``."""
-    k = F.col(key) if isinstance(key, str) else key
+    k = qcol(key) if isinstance(key, str) else key
     return F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string")))
 
 
 def _ranked(df: DataFrame, key: str, seed) -> DataFrame:
-    return global_rank(df, [seeded_hash(key, seed), F.col(key)], "_r")
+    return global_rank(df, [seeded_hash(key, seed), qcol(key)], "_r")
 
 
 def split_column(df: DataFrame, key: str, test: float = 0.2, seed: int = 42, out: str = "split") -> DataFrame:
@@ -55,7 +57,7 @@ def train_val_test_split(df: DataFrame, key: str, seed: int = 42, holdout: float
 
 def undersample(df: DataFrame, col: str, v, n: int, key: str, seed: int = 1) -> DataFrame:
     """Exactly ``min(n, size)`` rows of group ``v``, without replacement."""
-    g = df.where(F.col(col) == F.lit(v))
+    g = df.where(qcol(col) == F.lit(v))
     r = _ranked(g, key, seed)
     return r.where(F.col("_r") <= n).drop("_r")
 
@@ -72,7 +74,7 @@ def oversample(df: DataFrame, col: str, v, n: int, key: str, seed: int = 1) -> D
     Draw j picks the row of rank ``draw_index(j)`` in the group's hash order; the
     draws are a distributed range joined to the ranked group on the rank.
     """
-    g = df.where(F.col(col) == F.lit(v))
+    g = df.where(qcol(col) == F.lit(v))
     m = g.count()
     if n <= 0 or m == 0:
         return df.limit(0)

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from cohort_spark.functions.names import qcol
 from pyspark.sql import types as T
 
 from cohort_spark.operators.columns import columns_of_kind
@@ -34,35 +36,35 @@ def _long_from_row(df: DataFrame, per_col: dict[str, dict[str, Column]], types:
 
 def group_min(df: DataFrame, key: str, col: str, alias: str | None = None) -> DataFrame:
     """A1: minimum of ``col`` per key."""
-    return df.groupBy(key).agg(F.min(col).alias(alias or f"min_{col}"))
+    return df.groupBy(key).agg(F.min(qcol(col)).alias(alias or f"min_{col}"))
 
 
 def missing_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """A2: ``(column, n_missing)`` for every column, one scan."""
     cols = list(cols or df.columns)
-    return _long_from_row(df, {c: {"n_missing": F.count_if(F.col(c).isNull())} for c in cols},
+    return _long_from_row(df, {c: {"n_missing": F.count_if(qcol(c).isNull())} for c in cols},
                           {"n_missing": "bigint"})
 
 
 def missing_ratio(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """A3: ``(column, missing_ratio)`` — share of NULL per column."""
     cols = list(cols or df.columns)
-    return _long_from_row(df, {c: {"missing_ratio": F.avg(F.col(c).isNull().cast("double"))} for c in cols},
+    return _long_from_row(df, {c: {"missing_ratio": F.avg(qcol(c).isNull().cast("double"))} for c in cols},
                           {"missing_ratio": "double"})
 
 
 def missing_ratio_map(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, float]:
     """A3 as a driver dict (O(columns)); used to decide which columns to drop or fill."""
     cols = list(cols or df.columns)
-    vals = fused_single_row(df, {f"r{i}": F.avg(F.col(c).isNull().cast("double")) for i, c in enumerate(cols)})
+    vals = fused_single_row(df, {f"r{i}": F.avg(qcol(c).isNull().cast("double")) for i, c in enumerate(cols)})
     return {c: (vals[f"r{i}"] if vals[f"r{i}"] is not None else 0.0) for i, c in enumerate(cols)}
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """A4: ``(column, n_distinct)`` — distinct non-null values per column."""
     cols = list(cols or df.columns)
-    fn = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(c))
-    return _long_from_row(df, {c: {"n_distinct": fn(F.col(c))} for c in cols}, {"n_distinct": "bigint"})
+    fn = (lambda c: F.approx_count_distinct(qcol(c))) if approx else (lambda c: F.count_distinct(qcol(c)))
+    return _long_from_row(df, {c: {"n_distinct": fn(qcol(c))} for c in cols}, {"n_distinct": "bigint"})
 
 
 def distinct_counts_map(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> dict[str, int]:
@@ -82,8 +84,8 @@ STAT_NAMES = ("count", "mean", "std", "min", "q25", "q50", "q75", "max", "median
 def describe_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear), max, median and smallest mode per numeric column."""
     cols = list(cols or columns_of_kind(df, "number"))
-    basic = _long_from_row(df, {c: {"count": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c),
-                                    "min": F.min(F.col(c).cast("double")), "max": F.max(F.col(c).cast("double"))}
+    basic = _long_from_row(df, {c: {"count": F.count(qcol(c)), "mean": F.avg(qcol(c)), "std": F.stddev_samp(qcol(c)),
+                                    "min": F.min(qcol(c).cast("double")), "max": F.max(qcol(c).cast("double"))}
                                 for c in cols},
                            {"count": "bigint", "mean": "double", "std": "double", "min": "double", "max": "double"})
     vc = value_counts_long(df, cols)
@@ -97,12 +99,12 @@ def describe_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
 
 def value_counts(df: DataFrame, col: str, normalize: bool = True) -> DataFrame:
     """``(col, count, share)`` per non-null value, most frequent first."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    total = df.where(F.col(col).isNotNull()).count()  # one number
+    counts = df.where(qcol(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    total = df.where(qcol(col).isNotNull()).count()  # one number
     out = counts.withColumn("share", F.col("count") / F.lit(float(total)) if total else F.lit(None).cast("double"))
     if not normalize:
         out = out.drop("share")
-    return out.orderBy(F.col("count").desc(), F.col(col))
+    return out.orderBy(F.col("count").desc(), qcol(col))
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, batch: int = 100) -> DataFrame:
@@ -114,7 +116,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, batch:
     parts = []
     for s in range(0, len(pairs), batch):
         chunk = pairs[s:s + batch]
-        aggs = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{j}") for j, (a, b) in enumerate(chunk)]
+        aggs = [F.corr(qcol(a).cast("double"), qcol(b).cast("double")).alias(f"c{j}") for j, (a, b) in enumerate(chunk)]
         row = df.agg(*aggs)
         structs = []
         for j, (a, b) in enumerate(chunk):
@@ -143,9 +145,9 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
 
     ``(bin, lower, upper, count)``; one small aggregate for the range, one grouped count.
     """
-    v = F.col(col).cast("double")
+    v = qcol(col).cast("double")
     spark = df.sparkSession
-    lo, hi = df.agg(F.min(v), F.max(v)).collect()[0]  # two numbers
+    lo, hi = df.agg(F.min(qcol(v)), F.max(qcol(v))).collect()[0]  # two numbers
     if lo is None:
         return spark.createDataFrame([], "bin int, lower double, upper double, count bigint")
     width = hi - lo
@@ -182,7 +184,7 @@ def box_stats(df: DataFrame, cols: Sequence[str] | None = None, whis: float = 1.
 def group_accuracy(df: DataFrame, group: str, y: str, p: str) -> DataFrame:
     """Accuracy per sensitive group ``(group, n, accuracy)``."""
     return df.groupBy(group).agg(F.count(F.lit(1)).alias("n"),
-                                 F.avg((F.col(y) == F.col(p)).cast("double")).alias("accuracy"))
+                                 F.avg((qcol(y) == qcol(p)).cast("double")).alias("accuracy"))
 
 
 # ---------------------------------------------------------------------------- data quality
@@ -193,7 +195,7 @@ def validate_table(df: DataFrame, expected: Sequence[str], raise_error: bool = F
     spark = df.sparkSession
     absent = [c for c in expected if c not in df.columns]
     stats = fused_single_row(df, {"n": F.count(F.lit(1)),
-                                  **{f"m{i}": F.count_if(F.col(c).isNull()) for i, c in enumerate(df.columns)}})
+                                  **{f"m{i}": F.count_if(qcol(c).isNull()) for i, c in enumerate(df.columns)}})
     n = stats["n"]
     with_nulls = [c for i, c in enumerate(df.columns) if stats[f"m{i}"]]
     rows = [("non_empty", n > 0 and len(df.columns) > 0, f"rows={n} columns={len(df.columns)}"),
@@ -213,14 +215,14 @@ def column_statistics(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
     num = set(columns_of_kind(df, "number"))
     stats = {}
     for c in cols:
-        col = F.col(c)
+        col = qcol(c)
         isnum = c in num
         stats[c] = {
-            "count": F.count(col), "missing": F.count_if(col.isNull()),
+            "count": F.count(qcol(col)), "missing": F.count_if(col.isNull()),
             "zeros": F.count_if(col == 0) if isnum else F.lit(None),
-            "distinct": F.count_distinct(col),
-            "mean": F.avg(col) if isnum else F.lit(None),
-            "std": F.stddev_samp(col) if isnum else F.lit(None),
+            "distinct": F.count_distinct(qcol(col)),
+            "mean": F.avg(qcol(col)) if isnum else F.lit(None),
+            "std": F.stddev_samp(qcol(col)) if isnum else F.lit(None),
             "min": F.min(col.cast("double")) if isnum else F.lit(None),
             "max": F.max(col.cast("double")) if isnum else F.lit(None),
             "avg_length": F.avg(F.length(col.cast("string"))) if not isnum else F.lit(None),
@@ -251,12 +253,12 @@ def infer_schema_constraints(df: DataFrame, max_domain: int = 20) -> DataFrame:
     strings = columns_of_kind(df, "string")
     nd = distinct_counts_map(df, strings) if strings else {}
     small = [c for c in strings if nd.get(c, max_domain + 1) <= max_domain]
-    nulls = fused_single_row(df, {f"m{i}": F.count_if(F.col(c).isNull()) for i, c in enumerate(df.columns)})
+    nulls = fused_single_row(df, {f"m{i}": F.count_if(qcol(c).isNull()) for i, c in enumerate(df.columns)})
     meta = spark.createDataFrame(
         [(f.name, f.dataType.simpleString(), nulls[f"m{i}"] == 0) for i, f in enumerate(df.schema.fields)],
         "column string, dtype string, required boolean")
     if small:
-        dom = _long_from_row(df, {c: {"domain": F.array_sort(F.collect_set(c))} for c in small},
+        dom = _long_from_row(df, {c: {"domain": F.array_sort(F.collect_set(qcol(c)))} for c in small},
                              {"domain": "array<string>"})
         return meta.join(dom, "column", "left")
     return meta.withColumn("domain", F.lit(None).cast("array<string>"))
@@ -266,8 +268,8 @@ def profile_report(df: DataFrame, hist_bins: int = 10) -> dict[str, DataFrame]:
     """Q4: overview, variables, correlations, missing values and duplicates as result tables."""
     num = columns_of_kind(df, "number")
     n_cols = len(df.columns)
-    nulls = sum(F.count_if(F.col(c).isNull()) for c in df.columns) if df.columns else F.lit(0)
-    whole = F.struct(*[F.col(c) for c in df.columns])
+    nulls = sum(F.count_if(qcol(c).isNull()) for c in df.columns) if df.columns else F.lit(0)
+    whole = F.struct(*[qcol(c) for c in df.columns])
     over = (df.agg(F.count(F.lit(1)).alias("n_rows"), nulls.cast("bigint").alias("n_missing_cells"),
                    (F.count(F.lit(1)) - F.count_distinct(whole)).alias("n_duplicates"))
             .select("n_rows", F.lit(n_cols).cast("bigint").alias("n_columns"), "n_missing_cells",
@@ -291,4 +293,4 @@ def _stack_histograms(df: DataFrame, cols: Sequence[str], bins: int) -> DataFram
 def as_double(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Cast the listed columns to double (others unchanged)."""
     s = set(cols)
-    return df.select(*[F.col(c).cast(T.DoubleType()).alias(c) if c in s else F.col(c) for c in df.columns])
+    return df.select(*[qcol(c).cast(T.DoubleType()).alias(c) if c in s else qcol(c) for c in df.columns])

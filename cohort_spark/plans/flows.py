@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohort_spark.functions.names import qcol
+
 from cohort_spark.functions.scalar import parse_date
 from cohort_spark.operators.columns import drop_repeated_columns, drop_strict, filter_eq, filter_isin, rename_key
 from cohort_spark.operators.dedup import earliest_per_key
@@ -85,3 +87,94 @@ def orders_as_visits(orders: DataFrame) -> DataFrame:
     """Test-data adapter: orders as visit records keyed by customer."""
     return orders.select(F.col("o_custkey").alias("PATNO"), "o_orderkey", "o_orderstatus", "o_totalprice",
                          "o_orderdate", "o_orderpriority")
+
+
+def feature_flow(df: DataFrame, *, key: str, label: str, id_cols: Sequence[str] = (), sparse_t: float = 0.5,
+                 cat_t: int = 9, low_t: float = 0.05, knn_k: int = 5, out_path: str | None = None):
+    """Split off the label (P7), drop sparse columns (M1), classify columns (M2), fill
+    low-missing columns (M3), drop id/date columns (M7), fit and apply the preprocessor
+    — KNN filling of numeric categorical codes, one-hot, population scaling — (E5), re-attach
+    the label on the key (P8), optional write (S3).
+
+    Returns (feature table, fitted preprocessor). The participant key is kept so
+    the label is joined, never re-attached by position.
+    """
+    from cohort_spark.operators.columns import attach_target, split_target
+    from cohort_spark.operators.encode import apply_preprocessor, fit_preprocessor
+    from cohort_spark.operators.missing import classify_columns, drop_id_columns, drop_sparse_columns, impute_low_missing
+    from cohort_spark.sources.tables import write_table
+
+    x, y = split_target(df, label, key)
+    x = drop_sparse_columns(x, sparse_t, [c for c in x.columns if c != key])
+    cat, num = classify_columns(x, cat_t, exclude=[key])
+    x = impute_low_missing(x, cat, num, low_t)
+    x, num = drop_id_columns(x, list(id_cols), num)
+    cat = [c for c in cat if c not in set(id_cols)]
+    pre = fit_preprocessor(x, num, cat, knn_k)
+    out = attach_target(apply_preprocessor(x, pre), y, key, label)
+    if out_path:
+        write_table(out, out_path)
+    return out, pre
+
+
+def model_flow(df: DataFrame, *, key: str, label: str, features: Sequence[str], sensitive: Sequence[str],
+               age: str, expected: Sequence[str] = (), seed: int = 42, folds: int = 3, parallelism: int = 4,
+               fast: bool = True) -> dict:
+    """Validate (Q1), encode the label (E4), 70/15/15 split (R2), tune four classifiers by
+    cross-validated grid search (L1-L5), validation accuracies (V2) and bias report (B4) on the
+    validation part, ranking (B5), best model (B6), and its test evaluation (V8).
+
+    ``fast`` uses small grids (tests and benchmarks); otherwise the workflow's grids.
+    """
+    from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+
+    from cohort_spark.functions.scalar import cut_equal_width
+    from cohort_spark.operators import models as L
+    from cohort_spark.operators.encode import label_encode
+    from cohort_spark.operators.fairness import bias_report, model_ranking, select_best
+    from cohort_spark.operators.metrics import classification_report, model_accuracies
+    from cohort_spark.operators.ordered import reliable
+    from cohort_spark.operators.sample import train_val_test_split
+    from cohort_spark.operators.stats import validate_table
+
+    checks = validate_table(df, list(expected or [*features, label]), raise_error=True)
+    enc = label_encode(df, label, "label_idx").withColumn("label_idx", F.col("label_idx").cast("double"))
+    split = reliable(L.assemble(train_val_test_split(enc, key, seed), list(features)))
+    train, val, test = (split.where(F.col("split") == s) for s in ("train", "val", "test"))
+    n = train.count()
+    grids = {
+        "Logistic Regression": (LogisticRegression(labelCol="label_idx", elasticNetParam=0.0, standardization=False,
+                                                   maxIter=50),
+                                lambda e: {e.regParam: [1.0 / (c * n) for c in ((0.1, 1.0) if fast else (0.1, 1, 10))]}),
+        "Random Forest": (RandomForestClassifier(labelCol="label_idx", seed=seed),
+                          lambda e: {e.numTrees: [20] if fast else [50, 100, 200],
+                                     e.maxDepth: [5] if fast else [10, 20, 30],
+                                     e.minInstancesPerNode: [1] if fast else [1, 2]}),
+        "XGBoost": (L.boosted_trees("label_idx", max_depth=3, n_iter=10 if fast else 100, seed=seed), None),
+        "SVM": (None, None),
+    }
+    fitted = {}
+    for name, (est, grid) in grids.items():
+        if name == "SVM":
+            fitted[name] = L.fit_svm(train, "label_idx", C=1.0, kernel="linear", max_iter=50)
+        elif grid is None:
+            fitted[name] = est.fit(train)
+        else:
+            fitted[name] = L.grid_search(est, grid(est), train, "label_idx", folds, "accuracy", parallelism, seed).bestModel
+    keep = [key, "label_idx", *sensitive, age]
+    safe = {c: f"_k{i}" for i, c in enumerate(keep)}  # Spark ML selects by name; dotted names would not resolve
+    val_m = val.select(*[qcol(c).alias(safe[c]) for c in keep], "features")
+    preds = None
+    for name, m in fitted.items():
+        p = m.transform(val_m).select(F.lit(name).alias("model"), *[F.col(safe[c]).alias(c) for c in keep],
+                                      F.col("prediction"))
+        preds = p if preds is None else preds.unionByName(p)
+    preds = cut_equal_width(reliable(preds), age, 4, f"{age}_BINNED")
+    acc = model_accuracies(preds, "label_idx", "prediction")
+    report = bias_report(preds, "label_idx", "prediction", [*sensitive, age], binned=f"{age}_BINNED")
+    ranking = model_ranking(acc, report)
+    best = select_best(ranking)
+    best_name = best.collect()[0]["model_name"]
+    test_report = classification_report(fitted[best_name].transform(test), "label_idx", "prediction")
+    return {"checks": checks, "accuracies": acc, "bias_report": report, "ranking": ranking, "best": best,
+            "test_report": test_report, "models": fitted}
