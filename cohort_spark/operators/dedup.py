@@ -18,23 +18,27 @@ from cohort_spark.functions.names import qcol
 from cohort_spark.operators.ordered import global_rank
 
 
-def _order_fields(order: Sequence[str], descending: bool, nulls_last: bool = True) -> list[Column]:
-    """Struct fields whose ascending comparison gives the wanted order, NULLs last."""
+def _order_fields(order: Sequence[str], descending: bool) -> list[Column]:
+    """Struct fields whose comparison gives ascending order with NULLs last; ``max`` of the
+    same struct gives the last row in that order."""
     fields = []
     for i, c in enumerate(order):
-        fields.append(qcol(c).isNull().alias(f"_n{i}") if nulls_last else qcol(c).isNotNull().alias(f"_n{i}"))
+        fields.append(qcol(c).isNull().alias(f"_n{i}"))
         fields.append(qcol(c).alias(f"_o{i}"))
     return fields
 
 
-def _first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = False,
-              null_safe_keys: bool = True) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
+def _first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = False) -> DataFrame:
+    """One row per key: the smallest (or largest) in ``order``, NULLs last. The struct carries
+    each order column once (after its NULL flag) plus the columns not in ``order``."""
+    order = [c for c in order if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in set(order)]
     fields = _order_fields(order, last) + [qcol(c).alias(f"_r{i}") for i, c in enumerate(rest)]
     agg = F.max if last else F.min
-    grouped = df.groupBy(*keys).agg(agg(F.struct(*fields)).alias("_best"))
-    out = grouped.select(*[qcol(k) for k in keys], *[F.col(f"_best._r{i}").alias(c) for i, c in enumerate(rest)])
-    return out.select(*[qcol(c) for c in df.columns])
+    grouped = df.groupBy(*[qcol(k) for k in keys]).agg(agg(F.struct(*fields)).alias("_best"))
+    pos = {c: f"_o{i}" for i, c in enumerate(order)}
+    pos.update({c: f"_r{i}" for i, c in enumerate(rest)})
+    return grouped.select(*[qcol(c) if c in keys else F.col("_best").getField(pos[c]).alias(c) for c in df.columns])
 
 
 def earliest_per_key(df: DataFrame, key: str | Sequence[str], ts: str, tie: Sequence[str] = ()) -> DataFrame:
