@@ -149,7 +149,12 @@ def handle_missing_values(df, identify_only: bool = False, drop_threshold: float
     return _fill(out, fills)
 
 
-def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5) -> DataFrame:
+KNN_BROADCAST_PATTERNS = 20000  # recipient patterns broadcast per chunk (size-checked)
+KNN_DONOR_BUCKETS = 16  # salt for the per-recipient top-k
+
+
+def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5,
+               max_broadcast: int = KNN_BROADCAST_PATTERNS) -> DataFrame:
     """M6: fill missing values of ``cols`` with the mean of the ``k`` nearest rows that have the value.
 
     Distance is the NaN-aware Euclidean distance over ``cols``: squared
@@ -159,10 +164,12 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5) -> DataFrame:
     donor gets the column mean. Equal distances are broken by the donor's
     values (smallest first), so the result does not depend on row order.
 
-    Scale: rows are first reduced to distinct value patterns with counts, so the
-    comparison runs over pairs of distinct patterns, not pairs of rows; for
-    categorical coordinates (few levels each) that is bounded by the level
-    combinations present, however many rows there are.
+    Scale: rows are first reduced to distinct value patterns with counts, so
+    the comparison runs over distinct patterns, not rows. Recipient patterns
+    (those missing the column) are counted and broadcast in chunks of at most
+    ``max_broadcast``; each chunk is compared with the distributed donor
+    patterns, the k nearest are first kept per (recipient, donor bucket) and
+    then per recipient, so no task ranks all donors of a recipient.
     """
     cols = list(cols)
     x = df.withColumn("_pat", F.struct(*[qcol(c).cast("double").alias(c) for c in cols]))
@@ -170,29 +177,43 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5) -> DataFrame:
     means = fused_single_row(df, {f"m{i}": F.avg(qcol(c).cast("double")) for i, c in enumerate(cols)})
     d = float(len(cols))
     out = x
+    pats = None
     for i, c in enumerate(cols):
         if ratios[c] == 0:
             continue
-        pats = x.groupBy("_pat").agg(F.count(F.lit(1)).alias("_cnt"))
-        rec = pats.where(F.col(f"_pat.{c}").isNull()).select(F.col("_pat").alias("_r"))
-        don = pats.where(F.col(f"_pat.{c}").isNotNull()).select(F.col("_pat").alias("_d"), "_cnt")
-        sq = [F.when(F.col(f"_r.{o}").isNotNull() & F.col(f"_d.{o}").isNotNull(),
-                     (F.col(f"_r.{o}") - F.col(f"_d.{o}")) ** 2) for o in cols if o != c]
-        present = [F.when(F.col(f"_r.{o}").isNotNull() & F.col(f"_d.{o}").isNotNull(), 1).otherwise(0)
-                   for o in cols if o != c]
-        n_common = sum(present) if present else F.lit(0)
-        ssum = sum(F.coalesce(s, F.lit(0.0)) for s in sq) if sq else F.lit(0.0)
-        # distinct recipient patterns x distinct donor patterns (see docstring)
-        pairs = rec.join(don, how="inner").select(
-            "_r", "_d", "_cnt",
-            F.when(n_common > 0, F.sqrt(F.lit(d) / n_common * ssum)).alias("_dist"))
-        pairs = pairs.where(F.col("_dist").isNotNull())
-        w = Window.partitionBy("_r").orderBy("_dist", *[F.col(f"_d.{o}").asc_nulls_last() for o in cols])
-        upto = pairs.withColumn("_before", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                                      F.lit(0)))
-        taken = upto.withColumn("_take", F.greatest(F.least(F.col("_cnt"), F.lit(k) - F.col("_before")), F.lit(0)))
-        imp = taken.groupBy("_r").agg(
-            (F.sum(F.col("_take") * F.col(f"_d.{c}")) / F.sum("_take")).alias(f"_imp{i}"))
+        if pats is None:
+            from cohort_spark.operators.ordered import reliable
+
+            pats = reliable(x.groupBy("_pat").agg(F.count(F.lit(1)).alias("_cnt")))  # distinct patterns, reused
+        rec = pats.where(F.col("_pat").getField(c).isNull()).select(F.col("_pat").alias("_r"))
+        don = pats.where(F.col("_pat").getField(c).isNotNull()).select(
+            F.col("_pat").alias("_d"), "_cnt", F.pmod(F.xxhash64("_pat"), F.lit(KNN_DONOR_BUCKETS)).alias("_b"))
+        n_rec = rec.count()
+        chunks = max(1, -(-n_rec // max_broadcast))
+        both = [F.col("_r").getField(o).isNotNull() & F.col("_d").getField(o).isNotNull() for o in cols if o != c]
+        n_common = sum(F.when(b, 1).otherwise(0) for b in both) if both else F.lit(0)
+        ssum = (sum(F.when(b, (F.col("_r").getField(o) - F.col("_d").getField(o)) ** 2).otherwise(0.0)
+                    for b, o in zip(both, [o for o in cols if o != c])) if both else F.lit(0.0))
+        order = [F.col("_dist")] + [F.col("_d").getField(o).asc_nulls_last() for o in cols]
+        imps = []
+        for j in range(chunks):
+            rj = rec.where(F.pmod(F.xxhash64("_r"), F.lit(chunks)) == j) if chunks > 1 else rec
+            pairs = (don.join(F.broadcast(rj), how="inner")  # bounded: at most max_broadcast recipient patterns
+                     .select("_r", "_d", "_cnt", "_b",
+                             F.when(n_common > 0, F.sqrt(F.lit(d) / n_common * ssum)).alias("_dist"))
+                     .where(F.col("_dist").isNotNull()))
+            wb = Window.partitionBy("_r", "_b").orderBy(*order)
+            local = (pairs.withColumn("_pre", F.coalesce(F.sum("_cnt").over(
+                wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).where(F.col("_pre") < k))
+            w = Window.partitionBy("_r").orderBy(*order)
+            upto = local.withColumn("_before", F.coalesce(F.sum("_cnt").over(
+                w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+            taken = upto.withColumn("_take", F.greatest(F.least(F.col("_cnt"), F.lit(k) - F.col("_before")), F.lit(0)))
+            imps.append(taken.groupBy("_r").agg(
+                (F.sum(F.col("_take") * F.col("_d").getField(c)) / F.sum("_take")).alias(f"_imp{i}")))
+        imp = imps[0]
+        for extra in imps[1:]:
+            imp = imp.unionByName(extra)
         out = out.join(imp, out["_pat"].eqNullSafe(imp["_r"]), "left").drop("_r")
         fill = F.coalesce(F.col(f"_imp{i}"), F.lit(means[f"m{i}"]))
         out = out.withColumn(c, F.when(qcol(c).isNull(), fill).otherwise(qcol(c).cast("double"))).drop(f"_imp{i}")
