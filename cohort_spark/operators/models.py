@@ -53,7 +53,7 @@ def boosted_trees(label: str = "label", max_depth: int = 3, step: float = 0.1, n
     """L3 estimator: gradient-boosted trees, one-vs-rest for more than two classes."""
     gbt = GBTClassifier(featuresCol=features_col, labelCol=label, maxDepth=max_depth, stepSize=step, maxIter=n_iter,
                         subsamplingRate=subsample, seed=seed)
-    return OneVsRest(classifier=gbt, featuresCol=features_col, labelCol=label)
+    return OneVsRest(classifier=gbt, featuresCol=features_col, labelCol=label, parallelism=4)
 
 
 def fit_boosted_trees(df: DataFrame, label: str = "label", **kw):
@@ -112,11 +112,11 @@ def fit_svm(df: DataFrame, label: str = "label", C: float = 1.0, kernel: str = "
         p = len(df.select(features_col).first()[0])
         rff = RandomFourierFeatures(p, rbf_gamma(df, features_col, p, gamma), n_components, seed, features_col, "rff")
         svc.setFeaturesCol("rff")
-        ovr = OneVsRest(classifier=svc, featuresCol="rff", labelCol=label)
+        ovr = OneVsRest(classifier=svc, featuresCol="rff", labelCol=label, parallelism=4)
         mapped = reliable(rff.transform(df))  # the Python mapping runs once, not once per iteration
         return PipelineModel(stages=[rff, ovr.fit(mapped)])
     svc.setFeaturesCol(features_col)
-    ovr = OneVsRest(classifier=svc, featuresCol=features_col, labelCol=label)
+    ovr = OneVsRest(classifier=svc, featuresCol=features_col, labelCol=label, parallelism=4)
     return ovr.fit(df)
 
 

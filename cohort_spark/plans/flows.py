@@ -102,8 +102,10 @@ def feature_flow(df: DataFrame, *, key: str, label: str, id_cols: Sequence[str]
     from cohort_spark.operators.columns import attach_target, split_target
     from cohort_spark.operators.encode import apply_preprocessor, fit_preprocessor
     from cohort_spark.operators.missing import classify_columns, drop_id_columns, drop_sparse_columns, impute_low_missing
+    from cohort_spark.operators.ordered import reliable
     from cohort_spark.sources.tables import write_table
 
+    df = reliable(df)  # many statistics passes follow: materialise the input once, lineage cut
     x, y = split_target(df, label, key)
     x = drop_sparse_columns(x, sparse_t, [c for c in x.columns if c != key])
     cat, num = classify_columns(x, cat_t, exclude=[key])

@@ -468,7 +468,26 @@ def q_lda_embeddings(spark, sf):
 
 # ------------------------------------------------------------------ flows W3, W4
 
-@query("feature_flow")
+def _feature_flow_sql():
+    from cohort_spark.plans.q_basic import W1_SQL
+    from cohort_spark.plans.q_stats import PRIORITIES
+
+    prio_mode = ("(SELECT v FROM (SELECT o_orderpriority AS v, count(*) AS c FROM w1 WHERE o_orderpriority IS NOT NULL "
+                 "GROUP BY o_orderpriority) ORDER BY c DESC, v LIMIT 1)")
+    scaled = [f"({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END AS {c}"
+              for c in ("c_acctbal", "c_nationkey", "o_totalprice")]
+    hot = ([f"coalesce(CAST(CAST(n_regionkey AS DOUBLE) = {g}.0 AS DOUBLE), 0.0) AS \"n_regionkey_{g}.0\"" for g in range(5)]
+           + [f"coalesce(CAST(o_orderpriority = '{v}' AS DOUBLE), 0.0) AS \"o_orderpriority_{v}\"" for v in PRIORITIES])
+    return f"""WITH w1 AS ({W1_SQL}),
+x AS (SELECT Participant_ID, c_acctbal, c_nationkey, n_name, n_regionkey, c_mktsegment,
+ CASE WHEN (SELECT avg(CASE WHEN o_totalprice IS NULL THEN 1.0 ELSE 0.0 END) FROM w1) < 0.05
+  THEN coalesce(o_totalprice, (SELECT quantile_cont(o_totalprice, 0.5) FROM w1)) ELSE o_totalprice END AS o_totalprice,
+ CASE WHEN (SELECT avg(CASE WHEN o_orderpriority IS NULL THEN 1.0 ELSE 0.0 END) FROM w1) < 0.05
+  THEN coalesce(o_orderpriority, {prio_mode}) ELSE o_orderpriority END AS o_orderpriority FROM w1)
+SELECT {", ".join(scaled)}, {", ".join(hot)}, Participant_ID, n_name, c_mktsegment FROM x"""
+
+
+@query("feature_flow", _feature_flow_sql())
 def q_feature_flow(spark, sf):
     from cohort_spark.plans.q_basic import participant_flow_q
 
