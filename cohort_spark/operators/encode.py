@@ -159,10 +159,15 @@ def lda_project(df: DataFrame, features: Sequence[str], label: str, n_components
     """
     feats = list(features)
     p = len(feats)
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.sum(qcol(f).cast("double")).alias(f"s{i}") for i, f in enumerate(feats)]
-    aggs += [F.sum(qcol(a).cast("double") * qcol(b).cast("double")).alias(f"x{i}_{j}")
-             for i, a in enumerate(feats) for j, b in enumerate(feats) if j >= i]
-    rows = df.groupBy(label).agg(*aggs).collect()  # one row per class
+    x = [qcol(f).cast("double") for f in feats]
+    exprs = [F.sum(x[i]).alias(f"s{i}") for i in range(p)]
+    exprs += [F.sum(x[i] * x[j]).alias(f"x{i}_{j}") for i in range(p) for j in range(i, p)]
+    rows_by_class: dict = {}
+    for b in range(0, len(exprs), 200):  # bounded aggregate width; one grouped job per batch
+        batch = exprs[b:b + 200] + ([F.count(F.lit(1)).alias("n")] if b == 0 else [])
+        for r in df.groupBy(qcol(label).alias("_cls")).agg(*batch).collect():  # one row per class
+            rows_by_class.setdefault(r["_cls"], {}).update(r.asDict())
+    rows = [{**v, label: k} for k, v in rows_by_class.items()]
     classes = sorted(r[label] for r in rows)
     n_tot = sum(r["n"] for r in rows)
     sums = {r[label]: np.array([r[f"s{i}"] for i in range(p)]) for r in rows}

@@ -43,10 +43,18 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return nan_to_null(df)
 
 
+def list_dir(spark: SparkSession, directory: str) -> list[str]:
+    """Entry names of a directory on any Hadoop-supported file system (local, HDFS, object stores)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(directory)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(st.getPath().getName() for st in fs.listStatus(path))
+
+
 def read_dir(spark: SparkSession, directory: str, suffix: str = ".csv") -> list[tuple[str, DataFrame]]:
     """Every file with ``suffix`` in ``directory`` as (name, DataFrame), ordered by name."""
-    names = sorted(n for n in os.listdir(directory) if n.endswith(suffix))
-    return [(n[: -len(suffix)], read_table(spark, os.path.join(directory, n))) for n in names]
+    names = [n for n in list_dir(spark, directory) if n.endswith(suffix)]
+    return [(n[: -len(suffix)], read_table(spark, directory.rstrip("/") + "/" + n)) for n in names]
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names: Sequence[str] = TEST_TABLES) -> dict[str, DataFrame]:
