@@ -176,7 +176,7 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5,
     ratios = missing_ratio_map(df, cols)
     means = fused_single_row(df, {f"m{i}": F.avg(qcol(c).cast("double")) for i, c in enumerate(cols)})
     d = float(len(cols))
-    out = x
+    filled: dict[int, DataFrame] = {}
     pats = None
     for i, c in enumerate(cols):
         if ratios[c] == 0:
@@ -214,10 +214,20 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5,
         imp = imps[0]
         for extra in imps[1:]:
             imp = imp.unionByName(extra)
-        out = out.join(imp, out["_pat"].eqNullSafe(imp["_r"]), "left").drop("_r")
-        fill = F.coalesce(F.col(f"_imp{i}"), F.lit(means[f"m{i}"]))
-        out = out.withColumn(c, F.when(qcol(c).isNull(), fill).otherwise(qcol(c).cast("double"))).drop(f"_imp{i}")
-    return out.drop("_pat")
+        filled[i] = imp
+    if not filled:
+        return df
+    # one table of imputed values per recipient pattern (pattern-sized), then a single join to the rows
+    table = None
+    for i, imp in filled.items():
+        table = imp if table is None else table.join(imp, table["_r"].eqNullSafe(imp["_r"]), "full_outer").select(
+            F.coalesce(table["_r"], imp["_r"]).alias("_r"), *[F.col(f"_imp{j}") for j in filled if j <= i])
+    out = x.join(table, x["_pat"].eqNullSafe(table["_r"]), "left").drop("_r")
+    for i, c in enumerate(cols):
+        if i in filled:
+            fill = F.coalesce(F.col(f"_imp{i}"), F.lit(means[f"m{i}"]))
+            out = out.withColumn(c, F.when(qcol(c).isNull(), fill).otherwise(qcol(c).cast("double")))
+    return out.drop("_pat", *[f"_imp{i}" for i in filled])
 
 
 def drop_id_columns(df: DataFrame, cols: Sequence[str], numerical: Sequence[str] | None = None):

@@ -111,28 +111,52 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     counts: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
     """``(column, q, value)``: linear-interpolation quantiles (pandas / ``percentile`` / ``quantile_cont``).
 
-    Works on distinct-value counts and global running counts, so no single task
-    holds all values of a column.
+    A selection, not a sort: distinct-value counts are range-partitioned by
+    (column, value); the per-partition totals (one number per partition and
+    column) locate the partitions holding the wanted positions, and only those
+    partitions are ranked. No task holds all values of a column.
     """
+    import math
+
+    spark = df.sparkSession
     vc = counts if counts is not None else value_counts_long(df, cols)
-    cum = cumulative_sums(vc, ["column"], ["value"], ["n"], partitions=partitions)
-    cum = cum.withColumn("_start", F.col("cum_n") - F.col("n"))  # 0-based first position of the value
-    totals = vc.groupBy("column").agg(F.sum("n").alias("_total"))
-    targets = (totals.select("column", "_total",
-                             F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
-               .withColumn("_pos", F.col("q") * (F.col("_total") - 1))
-               .withColumn("_lo", F.floor("_pos"))
-               .withColumn("_hi", F.ceil("_pos"))
-               .withColumn("_frac", F.col("_pos") - F.col("_lo")))
-    picks = []
-    for side in ("_lo", "_hi"):
-        t = F.broadcast(targets.select("column", "q", side).withColumnRenamed("column", "_tc"))
-        picks.append(cum.join(t, (cum["column"] == t["_tc"]) & (cum["_start"] <= t[side])
-                              & (t[side] < cum["cum_n"]))
-                     .select("column", "q", F.col("value").alias(f"v{side}")))
-    res = (targets.join(picks[0], ["column", "q"]).join(picks[1], ["column", "q"])
-           .select("column", "q", (F.col("v_lo") + F.col("_frac") * (F.col("v_hi") - F.col("v_lo"))).alias("value")))
-    return res
+    n = _partitions(df, partitions)
+    ranged = reliable(vc.repartitionByRange(n, F.col("column"), F.col("value"))
+                      .withColumn("_pid", F.spark_partition_id()))
+    parts = ranged.groupBy("_pid", "column").agg(F.sum("n").alias("t")).collect()  # <= partitions + columns rows
+    by_col: dict[str, list[tuple[int, int]]] = {}
+    for r in parts:
+        by_col.setdefault(r["column"], []).append((r["_pid"], r["t"]))
+    wanted, offsets, targets = set(), {}, []
+    for c, lst in by_col.items():
+        lst.sort()
+        total = sum(t for _, t in lst)
+        acc, spans = 0, []
+        for pid, t in lst:
+            offsets[(pid, c)] = acc
+            spans.append((acc, acc + t, pid))
+            acc += t
+        for q in probs:
+            pos = float(q) * (total - 1)
+            for side in (math.floor(pos), math.ceil(pos)):
+                pid = next(p for lo, hi, p in spans if lo <= side < hi)
+                wanted.add((pid, c))
+                targets.append((c, float(q), int(side), pos - math.floor(pos)))
+    if not targets:
+        return spark.createDataFrame([], "column string, q double, value double")
+    keys = F.array(*[F.lit(f"{p}|{c}") for p, c in sorted(wanted)])
+    key = F.concat_ws("|", F.col("_pid").cast("string"), F.col("column"))
+    off = F.create_map(*[x for (p, c), o in offsets.items() if (p, c) in wanted for x in (F.lit(f"{p}|{c}"), F.lit(o))])
+    w = Window.partitionBy("_pid", "column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    local = (ranged.where(F.array_contains(keys, key))
+             .withColumn("_end", F.sum("n").over(w) + off[key])
+             .withColumn("_start", F.col("_end") - F.col("n")))
+    tq = spark.createDataFrame(targets, "column string, q double, pos long, frac double")  # columns x probabilities x 2
+    hit = (local.join(F.broadcast(tq), (local["column"] == tq["column"]) & (local["_start"] <= tq["pos"])
+                      & (tq["pos"] < local["_end"]))
+           .select(tq["column"], "q", "pos", "frac", F.col("value")))
+    return (hit.groupBy("column", "q").agg(F.min("value").alias("lo"), F.max("value").alias("hi"), F.first("frac").alias("frac"))
+            .select("column", "q", (F.col("lo") + F.col("frac") * (F.col("hi") - F.col("lo"))).alias("value")))
 
 
 def modes(counts: DataFrame) -> DataFrame:
