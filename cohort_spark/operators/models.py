@@ -120,16 +120,32 @@ def fit_svm(df: DataFrame, label: str = "label", C: float = 1.0, kernel: str = "
     return ovr.fit(df)
 
 
+def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 3, seed: int = 42,
+                     out: str = "fold") -> DataFrame:
+    """Fold number per row: within each class, rows ordered by md5('<seed>:<key>') are dealt
+    round-robin to ``folds`` folds (class shares equal in every fold, up to one row)."""
+    from cohort_spark.operators.ordered import cumulative_sums
+    from cohort_spark.operators.sample import seeded_hash
+
+    h = df.withColumn("_h", seeded_hash(key, seed)).withColumn("_one", F.lit(1))
+    ranked = cumulative_sums(h, [label], [F.col("_h"), F.col(key)], ["_one"])
+    return ranked.withColumn(out, ((F.col("cum__one") - 1) % folds).cast("int")).drop("_h", "_one", "cum__one")
+
+
 def grid_search(est: Estimator, grid: dict, df: DataFrame, label: str = "label", folds: int = 3,
-                metric: str = "accuracy", parallelism: int = 4, seed: int = 42):
+                metric: str = "accuracy", parallelism: int = 4, seed: int = 42, stratify_key: str | None = None):
     """Exhaustive grid with k-fold cross-validation, refit of the best setting.
-    ``grid`` maps Param -> list of values."""
+    ``grid`` maps Param -> list of values. With ``stratify_key`` the folds are stratified by
+    class (:func:`stratified_folds`), as a classifier's cross-validation does by default."""
     b = ParamGridBuilder()
     for param, values in grid.items():
         b = b.addGrid(param, list(values))
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
     cv = CrossValidator(estimator=est, estimatorParamMaps=b.build(), evaluator=ev, numFolds=folds,
                         parallelism=parallelism, seed=seed)
+    if stratify_key:
+        df = stratified_folds(df, label, stratify_key, folds, seed, "_fold")
+        cv.setFoldCol("_fold")
     return cv.fit(df)
 
 

@@ -162,7 +162,8 @@ def model_flow(df: DataFrame, *, key: str, label: str, features: Sequence[str],
         elif grid is None:
             fitted[name] = est.fit(train)
         else:
-            fitted[name] = L.grid_search(est, grid(est), train, "label_idx", folds, "accuracy", parallelism, seed).bestModel
+            fitted[name] = L.grid_search(est, grid(est), train, "label_idx", folds, "accuracy", parallelism, seed,
+                                         stratify_key=key).bestModel
     keep = [key, "label_idx", *sensitive, age]
     safe = {c: f"_k{i}" for i, c in enumerate(keep)}  # Spark ML selects by name; dotted names would not resolve
     val_m = val.select(*[qcol(c).alias(safe[c]) for c in keep], "features")

@@ -409,7 +409,7 @@ def q_grid_search(spark, sf):
 
     train, test = model_split(spark, sf)
     est = LogisticRegression(labelCol="label", elasticNetParam=0.0, standardization=False, maxIter=50)
-    cv = grid_search(est, {est.regParam: [0.001, 0.01, 0.1]}, train, "label", folds=3)
+    cv = grid_search(est, {est.regParam: [0.001, 0.01, 0.1]}, train, "label", folds=3, stratify_key="vec_id")
     return cv.bestModel.transform(test).select("vec_id", "label", "prediction")
 
 
