@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohort_spark.functions.names import qcol
 
-# Java date patterns for the Python formats the workflows use (fixed values).
+# Java date patterns for the Python formats the workflows use.
 PY_TO_SPARK_FORMAT = {"%m/%Y": "MM/yyyy", "%Y-%m-%d": "yyyy-MM-dd", "%Y-%m-%d %H:%M:%S": "yyyy-MM-dd HH:mm:ss"}
 # Formats tried, in order, when a date column's format is not given.
 INFERRED_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy", "MM/yyyy", "yyyy/MM/dd")
@@ -93,7 +93,7 @@ def binarize(c: str | Column, cls) -> Column:
     return (_col(c) == F.lit(cls)).cast("int")
 
 
-# Family names and the name fragments that select them, tried in this order (fixed values).
+# Family names and the name fragments that select them, tried in this order.
 MODEL_FAMILIES = (
     (("XGB", "BOOST"), "xgboost"),
     (("RF", "FOREST"), "random_forest"),

@@ -84,6 +84,7 @@ def oversample(df: DataFrame, col: str, v, n: int, key: str, seed: int = 1) -> D
     return draws.join(ranked, "_r").drop("_r")
 
 
+# The age bins and their labels used by the resampling step.
 AGE_EDGES = (0, 50, 60, 70, 80, 100)
 AGE_LABELS = ("Under 50", "50-59", "60-69", "70-79", "80 and above")
 
