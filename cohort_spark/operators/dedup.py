@@ -41,6 +41,17 @@ def _first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bo
     return grouped.select(*[qcol(c) if c in keys else F.col("_best").getField(pos[c]).alias(c) for c in df.columns])
 
 
+def first_row_struct(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[Column, dict[str, str]]:
+    """Struct whose ``min`` is the first row in ``order`` (NULLs last), and the field holding each
+    non-key column."""
+    order = [c for c in order if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in set(order)]
+    st = F.struct(*_order_fields(order, False), *[qcol(c).alias(f"_r{i}") for i, c in enumerate(rest)])
+    fields = {c: f"_o{i}" for i, c in enumerate(order)}
+    fields.update({c: f"_r{i}" for i, c in enumerate(rest)})
+    return st, fields
+
+
 def earliest_per_key(df: DataFrame, key: str | Sequence[str], ts: str, tie: Sequence[str] = ()) -> DataFrame:
     """The row with the smallest ``ts`` per key (missing dates last), ties broken by ``tie``
     and then by the remaining columns, so the choice is deterministic."""
@@ -95,11 +106,7 @@ def analyze_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> Da
     Implemented as a semi join against the repeated keys; AQE splits a skewed key.
     """
     subset = list(subset) if subset else list(df.columns)
-    if set(subset) == set(df.columns):
-        counted = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-        # rows of a repeated group are identical: emit each group _n times without a join
-        return counted.select(*[qcol(c) for c in subset], F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).select(*[qcol(c) for c in df.columns])
-    dup_keys = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    dup_keys = df.groupBy(*[qcol(c) for c in subset]).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     cond = None
     for c in subset:
         e = df[c].eqNullSafe(dup_keys[c])

@@ -42,25 +42,53 @@ def join_left_dropkey(l: DataFrame, r: DataFrame, lk: str, rk: str, null_safe: b
     return l.join(rr, _cond(l, rr, lk, rkey, null_safe), "left").drop(rkey)
 
 
-def outer_join_all(dfs: Sequence[DataFrame], key: str, suffix: str = "_dup") -> DataFrame:
-    """Fold of full outer joins on ``key`` with the key coalesced.
-
-    Output names are fixed before joining: the first copy of a name stays bare,
-    the second gets ``suffix``, further copies are dropped (the repeated-name
-    removal after the fold keeps the first occurrence).
-    """
+def _fold_names(dfs: Sequence[DataFrame], key: str, suffix: str, skip: Sequence[str] = ()) -> list[tuple[int, str, str]]:
+    """(input index, source column, output name): first copy bare, second ``suffix``, later copies dropped."""
     taken: set[str] = {key}
-    pieces = []
+    plan = []
     for i, d in enumerate(dfs):
-        sel = [qcol(key).alias(f"_k{i}")]
         for c in d.columns:
-            if c == key:
+            if c == key or c in skip:
                 continue
             name = c if c not in taken else c + suffix
             if name in taken:
                 continue
             taken.add(name)
-            sel.append(qcol(c).alias(name))
+            plan.append((i, c, name))
+    return plan
+
+
+def outer_join_all(dfs: Sequence[DataFrame], key: str, suffix: str = "_dup", unique_keys: bool = False) -> DataFrame:
+    """Fold of full outer joins on ``key`` with the key coalesced.
+
+    Output names are fixed before joining: the first copy of a name stays bare,
+    the second gets ``suffix``, further copies are dropped (the repeated-name
+    removal after the fold keeps the first occurrence).
+
+    ``unique_keys=True`` (each input has at most one row per key, e.g. after
+    :func:`earliest_per_key`) replaces the chain of joins by one union and one
+    grouped aggregate: all inputs are co-partitioned once instead of
+    re-shuffling the growing result at every step. NULL keys never match.
+    """
+    plan = _fold_names(dfs, key, suffix)
+    if unique_keys:
+        slots = [f"_s{i}" for i in range(len(dfs))]
+        structs = {i: F.struct(*[qcol(c).alias(n) for j, c, n in plan if j == i]) for i in range(len(dfs))}
+        types = {i: dfs[i].select(structs[i].alias("x")).schema[0].dataType for i in range(len(dfs))}
+        parts = []
+        for i, d in enumerate(dfs):
+            parts.append(d.select(qcol(key).alias(key), *[
+                (structs[i] if j == i else F.lit(None).cast(types[j])).alias(slots[j]) for j in range(len(dfs))]))
+        allp = parts[0]
+        for p in parts[1:]:
+            allp = allp.unionByName(p)
+        merged = (allp.where(qcol(key).isNotNull()).groupBy(qcol(key).alias(key))
+                  .agg(*[F.first(s_, ignorenulls=True).alias(s_) for s_ in slots])
+                  .unionByName(allp.where(qcol(key).isNull())))
+        return merged.select(qcol(key), *[F.col(slots[j]).getField(n).alias(n) for j, _, n in plan])
+    pieces = []
+    for i, d in enumerate(dfs):
+        sel = [qcol(key).alias(f"_k{i}")] + [qcol(c).alias(n) for j, c, n in plan if j == i]
         pieces.append(d.select(*sel))
     acc = pieces[0].withColumnRenamed("_k0", key)
     for i, p in enumerate(pieces[1:], start=1):

@@ -58,15 +58,40 @@ def assessment_flow(forms: Sequence[DataFrame], *, key: str = "PATNO", ts: str =
                     form_drop: Sequence[Sequence[str]] | None = None, final_drop: Sequence[str] = ()) -> DataFrame:
     """Per form drop columns (P1), parse the entry date strictly (F1), earliest row per key
     (D1) without the date, full outer fold on the key with ``_dup`` names (J3), repeated
-    names removed (P9), final projection (P1)."""
-    reduced = []
+    names removed (P9), final projection (P1).
+
+    Plan: all forms are stacked once and reduced by one grouped aggregate on the
+    key holding, per form, the ``min`` of a first-row struct. That is the
+    earliest row of every form and the outer fold in a single shuffle, combined
+    map-side, so a participant with a third of all rows never sits whole in one
+    task.
+    """
+    from cohort_spark.operators.dedup import first_row_struct
+    from cohort_spark.operators.joins import _fold_names
+
+    prepared = []
     for i, f in enumerate(forms):
         d = drop_strict(f, form_drop[i]) if form_drop and form_drop[i] else f
         if ts_fmt is not None:
             d = d.withColumn(ts, parse_date(ts, ts_fmt, coerce=not strict))
-        d = earliest_per_key(d, key, ts, tie).drop(ts)
-        reduced.append(d)
-    merged = drop_repeated_columns(outer_join_all(reduced, key, "_dup"))
+        prepared.append(d)
+    plan = _fold_names(prepared, key, "_dup", skip=[ts])
+    slots, fields, types = [], [], []
+    for i, d in enumerate(prepared):
+        rest = [c for c in d.columns if c not in (key, ts) and c not in set(tie)]
+        st, fmap = first_row_struct(d, [key], [ts, *tie, *rest])
+        slots.append(st)
+        fields.append(fmap)
+        types.append(d.select(st.alias("x")).schema[0].dataType)
+    parts = []
+    for i, d in enumerate(prepared):
+        parts.append(d.select(qcol(key).alias(key), *[
+            (slots[j] if j == i else F.lit(None).cast(types[j])).alias(f"_f{j}") for j in range(len(prepared))]))
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p)
+    grouped = stacked.groupBy(qcol(key).alias(key)).agg(*[F.min(f"_f{j}").alias(f"_f{j}") for j in range(len(prepared))])
+    merged = grouped.select(qcol(key), *[F.col(f"_f{j}").getField(fields[j][c]).alias(n) for j, c, n in plan])
     return drop_strict(merged, final_drop) if final_drop else merged
 
 

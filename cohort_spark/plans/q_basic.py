@@ -250,7 +250,7 @@ SELECT coalesce(f1.PATNO, o1.PATNO, p1.PATNO) AS PATNO, f1.status, f1.total, o1.
        o1.total AS total_dup
 FROM f1 FULL OUTER JOIN o1 ON f1.PATNO = o1.PATNO FULL OUTER JOIN p1 ON coalesce(f1.PATNO, o1.PATNO) = p1.PATNO""")
 def q_outer_join_all(spark, sf):
-    return J.outer_join_all(status_frames(spark, sf), "PATNO", "_dup")
+    return J.outer_join_all(status_frames(spark, sf), "PATNO", "_dup", unique_keys=True)
 
 
 @query("inner_join_all", f"""

@@ -59,3 +59,13 @@ def test_assessment_flow_strict_date(spark):
 
     with pytest.raises(Exception):
         flows.assessment_flow([bad]).collect()
+
+
+def test_outer_join_unique_path_equals_join_path(spark):
+    a = spark.createDataFrame([(1, 10, "BL"), (2, 20, "SC"), (None, 5, "X")], "PATNO long, MDS_UPDRS long, EVENT_ID string")
+    b = spark.createDataFrame([(1, 11, "V1"), (3, 12, "V2")], "PATNO long, MDS_UPDRS long, EVENT_ID string")
+    c = spark.createDataFrame([(3, 13, "V3"), (4, 14, None)], "PATNO long, MDS_UPDRS long, EVENT_ID string")
+    j = J.outer_join_all([a, b, c], "PATNO")
+    u = J.outer_join_all([a, b, c], "PATNO", unique_keys=True)
+    assert j.columns == u.columns
+    assert sorted(map(tuple, j.collect()), key=repr) == sorted(map(tuple, u.collect()), key=repr)
