@@ -149,43 +149,66 @@ def apply_preprocessor(df: DataFrame, pre: Preprocessor, impute: bool = True) ->
     return x.select(*num, *hot, *[qcol(c) for c in pre.passthrough])
 
 
+def class_moments(df: DataFrame, features: Sequence[str], label: str) -> dict:
+    """Per class: row count, feature sums and the cross-product matrix XᵀX.
+
+    Each task folds its rows into one (count, sums, XᵀX) per class with NumPy
+    (``mapInPandas``); the per-task results — classes × (1 + p + p²) numbers per
+    partition — are summed element-wise by one grouped aggregate. Rows with a
+    missing feature are left out.
+    """
+    import pandas as pd
+
+    feats = list(features)
+    p = len(feats)
+    cols = [f"f{i}" for i in range(p)]
+    base = df.select(qcol(label).cast("string").alias("_cls"),
+                     *[qcol(f).cast("double").alias(c) for f, c in zip(feats, cols)])
+
+    def fold(batches):
+        acc: dict = {}
+        for pdf in batches:
+            for cls, g in pdf.groupby("_cls"):
+                x = g[cols].to_numpy(dtype="float64")
+                x = x[~np.isnan(x).any(axis=1)]  # rows with a missing feature are left out
+                n0, s0, xx0 = acc.get(cls, (0, np.zeros(p), np.zeros((p, p))))
+                acc[cls] = (n0 + len(x), s0 + x.sum(axis=0), xx0 + x.T @ x)
+        yield pd.DataFrame({"_cls": list(acc), "n": [v[0] for v in acc.values()],
+                            "vals": [np.concatenate([v[1], v[2].ravel()]).tolist() for v in acc.values()]})
+
+    part = base.mapInPandas(fold, "_cls string, n long, vals array<double>")
+    summed = (part.select("_cls", "n", F.posexplode("vals").alias("i", "v"))
+              .groupBy("_cls", "i").agg(F.sum("v").alias("v"), F.sum("n").alias("n")).collect())
+    out: dict = {}
+    for r in summed:
+        n, vals = out.setdefault(r["_cls"], [0, np.zeros(p + p * p)])
+        vals[r["i"]] = r["v"]
+        out[r["_cls"]][0] = r["n"]
+    return {c: (n, v[:p], v[p:].reshape(p, p)) for c, (n, v) in out.items()}
+
+
 def lda_project(df: DataFrame, features: Sequence[str], label: str, n_components: int | None = None,
                 out_prefix: str = "LD") -> DataFrame:
     """Linear discriminant projection to min(features, classes - 1) axes.
 
-    Class counts, sums and cross-product sums are distributed aggregates
-    (p + p² numbers per class); the p×p eigen-problem is solved on the driver and
-    the projection is a column expression.
+    Class counts, sums and cross-product sums come from :func:`class_moments`
+    (one scan); the p×p eigen-problem is solved on the driver and the projection
+    is a column expression.
     """
     feats = list(features)
     p = len(feats)
-    x = [qcol(f).cast("double") for f in feats]
-    exprs = [F.sum(x[i]).alias(f"s{i}") for i in range(p)]
-    exprs += [F.sum(x[i] * x[j]).alias(f"x{i}_{j}") for i in range(p) for j in range(i, p)]
-    rows_by_class: dict = {}
-    for b in range(0, len(exprs), 200):  # bounded aggregate width; one grouped job per batch
-        batch = exprs[b:b + 200] + ([F.count(F.lit(1)).alias("n")] if b == 0 else [])
-        for r in df.groupBy(qcol(label).alias("_cls")).agg(*batch).collect():  # one row per class
-            rows_by_class.setdefault(r["_cls"], {}).update(r.asDict())
-    rows = [{**v, label: k} for k, v in rows_by_class.items()]
-    classes = sorted(r[label] for r in rows)
-    n_tot = sum(r["n"] for r in rows)
-    sums = {r[label]: np.array([r[f"s{i}"] for i in range(p)]) for r in rows}
-    mu = sum(sums.values()) / n_tot
+    mom = class_moments(df, feats, label)
+    classes = sorted(mom)
+    n_tot = sum(m[0] for m in mom.values())
+    mu = sum(m[1] for m in mom.values()) / n_tot
     sw = np.zeros((p, p))
     sb = np.zeros((p, p))
-    for r in rows:
-        n = r["n"]
-        xx = np.zeros((p, p))
-        for i in range(p):
-            for j in range(i, p):
-                xx[i, j] = xx[j, i] = r[f"x{i}_{j}"]
-        m = sums[r[label]] / n
+    for n, s_, xx in mom.values():
+        m = s_ / n
         sw += xx - n * np.outer(m, m)
         sb += n * np.outer(m - mu, m - mu)
     k = n_components or min(p, len(classes) - 1)
-    sw_pinv = np.linalg.pinv(sw)
-    vals, vecs = np.linalg.eig(sw_pinv @ sb)
+    vals, vecs = np.linalg.eig(np.linalg.pinv(sw) @ sb)
     order = np.argsort(-vals.real)[:k]
     w = vecs[:, order].real
     proj = [sum(qcol(f).cast("double") * float(w[i, j]) for i, f in enumerate(feats)).alias(f"{out_prefix}{j + 1}")

@@ -410,10 +410,12 @@ def q_missing_columns(spark, sf):
 # ------------------------------------------------------------------ flows W2, W5
 
 def forms(spark, sf, n=5):
-    li = tb(spark, sf, "lineitem")
+    """Five assessment forms from lineitem: line numbers are dealt to forms round-robin, so every
+    row of the table belongs to exactly one form."""
+    li = tb(spark, sf, "lineitem").withColumn("_form", (F.col("l_linenumber") - 1) % n + 1)
     out = []
     for i in range(1, n + 1):
-        out.append(li.where(F.col("l_linenumber") == i).select(
+        out.append(li.where(F.col("_form") == i).select(
             F.col("l_suppkey").alias("PATNO"), F.col("l_returnflag").alias("EVENT_ID"),
             F.date_format("l_shipdate", "MM/yyyy").alias("ORIG_ENTRY"), F.col("l_orderkey").alias("REC_ID"),
             F.col("l_quantity").alias(f"TOT{i}"), F.col("l_extendedprice").alias("PRICE")))
@@ -424,7 +426,7 @@ def _form_cte(i):
     return f"""f{i} AS (SELECT PATNO, EVENT_ID, TOT{i}, PRICE FROM (SELECT l_suppkey AS PATNO, l_returnflag AS EVENT_ID,
  l_quantity AS TOT{i}, l_extendedprice AS PRICE, row_number() OVER (PARTITION BY l_suppkey ORDER BY
  date_trunc('month', l_shipdate) NULLS LAST, l_returnflag NULLS LAST, l_quantity NULLS LAST, l_extendedprice NULLS LAST) AS rn
- FROM lineitem WHERE l_linenumber = {i}) WHERE rn = 1)"""
+ FROM lineitem WHERE (l_linenumber - 1) % 5 + 1 = {i}) WHERE rn = 1)"""
 
 
 @query("assessment_flow", f"""
@@ -442,6 +444,6 @@ def q_assessment_flow(spark, sf):
 
 @query("assessment_union_flow", " UNION ALL BY NAME ".join(
     f"""SELECT l_suppkey AS PATNO, l_returnflag AS EVENT_ID, strftime(l_shipdate, '%m/%Y') AS ORIG_ENTRY,
- l_quantity AS TOT{i}, l_extendedprice AS PRICE FROM lineitem WHERE l_linenumber = {i}""" for i in range(1, 6)))
+ l_quantity AS TOT{i}, l_extendedprice AS PRICE FROM lineitem WHERE (l_linenumber - 1) % 5 + 1 = {i}""" for i in range(1, 6)))
 def q_assessment_union_flow(spark, sf):
     return flows.assessment_union_flow(forms(spark, sf), form_drop=[["REC_ID"]] * 5)

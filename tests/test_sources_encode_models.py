@@ -74,3 +74,21 @@ def test_models_fit_and_predict(spark):
     est = L.LogisticRegression(labelCol="label", maxIter=10)
     cv = L.grid_search(est, {est.regParam: [0.01, 0.1]}, df, "label", folds=2, stratify_key="vec_id")
     assert len(cv.avgMetrics) == 2
+
+
+def test_class_moments_match_numpy(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 4))
+    y = rng.integers(0, 3, size=200)
+    rows = [(int(c), *map(float, r)) for c, r in zip(y, x)]
+    df = spark.createDataFrame(rows, "y int, a double, b double, c double, d double").repartition(5)
+    mom = E.class_moments(df, ["a", "b", "c", "d"], "y")
+    for cls in range(3):
+        xs = x[y == cls]
+        n, s, xx = mom[str(cls)]
+        assert n == len(xs)
+        assert np.allclose(s, xs.sum(axis=0)) and np.allclose(xx, xs.T @ xs)
+    proj = E.lda_project(df, ["a", "b", "c", "d"], "y")
+    assert proj.columns == ["y", "LD1", "LD2"] and proj.count() == 200
