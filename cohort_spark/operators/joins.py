@@ -121,8 +121,8 @@ def freq_outer_join(a: DataFrame, b: DataFrame, col: str, names: tuple[str, str]
     """Align two frequency tables of ``col`` on the value; a value missing on one side gets 0."""
     from cohort_spark.operators.stats import value_counts
 
-    fa = value_counts(a, col, normalize).select(col, F.col("share" if normalize else "count").alias(names[0]))
-    fb = value_counts(b, col, normalize).select(col, F.col("share" if normalize else "count").alias(names[1]))
+    fa = value_counts(a, col, normalize, sort=False).select(col, F.col("share" if normalize else "count").alias(names[0]))
+    fb = value_counts(b, col, normalize, sort=False).select(col, F.col("share" if normalize else "count").alias(names[1]))
     return (fa.join(fb, on=col, how="full_outer")
             .select(col, F.coalesce(names[0], F.lit(0)).alias(names[0]), F.coalesce(names[1], F.lit(0)).alias(names[1])))
 

@@ -98,14 +98,15 @@ def describe_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     return out.select("column", *STAT_NAMES)
 
 
-def value_counts(df: DataFrame, col: str, normalize: bool = True) -> DataFrame:
-    """``(col, count, share)`` per non-null value, most frequent first."""
+def value_counts(df: DataFrame, col: str, normalize: bool = True, sort: bool = True) -> DataFrame:
+    """``(col, count, share)`` per non-null value, most frequent first (``sort=False`` when the
+    result feeds a join and order is irrelevant)."""
     counts = df.where(qcol(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
     total = df.where(qcol(col).isNotNull()).count()  # one number
     out = counts.withColumn("share", F.col("count") / F.lit(float(total)) if total else F.lit(None).cast("double"))
     if not normalize:
         out = out.drop("share")
-    return out.orderBy(F.col("count").desc(), qcol(col))
+    return out.orderBy(F.col("count").desc(), qcol(col)) if sort else out
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, batch: int = 100) -> DataFrame:
