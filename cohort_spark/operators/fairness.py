@@ -48,6 +48,14 @@ def equalized_odds_difference(df: DataFrame, y: str, p: str, group: str) -> Data
     return r.agg(F.greatest(F.max("tpr") - F.min("tpr"), F.max("fpr") - F.min("fpr")).alias("eo_diff"))
 
 
+def _classes(preds: DataFrame, y: str, limit: int = 1000) -> list:
+    """Sorted class labels of the truth column (bounded)."""
+    vals = [r[0] for r in preds.select(qcol(y)).where(qcol(y).isNotNull()).distinct().limit(limit + 1).collect()]
+    if len(vals) > limit:
+        raise ValueError("too many classes")
+    return sorted(vals)
+
+
 def binarized(preds: DataFrame, y: str, p: str, classes: Sequence) -> DataFrame:
     """One-vs-rest copies of a prediction table: ``cls``, ``y_bin``, ``p_bin`` per class."""
     arr = F.array(*[F.lit(c) for c in classes])
@@ -60,7 +68,7 @@ def fairness_by_group(preds: DataFrame, y: str, p: str, features: Sequence[str],
                       classes: Sequence | None = None) -> DataFrame:
     """Per model, class (one-vs-rest) and sensitive feature: ``dp_diff``, ``eo_diff`` and the
     accuracy of each group ``(…, group, group_accuracy)``."""
-    classes = list(classes) if classes is not None else sorted(r[0] for r in preds.select(y).distinct().collect())
+    classes = list(classes) if classes is not None else _classes(preds, y)
     b = binarized(preds, y, p, classes)
     long = b.select(model, "cls", "y_bin", "p_bin",
                     F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), qcol(f).cast("string").alias("grp"))
@@ -79,7 +87,7 @@ def bias_report(preds: DataFrame, y: str, p: str, features: Sequence[str], binne
     workflow; the binned feature yields one row per distinct bin (``slice = AGE_<bin>``) with the
     feature-level differences repeated. ``slice_accuracy`` adds the accuracy inside the slice
     (bin rows) or the overall accuracy (feature rows)."""
-    classes = list(classes) if classes is not None else sorted(r[0] for r in preds.select(y).distinct().collect())
+    classes = list(classes) if classes is not None else _classes(preds, y)
     feats = list(features) + ([binned] if binned else [])
     b = binarized(preds, y, p, classes)
     long = b.select(model, "cls", "y_bin", "p_bin",

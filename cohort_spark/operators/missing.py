@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from cohort_spark.operators.columns import columns_of_kind, drop_strict
 from cohort_spark.operators.ordered import exact_quantiles, fused_single_row, modes, value_counts_long
-from cohort_spark.operators.stats import distinct_counts_map, missing_ratio_map
+from cohort_spark.operators.stats import missing_ratio_map, small_distinct_counts
 
 _INT_FLOAT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -62,7 +62,7 @@ def classify_columns(df: DataFrame, t: int = 9, exclude: Sequence[str] = ()) ->
     """M2: (categorical, numeric): categorical = fewer than ``t`` distinct values (any type);
     numeric = the remaining integer or floating columns."""
     cols = [c for c in df.columns if c not in set(exclude)]
-    nd = distinct_counts_map(df, cols)
+    nd = small_distinct_counts(df, cols, t)  # only "fewer than t?" matters
     cat = [c for c in cols if nd[c] < t]
     num = [c for c in _numeric(df) if c in set(cols) and c not in set(cat)]
     return cat, num

@@ -73,6 +73,22 @@ def distinct_counts_map(df: DataFrame, cols: Sequence[str] | None = None, approx
     return {r["column"]: r["n_distinct"] for r in distinct_counts(df, cols, approx).collect()}
 
 
+def small_distinct_counts(df: DataFrame, cols: Sequence[str], bound: int) -> dict[str, int]:
+    """Exact distinct count of every column whose count is at most ``bound``; other columns map
+    to ``bound + 1``. A HyperLogLog estimate screens the columns first, so exact sets are only
+    built for low-cardinality columns (no shuffle of every value of a near-unique column)."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    est = fused_single_row(df, {f"a{i}": F.approx_count_distinct(qcol(c), 0.05) for i, c in enumerate(cols)})
+    cand = [c for i, c in enumerate(cols) if est[f"a{i}"] <= 2 * bound + 10]
+    exact = {}
+    if cand:
+        sets = fused_single_row(df, {f"s{i}": F.size(F.collect_set(qcol(c))) for i, c in enumerate(cand)})
+        exact = {c: sets[f"s{i}"] for i, c in enumerate(cand)}
+    return {c: (exact[c] if c in exact and exact[c] <= bound else bound + 1) for c in cols}
+
+
 def distinct_values(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """A5: ``(column, value)`` — the distinct non-null values of each column, as text."""
     cols = list(cols or df.columns)
@@ -253,7 +269,7 @@ def infer_schema_constraints(df: DataFrame, max_domain: int = 20) -> DataFrame:
     """
     spark = df.sparkSession
     strings = columns_of_kind(df, "string")
-    nd = distinct_counts_map(df, strings) if strings else {}
+    nd = small_distinct_counts(df, strings, max_domain) if strings else {}
     small = [c for c in strings if nd.get(c, max_domain + 1) <= max_domain]
     nulls = fused_single_row(df, {f"m{i}": F.count_if(qcol(c).isNull()) for i, c in enumerate(df.columns)})
     meta = spark.createDataFrame(
