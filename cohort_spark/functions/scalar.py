@@ -25,21 +25,25 @@ def parse_date(c: str | Column, fmt: str | None = "MM/yyyy", coerce: bool = True
     ``fmt`` may be a Python (``%m/%Y``) or Java (``MM/yyyy``) pattern; ``None`` tries common formats.
     """
     col = _col(c).cast("string")
+
+    def parse(f):  # wall-clock result, independent of the session time zone
+        return F.try_to_timestamp(col, F.lit(f)).cast("timestamp_ntz")
+
     if fmt is None:
-        return F.coalesce(*[F.try_to_timestamp(col, F.lit(f)) for f in INFERRED_FORMATS])
+        return F.coalesce(*[parse(f) for f in INFERRED_FORMATS])
     fmt = PY_TO_SPARK_FORMAT.get(fmt, fmt)
     if coerce:
-        return F.try_to_timestamp(col, F.lit(fmt))
-    parsed = F.try_to_timestamp(col, F.lit(fmt))
+        return parse(fmt)
+    parsed = parse(fmt)
     return F.when(col.isNull() | parsed.isNotNull(), parsed).otherwise(
-        F.raise_error(F.concat(F.lit(f"value does not match {fmt}: "), col)).cast("timestamp"))
+        F.raise_error(F.concat(F.lit(f"value does not match {fmt}: "), col)).cast("timestamp_ntz"))
 
 
 def parse_date_columns(df: DataFrame, fmt: str | None = None) -> DataFrame:
     """parse every column whose name contains "date" (any case), bad values -> NULL."""
     return df.select(*[
         parse_date(f.name, fmt).alias(f.name) if "date" in f.name.lower() and f.dataType.simpleString() == "string"
-        else F.col(f.name) for f in df.schema.fields])
+        else qcol(f.name) for f in df.schema.fields])
 
 
 def cut_labels(c: str | Column, edges: Sequence[float], labels: Sequence[str], right: bool = False) -> Column:

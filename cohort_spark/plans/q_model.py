@@ -135,10 +135,10 @@ f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (
 
 @query("classification_report", REPORT_SQL + """
 SELECT label, precision, recall, f1, support FROM f
-UNION ALL SELECT 'accuracy', NULL, NULL, sum(tp) / sum(support), sum(support) FROM f
-UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, sum(tp) / sum(support), CAST(sum(support) AS BIGINT) FROM f
+UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM f
 UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
- sum(f1 * support) / sum(support), sum(support) FROM f""")
+ sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM f""")
 def q_classification_report(spark, sf):
     return V.classification_report(tb(spark, sf, "labels"), "quality", "toxic")
 
@@ -307,7 +307,7 @@ def _ks_sql(col):
     return f"""SELECT '{col}' AS "column", D AS statistic,
  CASE WHEN lam <= 0 THEN 1.0 ELSE least(greatest(list_sum(list_transform(range(1, 101),
    lambda k: 2.0 * pow(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam))), 0.0), 1.0) END AS p_value,
- tot_a AS n_a, tot_b AS n_b FROM (
+ CAST(tot_a AS BIGINT) AS n_a, CAST(tot_b AS BIGINT) AS n_b FROM (
  SELECT max(abs(ca / tot_a - cb / tot_b)) AS D, any_value(tot_a) AS tot_a, any_value(tot_b) AS tot_b,
         sqrt(any_value(tot_a) * any_value(tot_b) / (any_value(tot_a) + any_value(tot_b))) * max(abs(ca / tot_a - cb / tot_b)) AS lam FROM (
   SELECT v, sum(na) OVER (ORDER BY v) AS ca, sum(nb) OVER (ORDER BY v) AS cb, sum(na) OVER () AS tot_a, sum(nb) OVER () AS tot_b

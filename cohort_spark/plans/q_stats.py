@@ -191,7 +191,7 @@ def q_validate_table(spark, sf):
 
 def _colstat_sql(c, num):
     if num:
-        stats = (f"count({c}) AS count, count(*) - count({c}) AS missing, count_if({c} = 0) AS zeros, "
+        stats = (f"count({c}) AS count, count(*) - count({c}) AS missing, CAST(count_if({c} = 0) AS BIGINT) AS zeros, "
                  f"count(DISTINCT {c}) AS distinct, avg({c}) AS mean, stddev_samp({c}) AS std, "
                  f"CAST(min({c}) AS DOUBLE) AS min, quantile_cont({c}, 0.5) AS median, CAST(max({c}) AS DOUBLE) AS max, ")
         avg_len = "NULL::DOUBLE AS avg_length"
@@ -221,7 +221,7 @@ def q_infer_schema_constraints(spark, sf):
     return A.infer_schema_constraints(tb(spark, sf, "orders"))
 
 
-@query("profile_report", f"""SELECT count(*) AS n_rows, 8 AS n_columns,
+@query("profile_report", f"""SELECT count(*) AS n_rows, CAST(8 AS BIGINT) AS n_columns,
  {" + ".join(f"(count(*) - count({c}))" for c in LI_NULL_COLS)} AS n_missing_cells,
  ({" + ".join(f"(count(*) - count({c}))" for c in LI_NULL_COLS)}) / (count(*) * 8) AS missing_cell_share,
  count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {LI_NULLS})) AS n_duplicates
@@ -363,7 +363,7 @@ def q_impute_low_missing(spark, sf):
 
 
 @query("impute_mean_mode", f"""SELECT {", ".join(
-    f"coalesce({c}, (SELECT CAST(trunc(avg({c})) AS BIGINT) FROM {LI_NULLS})) AS {c}"
+    f"coalesce({c}, (SELECT CAST(trunc(avg({c})) AS {'INTEGER' if c == 'l_linenumber' else 'BIGINT'}) FROM {LI_NULLS})) AS {c}"
     for c in ["l_orderkey", "l_linenumber", *LI_NUM])},
  coalesce(l_returnflag, {_mode_sql('l_returnflag', LI_NULLS)}) AS l_returnflag,
  coalesce(l_linestatus, {_mode_sql('l_linestatus', LI_NULLS)}) AS l_linestatus FROM {LI_NULLS}""")
