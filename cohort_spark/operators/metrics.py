@@ -108,6 +108,29 @@ def roc_curve(df: DataFrame, y: str, score: str, pos_label=1) -> DataFrame:
     return start.unionByName(pts)
 
 
+def roc_curves_ovr(df: DataFrame, y: str, scores: dict) -> DataFrame:
+    """V5 per class: ``(class, threshold, fpr, tpr)`` one-vs-rest, each class scored by its own
+    column (``scores`` maps class label -> score column); every distinct score of a class is a
+    threshold, preceded by (+inf, 0, 0). Running sums per class are distributed."""
+    spark = df.sparkSession
+    parts = [df.select(F.lit(str(c)).alias("cls"), qcol(s).cast("double").alias("threshold"),
+                       (qcol(y) == F.lit(c)).cast("long").alias("pos")) for c, s in scores.items()]
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    per = (long.where("threshold IS NOT NULL").groupBy("cls", "threshold")
+           .agg(F.sum("pos").alias("pos"), F.sum(1 - F.col("pos")).alias("neg")))
+    cum = cumulative_sums(per, ["cls"], [F.col("threshold").desc()], ["pos", "neg"])
+    tot = per.groupBy("cls").agg(F.sum("pos").alias("tot_pos"), F.sum("neg").alias("tot_neg"))
+    pts = cum.join(tot, "cls").select(
+        F.col("cls").alias("class"), "threshold",
+        F.when(F.col("tot_neg") > 0, F.col("cum_neg") / F.col("tot_neg")).alias("fpr"),
+        F.when(F.col("tot_pos") > 0, F.col("cum_pos") / F.col("tot_pos")).alias("tpr"))
+    start = spark.createDataFrame([(str(c), float("inf"), 0.0, 0.0) for c in scores],
+                                  "class string, threshold double, fpr double, tpr double")
+    return start.unionByName(pts)
+
+
 def roc_auc_ovr(df: DataFrame, y: str, scores: dict) -> DataFrame:
     """V6: area under the ROC curve per class (one-vs-rest) by the average-rank formula, plus
     a ``mean`` row. ``scores`` maps class label -> score column."""

@@ -71,6 +71,7 @@ DOUBLE_COLUMNS = {'accuracy': ['accuracy'],
  'rename_key': ['c_acctbal'],
  'roc_auc_ovr': ['auc'],
  'roc_curve': ['threshold', 'fpr', 'tpr'],
+ 'roc_curves_ovr': ['threshold', 'fpr', 'tpr'],
  'save_load_model': ['z_quantity', 'z_extendedprice', 'z_discount'],
  'select_best': ['accuracy', 'penalty', 'score'],
  'select_by_type': ['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax'],

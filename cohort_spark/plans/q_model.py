@@ -160,6 +160,20 @@ def q_roc_curve(spark, sf):
 AUC_SCORES = {"A": "l_quantity", "N": "l_discount", "R": "l_tax"}
 
 
+def _roc_class_sql(cls, col):
+    return f"""SELECT '{cls}' AS class, threshold,
+ CASE WHEN sum(neg) OVER () > 0 THEN sum(neg) OVER (ORDER BY threshold DESC) / sum(neg) OVER () END AS fpr,
+ CASE WHEN sum(pos) OVER () > 0 THEN sum(pos) OVER (ORDER BY threshold DESC) / sum(pos) OVER () END AS tpr
+ FROM (SELECT CAST({col} AS DOUBLE) AS threshold, sum(CAST(l_returnflag = '{cls}' AS INTEGER)) AS pos,
+  sum(CAST(l_returnflag <> '{cls}' AS INTEGER)) AS neg FROM lineitem WHERE {col} IS NOT NULL GROUP BY {col})
+ UNION ALL SELECT '{cls}', 'inf'::DOUBLE, 0.0, 0.0"""
+
+
+@query("roc_curves_ovr", _union([_roc_class_sql(c, s) for c, s in AUC_SCORES.items()]))
+def q_roc_curves_ovr(spark, sf):
+    return V.roc_curves_ovr(tb(spark, sf, "lineitem"), "l_returnflag", AUC_SCORES)
+
+
 def _auc_sql(cls, col):
     return f"""SELECT '{cls}' AS class, CASE WHEN P > 0 AND N > 0 THEN (rs - P * (P + 1) / 2.0) / (P * N) END AS auc FROM (
  SELECT sum(CASE WHEN pos = 1 THEN rk END) AS rs, sum(pos) AS P, sum(1 - pos) AS N FROM (
