@@ -552,9 +552,12 @@ def prep_frame(spark, sf):
  c_custkey, c_name FROM customer""")
 def q_fit_apply_preprocessor(spark, sf):
     df = prep_frame(spark, sf)
+    from cohort_spark.session import scratch_path
+    from cohort_spark.sources import load_preprocessor, save_preprocessor
+
     pre = E.fit_preprocessor(df, ["c_acctbal"], ["grp", "parity"])
-    pre = E.Preprocessor.from_json(pre.to_json())  # the fitted model round-trips as a small document
-    return E.apply_preprocessor(df, pre)
+    path = save_preprocessor(spark, pre, scratch_path(spark, "preprocessor"))  # fitted once, reused at scoring
+    return E.apply_preprocessor(df, load_preprocessor(spark, path))
 
 
 @query("lda_project")

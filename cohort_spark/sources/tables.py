@@ -110,3 +110,17 @@ def append_metrics(df: DataFrame, path: str) -> DataFrame:
                     F.col("metric").cast("string"), F.col("value").cast("double"))
     out.write.mode("append").parquet(path)
     return df.sparkSession.read.schema(METRIC_SCHEMA).parquet(path)
+
+
+def save_preprocessor(spark: SparkSession, pre, path: str) -> str:
+    """Persist a fitted :class:`~cohort_spark.operators.encode.Preprocessor` (a small JSON
+    document) through Spark, so the path may be on any shared file system."""
+    spark.createDataFrame([(pre.to_json(),)], "doc string").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+def load_preprocessor(spark: SparkSession, path: str):
+    """Load a preprocessor saved by :func:`save_preprocessor`."""
+    from cohort_spark.operators.encode import Preprocessor
+
+    return Preprocessor.from_json(spark.read.text(path).first()[0])
