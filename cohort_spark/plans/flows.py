@@ -17,7 +17,7 @@ from cohort_spark.functions.names import qcol
 from cohort_spark.functions.scalar import parse_date
 from cohort_spark.operators.columns import drop_repeated_columns, drop_strict, filter_eq, filter_isin, rename_key
 from cohort_spark.operators.dedup import earliest_per_key
-from cohort_spark.operators.joins import join_inner_suffix, join_left_dropkey, outer_join_all, union_by_name
+from cohort_spark.operators.joins import join_inner_suffix, join_left_dropkey, union_by_name
 
 
 def participant_flow(status: DataFrame, demographics: DataFrame, visits: DataFrame, *,
@@ -153,7 +153,7 @@ def model_flow(df: DataFrame, *, key: str, label: str, features: Sequence[str],
 
     ``fast`` uses small grids (tests and benchmarks); otherwise the workflow's grids.
     """
-    from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
+    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 
     from cohort_spark.functions.scalar import cut_equal_width
     from cohort_spark.operators import models as L
