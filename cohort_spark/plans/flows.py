@@ -115,8 +115,10 @@ def orders_as_visits(orders: DataFrame) -> DataFrame:
 
 
 def feature_flow(df: DataFrame, *, key: str, label: str, id_cols: Sequence[str] = (), sparse_t: float = 0.5,
-                 cat_t: int = 9, low_t: float = 0.05, knn_k: int = 5, out_path: str | None = None):
-    """Split off the label (P7), drop sparse columns (M1), classify columns (M2), fill
+                 cat_t: int = 9, low_t: float = 0.05, knn_k: int = 5, out_path: str | None = None,
+                 forms: DataFrame | None = None, forms_key: str = "PATNO"):
+    """Left join of the participant table with the merged assessment forms on the key,
+    dropping the forms' key (J2, when ``forms`` is given), split off the label (P7), drop sparse columns (M1), classify columns (M2), fill
     low-missing columns (M3), drop id/date columns (M7), fit and apply the preprocessor
     — KNN filling of numeric categorical codes, one-hot, population scaling — (E5), re-attach
     the label on the key (P8), optional write (S3).
@@ -130,6 +132,8 @@ def feature_flow(df: DataFrame, *, key: str, label: str, id_cols: Sequence[str]
     from cohort_spark.operators.ordered import reliable
     from cohort_spark.sources.tables import write_table
 
+    if forms is not None:
+        df = join_left_dropkey(df, forms, key, forms_key)
     df = reliable(df)  # many statistics passes follow: materialise the input once, lineage cut
     x, y = split_target(df, label, key)
     x = drop_sparse_columns(x, sparse_t, [c for c in x.columns if c != key])

@@ -503,10 +503,10 @@ SELECT {", ".join(scaled)}, {", ".join(hot)}, Participant_ID, n_name, c_mktsegme
 
 @query("feature_flow", _feature_flow_sql())
 def q_feature_flow(spark, sf):
-    from cohort_spark.plans.q_basic import participant_flow_q
+    from cohort_spark.plans.q_basic import participant_flow_q, q_assessment_flow
 
     out, _ = flows.feature_flow(participant_flow_q(spark, sf), key="Participant_ID", label="c_mktsegment",
-                                id_cols=["o_orderkey", "o_orderdate"])
+                                id_cols=["o_orderkey", "o_orderdate"], forms=q_assessment_flow(spark, sf))
     return out
 
 
