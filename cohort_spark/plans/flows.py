@@ -210,3 +210,17 @@ def model_flow(df: DataFrame, *, key: str, label: str, features: Sequence[str],
     test_report = classification_report(fitted[best_name].transform(test), "label_idx", "prediction")
     return {"checks": checks, "accuracies": acc, "bias_report": report, "ranking": ranking, "best": best,
             "test_report": test_report, "models": fitted}
+
+
+def score_records(records: DataFrame, record_col: str, names: Sequence[str], pre, model,
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """Prediction entry re-aimed as a table job: parse text records such as ``"1.5, 2.3, 3.8"``
+    into named features (P12), apply a fitted preprocessor (E5), assemble and predict (L7).
+    Every record of the table is scored in one distributed pass."""
+    from cohort_spark.functions.scalar import parse_feature_record
+    from cohort_spark.operators.encode import apply_preprocessor
+    from cohort_spark.operators.models import assemble, predict_batch
+
+    parsed = parse_feature_record(records, record_col, names)
+    prepared = apply_preprocessor(parsed, pre, impute=False)
+    return predict_batch(model, assemble(prepared, pre.output_columns()[:len(pre.numerical)]), keep)

@@ -522,3 +522,24 @@ def q_model_flow(spark, sf):
     res = flows.model_flow(wide, key="vec_id", label="COHORT", features=names, sensitive=["SEX_0.0", "SEX_1.0"],
                            age="ENROLL_AGE")
     return res["ranking"]
+
+
+@query("score_records")
+def q_score_records(spark, sf):
+    """Text records from lineitem scored by a logistic model fitted on their parsed, scaled form."""
+    from cohort_spark.functions.scalar import parse_feature_record
+    from cohort_spark.operators.encode import apply_preprocessor, fit_preprocessor
+    from cohort_spark.operators.models import assemble, fit_logistic
+    from cohort_spark.session import scratch_path
+    from cohort_spark.sources import load_preprocessor, save_preprocessor
+
+    li = tb(spark, sf, "lineitem")
+    names = ["quantity", "extendedprice", "discount", "tax"]
+    rec = li.select("l_orderkey", "l_linenumber", (F.col("l_returnflag") == "R").cast("double").alias("label"),
+                    F.concat_ws(", ", "l_quantity", "l_extendedprice", "l_discount", "l_tax").alias("record"))
+    parsed = parse_feature_record(rec, "record", names)
+    pre = fit_preprocessor(parsed, names, [])
+    pre = load_preprocessor(spark, save_preprocessor(spark, pre, scratch_path(spark, "record_preprocessor")))
+    model = fit_logistic(assemble(apply_preprocessor(parsed, pre, impute=False), names), "label", C=1.0, max_iter=20)
+    return flows.score_records(rec, "record", names, pre, model, ["l_orderkey", "l_linenumber", "label"]).drop(
+        "probability")
