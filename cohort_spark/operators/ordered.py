@@ -66,6 +66,39 @@ def global_rank(df: DataFrame, order: Sequence[str | Column], rank_col: str = "_
     return ranged.withColumn(rank_col, offset_of + F.col("_local") + 1).drop("_pid", "_local")
 
 
+def kth_in_order(df: DataFrame, order: Sequence[str | Column], ks: Sequence[int],
+                 partitions: int | None = None) -> dict[int, tuple]:
+    """Values of the order columns at 1-based positions ``ks`` of the total order ``order``.
+
+    Only the order columns are range-partitioned and checkpointed; per-partition
+    counts locate the partitions that hold the positions, and only those
+    partitions are sorted. Positions outside 1..n are omitted.
+    """
+    cols = [c.alias(f"_k{i}") if isinstance(c, Column) else qcol(c).alias(f"_k{i}") for i, c in enumerate(order)]
+    names = [f"_k{i}" for i in range(len(cols))]
+    n = _partitions(df, partitions)
+    ranged = reliable(df.select(*cols).repartitionByRange(n, *[F.col(c) for c in names])
+                      .withColumn("_pid", F.spark_partition_id()))
+    counts = dict(ranged.groupBy("_pid").count().collect())  # one row per partition
+    spans, acc = [], 0
+    for pid in sorted(counts):
+        spans.append((acc, acc + counts[pid], pid))
+        acc += counts[pid]
+    where: dict[int, tuple[int, int]] = {}
+    for k in ks:
+        for lo, hi, pid in spans:
+            if lo < k <= hi:
+                where[k] = (pid, k - lo)
+    if not where:
+        return {}
+    pids = sorted({p for p, _ in where.values()})
+    w = Window.partitionBy("_pid").orderBy(*[F.col(c) for c in names])
+    local = (ranged.where(F.col("_pid").isin(pids)).withColumn("_rn", F.row_number().over(w))
+             .where(F.struct("_pid", "_rn").isin([F.struct(F.lit(p), F.lit(r)) for p, r in where.values()])))
+    found = {(r["_pid"], r["_rn"]): tuple(r[c] for c in names) for r in local.collect()}  # len(ks) rows
+    return {k: found[pr] for k, pr in where.items()}
+
+
 def cumulative_sums(df: DataFrame, groups: Sequence[str], order: Sequence[str | Column],
                     values: Sequence[str], prefix: str = "cum_",
                     partitions: int | None = None) -> DataFrame:

@@ -30,12 +30,36 @@ def _ranked(df: DataFrame, key: str, seed) -> DataFrame:
     return global_rank(df, [seeded_hash(key, seed), qcol(key)], "_r")
 
 
+def _within_first(df: DataFrame, key: str, seed, ks: Sequence[int]) -> list[Column]:
+    """For each k: true for the first ``k`` rows in hash order (exact; keys unique and not NULL).
+
+    The k-th (hash, key) pairs are found by one :func:`kth_in_order` call on the
+    two-column projection; the tests themselves are comparisons, so the table is
+    neither joined nor materialised.
+    """
+    from cohort_spark.operators.ordered import kth_in_order
+
+    want = [k for k in ks if k > 0]
+    thr = kth_in_order(df, [seeded_hash(key, seed), qcol(key)], want) if want else {}
+    h, kv = seeded_hash(key, seed), qcol(key)
+    out = []
+    for k in ks:
+        if k <= 0:
+            out.append(F.lit(False))
+        elif k not in thr:  # fewer than k rows: all of them
+            out.append(F.lit(True))
+        else:
+            t = thr[k]
+            out.append((h < F.lit(t[0])) | ((h == F.lit(t[0])) & (kv <= F.lit(t[1]))))
+    return out
+
+
 def split_column(df: DataFrame, key: str, test: float = 0.2, seed: int = 42, out: str = "split") -> DataFrame:
     """Label each row ``train`` or ``test``; the test part has exactly ceil(n·test) rows."""
     n = df.count()
     n_test = math.ceil(n * test)
-    r = _ranked(df, key, seed)
-    return r.withColumn(out, F.when(F.col("_r") <= n_test, "test").otherwise("train")).drop("_r")
+    (is_test,) = _within_first(df, key, seed, [n_test])
+    return df.withColumn(out, F.when(is_test, "test").otherwise("train"))
 
 
 def train_test_split(df: DataFrame, key: str, test: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -50,16 +74,15 @@ def train_val_test_split(df: DataFrame, key: str, seed: int = 42, holdout: float
     n = df.count()
     n_hold = math.ceil(n * holdout)
     n_test = math.ceil(n_hold * test_of_holdout)
-    r = _ranked(df, key, seed)
-    return r.withColumn(out, F.when(F.col("_r") <= n_test, "test").when(F.col("_r") <= n_hold, "val")
-                        .otherwise("train")).drop("_r")
+    is_test, is_hold = _within_first(df, key, seed, [n_test, n_hold])
+    return df.withColumn(out, F.when(is_test, "test").when(is_hold, "val").otherwise("train"))
 
 
 def undersample(df: DataFrame, col: str, v, n: int, key: str, seed: int = 1) -> DataFrame:
     """Exactly ``min(n, size)`` rows of group ``v``, without replacement."""
     g = df.where(qcol(col) == F.lit(v))
-    r = _ranked(g, key, seed)
-    return r.where(F.col("_r") <= n).drop("_r")
+    (first_n,) = _within_first(g, key, seed, [n])
+    return g.where(first_n)
 
 
 def draw_index(j: Column, seed, m: int) -> Column:

@@ -36,3 +36,16 @@ def test_quantile(spark, xs, q, parts):
     df = spark.createDataFrame([(float(x),) for x in xs], "x double")
     got = exact_quantiles(df, ["x"], [q], partitions=parts).collect()[0].value
     assert got == pytest.approx(float(np.percentile(np.array(xs, dtype=float), q * 100)), abs=1e-9)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(n=st.integers(min_value=1, max_value=300), test=st.floats(min_value=0.05, max_value=0.95),
+       parts=st.integers(min_value=1, max_value=6))
+def test_split_sizes_exact(spark, n, test, parts):
+    import math
+
+    from cohort_spark.operators.sample import split_column
+
+    df = spark.range(n).withColumnRenamed("id", "k").repartition(parts)
+    got = split_column(df, "k", test, 42).where("split = 'test'").count()
+    assert got == math.ceil(n * test)
