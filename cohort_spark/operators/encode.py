@@ -48,12 +48,18 @@ def standard_scale(df: DataFrame, cols: Sequence[str], stats: dict | None = None
 
 def levels_of(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
     """Sorted distinct non-null levels per column; refuses unbounded domains."""
-    out = {}
-    for c in cols:
-        vals = [r[0] for r in df.select(c).where(qcol(c).isNotNull()).distinct().limit(max_levels + 1).collect()]
-        if len(vals) > max_levels:
-            raise ValueError(f"{c} has more than {max_levels} levels")
-        out[c] = sorted(vals)
+    cols = list(cols)
+    if not cols:
+        return {}
+    nd = fused_single_row(df, {f"d{i}": F.approx_count_distinct(qcol(c), 0.05) for i, c in enumerate(cols)})
+    wide = [c for i, c in enumerate(cols) if nd[f"d{i}"] > max_levels * 1.2]
+    if wide:  # checked before any level set is collected
+        raise ValueError(f"more than {max_levels} levels: {wide}")
+    sets = fused_single_row(df, {f"l{i}": F.array_sort(F.collect_set(qcol(c))) for i, c in enumerate(cols)})
+    out = {c: list(sets[f"l{i}"]) for i, c in enumerate(cols)}
+    big = [c for c, v in out.items() if len(v) > max_levels]
+    if big:
+        raise ValueError(f"more than {max_levels} levels: {big}")
     return out
 
 

@@ -163,7 +163,7 @@ def evaluate_model(model, df: DataFrame, label: str, features_col: str = "featur
            "confusion": confusion_matrix(pred, label, "prediction"),
            "report": classification_report(pred, label, "prediction")}
     if "probability" in pred.columns:
-        classes = sorted(r[0] for r in pred.select(label).distinct().collect())
+        classes = class_labels(pred, label, label)
         pa = pred.withColumn("_p", vector_to_array("probability"))
         pa = pa.select(label, *[F.col("_p")[int(c)].alias(f"_s{int(c)}") for c in classes])
         out["auc"] = roc_auc_ovr(pa, label, {c: f"_s{int(c)}" for c in classes})
