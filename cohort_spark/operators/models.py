@@ -196,3 +196,35 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
         rows.append((f, float(base), float(acc), float(base - acc)))
     return df.sparkSession.createDataFrame(rows, "feature string, base_accuracy double, permuted_accuracy double, "
                                                  "importance double")
+
+
+def svm_grid_search(df: DataFrame, label: str, key: str, Cs=(0.1, 1.0, 10.0), kernels=("linear", "rbf"),
+                    gammas=("scale", "auto"), folds: int = 3, seed: int = 42, max_iter: int = 100):
+    """L4 + L5: cross-validated grid over C, kernel and gamma (gamma only matters for ``rbf``),
+    class-stratified folds, refit of the best setting on all of ``df``.
+    Returns (best model, rows of (C, kernel, gamma, mean accuracy))."""
+    from cohort_spark.operators.ordered import reliable
+
+    data = reliable(stratified_folds(df, label, key, folds, seed, "_fold"))
+    settings = [(c, k, g) for c in Cs for k in kernels for g in (gammas if k == "rbf" else ("scale",))]
+    scores = []
+    for c, k, g in settings:
+        accs = []
+        for f in range(folds):
+            model = fit_svm(data.where(F.col("_fold") != f), label, C=c, kernel=k, gamma=g, seed=seed,
+                            max_iter=max_iter)
+            accs.append(accuracy(model.transform(data.where(F.col("_fold") == f)), label, "prediction").collect()[0][0])
+        scores.append((float(c), k, g, float(sum(accs) / len(accs))))
+    best = scores[max(range(len(scores)), key=lambda i: (scores[i][3], -i))]  # first setting wins ties
+    model = fit_svm(data, label, C=best[0], kernel=best[1], gamma=best[2], seed=seed, max_iter=max_iter)
+    return model, scores
+
+
+def boosted_grid(label: str = "label", depths=(3, 6, 10), steps=(0.01, 0.1, 0.3), iters=(50, 100, 200),
+                 subsamples=(0.8, 0.9, 1.0), seed: int = 42):
+    """L3 + L5: a one-vs-rest estimator and the grid of boosted-tree classifiers to search (the
+    ``classifier`` parameter of one-vs-rest is the grid axis)."""
+    ovr = boosted_trees(label, seed=seed)
+    gbts = [GBTClassifier(labelCol=label, maxDepth=d, stepSize=st, maxIter=it, subsamplingRate=ss, seed=seed)
+            for d in depths for st in steps for it in iters for ss in subsamples]
+    return ovr, {ovr.classifier: gbts}

@@ -181,13 +181,18 @@ def model_flow(df: DataFrame, *, key: str, label: str, features: Sequence[str],
                           lambda e: {e.numTrees: [20] if fast else [50, 100, 200],
                                      e.maxDepth: [5] if fast else [10, 20, 30],
                                      e.minInstancesPerNode: [1] if fast else [1, 2]}),
-        "XGBoost": (L.boosted_trees("label_idx", max_depth=3, n_iter=10 if fast else 100, seed=seed), None),
+        "XGBoost": ((L.boosted_trees("label_idx", max_depth=3, n_iter=10, seed=seed), None) if fast
+                    else L.boosted_grid("label_idx", seed=seed)),
         "SVM": (None, None),
     }
     fitted = {}
     for name, (est, grid) in grids.items():
         if name == "SVM":
-            fitted[name] = L.fit_svm(train, "label_idx", C=1.0, kernel="linear", max_iter=50)
+            fitted[name] = (L.fit_svm(train, "label_idx", C=1.0, kernel="linear", max_iter=50) if fast
+                            else L.svm_grid_search(train, "label_idx", key, folds=folds, seed=seed)[0])
+        elif isinstance(grid, dict):
+            fitted[name] = L.grid_search(est, grid, train, "label_idx", folds, "accuracy", parallelism, seed,
+                                         stratify_key=key).bestModel
         elif grid is None:
             fitted[name] = est.fit(train)
         else:

@@ -92,3 +92,13 @@ def test_class_moments_match_numpy(spark):
         assert np.allclose(s, xs.sum(axis=0)) and np.allclose(xx, xs.T @ xs)
     proj = E.lda_project(df, ["a", "b", "c", "d"], "y")
     assert proj.columns == ["y", "LD1", "LD2"] and proj.count() == 200
+
+
+def test_svm_grid_and_boosted_grid(spark):
+    e = spark.read.parquet(f"{SF}/embeddings.parquet")
+    df = L.assemble(e.select("vec_id", (F.col("label") % 2).cast("double").alias("label"), "embedding"), "embedding")
+    model, scores = L.svm_grid_search(df, "label", "vec_id", Cs=(1.0,), kernels=("linear", "rbf"), gammas=("auto",),
+                                      folds=2, max_iter=10)
+    assert len(scores) == 2 and model.transform(df).count() == df.count()
+    ovr, grid = L.boosted_grid("label", depths=(2,), steps=(0.1,), iters=(3,), subsamples=(1.0, 0.9))
+    assert len(list(grid.values())[0]) == 2
