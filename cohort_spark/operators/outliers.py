@@ -10,7 +10,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohort_spark.functions.names import qcol
@@ -129,24 +129,73 @@ def _grow_1d(sample: np.ndarray, rng: np.random.Generator, depth_limit: int):
     return np.array(bounds), np.array(values)
 
 
+def merge_trees(trees: list, m: int):
+    """One step function from many 1-D trees: sorted breakpoints and the mean path length between them."""
+    cuts = np.unique(np.concatenate([b[:-1] for b, _ in trees])) if trees else np.array([])
+    probe = np.concatenate([cuts, [np.inf]])  # the value just below each cut uses the left leaf
+    total = np.zeros(len(probe))
+    for b, v in trees:
+        total += v[np.searchsorted(b, probe, side="left")]
+    return cuts, total / max(len(trees), 1), _c(m)
+
+
 def fit_isolation_1d(values: np.ndarray, n_trees: int = 100, max_samples: int = 256, seed: int = 42):
-    """Grow ``n_trees`` trees, each on ``max_samples`` points drawn from a bounded sample, and merge
-    them into one step function: sorted breakpoints and the mean path length between them."""
+    """Grow ``n_trees`` trees locally, each on ``max_samples`` points of ``values`` (for small
+    in-memory inputs and tests); :func:`fit_isolation_forest` is the distributed form."""
     rng = np.random.default_rng(seed)
     m = min(max_samples, len(values))
     depth_limit = int(math.ceil(math.log2(max(m, 2))))
-    edges, trees = [], []
-    for _ in range(n_trees):
-        s = rng.choice(values, size=m, replace=False)
-        b, v = _grow_1d(s, rng, depth_limit)
-        trees.append((b, v))
-        edges.append(b[:-1])
-    cuts = np.unique(np.concatenate(edges)) if edges else np.array([])
-    probe = np.concatenate([cuts - 0.0, [np.inf]])  # value just below each cut uses the left leaf
-    total = np.zeros(len(probe))
-    for b, v in trees:
-        total += v[np.searchsorted(b, probe, side="left")]
-    return cuts, total / n_trees, _c(m)
+    trees = [_grow_1d(rng.choice(values, size=m, replace=False), rng, depth_limit) for _ in range(n_trees)]
+    return merge_trees(trees, m)
+
+
+def fit_isolation_forest(df: DataFrame, c: str, n_trees: int = 100, max_samples: int = 256, seed: int = 42):
+    """Isolation forest on one column, sampled and grown in Spark tasks.
+
+    Tree ``t`` takes the ``max_samples`` rows with the smallest hash of (row, seed, t): a hash
+    Bernoulli filter (about three times the needed rows per tree) keeps the candidates, a
+    per-tree window keeps the smallest, and each tree is grown in one ``applyInPandas`` group
+    of at most that many values. Only the leaves (trees × ≤ max_samples) reach the driver.
+    """
+    import pandas as pd
+
+    vals = df.where(qcol(c).isNotNull())
+    n = vals.count()
+    if n == 0:
+        return None
+    m = min(max_samples, n)
+    depth_limit = int(math.ceil(math.log2(max(m, 2))))
+    row = F.xxhash64(*[qcol(x) for x in df.columns])
+    p = min(1.0, 3.0 * m / n)
+    while True:
+        trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+        u = lambda t: F.abs(F.xxhash64(row, F.lit(seed), t) % F.lit(1 << 52)) / float(1 << 52)
+        cand = (vals.select(qcol(c).cast("double").alias("v"), F.explode(F.filter(
+            F.transform(trees, lambda t: F.struct(t.alias("t"), u(t).alias("u"))), lambda s_: s_["u"] < p)).alias("s"))
+            .select("v", "s.t", "s.u"))
+        w = Window.partitionBy("t").orderBy("u", "v")
+        chosen = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= m)
+        sizes = dict(chosen.groupBy("t").count().collect())  # one row per tree
+        if p >= 1.0 or (len(sizes) == n_trees and min(sizes.values()) >= m):
+            break
+        p = min(1.0, p * 3)
+
+    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
+        t = int(pdf["t"].iloc[0])
+        rng = np.random.default_rng([seed, t])
+        b, v = _grow_1d(pdf.sort_values(["u", "v"])["v"].to_numpy(dtype="float64"), rng, depth_limit)
+        return pd.DataFrame({"t": t, "leaf": np.arange(len(b)), "upper": b, "path": v})
+
+    leaves = chosen.select("t", "u", "v").groupBy("t").applyInPandas(
+        grow, "t long, leaf long, upper double, path double").collect()  # trees x <= max_samples leaves
+    by_tree: dict = {}
+    for r in leaves:
+        by_tree.setdefault(r["t"], []).append((r["leaf"], r["upper"], r["path"]))
+    trees_out = []
+    for t in sorted(by_tree):
+        lv = sorted(by_tree[t])
+        trees_out.append((np.array([x[1] for x in lv]), np.array([x[2] for x in lv])))
+    return merge_trees(trees_out, m)
 
 
 def outlier_isolation_median(df: DataFrame, cols: Sequence[str], share: float = 0.1, n_trees: int = 100,
@@ -154,25 +203,20 @@ def outlier_isolation_median(df: DataFrame, cols: Sequence[str], share: float =
     """O3: per column, an isolation forest on that column alone; the ``share`` of rows with the
     highest anomaly score is set to the column median (missing values too).
 
-    Trees are grown on a bounded hash-ordered sample (``n_trees * max_samples``
-    values at most), broadcast as one step function per column, and scored by a
-    vectorised pandas UDF; the cut-off is the exact ``share`` quantile of the score.
+    Trees are sampled and grown in Spark tasks (:func:`fit_isolation_forest`), merged into one
+    step function per column (bounded by trees × max_samples breakpoints), broadcast, and scored
+    by a vectorised pandas UDF; the cut-off is the exact ``share`` quantile of the score.
     """
     import pandas as pd
 
     spark = df.sparkSession
     med = medians_of(df, cols)
-    cap = n_trees * max_samples
     out = df
     for j, c in enumerate(cols):
-        sample = (df.where(qcol(c).isNotNull())
-                  .select(qcol(c).cast("double").alias("v"),
-                          F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(c), qcol(c).cast("string"),
-                                            F.monotonically_increasing_id().cast("string"))).alias("h"))
-                  .orderBy("h").limit(cap).select("v").toPandas()["v"].to_numpy())  # bounded: cap values
-        if len(sample) == 0:
+        fitted = fit_isolation_forest(df, c, n_trees, max_samples, seed + j)
+        if fitted is None:
             continue
-        cuts, mean_path, cn = fit_isolation_1d(sample, n_trees, max_samples, seed + j)
+        cuts, mean_path, cn = fitted
         bc = spark.sparkContext.broadcast((cuts, mean_path, cn))
 
         @F.pandas_udf("double")
