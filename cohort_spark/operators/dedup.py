@@ -14,11 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort_spark.functions.names import qcol
-
 from cohort_spark.operators.ordered import global_rank
 
 
-def _order_fields(order: Sequence[str], descending: bool) -> list[Column]:
+def _order_fields(order: Sequence[str]) -> list[Column]:
     """Struct fields whose comparison gives ascending order with NULLs last; ``max`` of the
     same struct gives the last row in that order."""
     fields = []
@@ -28,30 +27,26 @@ def _order_fields(order: Sequence[str], descending: bool) -> list[Column]:
     return fields
 
 
-def _first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = False) -> DataFrame:
-    """One row per key: the smallest (or largest) in ``order``, NULLs last. The struct carries
-    each order column once (after its NULL flag) plus the columns not in ``order``."""
-    order = [c for c in order if c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in set(order)]
-    fields = _order_fields(order, last) + [qcol(c).alias(f"_r{i}") for i, c in enumerate(rest)]
-    agg = F.max if last else F.min
-    grouped = df.groupBy(*[qcol(k) for k in keys]).agg(agg(F.struct(*fields)).alias("_best"))
-    pos = {c: f"_o{i}" for i, c in enumerate(order)}
-    pos.update({c: f"_r{i}" for i, c in enumerate(rest)})
-    return grouped.select(*[qcol(c) if c in keys else F.col("_best").getField(pos[c]).alias(c) for c in df.columns])
-
-
 def first_row_struct(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[Column, dict[str, str]]:
-    """Struct whose ``min`` is the first row in ``order`` (NULLs last), and the field holding each
-    non-key column."""
+    """Struct whose ``min`` is the first row in ``order`` (NULLs last) and whose ``max`` is the
+    last, and the field holding each non-key column. Each order column is carried once (after
+    its NULL flag), followed by the columns not in ``order``."""
     order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in set(order)]
-    st = F.struct(*_order_fields(order, False), *[qcol(c).alias(f"_r{i}") for i, c in enumerate(rest)])
+    st = F.struct(*_order_fields(order), *[qcol(c).alias(f"_r{i}") for i, c in enumerate(rest)])
     fields = {c: f"_o{i}" for i, c in enumerate(order)}
     fields.update({c: f"_r{i}" for i, c in enumerate(rest)})
     return st, fields
 
 
+def _first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = False) -> DataFrame:
+    """One row per key: the smallest (or largest) in ``order``, NULLs last."""
+    st, fields = first_row_struct(df, keys, order)
+    agg = F.max if last else F.min
+    grouped = df.groupBy(*[qcol(k) for k in keys]).agg(agg(st).alias("_best"))
+    return grouped.select(*[qcol(c) if c in keys else F.col("_best").getField(fields[c]).alias(c) for c in df.columns])
+
+
 def earliest_per_key(df: DataFrame, key: str | Sequence[str], ts: str, tie: Sequence[str] = ()) -> DataFrame:
     """The row with the smallest ``ts`` per key (missing dates last), ties broken by ``tie``
     and then by the remaining columns, so the choice is deterministic."""

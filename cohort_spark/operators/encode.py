@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohort_spark.functions.names import qcol
-
 from cohort_spark.operators.ordered import fused_single_row, global_rank
 
 MAX_LEVELS = 1000  # guard: one-hot width must stay bounded

@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohort_spark.functions.names import qcol
-
 from cohort_spark.session import ensure_checkpoint_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the in-partition row number in the low 33 bits

@@ -14,11 +14,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohort_spark.functions.names import qcol
-
 from cohort_spark.operators.columns import columns_of_kind
-from cohort_spark.operators.missing import impute_mean_mode, drop_sparse_columns, medians_of
-from cohort_spark.operators.ordered import exact_quantiles, fused_single_row
 from cohort_spark.operators.dedup import drop_duplicate_rows
+from cohort_spark.operators.missing import drop_sparse_columns, impute_mean_mode, medians_of
+from cohort_spark.operators.ordered import exact_quantiles, fused_single_row
 
 
 def _quartiles(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[float, float]]:

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort_spark.functions.names import qcol
-
 from cohort_spark.functions.scalar import cut_labels
 from cohort_spark.operators.joins import union_groups
 from cohort_spark.operators.ordered import global_rank

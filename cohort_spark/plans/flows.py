@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohort_spark.functions.names import qcol
-
 from cohort_spark.functions.scalar import parse_date
 from cohort_spark.operators.columns import drop_repeated_columns, drop_strict, filter_eq, filter_isin, rename_key
 from cohort_spark.operators.dedup import earliest_per_key
