@@ -150,6 +150,20 @@ def handle_missing_values(df, identify_only: bool = False, drop_threshold: float
 
 KNN_BROADCAST_PATTERNS = 20000  # recipient patterns broadcast per chunk (size-checked)
 KNN_DONOR_BUCKETS = 16  # salt for the per-recipient top-k
+KNN_MAX_MASKS = 64  # presence masks handled by the exact-match stage
+
+
+def _knn_pick(cands: DataFrame, order: list, k: int, target: str, name: str) -> DataFrame:
+    """Mean ``target`` of the first ``k`` donors (with multiplicity ``_cnt``) of each recipient
+    ``_r`` in ``order``: the k first are kept per (recipient, donor bucket), then per recipient."""
+    wb = Window.partitionBy("_r", "_b").orderBy(*order)
+    local = (cands.withColumn("_pre", F.coalesce(F.sum("_cnt").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
+                                                 F.lit(0))).where(F.col("_pre") < k))
+    w = Window.partitionBy("_r").orderBy(*order)
+    upto = local.withColumn("_before", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                                  F.lit(0)))
+    taken = upto.withColumn("_take", F.greatest(F.least(F.col("_cnt"), F.lit(k) - F.col("_before")), F.lit(0)))
+    return taken.groupBy("_r").agg((F.sum(F.col("_take") * F.col("_d").getField(target)) / F.sum("_take")).alias(name))
 
 
 def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5,
@@ -160,15 +174,18 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5,
     differences over the coordinates present in both rows, scaled by
     (number of coordinates / number present). Each column is imputed from the
     original values (not from other imputed columns). A row with no comparable
-    donor gets the column mean. Equal distances are broken by the donor's
-    values (smallest first), so the result does not depend on row order.
-
-    Scale: rows are first reduced to distinct value patterns with counts, so
-    the comparison runs over distinct patterns, not rows. Recipient patterns
-    (those missing the column) are counted and broadcast in chunks of at most
-    ``max_broadcast``; each chunk is compared with the distributed donor
-    patterns, the k nearest are first kept per (recipient, donor bucket) and
-    then per recipient, so no task ranks all donors of a recipient.
+    donor gets the column mean. Equal distances are ordered by more shared
+    coordinates first, then by the donor's values (smallest first), so the
+    result does not depend on row order.
+
+    Scale: rows are first reduced to distinct value patterns with counts.
+    Stage 1 is an equi-join: donors equal to a recipient on all of its present
+    coordinates are at distance 0 with the most shared coordinates, hence its
+    nearest; a recipient with at least ``k`` of them is settled there. Only the
+    remaining recipient patterns reach stage 2, where they are broadcast in
+    size-checked chunks of at most ``max_broadcast`` and compared with the
+    distributed donor patterns; the k nearest are kept per (recipient, donor
+    bucket) before the per-recipient choice.
     """
     cols = list(cols)
     x = df.withColumn("_pat", F.struct(*[qcol(c).cast("double").alias(c) for c in cols]))
@@ -184,34 +201,52 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5,
             from cohort_spark.operators.ordered import reliable
 
             pats = reliable(x.groupBy("_pat").agg(F.count(F.lit(1)).alias("_cnt")))  # distinct patterns, reused
+        others = [o for o in cols if o != c]
         rec = pats.where(F.col("_pat").getField(c).isNull()).select(F.col("_pat").alias("_r"))
         don = pats.where(F.col("_pat").getField(c).isNotNull()).select(
             F.col("_pat").alias("_d"), "_cnt", F.pmod(F.xxhash64("_pat"), F.lit(KNN_DONOR_BUCKETS)).alias("_b"))
+        by_values = [F.col("_d").getField(o).asc_nulls_last() for o in cols]
+        parts = []
+        # stage 1: exact matches on every present coordinate of the recipient (equi-join per presence mask)
+        mask = F.concat_ws("", *[F.when(F.col("_r").getField(o).isNotNull(), "1").otherwise("0") for o in others])
+        masks = [r[0] for r in rec.select(mask.alias("m")).distinct().limit(KNN_MAX_MASKS + 1).collect()]
+        settled = None
+        if 0 < len(masks) <= KNN_MAX_MASKS:
+            matches = None
+            for m in masks:
+                present = [o for o, bit in zip(others, m) if bit == "1"]
+                if not present:
+                    continue
+                rk = rec.where(mask == m).select("_r", F.struct(*[F.col("_r").getField(o) for o in present]).alias("_key"))
+                dk = don.where(F.greatest(*[F.col("_d").getField(o).isNull() for o in present] + [F.lit(False)]) == F.lit(False)) \
+                    .select("_d", "_cnt", "_b", F.struct(*[F.col("_d").getField(o) for o in present]).alias("_key"))
+                mm = rk.join(dk, "_key").drop("_key")  # equi-join on the recipient's present values
+                matches = mm if matches is None else matches.unionByName(mm)
+            if matches is not None:
+                enough = matches.groupBy("_r").agg(F.sum("_cnt").alias("_n0")).where(F.col("_n0") >= k).select("_r")
+                settled = matches.join(enough, matches["_r"].eqNullSafe(enough["_r"]), "left_semi")
+                parts.append(_knn_pick(settled, by_values, k, c, f"_imp{i}"))
+                rec = rec.join(enough, rec["_r"].eqNullSafe(enough["_r"]), "left_anti")
+        # stage 2: remaining recipients against all donors
         n_rec = rec.count()
-        chunks = max(1, -(-n_rec // max_broadcast))
-        both = [F.col("_r").getField(o).isNotNull() & F.col("_d").getField(o).isNotNull() for o in cols if o != c]
-        n_common = sum(F.when(b, 1).otherwise(0) for b in both) if both else F.lit(0)
-        ssum = (sum(F.when(b, (F.col("_r").getField(o) - F.col("_d").getField(o)) ** 2).otherwise(0.0)
-                    for b, o in zip(both, [o for o in cols if o != c])) if both else F.lit(0.0))
-        order = [F.col("_dist")] + [F.col("_d").getField(o).asc_nulls_last() for o in cols]
-        imps = []
-        for j in range(chunks):
-            rj = rec.where(F.pmod(F.xxhash64("_r"), F.lit(chunks)) == j) if chunks > 1 else rec
-            pairs = (don.join(F.broadcast(rj), how="inner")  # bounded: at most max_broadcast recipient patterns
-                     .select("_r", "_d", "_cnt", "_b",
-                             F.when(n_common > 0, F.sqrt(F.lit(d) / n_common * ssum)).alias("_dist"))
-                     .where(F.col("_dist").isNotNull()))
-            wb = Window.partitionBy("_r", "_b").orderBy(*order)
-            local = (pairs.withColumn("_pre", F.coalesce(F.sum("_cnt").over(
-                wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).where(F.col("_pre") < k))
-            w = Window.partitionBy("_r").orderBy(*order)
-            upto = local.withColumn("_before", F.coalesce(F.sum("_cnt").over(
-                w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            taken = upto.withColumn("_take", F.greatest(F.least(F.col("_cnt"), F.lit(k) - F.col("_before")), F.lit(0)))
-            imps.append(taken.groupBy("_r").agg(
-                (F.sum(F.col("_take") * F.col("_d").getField(c)) / F.sum("_take")).alias(f"_imp{i}")))
-        imp = imps[0]
-        for extra in imps[1:]:
+        if n_rec:
+            chunks = max(1, -(-n_rec // max_broadcast))
+            both = [F.col("_r").getField(o).isNotNull() & F.col("_d").getField(o).isNotNull() for o in others]
+            n_common = sum(F.when(b, 1).otherwise(0) for b in both) if both else F.lit(0)
+            ssum = (sum(F.when(b, (F.col("_r").getField(o) - F.col("_d").getField(o)) ** 2).otherwise(0.0)
+                        for b, o in zip(both, others)) if both else F.lit(0.0))
+            order = [F.col("_dist"), F.col("_common").desc()] + by_values
+            for j in range(chunks):
+                rj = rec.where(F.pmod(F.xxhash64("_r"), F.lit(chunks)) == j) if chunks > 1 else rec
+                pairs = (don.join(F.broadcast(rj), how="inner")  # bounded: at most max_broadcast recipient patterns
+                         .select("_r", "_d", "_cnt", "_b", n_common.alias("_common"),
+                                 F.when(n_common > 0, F.sqrt(F.lit(d) / n_common * ssum)).alias("_dist"))
+                         .where(F.col("_dist").isNotNull()))
+                parts.append(_knn_pick(pairs, order, k, c, f"_imp{i}"))
+        if not parts:
+            continue
+        imp = parts[0]
+        for extra in parts[1:]:
             imp = imp.unionByName(extra)
         filled[i] = imp
     if not filled:
@@ -223,8 +258,8 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5,
             F.coalesce(table["_r"], imp["_r"]).alias("_r"), *[F.col(f"_imp{j}") for j in filled if j <= i])
     out = x.join(table, x["_pat"].eqNullSafe(table["_r"]), "left").drop("_r")
     for i, c in enumerate(cols):
-        if i in filled:
-            fill = F.coalesce(F.col(f"_imp{i}"), F.lit(means[f"m{i}"]))
+        if ratios[c] > 0:
+            fill = F.coalesce(F.col(f"_imp{i}"), F.lit(means[f"m{i}"])) if i in filled else F.lit(means[f"m{i}"])
             out = out.withColumn(c, F.when(qcol(c).isNull(), fill).otherwise(qcol(c).cast("double")))
     return out.drop("_pat", *[f"_imp{i}" for i in filled])
 

@@ -411,7 +411,7 @@ def _knn_sql(target, others, all_cols, k=5):
     order = ", ".join(f"d.{c} ASC NULLS LAST" for c in all_cols)
     return f"""(SELECT c_custkey, avg(v) AS imp FROM (
   SELECT r.c_custkey, d.{target} AS v, row_number() OVER (PARTITION BY r.c_custkey ORDER BY
-    sqrt({d}.0 / ({common}) * ({ssum})), {order}) AS rn
+    sqrt({d}.0 / ({common}) * ({ssum})), ({common}) DESC, {order}) AS rn
   FROM {KNN_SRC} r, {KNN_SRC} d
   WHERE r.{target} IS NULL AND d.{target} IS NOT NULL AND ({common}) > 0) WHERE rn <= {k} GROUP BY c_custkey)"""
 

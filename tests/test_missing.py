@@ -63,11 +63,11 @@ def test_drop_sparse_and_classify(data):
     assert "PISTDY" in cat and "AV133STDY" in cat and "GAITSTDY" in num and "NP4DYSTN" in num
 
 
-@pytest.mark.parametrize("max_broadcast", [20000, 2])
-def test_knn_impute_matches_brute_force(spark, max_broadcast):
+@pytest.mark.parametrize("max_broadcast,n", [(20000, 40), (2, 40), (20000, 300)])
+def test_knn_impute_matches_brute_force(spark, max_broadcast, n):
     import math
 
-    rows = [(i, float(i % 3) if i % 4 else None, float(i % 5) if i % 3 else None, float(i % 2)) for i in range(40)]
+    rows = [(i, float(i % 3) if i % 4 else None, float(i % 5) if i % 3 else None, float(i % 2)) for i in range(n)]
     df = spark.createDataFrame(rows, "id long, a double, b double, s double")
     got = {r.id: (r.a, r.b) for r in M.knn_impute(df, ["a", "b", "s"], 5, max_broadcast=max_broadcast).collect()}
     cols = ["a", "b", "s"]
@@ -86,8 +86,8 @@ def test_knn_impute_matches_brute_force(spark, max_broadcast):
                     continue
                 dist = math.sqrt(len(cols) / len(common) * sum((r[o] - d[o]) ** 2 for o in common))
                 key = tuple((d[c] is None, d[c] if d[c] is not None else 0) for c in cols)
-                cands.append((dist, key, d[t]))
+                cands.append((dist, -len(common), key, d[t]))
             cands.sort()
-            want = sum(c[2] for c in cands[:5]) / len(cands[:5]) if cands else mean
+            want = sum(c[3] for c in cands[:5]) / len(cands[:5]) if cands else mean
             idx = 0 if t == "a" else 1
             assert got[r["id"]][idx] == pytest.approx(want), (t, r)
