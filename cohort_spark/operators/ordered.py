@@ -148,13 +148,22 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     column) locate the partitions holding the wanted positions, and only those
     partitions are ranked. No task holds all values of a column.
     """
+    vc = counts if counts is not None else value_counts_long(df, cols)
+    return quantiles_of_ranged(ranged_counts(vc, _partitions(df, partitions)), probs)
+
+
+def ranged_counts(vc: DataFrame, partitions: int) -> DataFrame:
+    """Distinct-value counts ``(column, value, n)`` range-partitioned by (column, value), with the
+    partition id ``_pid``, checkpointed (shared by quantiles and modes)."""
+    return reliable(vc.repartitionByRange(partitions, F.col("column"), F.col("value"))
+                    .withColumn("_pid", F.spark_partition_id()))
+
+
+def quantiles_of_ranged(ranged: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Selection of linear-interpolation quantiles from :func:`ranged_counts` output."""
     import math
 
-    spark = df.sparkSession
-    vc = counts if counts is not None else value_counts_long(df, cols)
-    n = _partitions(df, partitions)
-    ranged = reliable(vc.repartitionByRange(n, F.col("column"), F.col("value"))
-                      .withColumn("_pid", F.spark_partition_id()))
+    spark = ranged.sparkSession
     parts = ranged.groupBy("_pid", "column").agg(F.sum("n").alias("t")).collect()  # <= partitions + columns rows
     by_col: dict[str, list[tuple[int, int]]] = {}
     for r in parts:

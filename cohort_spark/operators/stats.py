@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 
 from cohort_spark.functions.names import qcol
 from cohort_spark.operators.columns import columns_of_kind
-from cohort_spark.operators.ordered import (exact_quantiles, fused_single_row, modes, reliable, unpivot_values,
-                                            value_counts_long)
+from cohort_spark.operators.ordered import (exact_quantiles, fused_single_row, modes, quantiles_of_ranged,
+                                            ranged_counts, unpivot_values, value_counts_long)
 
 
 def _long_from_row(df: DataFrame, per_col: dict[str, dict[str, Column]], types: dict[str, str]) -> DataFrame:
@@ -104,8 +104,9 @@ def describe_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
                                     "min": F.min(qcol(c).cast("double")), "max": F.max(qcol(c).cast("double"))}
                                 for c in cols},
                            {"count": "bigint", "mean": "double", "std": "double", "min": "double", "max": "double"})
-    vc = reliable(value_counts_long(df, cols))  # distinct-value counts, shared by quantiles and modes
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], counts=vc)
+    ranged = ranged_counts(value_counts_long(df, cols), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    vc = ranged.drop("_pid")  # one checkpoint shared by quantiles and modes
+    q = quantiles_of_ranged(ranged, [0.25, 0.5, 0.75])
     qw = q.groupBy("column").agg(*[F.first(F.when(F.col("q") == p, F.col("value")), ignorenulls=True).alias(n)
                                    for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
     out = (basic.join(qw, "column", "left").join(modes(vc), "column", "left")
