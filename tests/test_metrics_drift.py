@@ -45,3 +45,21 @@ def test_ks(spark):
     lam = math.sqrt(50) * 0.3
     want = sum(2 * (-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 101))
     assert r.p_value == pytest.approx(want)
+
+
+def test_chi2_drift_matches_spark_ml(spark):
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.stat import ChiSquareTest
+    from pyspark.sql import functions as F
+
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    cut = F.lit("2024-01-16").cast("timestamp_ntz")
+    a, b = ev.where(F.col("ts") < cut), ev.where(F.col("ts") >= cut)
+    ours = C.chi2_drift(a, b, ["event_type"]).collect()[0]
+    both = ev.withColumn("label", (F.col("ts") >= cut).cast("double"))
+    idx = StringIndexer(inputCol="event_type", outputCol="et").fit(both).transform(both)
+    vec = VectorAssembler(inputCols=["et"], outputCol="f").transform(idx)
+    ml = ChiSquareTest.test(vec, "f", "label").collect()[0]
+    assert ours.statistic == pytest.approx(float(ml.statistics[0]), rel=1e-9)
+    assert ours.p_value == pytest.approx(float(ml.pValues[0]), abs=1e-9)
+    assert ours.dof == int(ml.degreesOfFreedom[0])
