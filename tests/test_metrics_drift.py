@@ -63,3 +63,21 @@ def test_chi2_drift_matches_spark_ml(spark):
     assert ours.statistic == pytest.approx(float(ml.statistics[0]), rel=1e-9)
     assert ours.p_value == pytest.approx(float(ml.pValues[0]), abs=1e-9)
     assert ours.dof == int(ml.degreesOfFreedom[0])
+
+
+def test_roc_drop_intermediate(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 2, 200)
+    s = np.round(rng.random(200) * 20) / 20 + y * 0.1
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "y int, s double")
+    got = sorted((r.threshold, r.fpr, r.tpr) for r in V.roc_curve(df, "y", "s", 1, drop_intermediate=True).collect())
+    th = np.unique(s)[::-1]
+    tps = np.cumsum([((s == t) & (y == 1)).sum() for t in th])
+    fps = np.cumsum([((s == t) & (y == 0)).sum() for t in th])
+    keep = np.where(np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True])[0]
+    want = sorted([(float("inf"), 0.0, 0.0)] + [(float(th[i]), fps[i] / fps[-1], tps[i] / tps[-1]) for i in keep])
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g == pytest.approx(w)
