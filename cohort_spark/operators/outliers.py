@@ -151,10 +151,12 @@ def fit_isolation_1d(values: np.ndarray, n_trees: int = 100, max_samples: int =
 def fit_isolation_forest(df: DataFrame, c: str, n_trees: int = 100, max_samples: int = 256, seed: int = 42):
     """Isolation forest on one column, sampled and grown in Spark tasks.
 
-    Tree ``t`` takes the ``max_samples`` rows with the smallest hash of (row, seed, t): a hash
-    Bernoulli filter (about three times the needed rows per tree) keeps the candidates, a
-    per-tree window keeps the smallest, and each tree is grown in one ``applyInPandas`` group
-    of at most that many values. Only the leaves (trees × ≤ max_samples) reach the driver.
+    Each tree takes ``max_samples`` rows chosen by a row hash: on large inputs one hash per row
+    deals the rows into trees and gives their order within a tree (disjoint uniform samples); on
+    small inputs every tree hashes every row independently. A Bernoulli filter on the hash keeps
+    about three times the needed rows, a per-tree window keeps the smallest, and each tree is
+    grown in one ``applyInPandas`` group of at most ``max_samples`` values. Only the leaves
+    (trees × ≤ max_samples) reach the driver.
     """
     import pandas as pd
 
@@ -165,13 +167,19 @@ def fit_isolation_forest(df: DataFrame, c: str, n_trees: int = 100, max_samples:
     m = min(max_samples, n)
     depth_limit = int(math.ceil(math.log2(max(m, 2))))
     row = F.xxhash64(*[qcol(x) for x in df.columns])
-    p = min(1.0, 3.0 * m / n)
+    disjoint = n >= 3 * m * n_trees  # large input: one hash per row deals rows into trees
+    p = min(1.0, 3.0 * m * (n_trees if disjoint else 1) / n)
     while True:
-        trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-        u = lambda t: F.abs(F.xxhash64(row, F.lit(seed), t) % F.lit(1 << 52)) / float(1 << 52)
-        cand = (vals.select(qcol(c).cast("double").alias("v"), F.explode(F.filter(
-            F.transform(trees, lambda t: F.struct(t.alias("t"), u(t).alias("u"))), lambda s_: s_["u"] < p)).alias("s"))
-            .select("v", "s.t", "s.u"))
+        if disjoint:
+            h = F.abs(F.xxhash64(row, F.lit(seed)) % F.lit(1 << 52)) / float(1 << 52) * n_trees
+            cand = (vals.select(qcol(c).cast("double").alias("v"), F.floor(h).cast("long").alias("t"),
+                                (h - F.floor(h)).alias("u")).where(F.col("u") < p))
+        else:  # small input: an independent hash per tree (at most n_trees hashes per row)
+            trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+            u = lambda t: F.abs(F.xxhash64(row, F.lit(seed), t) % F.lit(1 << 52)) / float(1 << 52)
+            cand = (vals.select(qcol(c).cast("double").alias("v"), F.explode(F.filter(
+                F.transform(trees, lambda t: F.struct(t.alias("t"), u(t).alias("u"))), lambda s_: s_["u"] < p))
+                .alias("s")).select("v", F.col("s.t").cast("long").alias("t"), "s.u"))
         w = Window.partitionBy("t").orderBy("u", "v")
         chosen = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= m)
         sizes = dict(chosen.groupBy("t").count().collect())  # one row per tree

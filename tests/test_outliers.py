@@ -48,3 +48,15 @@ def test_isolation_flags_extremes(spark):
     out = [r.x for r in O.outlier_isolation_median(df, ["x"], share=0.1).collect()]
     assert 1000.0 not in out and 2000.0 not in out and -500.0 not in out
     assert len(out) == len(vals)
+
+
+def test_isolation_large_input_path(spark):
+    from pyspark.sql import functions as F
+
+    base = spark.range(80000).select((F.col("id") % 1000).cast("double").alias("x"))
+    extremes = spark.createDataFrame([(1e6,), (-1e6,)], "x double")
+    df = base.unionByName(extremes)
+    out = O.outlier_isolation_median(df, ["x"], share=0.05, n_trees=100)
+    vals = [r.x for r in out.where("abs(x) > 5000").collect()]
+    assert vals == []
+    assert out.count() == 80002
