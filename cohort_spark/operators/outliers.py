@@ -205,14 +205,31 @@ def fit_isolation_forest(df: DataFrame, c: str, n_trees: int = 100, max_samples:
     return merge_trees(trees_out, m)
 
 
+MAX_RANGES = 1000  # flagged value ranges expressed as a column condition
+
+
+def _weighted_quantile(values: np.ndarray, counts: np.ndarray, q: float) -> float:
+    """Linear-interpolation quantile of a multiset given as sorted distinct values with counts."""
+    order = np.argsort(values, kind="stable")
+    v, c = values[order], counts[order]
+    ends = np.cumsum(c)
+    pos = q * (ends[-1] - 1)
+    lo, hi = int(math.floor(pos)), int(math.ceil(pos))
+    v_lo = v[np.searchsorted(ends, lo, side="right")]
+    v_hi = v[np.searchsorted(ends, hi, side="right")]
+    return float(v_lo + (pos - lo) * (v_hi - v_lo))
+
+
 def outlier_isolation_median(df: DataFrame, cols: Sequence[str], share: float = 0.1, n_trees: int = 100,
                              max_samples: int = 256, seed: int = 42) -> DataFrame:
     """O3: per column, an isolation forest on that column alone; the ``share`` of rows with the
     highest anomaly score is set to the column median (missing values too).
 
-    Trees are sampled and grown in Spark tasks (:func:`fit_isolation_forest`), merged into one
-    step function per column (bounded by trees × max_samples breakpoints), broadcast, and scored
-    by a vectorised pandas UDF; the cut-off is the exact ``share`` quantile of the score.
+    Trees are sampled and grown in Spark tasks (:func:`fit_isolation_forest`) and merged into one
+    step function per column (bounded by trees × max_samples breakpoints). The score only depends
+    on which step a value falls in, so one vectorised pass counts rows per step; the exact
+    ``share`` quantile of the score and the flagged value ranges follow from those counts on the
+    driver, and the rewrite itself is a plain range condition on the column (JVM-side).
     """
     import pandas as pd
 
@@ -224,23 +241,41 @@ def outlier_isolation_median(df: DataFrame, cols: Sequence[str], share: float =
         if fitted is None:
             continue
         cuts, mean_path, cn = fitted
-        bc = spark.sparkContext.broadcast((cuts, mean_path, cn))
-
-        @F.pandas_udf("double")
-        def score(v: pd.Series) -> pd.Series:
-            cu, mp, cnorm = bc.value
-            x = v.to_numpy(dtype="float64")
-            idx = np.searchsorted(cu, x, side="right")
-            s = -np.power(2.0, -mp[idx] / cnorm)
-            s[np.isnan(x)] = np.nan
-            return pd.Series(s)
-
-        scored = out.withColumn("_score", score(qcol(c).cast("double")))
-        cut = exact_quantiles(scored, ["_score"], [share]).collect()
-        thr = cut[0]["value"] if cut else None
-        keep = (F.col("_score") >= F.lit(thr)) if thr is not None else F.lit(True)
-        out = scored.withColumn(c, F.when(keep & qcol(c).isNotNull(), qcol(c)).otherwise(F.lit(med.get(c)))).drop(
-            "_score")
+        bc = spark.sparkContext.broadcast(cuts)
+
+        @F.pandas_udf("int")
+        def step(v: pd.Series) -> pd.Series:
+            return pd.Series(np.searchsorted(bc.value, v.to_numpy(dtype="float64"), side="right").astype("int32"))
+
+        counts = (df.where(qcol(c).isNotNull()).select(step(qcol(c).cast("double")).alias("i"))
+                  .groupBy("i").count().collect())  # one row per occupied step: <= trees x max_samples
+        idx = np.array([r["i"] for r in counts])
+        cnt = np.array([r["count"] for r in counts])
+        score = -np.power(2.0, -mean_path[idx] / cn)
+        thr = _weighted_quantile(score, cnt, share)
+        flagged = sorted(int(i) for i, sc in zip(idx, score) if sc < thr)
+        ranges = []
+        for i in flagged:  # merge adjacent steps into value ranges [lo, hi)
+            lo = cuts[i - 1] if i > 0 else -np.inf
+            hi = cuts[i] if i < len(cuts) else np.inf
+            if ranges and ranges[-1][1] == lo:
+                ranges[-1][1] = hi
+            else:
+                ranges.append([lo, hi])
+        v = qcol(c).cast("double")
+        if len(ranges) <= MAX_RANGES:
+            hit = F.lit(False)
+            for lo, hi in ranges:
+                cond = F.lit(True)
+                if np.isfinite(lo):
+                    cond = cond & (v >= F.lit(float(lo)))
+                if np.isfinite(hi):
+                    cond = cond & (v < F.lit(float(hi)))
+                hit = hit | cond
+        else:  # very fragmented: look the step up again
+            bad = F.array(*[F.lit(i) for i in flagged])
+            hit = F.array_contains(bad, step(v))
+        out = out.withColumn(c, F.when(qcol(c).isNotNull() & ~hit, qcol(c)).otherwise(F.lit(med.get(c))))
     return out
 
 

@@ -59,3 +59,14 @@ def test_isolation_large_input_path(spark):
     out = O.outlier_isolation_median(df, ["x"], share=0.05, n_trees=100)
     assert out.where("x > 5000").count() == 0
     assert out.count() == 80400
+
+
+def test_weighted_quantile_matches_expanded():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    vals = rng.normal(size=30)
+    cnts = rng.integers(1, 20, size=30)
+    expanded = np.repeat(vals, cnts)
+    for q in (0.0, 0.05, 0.1, 0.5, 0.93, 1.0):
+        assert O._weighted_quantile(vals, cnts, q) == pytest.approx(float(np.percentile(expanded, q * 100)))
