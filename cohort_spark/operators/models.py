@@ -179,19 +179,23 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
     """Accuracy drop when one feature's values are permuted across rows.
 
     The permutation pairs the row of rank i in key order with the row of rank i
-    in ``md5(seed:key)`` order — an equi-join on the rank, fully distributed.
+    in ``md5(seed:key)`` order. One equi-join on the rank attaches the permuted
+    copy of every feature at once and is materialised once; each feature then
+    costs one scoring pass (a projection and an aggregate, no shuffle of rows).
     """
-    from cohort_spark.operators.ordered import global_rank
+    from cohort_spark.operators.ordered import global_rank, reliable
     from cohort_spark.operators.sample import seeded_hash
 
     assemble_fn = assemble_fn or (lambda d: assemble(d, list(features)))
     base = accuracy(model.transform(assemble_fn(df)), label, "prediction").collect()[0][0]
     by_key = global_rank(df, [F.col(key)], "_rk")
     by_hash = global_rank(df.select(key, *features), [seeded_hash(key, seed), F.col(key)], "_rh")
+    perm = [f"_perm{i}" for i in range(len(features))]
+    donors = by_hash.select(F.col("_rh").alias("_rk"), *[F.col(f).alias(p) for f, p in zip(features, perm)])
+    both = reliable(by_key.join(donors, "_rk"))
     rows = []
-    for f in features:
-        donor = by_hash.select(F.col("_rh").alias("_rk"), F.col(f).alias("_perm"))
-        shuffled = by_key.join(donor, "_rk").withColumn(f, F.col("_perm")).drop("_perm", "_rk")
+    for f, p in zip(features, perm):
+        shuffled = both.withColumn(f, F.col(p))
         acc = accuracy(model.transform(assemble_fn(shuffled)), label, "prediction").collect()[0][0]
         rows.append((f, float(base), float(acc), float(base - acc)))
     return df.sparkSession.createDataFrame(rows, "feature string, base_accuracy double, permuted_accuracy double, "

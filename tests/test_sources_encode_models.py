@@ -102,3 +102,13 @@ def test_svm_grid_and_boosted_grid(spark):
     assert len(scores) == 2 and model.transform(df).count() == df.count()
     ovr, grid = L.boosted_grid("label", depths=(2,), steps=(0.1,), iters=(3,), subsamples=(1.0, 0.9))
     assert len(list(grid.values())[0]) == 2
+
+
+def test_permutation_importance_signal_and_noise(spark):
+    rows = [(i, float(i % 2), float((i * 7919) % 13), float(i % 2)) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, signal double, noise double, label double")
+    model = L.fit_logistic(L.assemble(df, ["signal", "noise"]), "label", C=10.0, max_iter=50)
+    imp = {r.feature: r.importance for r in L.permutation_importance(model, df, ["signal", "noise"], "label", "k").collect()}
+    assert imp["signal"] > 0.3 and abs(imp["noise"]) < 0.05
+    again = {r.feature: r.importance for r in L.permutation_importance(model, df, ["signal", "noise"], "label", "k").collect()}
+    assert again == imp
