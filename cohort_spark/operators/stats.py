@@ -226,9 +226,10 @@ def validate_table(df: DataFrame, expected: Sequence[str], raise_error: bool = F
     return spark.createDataFrame(rows, "check string, passed boolean, detail string")
 
 
-def column_statistics(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def column_statistics(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """Q2: per column — count, missing, zeros, distinct, mean, std, min, median, max, most frequent
-    value (as text, smallest on ties) and average text length."""
+    value (as text, smallest on ties) and average text length. ``approx=True`` estimates the
+    distinct counts with HyperLogLog instead of shuffling every distinct value."""
     cols = list(cols or df.columns)
     num = set(columns_of_kind(df, "number"))
     stats = {}
@@ -238,7 +239,7 @@ def column_statistics(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
         stats[c] = {
             "count": F.count(qcol(col)), "missing": F.count_if(col.isNull()),
             "zeros": F.count_if(col == 0) if isnum else F.lit(None),
-            "distinct": F.count_distinct(qcol(col)),
+            "distinct": F.approx_count_distinct(col) if approx else F.count_distinct(col),
             "mean": F.avg(qcol(col)) if isnum else F.lit(None),
             "std": F.stddev_samp(qcol(col)) if isnum else F.lit(None),
             "min": F.min(col.cast("double")) if isnum else F.lit(None),
