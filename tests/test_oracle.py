@@ -9,6 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import TABLES, rows_of  # noqa: E402
+from type_check import SPARK_TO_DUCK  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -25,8 +26,12 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
-    s_cols, s_rows = rows_of(E.queries()[name](spark, SF).toPandas())
-    o_cols, o_rows = rows_of(duck.execute(E.oracle_sql()[name]).fetchdf())
+    sdf = E.queries()[name](spark, SF)
+    rel = duck.sql(E.oracle_sql()[name])
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    assert s_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
+    s_cols, s_rows = rows_of(sdf.toPandas())
+    o_cols, o_rows = rows_of(rel.fetchdf())
     assert s_cols == o_cols
     assert len(s_rows) == len(o_rows)
     assert s_rows == o_rows
