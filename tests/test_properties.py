@@ -49,3 +49,40 @@ def test_split_sizes_exact(spark, n, test, parts):
     df = spark.range(n).withColumnRenamed("id", "k").repartition(parts)
     got = split_column(df, "k", test, 42).where("split = 'test'").count()
     assert got == math.ceil(n * test)
+
+
+rows_st = st.lists(st.tuples(st.integers(0, 5), st.one_of(st.none(), st.integers(0, 9)), st.integers(0, 3)),
+                   min_size=1, max_size=60)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=rows_st)
+def test_earliest_per_key_matches_pandas(spark, rows):
+    import pandas as pd
+
+    from cohort_spark.operators.dedup import earliest_per_key
+
+    data = [(k, d, t, i) for i, (k, d, t) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k long, d long, t long, i long")
+    got = sorted(tuple(r) for r in earliest_per_key(df, "k", "d", ["t", "i"]).collect())
+    pdf = pd.DataFrame(data, columns=["k", "d", "t", "i"])
+    want = (pdf.sort_values(["k", "d", "t", "i"], na_position="last").drop_duplicates("k", keep="first"))
+    want = sorted((int(k), None if pd.isna(d) else int(d), int(t), int(i))
+                  for k, d, t, i in want.itertuples(index=False))
+    assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=rows_st)
+def test_keep_none_matches_pandas(spark, rows):
+    import pandas as pd
+
+    from cohort_spark.operators.dedup import analyze_duplicates, handle_duplicates
+
+    df = spark.createDataFrame(rows, "k long, d long, t long")
+    pdf = pd.DataFrame(rows, columns=["k", "d", "t"])
+    for subset in (["k"], ["k", "d"], None):
+        mask = pdf.duplicated(subset=subset, keep=False)
+        assert handle_duplicates(df, subset, keep=False).count() == int((~mask).sum())
+        assert analyze_duplicates(df, subset).count() == int(mask.sum())
+        assert handle_duplicates(df, subset, keep="first").count() == int((~pdf.duplicated(subset=subset)).sum())
