@@ -76,3 +76,42 @@ def test_histogram_matches_numpy(frames):
     counts, edges = np.histogram(pdf["c"].dropna(), bins=20)
     assert [g[2] for g in got] == list(counts)
     assert [g[1] for g in got] == pytest.approx(list(edges[:-1]))
+
+
+def _col(df, c):
+    return np.array([np.nan if r[0] is None else r[0] for r in df.select(c).collect()], dtype=float)
+
+
+def test_zscore_and_iqr_median(frames):
+    from cohort_spark.operators import outliers as O
+
+    pdf, df = frames
+    x = pdf["a"].to_numpy(dtype=float)
+    z = np.abs((x - np.nanmean(x)) / np.nanstd(x))  # population std, gaps omitted
+    want = np.where(z < 1.5, x, np.nanmedian(x))
+    got = _col(O.outlier_zscore_median(df, ["a"], 1.5), "a")
+    assert got == pytest.approx(want)
+    q1, q3 = np.nanpercentile(x, 25), np.nanpercentile(x, 75)
+    keep = (x >= q1 - 1.5 * (q3 - q1)) & (x <= q3 + 1.5 * (q3 - q1))
+    got2 = _col(O.outlier_iqr_median(df, ["a"]), "a")
+    assert got2 == pytest.approx(np.where(keep, x, np.nanmedian(x)))
+
+
+def test_low_missing_and_mean_mode(frames):
+    from cohort_spark.operators import missing as M
+
+    pdf, df = frames
+    out = M.impute_low_missing(df, ["b", "s"], ["a", "c"], t=0.2)  # a (10 % gaps) and s (5 %) are filled
+    assert _col(out, "a") == pytest.approx(pdf["a"].fillna(pdf["a"].median()).to_numpy())
+    assert [r.s for r in out.select("s").collect()] == pdf["s"].fillna(pdf["s"].mode()[0]).tolist()
+    assert out.where("b IS NULL").count() == int(pdf["b"].isna().sum())  # 30 % gaps: left alone
+    mm = M.impute_mean_mode(df)
+    for c in ("a", "b"):
+        assert _col(mm, c) == pytest.approx(pdf[c].fillna(int(pdf[c].mean())).to_numpy())
+
+
+def test_standard_scale_population(frames):
+    pdf, df = frames
+    got = _col(E.standard_scale(df, ["c"]), "c")
+    x = pdf["c"].to_numpy(dtype=float)
+    assert got == pytest.approx((x - x.mean()) / x.std())
