@@ -115,3 +115,30 @@ def test_standard_scale_population(frames):
     got = _col(E.standard_scale(df, ["c"]), "c")
     x = pdf["c"].to_numpy(dtype=float)
     assert got == pytest.approx((x - x.mean()) / x.std())
+
+
+def test_fairness_auc_ks_brute_force(spark):
+    from cohort_spark.operators import drift as C
+    from cohort_spark.operators import fairness as B
+    from cohort_spark.operators import metrics as V
+
+    rng = np.random.default_rng(4)
+    n = 400
+    pdf = pd.DataFrame({"y": rng.integers(0, 2, n), "p": rng.integers(0, 2, n), "g": rng.choice(list("abc"), n),
+                        "s": np.round(rng.random(n), 2)})
+    df = spark.createDataFrame(pdf)
+    sel = pdf.groupby("g")["p"].mean()
+    assert B.demographic_parity_difference(df, "p", "g").collect()[0][0] == pytest.approx(sel.max() - sel.min())
+    tpr = pdf[pdf.y == 1].groupby("g")["p"].mean()
+    fpr = pdf[pdf.y == 0].groupby("g")["p"].mean()
+    want_eo = max(tpr.max() - tpr.min(), fpr.max() - fpr.min())
+    assert B.equalized_odds_difference(df, "y", "p", "g").collect()[0][0] == pytest.approx(want_eo)
+    pos, neg = pdf.s[pdf.y == 1].to_numpy(), pdf.s[pdf.y == 0].to_numpy()
+    pair = ((pos[:, None] > neg[None, :]) + 0.5 * (pos[:, None] == neg[None, :])).mean()
+    got = {r["class"]: r.auc for r in V.roc_auc_ovr(df, "y", {1: "s"}).collect()}
+    assert got["1"] == pytest.approx(pair)
+    a, b = df.where("g = 'a'"), df.where("g <> 'a'")
+    xa, xb = np.sort(pdf.s[pdf.g == "a"]), np.sort(pdf.s[pdf.g != "a"])
+    grid = np.union1d(xa, xb)
+    d = np.max(np.abs(np.searchsorted(xa, grid, "right") / len(xa) - np.searchsorted(xb, grid, "right") / len(xb)))
+    assert C.ks_drift(a, b, ["s"]).collect()[0].statistic == pytest.approx(d)
