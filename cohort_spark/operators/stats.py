@@ -88,9 +88,16 @@ def small_distinct_counts(df: DataFrame, cols: Sequence[str], bound: int) -> dic
     return {c: (exact[c] if c in exact and exact[c] <= bound else bound + 1) for c in cols}
 
 
-def distinct_values(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """A5: ``(column, value)`` — the distinct non-null values of each column, as text."""
+def distinct_values(df: DataFrame, cols: Sequence[str] | None = None, limit: int | None = None) -> DataFrame:
+    """A5: ``(column, value)`` — the distinct non-null values of each column, as text. With
+    ``limit``, only columns with at most ``limit`` distinct values are listed (screened first, so
+    near-unique columns are never expanded)."""
     cols = list(cols or df.columns)
+    if limit is not None:
+        nd = small_distinct_counts(df, cols, limit)
+        cols = [c for c in cols if nd[c] <= limit]
+        if not cols:
+            return df.sparkSession.createDataFrame([], "column string, value string")
     return unpivot_values(df, cols, "string").distinct()
 
 

@@ -142,3 +142,10 @@ def test_fairness_auc_ks_brute_force(spark):
     grid = np.union1d(xa, xb)
     d = np.max(np.abs(np.searchsorted(xa, grid, "right") / len(xa) - np.searchsorted(xb, grid, "right") / len(xb)))
     assert C.ks_drift(a, b, ["s"]).collect()[0].statistic == pytest.approx(d)
+
+
+def test_distinct_values_limit(frames):
+    pdf, df = frames
+    got = {(r["column"], r.value) for r in A.distinct_values(df, limit=5).collect()}
+    assert {c for c, _ in got} == {"b", "s"}
+    assert {v for c, v in got if c == "s"} == set(pdf["s"].dropna())
