@@ -133,26 +133,61 @@ def value_counts(df: DataFrame, col: str, normalize: bool = True, sort: bool = T
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, batch: int = 100) -> DataFrame:
-    """Pearson correlation of every pair of numeric columns, pairwise-complete, long form
-    ``(col_a, col_b, corr)`` including the diagonal; each batch of pairs is one aggregate."""
+    """Pearson correlation of every pair of numeric columns, pairwise-complete (each pair uses
+    the rows where both are present), long form ``(col_a, col_b, corr)`` including the diagonal.
+
+    Up to ``batch`` pairs: one aggregate of ``corr`` expressions. Wider tables: one scan in which
+    every partition accumulates centred moment matrices (counts, sums, squares and cross
+    products over jointly present values) with NumPy; the per-partition matrices are combined
+    by a tree aggregation, so the whole matrix costs one pass instead of one per batch of pairs.
+    """
     cols = list(cols or columns_of_kind(df, "number"))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    spark = df.sparkSession
-    parts = []
-    for s in range(0, len(pairs), batch):
-        chunk = pairs[s:s + batch]
-        aggs = [F.corr(qcol(a).cast("double"), qcol(b).cast("double")).alias(f"c{j}") for j, (a, b) in enumerate(chunk)]
-        row = df.agg(*aggs)
-        structs = []
-        for j, (a, b) in enumerate(chunk):
-            structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c{j}").alias("corr")))
-            if a != b:
-                structs.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"c{j}").alias("corr")))
-        parts.append(row.select(F.explode(F.array(*structs)).alias("s")).select("s.*"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    if len(pairs) > batch:
+        return _correlation_by_moments(df, cols)
+    aggs = [F.corr(qcol(a).cast("double"), qcol(b).cast("double")).alias(f"c{j}") for j, (a, b) in enumerate(pairs)]
+    row = df.agg(*aggs)
+    structs = []
+    for j, (a, b) in enumerate(pairs):
+        structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c{j}").alias("corr")))
+        if a != b:
+            structs.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"c{j}").alias("corr")))
+    return row.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+
+
+def _correlation_by_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    import numpy as np
+    import pandas as pd
+
+    p = len(cols)
+    centre = fused_single_row(df, {f"m{i}": F.avg(qcol(c).cast("double")) for i, c in enumerate(cols)})
+    mu = np.array([centre[f"m{i}"] if centre[f"m{i}"] is not None else 0.0 for i in range(p)])
+    names = [f"x{i}" for i in range(p)]
+    narrow = df.select(*[qcol(c).cast("double").alias(n) for c, n in zip(cols, names)])
+
+    def moments(batches):
+        acc = np.zeros((4, p, p))
+        for pdf in batches:
+            x = pdf[names].to_numpy(dtype="float64") - mu
+            m = (~np.isnan(x)).astype("float64")
+            x0 = np.nan_to_num(x)
+            acc[0] += m.T @ m  # rows where both are present
+            acc[1] += x0.T @ m  # sum of a where b is present
+            acc[2] += (x0 * x0).T @ m  # sum of a² where b is present
+            acc[3] += x0.T @ x0  # sum of a·b
+        yield pd.DataFrame({"vals": [acc.ravel().tolist()]})
+
+    parts = narrow.mapInPandas(moments, "vals array<double>")
+    total = parts.rdd.map(lambda r: np.array(r.vals)).treeAggregate(
+        np.zeros(4 * p * p), lambda a, b: a + b, lambda a, b: a + b)  # one array per partition, merged in a tree
+    n, sa, saa, sab = total.reshape(4, p, p)
+    sb, sbb = sa.T, saa.T
+    with np.errstate(invalid="ignore", divide="ignore"):
+        cov = n * sab - sa * sb
+        corr = cov / np.sqrt((n * saa - sa * sa) * (n * sbb - sb * sb))
+    rows = [(a, b, None if not np.isfinite(corr[i, j]) else float(corr[i, j]))
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
 
 
 def correlated_columns(df: DataFrame, cols: Sequence[str] | None = None, t: float = 0.9) -> DataFrame:

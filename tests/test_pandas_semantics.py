@@ -149,3 +149,19 @@ def test_distinct_values_limit(frames):
     got = {(r["column"], r.value) for r in A.distinct_values(df, limit=5).collect()}
     assert {c for c, _ in got} == {"b", "s"}
     assert {v for c, v in got if c == "s"} == set(pdf["s"].dropna())
+
+
+def test_wide_correlation_one_pass_matches_pandas(spark):
+    rng = np.random.default_rng(9)
+    n, p = 300, 16
+    base = rng.normal(size=(n, p)) * 50 + 1000
+    base[:, 1] = base[:, 0] * 2 + rng.normal(size=n)
+    base[rng.random((n, p)) < 0.15] = np.nan
+    pdf = pd.DataFrame(base, columns=[f"v{i}" for i in range(p)])
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in base]
+    df = spark.createDataFrame(rows, ", ".join(f"v{i} double" for i in range(p))).repartition(5)
+    got = {(r.col_a, r.col_b): r.corr for r in A.correlation_matrix(df).collect()}  # 136 pairs > batch
+    want = pdf.corr()
+    assert len(got) == p * p
+    for (a, b), v in got.items():
+        assert v == pytest.approx(want.loc[a, b], abs=1e-9)
