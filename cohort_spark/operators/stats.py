@@ -20,18 +20,28 @@ from cohort_spark.operators.ordered import (exact_quantiles, fused_single_row, m
                                             ranged_counts, unpivot_values, value_counts_long)
 
 
-def _long_from_row(df: DataFrame, per_col: dict[str, dict[str, Column]], types: dict[str, str]) -> DataFrame:
-    """One aggregate over ``df``; each column's statistics become one output row (no driver round trip)."""
-    aggs, structs = [], []
-    for i, (c, stats) in enumerate(per_col.items()):
-        fields = [F.lit(c).alias("column")]
-        for name, e in stats.items():
-            aggs.append(e.cast(types[name]).alias(f"_{i}_{name}"))
-            fields.append(F.col(f"_{i}_{name}").alias(name))
-        structs.append(F.struct(*fields))
-    if not structs:
+def _long_from_row(df: DataFrame, per_col: dict[str, dict[str, Column]], types: dict[str, str],
+                   batch: int = 100) -> DataFrame:
+    """Aggregates of ``df`` in batches of about ``batch`` expressions (bounded generated code);
+    each column's statistics become one output row, without a driver round trip."""
+    items = list(per_col.items())
+    if not items:
         raise ValueError("no columns")
-    return df.agg(*aggs).select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+    per = max(1, batch // max(1, len(items[0][1])))
+    parts = []
+    for start in range(0, len(items), per):
+        aggs, structs = [], []
+        for i, (c, stats) in enumerate(items[start:start + per], start=start):
+            fields = [F.lit(c).alias("column")]
+            for name, e in stats.items():
+                aggs.append(e.cast(types[name]).alias(f"_{i}_{name}"))
+                fields.append(F.col(f"_{i}_{name}").alias(name))
+            structs.append(F.struct(*fields))
+        parts.append(df.agg(*aggs).select(F.explode(F.array(*structs)).alias("s")).select("s.*"))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
 
 
 def group_min(df: DataFrame, key: str, col: str, alias: str | None = None) -> DataFrame:
