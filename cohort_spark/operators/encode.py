@@ -108,9 +108,12 @@ class Preprocessor:
     knn_k: int = 5
     knn_cols: list = field(default_factory=list)
 
+    def feature_columns(self) -> list[str]:
+        """Scaled numeric columns, then one-hot columns (the model inputs)."""
+        return [*self.numerical] + [f"{c}_{level_name(v)}" for c in self.categorical for v in self.levels[c]]
+
     def output_columns(self) -> list[str]:
-        return ([*self.numerical] + [f"{c}_{level_name(v)}" for c in self.categorical for v in self.levels[c]]
-                + [*self.passthrough])
+        return self.feature_columns() + [*self.passthrough]
 
     def to_json(self) -> str:
         return json.dumps(self.__dict__)

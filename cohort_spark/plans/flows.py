@@ -227,4 +227,4 @@ def score_records(records: DataFrame, record_col: str, names: Sequence[str], pre
 
     parsed = parse_feature_record(records, record_col, names)
     prepared = apply_preprocessor(parsed, pre, impute=False)
-    return predict_batch(model, assemble(prepared, pre.output_columns()[:len(pre.numerical)]), keep)
+    return predict_batch(model, assemble(prepared, pre.feature_columns()), keep)

@@ -112,3 +112,19 @@ def test_permutation_importance_signal_and_noise(spark):
     assert imp["signal"] > 0.3 and abs(imp["noise"]) < 0.05
     again = {r.feature: r.importance for r in L.permutation_importance(model, df, ["signal", "noise"], "label", "k").collect()}
     assert again == imp
+
+
+def test_score_records_with_categorical_features(spark):
+    from cohort_spark.plans import flows
+
+    rows = [(i, f"{float(i % 7)}, {float(i % 2)}", float(i % 2)) for i in range(200)]
+    rec = spark.createDataFrame(rows, "k long, record string, label double")
+    from cohort_spark.functions.scalar import parse_feature_record
+
+    parsed = parse_feature_record(rec, "record", ["x", "g"])
+    pre = E.fit_preprocessor(parsed, ["x"], ["g"])
+    assert pre.feature_columns() == ["x", "g_0.0", "g_1.0"]
+    model = L.fit_logistic(L.assemble(E.apply_preprocessor(parsed, pre), pre.feature_columns()), "label", C=10.0)
+    out = flows.score_records(rec, "record", ["x", "g"], pre, model, ["k", "label"])
+    acc = out.where("prediction = label").count() / out.count()
+    assert acc > 0.95
