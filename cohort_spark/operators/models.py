@@ -25,10 +25,16 @@ from cohort_spark.operators.metrics import accuracy
 
 
 def assemble(df: DataFrame, features: Sequence[str] | str, out: str = "features") -> DataFrame:
-    """Feature vector from numeric columns, or from one array column."""
+    """Feature vector from numeric columns, or from one array column. Names with a dot (one-hot
+    names such as ``SEX_0.0``) are aliased for the assembler, which resolves columns by name."""
     if isinstance(features, str):
         return df.withColumn(out, array_to_vector(F.col(features).cast("array<double>")))
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error").transform(df)
+    feats = list(features)
+    if not any("." in f for f in feats):
+        return VectorAssembler(inputCols=feats, outputCol=out, handleInvalid="error").transform(df)
+    safe = [f"_asm{i}" for i in range(len(feats))]
+    tmp = df.select("*", *[F.col("`" + f + "`").alias(a) for f, a in zip(feats, safe)])
+    return VectorAssembler(inputCols=safe, outputCol=out, handleInvalid="error").transform(tmp).drop(*safe)
 
 
 def fit_logistic(df: DataFrame, label: str = "label", C: float = 1.0, max_iter: int = 100,
