@@ -102,14 +102,12 @@ def preds(spark, sf):
     p_of = {"XGBoost": F.col("toxic"), "Random Forest": 1 - F.col("toxic"),
             "Logistic Regression": (F.col("doc_id") % 4 >= 2).cast("int"),
             "SVM": (F.col("n_chars") % 3 == 0).cast("int")}
-    parts = [j.select(F.lit(m).alias("model"), "doc_id", F.col("quality").alias("y"), p_of[m].alias("p"), "lang",
-                      "source", (F.col("doc_id") % 2 == 0).cast("double").alias("SEX_0.0"),
-                      (F.col("doc_id") % 2 == 1).cast("double").alias("SEX_1.0"),
-                      (F.col("doc_id") % 60).cast("double").alias("ENROLL_AGE")) for m in MODELS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    models = F.array(*[F.struct(F.lit(m).alias("model"), p_of[m].alias("p")) for m in MODELS])
+    return (j.select(F.explode(models).alias("m"), "doc_id", F.col("quality").alias("y"), "lang", "source")
+            .select(F.col("m.model").alias("model"), "doc_id", "y", F.col("m.p").alias("p"), "lang", "source",
+                    (F.col("doc_id") % 2 == 0).cast("double").alias("SEX_0.0"),
+                    (F.col("doc_id") % 2 == 1).cast("double").alias("SEX_1.0"),
+                    (F.col("doc_id") % 60).cast("double").alias("ENROLL_AGE")))  # one join, four models
 
 
 @query("model_accuracies", f"SELECT model, avg(CASE WHEN y = p THEN 1.0 ELSE 0.0 END) AS accuracy FROM {PREDS} GROUP BY model")
