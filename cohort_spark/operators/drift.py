@@ -56,6 +56,16 @@ def _freq_pairs(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     return counts.join(tot, "column")
 
 
+def _chi2_statistic(fp: DataFrame) -> DataFrame:
+    """``(column, statistic, dof)`` of the 2 × r count table given by :func:`_freq_pairs`."""
+    n = F.col("tot_a") + F.col("tot_b")
+    ea = (F.col("na") + F.col("nb")) * F.col("tot_a") / n
+    eb = (F.col("na") + F.col("nb")) * F.col("tot_b") / n
+    stat = fp.groupBy("column", "r").agg(
+        F.sum((F.col("na") - ea) ** 2 / ea + (F.col("nb") - eb) ** 2 / eb).alias("statistic"))
+    return stat.select("column", "statistic", (F.col("r") - 1).cast("bigint").alias("dof"))
+
+
 def chi2_sf(x: float, k: int) -> float:
     """Upper tail of the chi-square distribution (regularised upper incomplete gamma Q(k/2, x/2))."""
     if x is None or k <= 0:
@@ -97,13 +107,7 @@ def chi2_drift(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None, al
     """Chi-square test of homogeneity per text column on the 2 × r table of **counts**
     (statistic, degrees of freedom, p-value, drift when p < alpha)."""
     cols = list(cols or [c for c in columns_of_kind(a, "string") if c in b.columns])
-    fp = _freq_pairs(a, b, cols)
-    n = F.col("tot_a") + F.col("tot_b")
-    ea = (F.col("na") + F.col("nb")) * F.col("tot_a") / n
-    eb = (F.col("na") + F.col("nb")) * F.col("tot_b") / n
-    stat = fp.groupBy("column", "r").agg(
-        F.sum((F.col("na") - ea) ** 2 / ea + (F.col("nb") - eb) ** 2 / eb).alias("statistic"))
-    out = stat.select("column", "statistic", (F.col("r") - 1).cast("bigint").alias("dof"))
+    out = _chi2_statistic(_freq_pairs(a, b, cols))
     if not with_p:
         return out
     rows = out.collect()  # one row per column
@@ -124,8 +128,8 @@ def feature_drift_score(a: DataFrame, b: DataFrame, num_cols: Sequence[str] | No
     if num:
         parts.append(ks_drift(a, b, num).select("column", F.lit("ks").alias("method"), F.col("statistic").alias("score")))
     if cat:
-        st = chi2_drift(a, b, cat, with_p=False)
-        tot = _freq_pairs(a, b, cat)
+        tot = _freq_pairs(a, b, cat)  # one frequency table for chi-square, Cramér's V and PSI
+        st = _chi2_statistic(tot)
         nn = tot.groupBy("column").agg(F.first(F.col("tot_a") + F.col("tot_b")).alias("N"), F.first("r").alias("r"))
         v = st.join(nn, "column").select(
             "column", F.lit("cramer_v").alias("method"),
