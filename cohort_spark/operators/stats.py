@@ -212,24 +212,40 @@ def correlated_columns(df: DataFrame, cols: Sequence[str] | None = None, t: floa
 
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """A10: equal-width histogram between min and max, last bin closed; empty bins included.
+    ``(bin, lower, upper, count)``."""
+    return histograms(df, [col], bins).drop("column")
 
-    ``(bin, lower, upper, count)``; one small aggregate for the range, one grouped count.
+
+def histograms(df: DataFrame, cols: Sequence[str], bins: int = 20) -> DataFrame:
+    """A10 for many columns at once: ``(column, bin, lower, upper, count)``.
+
+    One aggregate for every column's range, then one scan in which each row emits its
+    (column, bin) pairs, counted with a map-side-combined aggregate; the empty bins come from a
+    bins × columns edge table.
     """
-    v = qcol(col).cast("double")
     spark = df.sparkSession
-    lo, hi = df.agg(F.min(qcol(v)), F.max(qcol(v))).collect()[0]  # two numbers
-    if lo is None:
-        return spark.createDataFrame([], "bin int, lower double, upper double, count bigint")
-    width = hi - lo
-    idx = F.lit(0) if width == 0 else F.least(F.floor((v - F.lit(lo)) / F.lit(width) * bins), F.lit(bins - 1))
-    counted = df.where(v.isNotNull()).select(idx.cast("int").alias("bin")).groupBy("bin").agg(
-        F.count(F.lit(1)).alias("count"))
-    edges = spark.range(bins).select(
-        F.col("id").cast("int").alias("bin"),
-        (F.lit(lo) + F.lit(width) * F.col("id") / bins).alias("lower"),
-        (F.lit(lo) + F.lit(width) * (F.col("id") + 1) / bins).alias("upper"))
-    return (edges.join(counted, "bin", "left")
-            .select("bin", "lower", "upper", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
+    cols = list(cols)
+    rng = fused_single_row(df, {**{f"lo{i}": F.min(qcol(c).cast("double")) for i, c in enumerate(cols)},
+                                **{f"hi{i}": F.max(qcol(c).cast("double")) for i, c in enumerate(cols)}})
+    structs, edges = [], []
+    for i, c in enumerate(cols):
+        lo, hi = rng[f"lo{i}"], rng[f"hi{i}"]
+        if lo is None:
+            continue
+        width = hi - lo
+        v = qcol(c).cast("double")
+        idx = F.lit(0) if width == 0 else F.least(F.floor((v - F.lit(lo)) / F.lit(width) * bins), F.lit(bins - 1))
+        structs.append(F.struct(F.lit(c).alias("column"), F.when(v.isNotNull(), idx.cast("int")).alias("bin")))
+        edges += [(c, b, lo + width * b / bins, lo + width * (b + 1) / bins) for b in range(bins)]
+    schema = "column string, bin int, lower double, upper double, count bigint"
+    if not structs:
+        return spark.createDataFrame([], schema)
+    pairs = (df.select(F.explode(F.filter(F.array(*structs), lambda s_: s_["bin"].isNotNull())).alias("s"))
+             .select("s.column", "s.bin"))
+    counted = pairs.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("count"))
+    grid = spark.createDataFrame(edges, "column string, bin int, lower double, upper double")  # columns x bins
+    return (grid.join(counted, ["column", "bin"], "left")
+            .select("column", "bin", "lower", "upper", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
 
 def box_stats(df: DataFrame, cols: Sequence[str] | None = None, whis: float = 1.5) -> DataFrame:
@@ -354,11 +370,7 @@ def profile_report(df: DataFrame, hist_bins: int = 10) -> dict[str, DataFrame]:
 
 
 def _stack_histograms(df: DataFrame, cols: Sequence[str], bins: int) -> DataFrame:
-    parts = [histogram(df, c, bins).withColumn("column", F.lit(c)) for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("column", "bin", "lower", "upper", "count")
+    return histograms(df, cols, bins)
 
 
 def as_double(df: DataFrame, cols: Sequence[str]) -> DataFrame:

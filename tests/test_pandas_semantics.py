@@ -165,3 +165,13 @@ def test_wide_correlation_one_pass_matches_pandas(spark):
     assert len(got) == p * p
     for (a, b), v in got.items():
         assert v == pytest.approx(want.loc[a, b], abs=1e-9)
+
+
+def test_histograms_many_columns(frames):
+    pdf, df = frames
+    got = A.histograms(df, ["a", "b", "c"], 10).collect()
+    for c in ("a", "b", "c"):
+        counts, edges = np.histogram(pdf[c].dropna(), bins=10)
+        mine = sorted((r.bin, r.lower, r["count"]) for r in got if r["column"] == c)
+        assert [m[2] for m in mine] == list(counts)
+        assert [m[1] for m in mine] == pytest.approx(list(edges[:-1]))
