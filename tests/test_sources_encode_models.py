@@ -128,3 +128,21 @@ def test_score_records_with_categorical_features(spark):
     out = flows.score_records(rec, "record", ["x", "g"], pre, model, ["k", "label"])
     acc = out.where("prediction = label").count() / out.count()
     assert acc > 0.95
+
+
+def test_bucketed_stages_join_without_shuffle(spark):
+    from cohort_spark.session import scratch_path
+
+    a = spark.range(2000).selectExpr("id AS k", "id * 2 AS x")
+    b = spark.range(2000).selectExpr("id AS k", "id % 7 AS y")
+    sa = S.stage_table(a, scratch_path(spark, "bucket-a"), bucket_by=["k"], buckets=8, name="bucket_a")
+    sb = S.stage_table(b, scratch_path(spark, "bucket-b"), bucket_by=["k"], buckets=8, name="bucket_b")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a sort-merge join, as for large tables
+    try:
+        joined = sa.join(sb, "k")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
