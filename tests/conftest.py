@@ -12,7 +12,8 @@ def spark():
     from cohort_spark.session import get_spark
 
     s = get_spark("local[4]", app="cohort_spark_tests", shuffle_partitions=4,
-                  extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="cohort-test-ckpt-")})
+                  extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="cohort-test-ckpt-"),
+                         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="cohort-test-warehouse-")})
     yield s
     s.stop()
 
