@@ -32,3 +32,19 @@ def test_global_rank_has_no_single_partition_window(spark):
     df = spark.range(100).selectExpr("id % 7 AS k", "id")
     p = plan(global_rank(df, ["k", "id"], "_r"))
     assert "SinglePartition" not in p and "Window" not in p
+
+
+def test_split_is_a_projection(spark):
+    p = plan(E.queries()["train_test_split"](spark, SF))
+    assert "Exchange" not in p and "Window" not in p and "Join" not in p
+
+
+def test_wide_correlation_takes_the_moment_path(spark):
+    from pyspark.sql import functions as F
+
+    from cohort_spark.operators import stats as A
+
+    df = spark.range(500).select(*[((F.col("id") * (i + 3)) % 17).cast("double").alias(f"c{i}") for i in range(16)])
+    out = A.correlation_matrix(df)  # 136 pairs > 100: per-partition moments, one scan
+    assert "Aggregate" not in plan(out)  # the result is a small driver-built table, not a per-batch aggregate
+    assert out.count() == 256
