@@ -114,9 +114,22 @@ def distinct_values(df: DataFrame, cols: Sequence[str] | None = None, limit: int
 STAT_NAMES = ("count", "mean", "std", "min", "q25", "q50", "q75", "max", "median", "mode")
 
 
-def describe_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, sample std, min, quartiles (linear), max, median and smallest mode per numeric column."""
+def describe_stats(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True,
+                   accuracy: int = 10000) -> DataFrame:
+    """Count, mean, sample std, min, quartiles (linear), max, median and smallest mode per numeric column.
+
+    ``exact=False`` takes the quartiles from ``percentile_approx`` (relative rank error about
+    1/``accuracy``) inside the single statistics aggregate instead of the exact selection."""
     cols = list(cols or columns_of_kind(df, "number"))
+    if not exact:
+        stats = {c: {"count": F.count(qcol(c)), "mean": F.avg(qcol(c)), "std": F.stddev_samp(qcol(c)),
+                     "min": F.min(qcol(c).cast("double")), "max": F.max(qcol(c).cast("double")),
+                     **{n: F.percentile_approx(qcol(c).cast("double"), p, accuracy)
+                        for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))}} for c in cols}
+        types = {"count": "bigint", "mean": "double", "std": "double", "min": "double", "max": "double",
+                 "q25": "double", "q50": "double", "q75": "double"}
+        out = _long_from_row(df, stats, types).join(modes(value_counts_long(df, cols)), "column", "left")
+        return out.withColumn("median", F.col("q50")).select("column", *STAT_NAMES)
     basic = _long_from_row(df, {c: {"count": F.count(qcol(c)), "mean": F.avg(qcol(c)), "std": F.stddev_samp(qcol(c)),
                                     "min": F.min(qcol(c).cast("double")), "max": F.max(qcol(c).cast("double"))}
                                 for c in cols},

@@ -175,3 +175,14 @@ def test_histograms_many_columns(frames):
         mine = sorted((r.bin, r.lower, r["count"]) for r in got if r["column"] == c)
         assert [m[2] for m in mine] == list(counts)
         assert [m[1] for m in mine] == pytest.approx(list(edges[:-1]))
+
+
+def test_describe_approx_close_to_exact(frames):
+    pdf, df = frames
+    got = {r["column"]: r for r in A.describe_stats(df, ["a", "c"], exact=False).collect()}
+    for c in ("a", "c"):
+        assert got[c]["mean"] == pytest.approx(pdf[c].mean())
+        x = pdf[c].dropna().sort_values().to_numpy()
+        for q, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75")):
+            r = np.searchsorted(x, got[c][n])  # rank of the returned value
+            assert abs(r / len(x) - q) < 0.02
