@@ -211,7 +211,8 @@ def model_flow(df: DataFrame, *, key: str, label: str, features: Sequence[str],
     ranking = model_ranking(acc, report)
     best = select_best(ranking)
     best_name = best.collect()[0]["model_name"]
-    test_report = classification_report(fitted[best_name].transform(test), "label_idx", "prediction")
+    test_m = test.select("label_idx", "features")  # only plain names reach the one-vs-rest models
+    test_report = classification_report(fitted[best_name].transform(test_m), "label_idx", "prediction")
     return {"checks": checks, "accuracies": acc, "bias_report": report, "ranking": ranking, "best": best,
             "test_report": test_report, "models": fitted}
 
