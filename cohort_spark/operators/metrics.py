@@ -166,7 +166,7 @@ def evaluate_model(model, df: DataFrame, label: str, features_col: str = "featur
     probabilities) one-vs-rest AUC on a held-out table."""
     from pyspark.ml.functions import vector_to_array
 
-    pred = model.transform(df)
+    pred = model.transform(df.select(qcol(label), qcol(features_col)))  # plain names only reach the model
     out = {"accuracy": accuracy(pred, label, "prediction"),
            "confusion": confusion_matrix(pred, label, "prediction"),
            "report": classification_report(pred, label, "prediction")}

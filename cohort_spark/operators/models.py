@@ -163,11 +163,15 @@ def param_sweep(make_est, values: Sequence, train: DataFrame, test: DataFrame, l
     return train.sparkSession.createDataFrame(rows, f"{param_name} double, f1 double")
 
 
-def predict_batch(model, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Class (and probabilities when the model has them) for a whole table."""
-    out = model.transform(df)
-    cols = [*keep, "prediction"] + (["probability"] if "probability" in out.columns else [])
-    return out.select(*[F.col('`' + c + '`') for c in cols])
+def predict_batch(model, df: DataFrame, keep: Sequence[str] = (), features_col: str = "features") -> DataFrame:
+    """Class (and probabilities when the model has them) for a whole table. Only the feature
+    vector and the kept columns (under plain aliases) reach the model, since Spark ML resolves
+    columns by name."""
+    safe = {c: f"_keep{i}" for i, c in enumerate(keep)}
+    src = df.select(*[F.col("`" + c + "`").alias(a) for c, a in safe.items()], F.col("`" + features_col + "`"))
+    out = model.transform(src)
+    probs = [F.col("probability")] if "probability" in out.columns else []
+    return out.select(*[F.col(a).alias(c) for c, a in safe.items()], F.col("prediction"), *probs)
 
 
 def feature_importance(model, names: Sequence[str], k: int = 10) -> DataFrame:
@@ -193,7 +197,11 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
     from cohort_spark.operators.sample import seeded_hash
 
     assemble_fn = assemble_fn or (lambda d: assemble(d, list(features)))
-    base = accuracy(model.transform(assemble_fn(df)), label, "prediction").collect()[0][0]
+    def score(d: DataFrame) -> float:
+        x = assemble_fn(d).select(F.col("`" + label + "`").alias("_label"), "features")
+        return accuracy(model.transform(x), "_label", "prediction").collect()[0][0]
+
+    base = score(df)
     by_key = global_rank(df, [F.col(key)], "_rk")
     by_hash = global_rank(df.select(key, *features), [seeded_hash(key, seed), F.col(key)], "_rh")
     perm = [f"_perm{i}" for i in range(len(features))]
@@ -202,7 +210,7 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
     rows = []
     for f, p in zip(features, perm):
         shuffled = both.withColumn(f, F.col(p))
-        acc = accuracy(model.transform(assemble_fn(shuffled)), label, "prediction").collect()[0][0]
+        acc = score(shuffled)
         rows.append((f, float(base), float(acc), float(base - acc)))
     return df.sparkSession.createDataFrame(rows, "feature string, base_accuracy double, permuted_accuracy double, "
                                                  "importance double")
