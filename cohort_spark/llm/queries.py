@@ -27,8 +27,8 @@ def _query(name: str, sql: str | None = None):
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b
     ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
@@ -50,7 +50,7 @@ WITH RECURSIVE words AS (
                                     '[^\x20\x09-\x0D]+') AS w FROM documents
 ), shingles AS (
   SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> list_aggregate(w[i:i + 4], 'string_agg', ' ')) END)) AS s FROM words
+    ELSE list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) END)) AS s FROM words
 ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 common AS (
   SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles AS x JOIN shingles AS y ON x.s = y.s AND x.doc_id < y.doc_id
