@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohort_spark.llm.embedding_dedup import embedding_dedup
+from cohort_spark.llm.license_scan import license_scan, license_sql
 from cohort_spark.llm.minhash_dedup import minhash_dedup
+from cohort_spark.llm.url_filter import url_filter
 from cohort_spark.plans.registry import tb
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +25,11 @@ def _query(name: str, sql: str | None = None):
     return deco
 
 
+@_query("op1_license_scan", license_sql())
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(tb(spark, sf_dir, "documents"))
+
+
 @_query("op3_embedding_dedup", """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
@@ -67,3 +74,8 @@ JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) AS m ON m.a = d.do
 """)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup(tb(spark, sf_dir, "documents"))
+
+
+@_query("op10_url_filter")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(tb(spark, sf_dir, "pages"))
