@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cohort_spark.llm.embedding_dedup import embedding_dedup
 from cohort_spark.llm.license_scan import license_scan, license_sql
 from cohort_spark.llm.minhash_dedup import minhash_dedup
+from cohort_spark.llm.quality_rules import quality_rules
 from cohort_spark.llm.url_filter import url_filter
 from cohort_spark.plans.registry import tb
 
@@ -51,6 +52,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(tb(spark, sf_dir, "embeddings"))
 
 
+@_query("op7_quality_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(tb(spark, sf_dir, "documents"))
+
+
 @_query("op9_minhash_dedup", r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
