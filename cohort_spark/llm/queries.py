@@ -10,6 +10,7 @@ from cohort_spark.llm.embedding_dedup import embedding_dedup
 from cohort_spark.llm.license_scan import license_scan, license_sql
 from cohort_spark.llm.minhash_dedup import minhash_dedup
 from cohort_spark.llm.quality_rules import quality_rules
+from cohort_spark.llm.secret_scan import secret_scan
 from cohort_spark.llm.url_filter import url_filter
 from cohort_spark.plans.registry import tb
 
@@ -52,6 +53,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(tb(spark, sf_dir, "embeddings"))
 
 
+@_query("op5_secret_scan")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(tb(spark, sf_dir, "documents")).drop("n_inferred")
+
+
 @_query("op7_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(tb(spark, sf_dir, "documents"))
