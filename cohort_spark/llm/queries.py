@@ -11,6 +11,7 @@ from cohort_spark.llm.license_scan import license_scan, license_sql
 from cohort_spark.llm.minhash_dedup import minhash_dedup
 from cohort_spark.llm.quality_rules import quality_rules
 from cohort_spark.llm.secret_scan import secret_scan
+from cohort_spark.llm.toxicity import toxicity
 from cohort_spark.llm.url_filter import url_filter
 from cohort_spark.plans.registry import tb
 
@@ -63,6 +64,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(tb(spark, sf_dir, "documents"))
 
 
+@_query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(tb(spark, sf_dir, "documents"), tb(spark, sf_dir, "labels"))
+
+
 @_query("op9_minhash_dedup", r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
