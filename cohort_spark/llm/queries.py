@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohort_spark.llm.bpe import bpe_encode
 from cohort_spark.llm.embedding_dedup import embedding_dedup
 from cohort_spark.llm.license_scan import license_scan, license_sql
 from cohort_spark.llm.minhash_dedup import minhash_dedup
@@ -54,6 +55,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(tb(spark, sf_dir, "embeddings"))
 
 
+@_query("op4_bpe")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe_encode(tb(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                      public_tokenizers.PATTERN, digests=True)
+
+
 @_query("op5_secret_scan")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(tb(spark, sf_dir, "documents")).drop("n_inferred")
