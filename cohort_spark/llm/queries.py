@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohort_spark.llm.bpe import bpe_encode
 from cohort_spark.llm.embedding_dedup import embedding_dedup
+from cohort_spark.llm.html_extract import html_extract
 from cohort_spark.llm.license_scan import license_scan, license_sql
 from cohort_spark.llm.minhash_dedup import minhash_dedup
 from cohort_spark.llm.quality_rules import quality_rules
@@ -68,6 +69,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(tb(spark, sf_dir, "documents")).drop("n_inferred")
 
 
+@_query("op6_html_extract")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract(tb(spark, sf_dir, "pages"))
+
+
 @_query("op7_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(tb(spark, sf_dir, "documents"))
