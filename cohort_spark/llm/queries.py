@@ -13,6 +13,7 @@ from cohort_spark.llm.license_scan import license_scan, license_sql
 from cohort_spark.llm.minhash_dedup import minhash_dedup
 from cohort_spark.llm.quality_rules import quality_rules
 from cohort_spark.llm.secret_scan import secret_scan
+from cohort_spark.llm.source_mix import source_mix
 from cohort_spark.llm.toxicity import toxicity
 from cohort_spark.llm.url_filter import url_filter
 from cohort_spark.plans.registry import tb
@@ -35,6 +36,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(tb(spark, sf_dir, "documents"))
 
 
+@_query("op2_source_mix")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix(tb(spark, sf_dir, "documents"))
+
+
 @_query("op3_embedding_dedup", """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
