@@ -116,7 +116,7 @@ def model_family(c: str | Column, strict: bool = True) -> Column:
             cond = up.contains(fr) if cond is None else cond | up.contains(fr)
         expr = F.when(cond, F.lit(fam)) if expr is None else expr.when(cond, F.lit(fam))
     if strict:
-        return expr.otherwise(F.raise_error(F.concat(F.lit("Unrecognized model type for model_name: "),
+        return expr.otherwise(F.raise_error(F.concat(F.lit("no model family is known for "),
                                                      _col(c))).cast("string"))
     return expr
 

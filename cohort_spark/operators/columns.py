@@ -35,7 +35,7 @@ def columns_of_kind(df: DataFrame, kind: str) -> list[str]:
 
 def select_by_type(df: DataFrame, kind: str = "number") -> DataFrame:
     """Keep only numeric or only string columns."""
-    return df.select(*columns_of_kind(df, kind))
+    return df.select(*[qcol(c) for c in columns_of_kind(df, kind)])
 
 
 def filter_isin(df: DataFrame, col: str, values: Sequence) -> DataFrame:
@@ -56,14 +56,14 @@ def filter_ne_keep_null(df: DataFrame, col: str, v) -> DataFrame:
 def split_target(df: DataFrame, label: str, key: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(features, label). The row key, when given, stays on both sides."""
     keep = [key] if key else []
-    x = df.select(*[c for c in df.columns if c != label])
-    y = df.select(*keep, label)
+    x = df.select(*[qcol(c) for c in df.columns if c != label])
+    y = df.select(*[qcol(c) for c in [*keep, label]])
     return x, y
 
 
 def attach_target(df: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
     """Re-attach the label on the row key (never by position)."""
-    return df.join(labels.select(key, label), on=key, how="inner")
+    return df.join(labels.select(qcol(key), qcol(label)), on=key, how="inner")
 
 
 def unique_names(names: Sequence[str]) -> tuple[list[str], list[int]]:

@@ -17,14 +17,17 @@ from pyspark.sql import functions as F
 from cohort_spark.operators.columns import columns_of_kind
 from cohort_spark.operators.ordered import cumulative_sums, unpivot_values
 
-KS_TERMS = 100
+KS_TERMS = 20  # either series below is exact to double precision with far fewer
 
 
 def kolmogorov_sf(lam: Column) -> Column:
-    """Asymptotic two-sided p-value Σ_{k=1..100} 2(−1)^(k−1) exp(−2k²λ²), clipped to [0, 1]."""
-    series = F.aggregate(F.sequence(F.lit(1), F.lit(KS_TERMS)), F.lit(0.0),
-                         lambda acc, k: acc + 2.0 * F.pow(F.lit(-1.0), k - 1) * F.exp(-2.0 * k * k * lam * lam))
-    return F.when(lam <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
+    """Asymptotic two-sided p-value. From λ = 1 on the alternating series Σ 2(−1)^(k−1) exp(−2k²λ²); below
+    it its theta transform 1 − √(2π)/λ Σ exp(−(2k−1)²π²/(8λ²)), as the former converges too slowly there."""
+    ks = F.sequence(F.lit(1), F.lit(KS_TERMS))
+    far = F.aggregate(ks, F.lit(0.0), lambda acc, k: acc + 2.0 * F.pow(F.lit(-1.0), k - 1) * F.exp(-2.0 * k * k * lam * lam))
+    near = F.aggregate(ks, F.lit(0.0), lambda acc, k: acc + F.exp(-((2 * k - 1) * (2 * k - 1)) * (math.pi ** 2 / 8) / (lam * lam)))
+    p = F.when(lam >= 1, far).when(lam > 0, 1.0 - F.lit(math.sqrt(2 * math.pi)) / lam * near).when(lam <= 0, F.lit(1.0))
+    return F.when(p.isNotNull(), F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))
 
 
 def _two_sample_counts(a: DataFrame, b: DataFrame, cols: Sequence[str], value_type: str) -> DataFrame:
@@ -35,15 +38,15 @@ def _two_sample_counts(a: DataFrame, b: DataFrame, cols: Sequence[str], value_ty
 
 def ks_drift(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None, alpha: float = 0.05) -> DataFrame:
     """Two-sample KS statistic and asymptotic p-value per numeric column; ``drift`` when p < alpha.
-    Missing values are dropped."""
+    Missing values are dropped; a column without values on one side has a NULL statistic, p-value and flag."""
     cols = list(cols or [c for c in columns_of_kind(a, "number") if c in b.columns])
     counts = _two_sample_counts(a, b, cols, "double")
     cum = cumulative_sums(counts, ["column"], ["value"], ["na", "nb"])
     tot = counts.groupBy("column").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
     d = (cum.join(tot, "column")
          .groupBy("column", "tot_a", "tot_b")
-         .agg(F.max(F.abs(F.col("cum_na") / F.col("tot_a") - F.col("cum_nb") / F.col("tot_b"))).alias("statistic")))
-    en = F.sqrt(F.col("tot_a") * F.col("tot_b") / (F.col("tot_a") + F.col("tot_b")))
+         .agg(F.max(F.abs(F.try_divide("cum_na", "tot_a") - F.try_divide("cum_nb", "tot_b"))).alias("statistic")))
+    en = F.sqrt(F.try_divide(F.col("tot_a") * F.col("tot_b"), F.col("tot_a") + F.col("tot_b")))
     return d.select("column", "statistic", kolmogorov_sf(en * F.col("statistic")).alias("p_value"),
                     F.col("tot_a").cast("bigint").alias("n_a"), F.col("tot_b").cast("bigint").alias("n_b")).withColumn(
         "drift", F.col("p_value") < alpha)
@@ -62,7 +65,7 @@ def _chi2_statistic(fp: DataFrame) -> DataFrame:
     ea = (F.col("na") + F.col("nb")) * F.col("tot_a") / n
     eb = (F.col("na") + F.col("nb")) * F.col("tot_b") / n
     stat = fp.groupBy("column", "r").agg(
-        F.sum((F.col("na") - ea) ** 2 / ea + (F.col("nb") - eb) ** 2 / eb).alias("statistic"))
+        F.sum(F.try_divide((F.col("na") - ea) ** 2, ea) + F.try_divide((F.col("nb") - eb) ** 2, eb)).alias("statistic"))
     return stat.select("column", "statistic", (F.col("r") - 1).cast("bigint").alias("dof"))
 
 
@@ -133,10 +136,11 @@ def feature_drift_score(a: DataFrame, b: DataFrame, num_cols: Sequence[str] | No
         nn = tot.groupBy("column").agg(F.first(F.col("tot_a") + F.col("tot_b")).alias("N"), F.first("r").alias("r"))
         v = st.join(nn, "column").select(
             "column", F.lit("cramer_v").alias("method"),
-            F.when(F.col("r") > 1, F.sqrt(F.col("statistic") / F.col("N"))).otherwise(F.lit(0.0)).alias("score"))
-        pa = F.greatest(F.col("na") / F.col("tot_a"), F.lit(eps))
-        pb = F.greatest(F.col("nb") / F.col("tot_b"), F.lit(eps))
-        psi = tot.groupBy("column").agg(F.sum((pb - pa) * F.log(pb / pa)).alias("score")).select(
+            F.when(F.col("statistic").isNotNull(), F.when(F.col("r") > 1, F.sqrt(F.col("statistic") / F.col("N"))).otherwise(F.lit(0.0))).alias("score"))
+        pa = F.greatest(F.try_divide("na", "tot_a"), F.lit(eps))
+        pb = F.greatest(F.try_divide("nb", "tot_b"), F.lit(eps))
+        both = (F.col("tot_a") > 0) & (F.col("tot_b") > 0)
+        psi = tot.groupBy("column").agg(F.sum(F.when(both, (pb - pa) * F.log(pb / pa))).alias("score")).select(
             "column", F.lit("psi").alias("method"), "score")
         parts += [v, psi]
     out = parts[0]
@@ -153,7 +157,7 @@ def wasserstein(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     ranked = cumulative_sums(ones, ["column"], ["value"], ["_one"], prefix="rk")  # rank of the value
     tot = counts.groupBy("column").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
     cur = ranked.join(tot, "column").select("column", "value", "rk_one",
-                                            F.abs(F.col("cum_na") / F.col("tot_a") - F.col("cum_nb") / F.col("tot_b")).alias("gap"))
+                                            F.abs(F.try_divide("cum_na", "tot_a") - F.try_divide("cum_nb", "tot_b")).alias("gap"))
     nxt = ranked.select("column", (F.col("rk_one") - 1).alias("rk_one"), F.col("value").alias("next_value"))
     return (cur.join(nxt, ["column", "rk_one"])
             .groupBy("column").agg(F.sum(F.col("gap") * (F.col("next_value") - F.col("value"))).alias("wasserstein")))
@@ -162,11 +166,11 @@ def wasserstein(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
 def jensen_shannon(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, jensen_shannon)``: JS distance (base 2) between the two frequency tables."""
     fp = _freq_pairs(a, b, cols)
-    pa, pb = F.col("na") / F.col("tot_a"), F.col("nb") / F.col("tot_b")
+    pa, pb = F.try_divide("na", "tot_a"), F.try_divide("nb", "tot_b")
     m = (pa + pb) / 2
 
     def kl(p):
-        return F.when(p > 0, p * F.log2(p / m)).otherwise(F.lit(0.0))
+        return F.when(p > 0, p * F.log2(p / m)).when((p <= 0) & m.isNotNull(), F.lit(0.0))
 
     return fp.groupBy("column").agg(F.sqrt(F.sum(kl(pa) + kl(pb)) / 2).alias("jensen_shannon"))
 

@@ -89,8 +89,8 @@ def get_dummies(df: DataFrame, cols: Sequence[str] | None = None, drop_first: bo
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Sorted distinct values -> 0 .. n-1 (exact, distributed ranks of the distinct values)."""
     out = out or col
-    codes = global_rank(df.select(col).where(qcol(col).isNotNull()).distinct(), [col], "_code")
-    codes = codes.select(col, (F.col("_code") - 1).cast("int").alias("_enc"))
+    codes = global_rank(df.select(qcol(col)).where(qcol(col).isNotNull()).distinct(), [col], "_code")
+    codes = codes.select(qcol(col), (F.col("_code") - 1).cast("int").alias("_enc"))
     joined = df.join(codes, on=col, how="left")
     res = joined.withColumn(out, F.col("_enc"))
     cols = [c for c in df.columns] + ([out] if out not in df.columns else [])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cohort_spark.functions.names import qcol
 from cohort_spark.functions.scalar import model_family, slice_label
+from cohort_spark.operators.stats import hit_rate
 
 
 def _rates(df: DataFrame, keys: Sequence[str], y: str | Column, p: str | Column, group: str | Column) -> DataFrame:
@@ -26,7 +27,7 @@ def _rates(df: DataFrame, keys: Sequence[str], y: str | Column, p: str | Column,
             .agg(F.avg("_p").alias("sel"),
                  F.coalesce(F.avg(F.when(F.col("_y") == 1, F.col("_p"))), F.lit(0.0)).alias("tpr"),
                  F.coalesce(F.avg(F.when(F.col("_y") == 0, F.col("_p"))), F.lit(0.0)).alias("fpr"),
-                 F.avg((F.col("_y") == F.col("_p")).cast("double")).alias("acc")))
+                 F.avg(F.when(F.col("_y").isNotNull(), F.col("_y").eqNullSafe(F.col("_p")).cast("double"))).alias("acc")))
 
 
 def _between(rates: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -60,8 +61,8 @@ def binarized(preds: DataFrame, y: str, p: str, classes: Sequence) -> DataFrame:
     """One-vs-rest copies of a prediction table: ``cls``, ``y_bin``, ``p_bin`` per class."""
     arr = F.array(*[F.lit(c) for c in classes])
     return (preds.withColumn("cls", F.explode(arr))
-            .withColumn("y_bin", (F.col(y) == F.col("cls")).cast("int"))
-            .withColumn("p_bin", (F.col(p) == F.col("cls")).cast("int")))
+            .withColumn("y_bin", (qcol(y) == F.col("cls")).cast("int"))
+            .withColumn("p_bin", qcol(p).eqNullSafe(F.col("cls")).cast("int")))  # a missing prediction is in no class
 
 
 def fairness_by_group(preds: DataFrame, y: str, p: str, features: Sequence[str], model: str = "model",
@@ -94,7 +95,7 @@ def bias_report(preds: DataFrame, y: str, p: str, features: Sequence[str], binne
                     F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), qcol(f).cast("string").alias("grp"))
                                         for f in feats])).alias("s")).select(model, "cls", "y_bin", "p_bin", "s.*")
     diffs = _between(_rates(long, [model, "cls", "feature"], "y_bin", "p_bin", "grp"), [model, "cls", "feature"])
-    acc = preds.groupBy(model).agg(F.avg((F.col(y) == F.col(p)).cast("double")).alias("accuracy"))
+    acc = preds.groupBy(model).agg(hit_rate(y, p).alias("accuracy"))
     plain = (diffs.where(F.col("feature") != F.lit(binned)) if binned else diffs).select(
         model, "cls", F.col("feature").alias("slice"), "dp_diff", "eo_diff").join(acc, model)
     plain = plain.withColumn("slice_accuracy", F.col("accuracy"))
@@ -102,7 +103,7 @@ def bias_report(preds: DataFrame, y: str, p: str, features: Sequence[str], binne
         out = plain
     else:
         bins = preds.groupBy(model, qcol(binned).cast("string").alias("_bin")).agg(
-            F.avg((F.col(y) == F.col(p)).cast("double")).alias("slice_accuracy"))
+            hit_rate(y, p).alias("slice_accuracy"))
         rows = (diffs.where(F.col("feature") == F.lit(binned)).join(bins, model).join(acc, model)
                 .select(model, "cls", slice_label(F.col("_bin"), slice_prefix).alias("slice"), "dp_diff", "eo_diff",
                         "accuracy", "slice_accuracy"))

@@ -147,7 +147,7 @@ def same_columns(a: DataFrame, b: DataFrame, raise_error: bool = True) -> DataFr
     """Set equality of column names; one-row result, or an error when they differ."""
     sa, sb = set(a.columns), set(b.columns)
     if raise_error and sa != sb:
-        raise ValueError("Column names do not match.")
+        raise ValueError(f"the tables differ in columns: only left {sorted(sa - sb)}, only right {sorted(sb - sa)}")
     spark = a.sparkSession
     return spark.createDataFrame([(sa == sb, sorted(sa - sb), sorted(sb - sa))],
                                  "same boolean, only_a array<string>, only_b array<string>")

@@ -14,18 +14,19 @@ from pyspark.sql import functions as F
 
 from cohort_spark.functions.names import qcol
 from cohort_spark.operators.ordered import cumulative_sums
+from cohort_spark.operators.stats import hit_rate
 
 MAX_CLASSES = 1000
 
 
 def accuracy(df: DataFrame, y: str, p: str) -> DataFrame:
-    """V1: share of rows with prediction equal to label."""
-    return df.agg(F.avg((qcol(y) == qcol(p)).cast("double")).alias("accuracy"))
+    """V1: share of labelled rows with prediction equal to label (a missing prediction is a miss)."""
+    return df.agg(hit_rate(y, p).alias("accuracy"))
 
 
 def model_accuracies(preds: DataFrame, y: str, p: str, model: str = "model") -> DataFrame:
     """V2: accuracy per model of a stacked prediction table."""
-    return preds.groupBy(model).agg(F.avg((qcol(y) == qcol(p)).cast("double")).alias("accuracy"))
+    return preds.groupBy(qcol(model)).agg(hit_rate(y, p).alias("accuracy"))
 
 
 def class_labels(df: DataFrame, y: str, p: str) -> list:
@@ -142,7 +143,7 @@ def roc_curves_ovr(df: DataFrame, y: str, scores: dict) -> DataFrame:
 def roc_auc_ovr(df: DataFrame, y: str, scores: dict) -> DataFrame:
     """V6: area under the ROC curve per class (one-vs-rest) by the average-rank formula, plus
     a ``mean`` row. ``scores`` maps class label -> score column."""
-    parts = [df.select(F.lit(str(c)).alias("cls"), F.col(s).cast("double").alias("score"),
+    parts = [df.select(F.lit(str(c)).alias("cls"), qcol(s).cast("double").alias("score"),
                        (qcol(y) == F.lit(c)).cast("long").alias("pos")) for c, s in scores.items()]
     long = parts[0]
     for p in parts[1:]:

@@ -19,6 +19,7 @@ from cohort_spark.operators.columns import columns_of_kind, drop_strict
 from cohort_spark.operators.ordered import exact_quantiles, fused_single_row, modes, value_counts_long
 from cohort_spark.operators.stats import missing_ratio_map, small_distinct_counts
 
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _INT_FLOAT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -37,12 +38,13 @@ def medians_of(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
 def modes_of(df: DataFrame, cols: Sequence[str]) -> dict[str, object]:
     """Most frequent value per column (smallest on ties), typed like the column."""
     out: dict[str, object] = {}
-    num = [c for c in cols if c in set(_numeric(df))]
-    txt = [c for c in cols if c not in set(num)]
-    if num:
-        out.update({r["column"]: r["mode"] for r in modes(value_counts_long(df, num, "double")).collect()})
-    if txt:
-        out.update({r["column"]: r["mode"] for r in modes(value_counts_long(df, txt, "string")).collect()})
+    by_type: dict[str, list[str]] = {}
+    types = {f.name: f.dataType for f in df.schema.fields}
+    for c in cols:  # integers are counted as such: doubles would merge neighbours above 2**53
+        kind = "bigint" if isinstance(types[c], _INTEGERS) else "double" if isinstance(types[c], _INT_FLOAT) else "string"
+        by_type.setdefault(kind, []).append(c)
+    for kind, names in by_type.items():
+        out.update({r["column"]: r["mode"] for r in modes(value_counts_long(df, names, kind)).collect()})
     return out
 
 
@@ -96,56 +98,46 @@ def impute_mean_mode(df: DataFrame) -> DataFrame:
     return _fill(df, fills)
 
 
+def _fill_rules(strategy, types: dict, constant_value) -> dict[str, str | Callable[[Column], Column]]:
+    """The strategy per column, checked before any job runs: ``median``, ``constant`` or a function of the column."""
+    if not isinstance(strategy, dict):
+        raise ValueError(f"a strategy maps columns to rules; got {type(strategy).__name__}")
+    known = {"median": True, "constant": constant_value is not None}
+    wrong = {c: r for c, r in strategy.items() if not callable(r) and not known.get(r if isinstance(r, str) else None, False)}
+    if wrong:
+        raise ValueError(f"no such rule (median, constant with a value, or a function): {wrong}")
+    return {c: r for c, r in strategy.items() if c in types}
+
+
 def handle_missing_values(df, identify_only: bool = False, drop_threshold: float | None = None,
                           strategy: dict[str, str | Callable[[Column], Column]] | None = None,
                           constant_value=None):
     """M5: count, drop and fill missing values.
 
-    * ``identify_only``: return ``{column: n_missing}``.
-    * columns that are entirely missing are dropped; with ``drop_threshold``,
-      also those whose missing share is greater than it.
-    * ``strategy``: per column ``'median'``, ``'constant'`` (with ``constant_value``)
-      or a callable ``Column -> Column``; anything else is a ``ValueError``.
-    * no strategy: numeric columns get their mean, the others their smallest mode.
+    ``identify_only`` returns ``{column: n_missing}``. Otherwise columns without any value go, with
+    ``drop_threshold`` also those whose missing share is greater; the others are filled by one
+    projection: by ``strategy`` (``'median'``, ``'constant'`` with ``constant_value``, or a function
+    ``Column -> Column`` per column; other columns stay), or, without one, numeric columns with
+    their mean and the rest with their smallest mode.
     """
     if not isinstance(df, DataFrame):
-        raise TypeError("Input must be a Spark DataFrame")
-    cols = df.columns
-    stats = fused_single_row(df, {"_n": F.count(F.lit(1)),
-                                  **{f"m{i}": F.count_if(qcol(c).isNull()) for i, c in enumerate(cols)}})
-    counts = {c: stats[f"m{i}"] for i, c in enumerate(cols)}
+        raise TypeError(f"expected a Spark DataFrame, got {type(df).__name__}")
+    types = dict(df.dtypes)
+    rules = None if strategy is None or identify_only else _fill_rules(strategy, types, constant_value)
+    present = fused_single_row(df, {"rows": F.count(F.lit(1)), **{f"c{i}": F.count(qcol(c)) for i, c in enumerate(df.columns)}})
+    missing = {c: present["rows"] - present[f"c{i}"] for i, c in enumerate(df.columns)}
     if identify_only:
-        return counts
-    total = stats["_n"]
-    if drop_threshold is not None:
-        gone = [c for c, n in counts.items() if total and (n / total > drop_threshold or n == total)]
-    else:
-        gone = [c for c, n in counts.items() if n == total]
-    out = df.drop(*gone)
-    if strategy is not None:
-        if not isinstance(strategy, dict):
-            raise ValueError("Strategy must be a dictionary")
-        med_cols = [c for c, m in strategy.items() if c in out.columns and isinstance(m, str) and m == "median"]
-        meds = medians_of(out, med_cols)
-        exprs = {}
-        for c, m in strategy.items():
-            if c not in out.columns:
-                continue
-            if isinstance(m, str) and m == "median":
-                exprs[c] = F.coalesce(qcol(c), F.lit(meds[c]))
-            elif isinstance(m, str) and m == "constant" and constant_value is not None:
-                exprs[c] = F.coalesce(qcol(c), F.lit(constant_value))
-            elif callable(m):
-                exprs[c] = m(qcol(c))
-            else:
-                raise ValueError(f"Invalid strategy '{m}' for column '{c}'")
-        return out.select(*[exprs[c].alias(c) if c in exprs else qcol(c) for c in out.columns])
-    num = [c for c in _numeric(out)]
-    other = [c for c in out.columns if c not in set(num)]
-    means = fused_single_row(out, {f"a{i}": F.avg(qcol(c)) for i, c in enumerate(num)}) if num else {}
-    fills: dict[str, object] = {c: means[f"a{i}"] for i, c in enumerate(num)}
-    fills.update(modes_of(out, other))
-    return _fill(out, fills)
+        return missing
+    most = present["rows"] if drop_threshold is None else min(present["rows"] - 1, drop_threshold * present["rows"])
+    kept = [c for c in df.columns if missing[c] < present["rows"] and missing[c] <= most or not present["rows"] and drop_threshold is not None]
+    out = df.select(*[qcol(c) for c in kept])
+    if rules is None:
+        num = [c for c in _numeric(out)]
+        means = fused_single_row(out, {c: F.avg(qcol(c)) for c in num}) if num else {}
+        return _fill(out, {**means, **modes_of(out, [c for c in kept if c not in set(num)])})
+    values = dict.fromkeys((c for c, r in rules.items() if r == "constant"), constant_value)
+    values.update(medians_of(out, [c for c, r in rules.items() if r == "median" and c in set(kept)]))
+    return _fill(out, values).select(*[rules[c](qcol(c)).alias(c) if callable(rules.get(c)) else qcol(c) for c in kept])
 
 
 KNN_BROADCAST_PATTERNS = 20000  # recipient patterns broadcast per chunk (size-checked)

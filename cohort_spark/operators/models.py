@@ -21,6 +21,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohort_spark.functions.names import qcol
 from cohort_spark.operators.metrics import accuracy
 
 
@@ -198,14 +199,14 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
 
     assemble_fn = assemble_fn or (lambda d: assemble(d, list(features)))
     def score(d: DataFrame) -> float:
-        x = assemble_fn(d).select(F.col("`" + label + "`").alias("_label"), "features")
+        x = assemble_fn(d).select(qcol(label).alias("_label"), "features")
         return accuracy(model.transform(x), "_label", "prediction").collect()[0][0]
 
     base = score(df)
-    by_key = global_rank(df, [F.col(key)], "_rk")
-    by_hash = global_rank(df.select(key, *features), [seeded_hash(key, seed), F.col(key)], "_rh")
+    by_key = global_rank(df, [qcol(key)], "_rk")
+    by_hash = global_rank(df.select(*[qcol(c) for c in [key, *features]]), [seeded_hash(key, seed), qcol(key)], "_rh")
     perm = [f"_perm{i}" for i in range(len(features))]
-    donors = by_hash.select(F.col("_rh").alias("_rk"), *[F.col(f).alias(p) for f, p in zip(features, perm)])
+    donors = by_hash.select(F.col("_rh").alias("_rk"), *[qcol(f).alias(p) for f, p in zip(features, perm)])
     both = reliable(by_key.join(donors, "_rk"))
     rows = []
     for f, p in zip(features, perm):

@@ -138,48 +138,30 @@ def merge_trees(trees: list, m: int):
     return cuts, total / max(len(trees), 1), _c(m)
 
 
-def fit_isolation_1d(values: np.ndarray, n_trees: int = 100, max_samples: int = 256, seed: int = 42):
-    """Grow ``n_trees`` trees locally, each on ``max_samples`` points of ``values`` (for small
-    in-memory inputs and tests); :func:`fit_isolation_forest` is the distributed form."""
-    rng = np.random.default_rng(seed)
-    m = min(max_samples, len(values))
-    depth_limit = int(math.ceil(math.log2(max(m, 2))))
-    trees = [_grow_1d(rng.choice(values, size=m, replace=False), rng, depth_limit) for _ in range(n_trees)]
-    return merge_trees(trees, m)
-
-
 def fit_isolation_forest(df: DataFrame, c: str, n_trees: int = 100, max_samples: int = 256, seed: int = 42):
     """Isolation forest on one column, sampled and grown in Spark tasks.
 
-    Each tree takes ``max_samples`` rows chosen by a row hash: on large inputs one hash per row
-    deals the rows into trees and gives their order within a tree (disjoint uniform samples); on
-    small inputs every tree hashes every row independently. A Bernoulli filter on the hash keeps
-    about three times the needed rows, a per-tree window keeps the smallest, and each tree is
-    grown in one ``applyInPandas`` group of at most ``max_samples`` values. Only the leaves
-    (trees × ≤ max_samples) reach the driver.
+    Each tree takes the ``max_samples`` rows with its smallest hashes. A row's hash is that of its value, its number
+    among the rows with that value (values are counted first, map-side), and the tree, so copies are sampled as often as
+    they occur and the sample does not depend on partitions. A Bernoulli filter on the hash keeps about three times the
+    needed rows, a per-tree window keeps the smallest, and each tree is grown in one ``applyInPandas`` group of at most
+    ``max_samples`` values. Only the leaves (trees x <= max_samples) reach the driver.
     """
     import pandas as pd
 
-    vals = df.where(qcol(c).isNotNull())
-    n = vals.count()
-    if n == 0:
+    counts = df.where(qcol(c).isNotNull()).groupBy(qcol(c).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    n = counts.agg(F.sum("n")).first()[0]
+    if not n:
         return None
     m = min(max_samples, n)
     depth_limit = int(math.ceil(math.log2(max(m, 2))))
-    row = F.xxhash64(*[qcol(x) for x in df.columns])
-    disjoint = n >= 3 * m * n_trees  # large input: one hash per row deals rows into trees
-    p = min(1.0, 3.0 * m * (n_trees if disjoint else 1) / n)
+    rows = counts.select("v", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("k"))
+    p = min(1.0, 3.0 * m / n)
     while True:
-        if disjoint:
-            h = F.abs(F.xxhash64(row, F.lit(seed)) % F.lit(1 << 52)) / float(1 << 52) * n_trees
-            cand = (vals.select(qcol(c).cast("double").alias("v"), F.floor(h).cast("long").alias("t"),
-                                (h - F.floor(h)).alias("u")).where(F.col("u") < p))
-        else:  # small input: an independent hash per tree (at most n_trees hashes per row)
-            trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-            u = lambda t: F.abs(F.xxhash64(row, F.lit(seed), t) % F.lit(1 << 52)) / float(1 << 52)
-            cand = (vals.select(qcol(c).cast("double").alias("v"), F.explode(F.filter(
-                F.transform(trees, lambda t: F.struct(t.alias("t"), u(t).alias("u"))), lambda s_: s_["u"] < p))
-                .alias("s")).select("v", F.col("s.t").cast("long").alias("t"), "s.u"))
+        trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+        u = lambda t: F.abs(F.xxhash64("v", "k", F.lit(seed), t) % F.lit(1 << 52)) / float(1 << 52)
+        cand = rows.select("v", F.explode(F.filter(F.transform(trees, lambda t: F.struct(t.alias("t"), u(t).alias("u"))),
+                                                   lambda s_: s_["u"] < p)).alias("s")).select("v", F.col("s.t").cast("long").alias("t"), "s.u")
         w = Window.partitionBy("t").orderBy("u", "v")
         chosen = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= m)
         sizes = dict(chosen.groupBy("t").count().collect())  # one row per tree

@@ -53,9 +53,17 @@ def _within_first(df: DataFrame, key: str, seed, ks: Sequence[int]) -> list[Colu
     return out
 
 
+def _size_of(df: DataFrame, key: str) -> int:
+    """Row count; raises unless ``key`` is unique and never missing (else the parts would not have the asked sizes)."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(qcol(key)).alias("k")).collect()[0]
+    if r["n"] != r["k"]:
+        raise ValueError(f"the key {key} must be unique and not missing: {r['n']} rows, {r['k']} different keys")
+    return r["n"]
+
+
 def split_column(df: DataFrame, key: str, test: float = 0.2, seed: int = 42, out: str = "split") -> DataFrame:
     """Label each row ``train`` or ``test``; the test part has exactly ceil(n·test) rows."""
-    n = df.count()
+    n = _size_of(df, key)
     n_test = math.ceil(n * test)
     (is_test,) = _within_first(df, key, seed, [n_test])
     return df.withColumn(out, F.when(is_test, "test").otherwise("train"))
@@ -70,7 +78,7 @@ def train_test_split(df: DataFrame, key: str, test: float = 0.2, seed: int = 42)
 def train_val_test_split(df: DataFrame, key: str, seed: int = 42, holdout: float = 0.3,
                          test_of_holdout: float = 0.5, out: str = "split") -> DataFrame:
     """R2: 70/15/15 in two cuts — holdout = ceil(0.3·n), test = ceil(0.5·holdout), val = the rest."""
-    n = df.count()
+    n = _size_of(df, key)
     n_hold = math.ceil(n * holdout)
     n_test = math.ceil(n_hold * test_of_holdout)
     is_test, is_hold = _within_first(df, key, seed, [n_test, n_hold])
@@ -78,8 +86,11 @@ def train_val_test_split(df: DataFrame, key: str, seed: int = 42, holdout: float
 
 
 def undersample(df: DataFrame, col: str, v, n: int, key: str, seed: int = 1) -> DataFrame:
-    """Exactly ``min(n, size)`` rows of group ``v``, without replacement."""
+    """Exactly ``n`` rows of group ``v``, without replacement; a smaller group is an error."""
     g = df.where(qcol(col) == F.lit(v))
+    size = _size_of(g, key)
+    if n > size:
+        raise ValueError(f"cannot take {n} rows without replacement from the {size} rows with {col} = {v}")
     (first_n,) = _within_first(g, key, seed, [n])
     return g.where(first_n)
 
@@ -97,9 +108,11 @@ def oversample(df: DataFrame, col: str, v, n: int, key: str, seed: int = 1) -> D
     draws are a distributed range joined to the ranked group on the rank.
     """
     g = df.where(qcol(col) == F.lit(v))
-    m = g.count()
-    if n <= 0 or m == 0:
+    m = _size_of(g, key)
+    if n <= 0:
         return df.limit(0)
+    if m == 0:
+        raise ValueError(f"cannot draw {n} rows: none has {col} = {v}")
     spark = df.sparkSession
     ranked = _ranked(g, key, seed)
     draws = spark.range(n).select(draw_index(F.col("id"), seed, m).alias("_r"))

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohort_spark.functions.names import qcol
 from cohort_spark.operators.columns import columns_of_kind
@@ -46,7 +45,7 @@ def _long_from_row(df: DataFrame, per_col: dict[str, dict[str, Column]], types:
 
 def group_min(df: DataFrame, key: str, col: str, alias: str | None = None) -> DataFrame:
     """A1: minimum of ``col`` per key."""
-    return df.groupBy(key).agg(F.min(qcol(col)).alias(alias or f"min_{col}"))
+    return df.groupBy(qcol(key)).agg(F.min(qcol(col)).alias(alias or f"min_{col}"))
 
 
 def missing_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -147,7 +146,7 @@ def describe_stats(df: DataFrame, cols: Sequence[str] | None = None, exact: bool
 def value_counts(df: DataFrame, col: str, normalize: bool = True, sort: bool = True) -> DataFrame:
     """``(col, count, share)`` per non-null value, most frequent first (``sort=False`` when the
     result feeds a join and order is irrelevant)."""
-    counts = df.where(qcol(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    counts = df.where(qcol(col).isNotNull()).groupBy(qcol(col)).agg(F.count(F.lit(1)).alias("count"))
     total = df.where(qcol(col).isNotNull()).count()  # one number
     out = counts.withColumn("share", F.col("count") / F.lit(float(total)) if total else F.lit(None).cast("double"))
     if not normalize:
@@ -155,35 +154,21 @@ def value_counts(df: DataFrame, col: str, normalize: bool = True, sort: bool = T
     return out.orderBy(F.col("count").desc(), qcol(col)) if sort else out
 
 
-def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, batch: int = 100) -> DataFrame:
+def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of numeric columns, pairwise-complete (each pair uses
     the rows where both are present), long form ``(col_a, col_b, corr)`` including the diagonal.
 
-    Up to ``batch`` pairs: one aggregate of ``corr`` expressions. Wider tables: one scan in which
-    every partition accumulates centred moment matrices (counts, sums, squares and cross
-    products over jointly present values) with NumPy; the per-partition matrices are combined
-    by a tree aggregation, so the whole matrix costs one pass instead of one per batch of pairs.
+    One scan whatever the number of columns: every partition accumulates centred moment matrices
+    (counts, sums, squares and cross products over jointly present values) with NumPy, and the
+    per-partition matrices are combined by a tree aggregation. A constant column, or a pair
+    without two joint rows, has a NULL correlation; NaN counts as missing.
     """
     cols = list(cols or columns_of_kind(df, "number"))
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    if len(pairs) > batch:
-        return _correlation_by_moments(df, cols)
-    aggs = [F.corr(qcol(a).cast("double"), qcol(b).cast("double")).alias(f"c{j}") for j, (a, b) in enumerate(pairs)]
-    row = df.agg(*aggs)
-    structs = []
-    for j, (a, b) in enumerate(pairs):
-        structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c{j}").alias("corr")))
-        if a != b:
-            structs.append(F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"c{j}").alias("corr")))
-    return row.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
-
-
-def _correlation_by_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     import numpy as np
     import pandas as pd
 
     p = len(cols)
-    centre = fused_single_row(df, {f"m{i}": F.avg(qcol(c).cast("double")) for i, c in enumerate(cols)})
+    centre = fused_single_row(df, {f"m{i}": F.avg(F.nanvl(qcol(c).cast("double"), F.lit(None))) for i, c in enumerate(cols)})
     mu = np.array([centre[f"m{i}"] if centre[f"m{i}"] is not None else 0.0 for i in range(p)])
     names = [f"x{i}" for i in range(p)]
     narrow = df.select(*[qcol(c).cast("double").alias(n) for c, n in zip(cols, names)])
@@ -207,7 +192,9 @@ def _correlation_by_moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     sb, sbb = sa.T, saa.T
     with np.errstate(invalid="ignore", divide="ignore"):
         cov = n * sab - sa * sb
-        corr = cov / np.sqrt((n * saa - sa * sa) * (n * sbb - sb * sb))
+        va, vb = n * saa - sa * sa, n * sbb - sb * sb
+        flat = (va <= 1e-12 * n * saa) | (vb <= 1e-12 * n * sbb)  # constant up to rounding
+        corr = np.where(flat, np.nan, cov / np.sqrt(va * vb))
     rows = [(a, b, None if not np.isfinite(corr[i, j]) else float(corr[i, j]))
             for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
@@ -280,10 +267,14 @@ def box_stats(df: DataFrame, cols: Sequence[str] | None = None, whis: float = 1.
                                           "n_outliers")
 
 
+def hit_rate(y: str, p: str) -> Column:
+    """Share of the labelled rows whose prediction equals the label; a missing prediction is a miss."""
+    return F.avg(F.when(qcol(y).isNotNull(), qcol(y).eqNullSafe(qcol(p)).cast("double")))
+
+
 def group_accuracy(df: DataFrame, group: str, y: str, p: str) -> DataFrame:
     """Accuracy per sensitive group ``(group, n, accuracy)``."""
-    return df.groupBy(group).agg(F.count(F.lit(1)).alias("n"),
-                                 F.avg((qcol(y) == qcol(p)).cast("double")).alias("accuracy"))
+    return df.groupBy(qcol(group)).agg(F.count(F.lit(1)).alias("n"), hit_rate(y, p).alias("accuracy"))
 
 
 # ---------------------------------------------------------------------------- data quality
@@ -373,20 +364,10 @@ def profile_report(df: DataFrame, hist_bins: int = 10) -> dict[str, DataFrame]:
     over = (df.agg(F.count(F.lit(1)).alias("n_rows"), nulls.cast("bigint").alias("n_missing_cells"),
                    (F.count(F.lit(1)) - F.count_distinct(whole)).alias("n_duplicates"))
             .select("n_rows", F.lit(n_cols).cast("bigint").alias("n_columns"), "n_missing_cells",
-                    (F.col("n_missing_cells") / (F.col("n_rows") * F.lit(n_cols))).alias("missing_cell_share"),
+                    F.try_divide("n_missing_cells", F.col("n_rows") * F.lit(n_cols)).alias("missing_cell_share"),
                     "n_duplicates"))
     out = {"overview": over, "variables": column_statistics(df), "missing": missing_counts(df)}
     if num:
         out["correlations"] = correlation_matrix(df, num)
-        out["histograms"] = _stack_histograms(df, num, hist_bins)
+        out["histograms"] = histograms(df, num, hist_bins)
     return out
-
-
-def _stack_histograms(df: DataFrame, cols: Sequence[str], bins: int) -> DataFrame:
-    return histograms(df, cols, bins)
-
-
-def as_double(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Cast the listed columns to double (others unchanged)."""
-    s = set(cols)
-    return df.select(*[qcol(c).cast(T.DoubleType()).alias(c) if c in s else qcol(c) for c in df.columns])

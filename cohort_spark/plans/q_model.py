@@ -317,7 +317,8 @@ def returnflag_ab(spark, sf):
 
 def _ks_sql(col):
     return f"""SELECT '{col}' AS "column", D AS statistic,
- CASE WHEN lam <= 0 THEN 1.0 ELSE least(greatest(list_sum(list_transform(range(1, 101),
+ CASE WHEN lam <= 0 THEN 1.0 WHEN lam < 1.2 THEN least(greatest(1.0 - sqrt(2 * pi()) / lam * list_sum(list_transform(range(1, 40),
+   lambda k: exp(-((2 * k - 1) ^ 2) * pi() ^ 2 / (8 * lam * lam)))), 0.0), 1.0) ELSE least(greatest(list_sum(list_transform(range(1, 40),
    lambda k: 2.0 * pow(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam))), 0.0), 1.0) END AS p_value,
  CAST(tot_a AS BIGINT) AS n_a, CAST(tot_b AS BIGINT) AS n_b FROM (
  SELECT max(abs(ca / tot_a - cb / tot_b)) AS D, any_value(tot_a) AS tot_a, any_value(tot_b) AS tot_b,

@@ -23,7 +23,6 @@ def get_spark(master: str | None = None, app: str = "cohort_spark",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        "spark.driver.memory": "16g",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # drop checkpoint files no longer referenced
     }
     if shuffle_partitions:

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohort_spark.functions.names import qcol
+
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -23,9 +25,9 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     exprs = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            exprs.append(F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)).alias(f.name))
+            exprs.append(F.nanvl(qcol(f.name), F.lit(None).cast(f.dataType)).alias(f.name))
         else:
-            exprs.append(F.col(f.name))
+            exprs.append(qcol(f.name))
     return df.select(*exprs)
 
 

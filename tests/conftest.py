@@ -13,7 +13,7 @@ def spark():
 
     s = get_spark("local[4]", app="cohort_spark_tests", shuffle_partitions=4,
                   extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="cohort-test-ckpt-"),
-                         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="cohort-test-warehouse-")})
+                         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="cohort-test-warehouse-"), "spark.driver.memory": "8g"})
     yield s
     s.stop()
 
