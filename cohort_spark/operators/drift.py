@@ -43,7 +43,7 @@ def ks_drift(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None, alph
     counts = _two_sample_counts(a, b, cols, "double")
     cum = cumulative_sums(counts, ["column"], ["value"], ["na", "nb"])
     tot = counts.groupBy("column").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
-    d = (cum.join(tot, "column")
+    d = (cum.join(F.broadcast(tot), "column")  # one row per column
          .groupBy("column", "tot_a", "tot_b")
          .agg(F.max(F.abs(F.try_divide("cum_na", "tot_a") - F.try_divide("cum_nb", "tot_b"))).alias("statistic")))
     en = F.sqrt(F.try_divide(F.col("tot_a") * F.col("tot_b"), F.col("tot_a") + F.col("tot_b")))
@@ -56,7 +56,7 @@ def _freq_pairs(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, value, na, nb, Na, Nb)`` over the union of observed values."""
     counts = _two_sample_counts(a, b, cols, "string")
     tot = counts.groupBy("column").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"), F.count(F.lit(1)).alias("r"))
-    return counts.join(tot, "column")
+    return counts.join(F.broadcast(tot), "column")  # one row per column
 
 
 def _chi2_statistic(fp: DataFrame) -> DataFrame:
@@ -156,7 +156,8 @@ def wasserstein(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     ones = cum.withColumn("_one", F.lit(1))
     ranked = cumulative_sums(ones, ["column"], ["value"], ["_one"], prefix="rk")  # rank of the value
     tot = counts.groupBy("column").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
-    cur = ranked.join(tot, "column").select("column", "value", "rk_one",
+    cur = ranked.join(F.broadcast(tot), "column").select(  # one row per column
+        "column", "value", "rk_one",
                                             F.abs(F.try_divide("cum_na", "tot_a") - F.try_divide("cum_nb", "tot_b")).alias("gap"))
     nxt = ranked.select("column", (F.col("rk_one") - 1).alias("rk_one"), F.col("value").alias("next_value"))
     return (cur.join(nxt, ["column", "rk_one"])

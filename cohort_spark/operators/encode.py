@@ -86,11 +86,16 @@ def get_dummies(df: DataFrame, cols: Sequence[str] | None = None, drop_first: bo
     return df.select(*[qcol(c) for c in df.columns if c not in set(cols)], *dummies)
 
 
+CODES_BROADCAST = 100_000  # codes of a label column that are broadcast (counted first)
+
+
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """Sorted distinct values -> 0 .. n-1 (exact, distributed ranks of the distinct values)."""
     out = out or col
     codes = global_rank(df.select(qcol(col)).where(qcol(col).isNotNull()).distinct(), [col], "_code")
     codes = codes.select(qcol(col), (F.col("_code") - 1).cast("int").alias("_enc"))
+    if codes.count() <= CODES_BROADCAST:  # else a shuffle join, whose skewed partitions Spark splits
+        codes = F.broadcast(codes)
     joined = df.join(codes, on=col, how="left")
     res = joined.withColumn(out, F.col("_enc"))
     cols = [c for c in df.columns] + ([out] if out not in df.columns else [])
@@ -99,7 +104,8 @@ def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
 
 @dataclass
 class Preprocessor:
-    """Fitted E5 model: scaling numbers, category levels, and the output column order."""
+    """Fitted E5 model: scaling numbers, category levels, the output column order, and what KNN filling
+    needs of the fitted rows: column means and the staged table of donor patterns with counts."""
     numerical: list[str]
     categorical: list[str]
     passthrough: list[str]
@@ -107,6 +113,8 @@ class Preprocessor:
     levels: dict = field(default_factory=dict)
     knn_k: int = 5
     knn_cols: list = field(default_factory=list)
+    knn_means: dict = field(default_factory=dict)
+    knn_path: str | None = None
 
     def feature_columns(self) -> list[str]:
         """Scaled numeric columns, then one-hot columns (the model inputs)."""
@@ -124,22 +132,28 @@ class Preprocessor:
 
 
 def fit_preprocessor(df: DataFrame, numerical: Sequence[str], categorical: Sequence[str],
-                     knn_k: int = 5) -> Preprocessor:
+                     knn_k: int = 5, donors_path: str | None = None) -> Preprocessor:
     """E5 (fit): population scaling for numeric columns; KNN filling then sorted levels for
-    categorical columns; everything else passes through."""
-    from cohort_spark.operators.missing import knn_impute
-
-    from cohort_spark.operators.missing import _numeric
+    categorical columns; everything else passes through. The donor patterns are written to
+    ``donors_path`` (default: the shared checkpoint folder), so rows seen later are filled from the
+    rows of the fit."""
+    from cohort_spark.operators.missing import _numeric, knn_donors, knn_impute
+    from cohort_spark.session import scratch_path
 
     num, cat = list(numerical), list(categorical)
     knn_cols = [c for c in cat if c in set(_numeric(df))]  # distances need numeric codes
-    filled = knn_impute(df, knn_cols, knn_k) if knn_cols else df
+    path, means, filled = None, {}, df
+    if knn_cols:
+        patterns, means = knn_donors(df, knn_cols)
+        path = donors_path or scratch_path(df.sparkSession, "knn-donors")
+        patterns.write.mode("overwrite").parquet(path)
+        filled = knn_impute(df, knn_cols, knn_k, donors=df.sparkSession.read.parquet(path), means=means)
     return Preprocessor(numerical=num, categorical=cat, knn_cols=knn_cols,
                         passthrough=[c for c in df.columns if c not in set(num) | set(cat)],
                         scale={c: list(v) for c, v in scale_stats(df, num).items()},
                         levels={c: [float(x) if isinstance(x, (int, float)) else x for x in v]
                                 for c, v in levels_of(filled, cat).items()},
-                        knn_k=knn_k)
+                        knn_k=knn_k, knn_means=means, knn_path=path)
 
 
 
@@ -147,7 +161,9 @@ def apply_preprocessor(df: DataFrame, pre: Preprocessor, impute: bool = True) ->
     """E5 (apply): scaled numeric columns, one-hot columns, then pass-through columns."""
     from cohort_spark.operators.missing import knn_impute
 
-    x = knn_impute(df, pre.knn_cols, pre.knn_k) if (impute and pre.knn_cols) else df
+    x = df
+    if impute and pre.knn_cols:
+        x = knn_impute(df, pre.knn_cols, pre.knn_k, donors=df.sparkSession.read.parquet(pre.knn_path), means=pre.knn_means)
     num = [((qcol(c) - F.lit(m)) / F.lit(s if s not in (None, 0.0) else 1.0)).alias(c)
            for c, (m, s) in ((c, pre.scale[c]) for c in pre.numerical)]
     hot = [F.coalesce((qcol(c).cast("double") == F.lit(v)).cast("double"), F.lit(0.0)).alias(f"{c}_{level_name(v)}")

@@ -2,8 +2,8 @@
 
 All measures are grouped aggregates of a prediction table: selection rate,
 true- and false-positive rates per sensitive group, then max − min across
-groups. Sensitive features are unpivoted so one aggregate serves every
-(model, class, feature) at once.
+groups. One table of counts by (model, feature, group, label, prediction) serves
+every class at once.
 """
 
 from __future__ import annotations
@@ -57,12 +57,25 @@ def _classes(preds: DataFrame, y: str, limit: int = 1000) -> list:
     return sorted(vals)
 
 
-def binarized(preds: DataFrame, y: str, p: str, classes: Sequence) -> DataFrame:
-    """One-vs-rest copies of a prediction table: ``cls``, ``y_bin``, ``p_bin`` per class."""
-    arr = F.array(*[F.lit(c) for c in classes])
-    return (preds.withColumn("cls", F.explode(arr))
-            .withColumn("y_bin", (qcol(y) == F.col("cls")).cast("int"))
-            .withColumn("p_bin", qcol(p).eqNullSafe(F.col("cls")).cast("int")))  # a missing prediction is in no class
+def _class_rates(preds: DataFrame, y: str, p: str, features: Sequence[str], model: str, classes: Sequence) -> DataFrame:
+    """Rates per (model, cls, feature, group) from one table of counts: the rows are counted by model, feature,
+    group, label and prediction (map-side combined), and only those counts are copied per class."""
+    counts = (preds.select(qcol(model).alias("_m"), qcol(y).alias("_y"), qcol(p).alias("_p"),
+                           F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), qcol(f).cast("string").alias("grp")) for f in features])).alias("s"))
+              .groupBy("_m", F.col("s.feature").alias("feature"), F.col("s.grp").alias("_grp"), "_y", "_p").agg(F.count(F.lit(1)).alias("n")))
+    b = (counts.withColumn("cls", F.explode(F.array(*[F.lit(c) for c in classes])))
+         .withColumn("y", F.col("_y") == F.col("cls"))
+         .withColumn("p", F.col("_p").eqNullSafe(F.col("cls"))))  # a missing prediction is in no class
+
+    def share(hit: Column, of: Column) -> Column:
+        return F.try_divide(F.sum(F.when(of & hit, F.col("n")).otherwise(0)), F.sum(F.when(of, F.col("n")).otherwise(0)))
+
+    every = F.lit(True)
+    return (b.groupBy("_m", "cls", "feature", "_grp")
+            .agg(share(F.col("p"), every).alias("sel"), F.coalesce(share(F.col("p"), F.col("y")), F.lit(0.0)).alias("tpr"),
+                 F.coalesce(share(F.col("p"), ~F.col("y")), F.lit(0.0)).alias("fpr"),
+                 share(F.col("y") == F.col("p"), F.col("y").isNotNull()).alias("acc"))
+            .withColumnRenamed("_m", model))
 
 
 def fairness_by_group(preds: DataFrame, y: str, p: str, features: Sequence[str], model: str = "model",
@@ -70,11 +83,7 @@ def fairness_by_group(preds: DataFrame, y: str, p: str, features: Sequence[str],
     """Per model, class (one-vs-rest) and sensitive feature: ``dp_diff``, ``eo_diff`` and the
     accuracy of each group ``(…, group, group_accuracy)``."""
     classes = list(classes) if classes is not None else _classes(preds, y)
-    b = binarized(preds, y, p, classes)
-    long = b.select(model, "cls", "y_bin", "p_bin",
-                    F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), qcol(f).cast("string").alias("grp"))
-                                        for f in features])).alias("s")).select(model, "cls", "y_bin", "p_bin", "s.*")
-    rates = _rates(long, [model, "cls", "feature"], "y_bin", "p_bin", "grp")
+    rates = _class_rates(preds, y, p, features, model, classes)
     diffs = _between(rates, [model, "cls", "feature"])
     return (rates.join(diffs, [model, "cls", "feature"])
             .select(model, F.col("cls").alias("class"), "feature", F.col("_grp").alias("group"),
@@ -90,11 +99,7 @@ def bias_report(preds: DataFrame, y: str, p: str, features: Sequence[str], binne
     (bin rows) or the overall accuracy (feature rows)."""
     classes = list(classes) if classes is not None else _classes(preds, y)
     feats = list(features) + ([binned] if binned else [])
-    b = binarized(preds, y, p, classes)
-    long = b.select(model, "cls", "y_bin", "p_bin",
-                    F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), qcol(f).cast("string").alias("grp"))
-                                        for f in feats])).alias("s")).select(model, "cls", "y_bin", "p_bin", "s.*")
-    diffs = _between(_rates(long, [model, "cls", "feature"], "y_bin", "p_bin", "grp"), [model, "cls", "feature"])
+    diffs = _between(_class_rates(preds, y, p, feats, model, classes), [model, "cls", "feature"])
     acc = preds.groupBy(model).agg(hit_rate(y, p).alias("accuracy"))
     plain = (diffs.where(F.col("feature") != F.lit(binned)) if binned else diffs).select(
         model, "cls", F.col("feature").alias("slice"), "dp_diff", "eo_diff").join(acc, model)

@@ -131,7 +131,8 @@ def roc_curves_ovr(df: DataFrame, y: str, scores: dict) -> DataFrame:
            .agg(F.sum("pos").alias("pos"), F.sum(1 - F.col("pos")).alias("neg")))
     cum = cumulative_sums(per, ["cls"], [F.col("threshold").desc()], ["pos", "neg"])
     tot = per.groupBy("cls").agg(F.sum("pos").alias("tot_pos"), F.sum("neg").alias("tot_neg"))
-    pts = cum.join(tot, "cls").select(
+    pts = cum.join(F.broadcast(tot), "cls").select(  # one row per class
+        
         F.col("cls").alias("class"), "threshold",
         F.when(F.col("tot_neg") > 0, F.col("cum_neg") / F.col("tot_neg")).alias("fpr"),
         F.when(F.col("tot_pos") > 0, F.col("cum_pos") / F.col("tot_pos")).alias("tpr"))

@@ -158,15 +158,24 @@ def _knn_pick(cands: DataFrame, order: list, k: int, target: str, name: str) ->
     return taken.groupBy("_r").agg((F.sum(F.col("_take") * F.col("_d").getField(target)) / F.sum("_take")).alias(name))
 
 
-def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5,
-               max_broadcast: int = KNN_BROADCAST_PATTERNS) -> DataFrame:
+def knn_donors(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, float]]:
+    """What :func:`knn_impute` needs of the rows it was fitted on: their distinct value patterns with counts
+    (columns ``_d0``, ``_d1``, … and ``_cnt``) and the column means."""
+    means = fused_single_row(df, {f"m{i}": F.avg(qcol(c).cast("double")) for i, c in enumerate(cols)})
+    patterns = df.groupBy(*[qcol(c).cast("double").alias(f"_d{i}") for i, c in enumerate(cols)]).agg(F.count(F.lit(1)).alias("_cnt"))
+    return patterns, {c: means[f"m{i}"] for i, c in enumerate(cols)}
+
+
+def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5, max_broadcast: int = KNN_BROADCAST_PATTERNS,
+               donors: DataFrame | None = None, means: dict[str, float] | None = None) -> DataFrame:
     """M6: fill missing values of ``cols`` with the mean of the ``k`` nearest rows that have the value.
 
     Distance is the NaN-aware Euclidean distance over ``cols``: squared
     differences over the coordinates present in both rows, scaled by
     (number of coordinates / number present). Each column is imputed from the
     original values (not from other imputed columns). A row with no comparable
-    donor gets the column mean. Equal distances are ordered by more shared
+    donor gets the column mean. Donors are the rows of ``df`` itself, or those that
+    ``donors`` and ``means`` (from :func:`knn_donors`) keep of the rows of a fit. Equal distances are ordered by more shared
     coordinates first, then by the donor's values (smallest first), so the
     result does not depend on row order.
 
@@ -182,7 +191,7 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5,
     cols = list(cols)
     x = df.withColumn("_pat", F.struct(*[qcol(c).cast("double").alias(c) for c in cols]))
     ratios = missing_ratio_map(df, cols)
-    means = fused_single_row(df, {f"m{i}": F.avg(qcol(c).cast("double")) for i, c in enumerate(cols)})
+    means = means or knn_donors(df, cols)[1]
     d = float(len(cols))
     filled: dict[int, DataFrame] = {}
     pats = None
@@ -193,9 +202,11 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5,
             from cohort_spark.operators.ordered import reliable
 
             pats = reliable(x.groupBy("_pat").agg(F.count(F.lit(1)).alias("_cnt")))  # distinct patterns, reused
+            given = pats if donors is None else reliable(donors.select(
+                F.struct(*[F.col(f"_d{j}").alias(o) for j, o in enumerate(cols)]).alias("_pat"), "_cnt"))
         others = [o for o in cols if o != c]
         rec = pats.where(F.col("_pat").getField(c).isNull()).select(F.col("_pat").alias("_r"))
-        don = pats.where(F.col("_pat").getField(c).isNotNull()).select(
+        don = given.where(F.col("_pat").getField(c).isNotNull()).select(
             F.col("_pat").alias("_d"), "_cnt", F.pmod(F.xxhash64("_pat"), F.lit(KNN_DONOR_BUCKETS)).alias("_b"))
         by_values = [F.col("_d").getField(o).asc_nulls_last() for o in cols]
         parts = []
@@ -242,7 +253,7 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5,
             imp = imp.unionByName(extra)
         filled[i] = imp
     if not filled:
-        return df
+        return _fill(df, {c: means[c] for c in cols if ratios[c] > 0})
     # one table of imputed values per recipient pattern (pattern-sized), then a single join to the rows
     table = None
     for i, imp in filled.items():
@@ -251,7 +262,7 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5,
     out = x.join(table, x["_pat"].eqNullSafe(table["_r"]), "left").drop("_r")
     for i, c in enumerate(cols):
         if ratios[c] > 0:
-            fill = F.coalesce(F.col(f"_imp{i}"), F.lit(means[f"m{i}"])) if i in filled else F.lit(means[f"m{i}"])
+            fill = F.coalesce(F.col(f"_imp{i}"), F.lit(means[c])) if i in filled else F.lit(means[c])
             out = out.withColumn(c, F.when(qcol(c).isNull(), fill).otherwise(qcol(c).cast("double")))
     return out.drop("_pat", *[f"_imp{i}" for i in filled])
 

@@ -17,7 +17,9 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,23 +70,31 @@ def fit_boosted_trees(df: DataFrame, label: str = "label", **kw):
     return boosted_trees(label, **kw).fit(df)
 
 
-class RandomFourierFeatures(Transformer):
+class RandomFourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """Approximate RBF kernel map z(x) = sqrt(2/D) cos(Wx + b), W ~ N(0, 2γ), b ~ U(0, 2π).
 
-    The projection matrix is fixed by the seed; scoring is one vectorised pandas UDF per batch."""
+    The projection matrix follows from the params (sizes, gamma, seed), so a saved map is its params; scoring is
+    one vectorised pandas UDF per batch."""
 
-    def __init__(self, n_in: int, gamma: float, n_out: int = 200, seed: int = 42, input_col: str = "features",
+    n_in = Param(Params._dummy(), "n_in", "number of input features", TypeConverters.toInt)
+    n_out = Param(Params._dummy(), "n_out", "number of mapped features", TypeConverters.toInt)
+    gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
+    seed = Param(Params._dummy(), "seed", "seed of the projection", TypeConverters.toInt)
+    input_col = Param(Params._dummy(), "input_col", "vector column to map", TypeConverters.toString)
+    output_col = Param(Params._dummy(), "output_col", "mapped vector column", TypeConverters.toString)
+
+    def __init__(self, n_in: int = 1, gamma: float = 1.0, n_out: int = 200, seed: int = 42, input_col: str = "features",
                  output_col: str = "rff"):
         super().__init__()
-        rng = np.random.default_rng(seed)
-        self.w = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_in, n_out))
-        self.b = rng.uniform(0.0, 2.0 * math.pi, size=n_out)
-        self.input_col, self.output_col = input_col, output_col
+        self._set(n_in=n_in, n_out=n_out, gamma=gamma, seed=seed, input_col=input_col, output_col=output_col)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         import pandas as pd
 
-        w, b = self.w, self.b
+        n_in, n_out, gamma, seed, input_col, output_col = (
+            self.getOrDefault(p) for p in (self.n_in, self.n_out, self.gamma, self.seed, self.input_col, self.output_col))
+        rng = np.random.default_rng(seed)
+        w, b = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_in, n_out)), rng.uniform(0.0, 2.0 * math.pi, size=n_out)
         scale = math.sqrt(2.0 / w.shape[1])
 
         @F.pandas_udf("array<double>")
@@ -93,8 +103,8 @@ class RandomFourierFeatures(Transformer):
             z = scale * np.cos(m @ w + b)
             return pd.Series(list(z))
 
-        tmp = df.withColumn("_arr", vector_to_array(F.col(self.input_col)))
-        return tmp.withColumn(self.output_col, array_to_vector(rff(F.col("_arr")))).drop("_arr")
+        tmp = df.withColumn("_arr", vector_to_array(F.col(input_col)))
+        return tmp.withColumn(output_col, array_to_vector(rff(F.col("_arr")))).drop("_arr")
 
 
 def rbf_gamma(df: DataFrame, features_col: str, n_features: int, gamma: str | float = "scale") -> float:

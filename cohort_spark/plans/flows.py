@@ -1,8 +1,8 @@
 """End-to-end flows (W1-W5) as plain functions over DataFrames.
 
-Each flow is one lazy plan; nothing is materialised until the caller writes or
-collects the result. The data workflow's table boundaries become Parquet stages
-only where the caller asks for them (:func:`cohort_spark.sources.stage_table`).
+W1, W2 and W5 are lazy plans; W3 and W4 checkpoint their input and run jobs while they fit. The data
+workflow's table boundaries become Parquet stages only where the caller asks for them
+(:func:`cohort_spark.sources.stage_table`).
 """
 
 from __future__ import annotations
@@ -147,14 +147,26 @@ def feature_flow(df: DataFrame, *, key: str, label: str, id_cols: Sequence[str]
     return out, pre
 
 
+#: The grids of the workflow. A forest's smallest split has no counterpart in Spark ML, so that
+#: axis (2 values of the workflow's 36 settings) is left out; the depth axis ends at 30, Spark's largest.
+MODEL_GRIDS = {
+    "Logistic Regression": {"C": (0.1, 1.0, 10.0), "max_iter": (100, 200)},
+    "Random Forest": {"trees": (50, 100, 200), "depths": (10, 20, 30), "min_leaf": (1, 2)},
+    "XGBoost": {"depths": (3, 6, 10), "steps": (0.01, 0.1, 0.3), "iters": (50, 100, 200), "subsamples": (0.8, 0.9, 1.0)},
+    "SVM": {"Cs": (0.1, 1.0, 10.0), "kernels": ("linear", "rbf"), "gammas": ("scale", "auto")},
+}
+
+
 def model_flow(df: DataFrame, *, key: str, label: str, features: Sequence[str], sensitive: Sequence[str],
                age: str, expected: Sequence[str] = (), seed: int = 42, folds: int = 3, parallelism: int = 4,
-               fast: bool = True) -> dict:
+               grids: dict | None = None, out_dir: str | None = None, run: str = "model_flow") -> dict:
     """Validate (Q1), encode the label (E4), 70/15/15 split (R2), tune four classifiers by
     cross-validated grid search (L1-L5), validation accuracies (V2) and bias report (B4) on the
-    validation part, ranking (B5), best model (B6), and its test evaluation (V8).
+    validation part, ranking (B5), best model (B6), and its full test evaluation (V8: accuracy,
+    confusion matrix, report, and AUC where the model gives probabilities).
 
-    ``fast`` uses small grids (tests and benchmarks); otherwise the workflow's grids.
+    ``grids`` overrides entries of :data:`MODEL_GRIDS`, the workflow's grids, which are the default. With
+    ``out_dir`` the tuned models are saved there (S5) and their accuracies appended to its metric log (S6).
     """
     from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 
@@ -162,7 +174,7 @@ def model_flow(df: DataFrame, *, key: str, label: str, features: Sequence[str],
     from cohort_spark.operators import models as L
     from cohort_spark.operators.encode import label_encode
     from cohort_spark.operators.fairness import bias_report, model_ranking, select_best
-    from cohort_spark.operators.metrics import classification_report, model_accuracies
+    from cohort_spark.operators.metrics import evaluate_model, model_accuracies
     from cohort_spark.operators.ordered import reliable
     from cohort_spark.operators.sample import train_val_test_split
     from cohort_spark.operators.stats import validate_table
@@ -172,31 +184,25 @@ def model_flow(df: DataFrame, *, key: str, label: str, features: Sequence[str],
     split = reliable(L.assemble(train_val_test_split(enc, key, seed), list(features)))
     train, val, test = (split.where(F.col("split") == s) for s in ("train", "val", "test"))
     n = train.count()
-    grids = {
-        "Logistic Regression": (LogisticRegression(labelCol="label_idx", elasticNetParam=0.0, standardization=False,
-                                                   maxIter=50),
-                                lambda e: {e.regParam: [1.0 / (c * n) for c in ((0.1, 1.0) if fast else (0.1, 1, 10))]}),
-        "Random Forest": (RandomForestClassifier(labelCol="label_idx", seed=seed),
-                          lambda e: {e.numTrees: [20] if fast else [50, 100, 200],
-                                     e.maxDepth: [5] if fast else [10, 20, 30],
-                                     e.minInstancesPerNode: [1] if fast else [1, 2]}),
-        "XGBoost": ((L.boosted_trees("label_idx", max_depth=3, n_iter=10, seed=seed), None) if fast
-                    else L.boosted_grid("label_idx", seed=seed)),
-        "SVM": (None, None),
+    use = {**MODEL_GRIDS, **(grids or {})}
+    logistic = LogisticRegression(labelCol="label_idx", elasticNetParam=0.0, standardization=False)
+    forest = RandomForestClassifier(labelCol="label_idx", seed=seed)
+    boosted, boosted_axis = L.boosted_grid("label_idx", seed=seed, **use["XGBoost"])
+    tuned = {
+        "Logistic Regression": (logistic, {logistic.regParam: [1.0 / (c * n) for c in use["Logistic Regression"]["C"]],
+                                           logistic.maxIter: list(use["Logistic Regression"]["max_iter"])}),
+        "Random Forest": (forest, {forest.numTrees: list(use["Random Forest"]["trees"]), forest.maxDepth: list(use["Random Forest"]["depths"]),
+                                   forest.minInstancesPerNode: list(use["Random Forest"]["min_leaf"])}),
+        "XGBoost": (boosted, boosted_axis),
     }
-    fitted = {}
-    for name, (est, grid) in grids.items():
-        if name == "SVM":
-            fitted[name] = (L.fit_svm(train, "label_idx", C=1.0, kernel="linear", max_iter=50) if fast
-                            else L.svm_grid_search(train, "label_idx", key, folds=folds, seed=seed)[0])
-        elif isinstance(grid, dict):
-            fitted[name] = L.grid_search(est, grid, train, "label_idx", folds, "accuracy", parallelism, seed,
-                                         stratify_key=key).bestModel
-        elif grid is None:
-            fitted[name] = est.fit(train)
-        else:
-            fitted[name] = L.grid_search(est, grid(est), train, "label_idx", folds, "accuracy", parallelism, seed,
-                                         stratify_key=key).bestModel
+    fitted = {name: L.grid_search(est, grid, train, "label_idx", folds, "accuracy", parallelism, seed, stratify_key=key).bestModel
+              for name, (est, grid) in tuned.items()}
+    fitted["SVM"] = L.svm_grid_search(train, "label_idx", key, folds=folds, seed=seed, **use["SVM"])[0]
+    if out_dir:
+        from cohort_spark.sources.tables import append_metrics, save_model
+
+        for name, m in fitted.items():
+            save_model(m, f"{out_dir}/{name.replace(' ', '_')}")
     keep = [key, "label_idx", *sensitive, age]
     safe = {c: f"_k{i}" for i, c in enumerate(keep)}  # Spark ML selects by name; dotted names would not resolve
     val_m = val.select(*[qcol(c).alias(safe[c]) for c in keep], "features")
@@ -211,10 +217,12 @@ def model_flow(df: DataFrame, *, key: str, label: str, features: Sequence[str],
     ranking = model_ranking(acc, report)
     best = select_best(ranking)
     best_name = best.collect()[0]["model_name"]
-    test_m = test.select("label_idx", "features")  # only plain names reach the one-vs-rest models
-    test_report = classification_report(fitted[best_name].transform(test_m), "label_idx", "prediction")
+    evaluation = evaluate_model(fitted[best_name], test, "label_idx")
+    if out_dir:
+        append_metrics(acc.select(F.lit(run).alias("run"), "model", F.lit("validation_accuracy").alias("metric"),
+                                  F.col("accuracy").alias("value")), f"{out_dir}/metrics")
     return {"checks": checks, "accuracies": acc, "bias_report": report, "ranking": ranking, "best": best,
-            "test_report": test_report, "models": fitted}
+            "evaluation": evaluation, "test_report": evaluation["report"], "models": fitted}
 
 
 def score_records(records: DataFrame, record_col: str, names: Sequence[str], pre, model,
@@ -227,5 +235,5 @@ def score_records(records: DataFrame, record_col: str, names: Sequence[str], pre
     from cohort_spark.operators.models import assemble, predict_batch
 
     parsed = parse_feature_record(records, record_col, names)
-    prepared = apply_preprocessor(parsed, pre, impute=False)
+    prepared = apply_preprocessor(parsed, pre)
     return predict_batch(model, assemble(prepared, pre.feature_columns()), keep)

@@ -353,7 +353,10 @@ def q_chi2_drift(spark, sf):
 def q_drift_report(spark, sf):
     a, b = events_ab(spark, sf)
     cols = ["value", "user_id", "event_type"]
-    return C.drift_report(a.select(*cols), b.select(*cols))[0]
+    per, summary = C.drift_report(a.select(*cols), b.select(*cols))
+    return per.unionByName(summary.select(F.lit("(dataset)").alias("column"), F.lit("share").alias("test"), F.col("share_drifted").alias("statistic"),
+                                          F.lit(None).cast("double").alias("p_value"), F.col("dataset_drift").alias("drift"),
+                                          F.lit(None).cast("double").alias("distance")))
 
 
 @query("feature_drift_score", f"""SELECT "column", 'ks' AS method, statistic AS score FROM (
@@ -509,6 +512,12 @@ def q_feature_flow(spark, sf):
     return out
 
 
+#: One or two settings per classifier, given by this caller to end in minutes; the flow's default grids are the full ones.
+SMALL_GRIDS = {"Logistic Regression": {"C": (0.1, 1.0), "max_iter": (50,)}, "Random Forest": {"trees": (20,), "depths": (5,), "min_leaf": (1,)},
+               "XGBoost": {"depths": (3,), "steps": (0.1,), "iters": (10,), "subsamples": (1.0,)},
+               "SVM": {"Cs": (1.0,), "kernels": ("linear",), "gammas": ("scale",), "max_iter": 20}}
+
+
 @query("model_flow")
 def q_model_flow(spark, sf):
     e = tb(spark, sf, "embeddings")
@@ -519,7 +528,7 @@ def q_model_flow(spark, sf):
                     (F.col("vec_id") % 2 == 1).cast("double").alias("SEX_1.0"),
                     (40 + F.col("vec_id") % 45).cast("double").alias("ENROLL_AGE"))
     res = flows.model_flow(wide, key="vec_id", label="COHORT", features=names, sensitive=["SEX_0.0", "SEX_1.0"],
-                           age="ENROLL_AGE")
+                           age="ENROLL_AGE", grids=SMALL_GRIDS, folds=2)
     return res["ranking"]
 
 

@@ -87,3 +87,26 @@ def test_isolation_forest_on_repeated_rows_and_internal_names(spark):
     tails = spark.range(200).select((1e6 + F.col("id") % 5).alias("v"))
     out = O.outlier_isolation_median(base.unionByName(tails), ["v"], share=0.05, n_trees=50)
     assert out.count() == 20200 and out.where("v > 5000").count() == 0
+
+
+def test_preprocessor_fills_unseen_rows_from_the_fitted_ones(spark, tmp_path):
+    from cohort_spark.operators.encode import apply_preprocessor, fit_preprocessor
+    from cohort_spark.sources import load_preprocessor, save_preprocessor
+
+    fit = spark.createDataFrame([(i, float(i), float(i % 3), float(i % 3)) for i in range(60)], "k long, x double, a double, b double")
+    pre = fit_preprocessor(fit, ["x"], ["a", "b"])
+    pre = load_preprocessor(spark, save_preprocessor(spark, pre, str(tmp_path / "pre")))
+    one = spark.createDataFrame([(100, 5.0, None, 2.0), (101, 5.0, None, None)], "k long, x double, a double, b double")
+    out = {r.k: r for r in apply_preprocessor(one, pre).collect()}
+    assert [out[100][f"a_{v}.0"] for v in range(3)] == [0.0, 0.0, 1.0]
+    assert [out[101][f"a_{v}.0"] for v in range(3)] == [0.0, 1.0, 0.0]  # no comparable donor: the mean of the fit
+
+
+def test_rbf_svm_is_saved_and_loaded(spark, tmp_path):
+    from cohort_spark.operators.models import assemble, fit_svm
+    from cohort_spark.sources import load_model, save_model
+
+    df = assemble(spark.createDataFrame([(float(i % 2), float(i % 2) + 0.01 * i, 1.0 - i % 2) for i in range(40)], "label double, a double, b double"), ["a", "b"])
+    model = fit_svm(df, kernel="rbf", n_components=16, max_iter=5)
+    loaded = load_model(save_model(model, str(tmp_path / "svm")))
+    assert [r.prediction for r in loaded.transform(df).collect()] == [r.prediction for r in model.transform(df).collect()]
