@@ -143,13 +143,55 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     counts: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
     """``(column, q, value)``: linear-interpolation quantiles (pandas / ``percentile`` / ``quantile_cont``).
 
-    A selection, not a sort: distinct-value counts are range-partitioned by
-    (column, value); the per-partition totals (one number per partition and
-    column) locate the partitions holding the wanted positions, and only those
-    partitions are ranked. No task holds all values of a column.
+    A selection, not a sort. Without ``counts``: one scan brackets every wanted position between two
+    approximate percentiles, one scan counts the rows below each bracket and aggregates the values inside
+    it, and only that narrow band (some ten-thousandths of the rows per position) is put in order; no
+    exchange carries the table. With ``counts`` (distinct values that the caller has already counted):
+    they are range-partitioned by (column, value), and only the partitions that hold wanted positions are
+    ranked. In either way no task holds all values of a column.
     """
-    vc = counts if counts is not None else value_counts_long(df, cols)
-    return quantiles_of_ranged(ranged_counts(vc, _partitions(df, partitions)), probs)
+    if counts is not None:
+        return quantiles_of_ranged(ranged_counts(counts, _partitions(df, partitions)), probs)
+    return _bracketed_quantiles(df, cols, [float(q) for q in probs])
+
+
+BRACKET_ACCURACY = 10_000  # of percentile_approx: its rank error is at most one ten-thousandth of the rows
+
+
+def _bracketed_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles from brackets; a bracket that misses its position is widened and tried again."""
+    import math
+
+    spark = df.sparkSession
+    x = df.select(*[qcol(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    rows_of = fused_single_row(x, {f"n{i}": F.count(f"x{i}") for i in range(len(cols))})
+    todo, found, slack = [(i, q) for i in range(len(cols)) if rows_of[f"n{i}"] for q in probs], {}, 2.0 / BRACKET_ACCURACY
+    while todo:
+        ends = fused_single_row(x, {f"e{k}": F.percentile_approx(f"x{i}", F.array(F.lit(max(0.0, q - slack)), F.lit(min(1.0, q + slack))), F.lit(BRACKET_ACCURACY))
+                                    for k, (i, q) in enumerate(todo)})
+        low = [ends[f"e{k}"][0] if q - slack > 0 else None for k, (_, q) in enumerate(todo)]  # None: open
+        high = [ends[f"e{k}"][1] if q + slack < 1 else None for k, (_, q) in enumerate(todo)]
+        below = fused_single_row(x, {f"b{k}": F.count_if(F.col(f"x{i}") < F.lit(low[k])) if low[k] is not None else F.lit(0).cast("long")
+                                     for k, (i, _) in enumerate(todo)} | {"rows": F.count(F.lit(1))})
+        inside = [F.when((F.col(f"x{i}") >= F.lit(low[k]) if low[k] is not None else F.col(f"x{i}").isNotNull())
+                         & (F.col(f"x{i}") <= F.lit(high[k]) if high[k] is not None else F.lit(True)),
+                         F.struct(F.lit(k).alias("k"), F.col(f"x{i}").alias("v"))) for k, (i, _) in enumerate(todo)]
+        band = x.select(F.explode(F.array_compact(F.array(*inside))).alias("s")).groupBy("s.k", "s.v").agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+        pos = {k: q * (rows_of[f"n{i}"] - 1) for k, (i, q) in enumerate(todo)}
+        wanted = spark.createDataFrame([(k, int(side) - below[f"b{k}"]) for k, p in pos.items() for side in {math.floor(p), math.ceil(p)}], "k int, at long")
+        hit = (band.withColumn("upto", upto).join(F.broadcast(wanted), "k")  # columns x probabilities x 2
+               .where((F.col("at") < F.col("upto")) & (F.col("at") >= F.col("upto") - F.col("n"))).select("k", "at", "v").collect())
+        value = {(r["k"], r["at"] + below[f"b{r['k']}"]): r["v"] for r in hit}
+        missed = []
+        for k, (i, q) in enumerate(todo):
+            a, b = (value.get((k, f(pos[k]))) for f in (math.floor, math.ceil))
+            if a is None or b is None:
+                missed.append((i, q))
+            else:
+                found[i, q] = a + (pos[k] - math.floor(pos[k])) * (b - a)
+        todo, slack = missed, slack * 16
+    return spark.createDataFrame([(cols[i], q, v) for (i, q), v in sorted(found.items())], "column string, q double, value double")
 
 
 def ranged_counts(vc: DataFrame, partitions: int) -> DataFrame:
