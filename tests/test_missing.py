@@ -1,4 +1,4 @@
-"""Missing values on the reference's literal fixture (nulls 2, 2, 1, 5, 1, 2)."""
+"""Missing values on a literal table (nulls 2, 2, 1, 5, 1, 2)."""
 
 import pytest
 from pyspark.sql import Window
@@ -6,16 +6,14 @@ from pyspark.sql import functions as F
 
 from cohort_spark.operators import missing as M
 from cohort_spark.operators import stats as A
+from fixed_values import MISSING, rows
 
-NAN = None
-ROWS = list(zip([1.0, NAN, 3.0, NAN, 5.0], [NAN, 2.0, NAN, 4.0, 5.0], [1.0, 2.0, 3.0, 4.0, NAN],
-                [NAN] * 5, [1.0, 2.0, NAN, 4.0, 5.0], [10.0, NAN, 30.0, NAN, 50.0]))
 SCHEMA = "AV133STDY double, TAUSTDY double, GAITSTDY double, PISTDY double, NP4DYSTN double, NP4TOT double"
 
 
 @pytest.fixture()
 def data(spark):
-    return spark.createDataFrame(ROWS, SCHEMA)
+    return spark.createDataFrame(rows(MISSING), SCHEMA)
 
 
 def test_identify(data):

@@ -1,17 +1,15 @@
-"""Outlier treatment on the reference's literal fixture."""
+"""Outlier treatment on a literal table."""
 
 import pytest
 from pyspark.sql import functions as F
 
 from cohort_spark.operators import outliers as O
-
-ROWS = list(zip([20, 25, 22, 100, 24, 23, 21, 150, 26, 200], [1, 2, 1, 15, 2, 1, 2, 20, 1, 2],
-                [2, 3, 2, 20, 3, 2, 3, 25, 2, 30], [65, 70, 68, 150, 67, 71, 69, 25, 72, 200], [1] * 10))
+from fixed_values import OUTLIERS, rows
 
 
 @pytest.fixture()
 def data(spark):
-    return spark.createDataFrame(ROWS, "NP3TOT long, NP2SPCH long, NP1DPRS long, ENROLL_AGE long, COHORT long")
+    return spark.createDataFrame(rows(OUTLIERS), "NP3TOT long, NP2SPCH long, NP1DPRS long, ENROLL_AGE long, COHORT long")
 
 
 def test_iqr(data):

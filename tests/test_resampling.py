@@ -1,13 +1,12 @@
-"""Age bins and resampling on the reference's literal fixture."""
+"""Age bins and resampling on a literal table."""
 
 from cohort_spark.functions.scalar import cut_labels
 from cohort_spark.operators import sample as R
-
-ROWS = list(zip([45, 55, 65, 75, 85, 65, 75, 85, 65, 75], "ABCDEFGHIJ"))
+from fixed_values import AGES, rows
 
 
 def frame(spark):
-    return spark.createDataFrame(ROWS, "ENROLL_AGE long, OTHER_COLUMN string")
+    return spark.createDataFrame(rows(AGES), "ENROLL_AGE long, OTHER_COLUMN string")
 
 
 def test_groups(spark):
