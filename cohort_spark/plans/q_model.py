@@ -56,9 +56,13 @@ def _over_sql(group, n, seed=1):
  WHERE g.r = ('0x' || substr(md5('{seed}:' || d.j::VARCHAR), 1, 8))::BIGINT % mm.m + 1)"""
 
 
-@query("undersample", f"SELECT * FROM {_under_sql('60-69', 100)}")
+HALF = f"(SELECT count(*) // 2 FROM {CUST_GROUPS} WHERE Age_Group = '60-69')"
+
+
+@query("undersample", f"SELECT * FROM {_under_sql('60-69', HALF)}")
 def q_undersample(spark, sf):
-    return R.undersample(customer_groups(spark, sf), "Age_Group", "60-69", 100, "c_custkey", 1)
+    groups = customer_groups(spark, sf)
+    return R.undersample(groups, "Age_Group", "60-69", groups.where("Age_Group = '60-69'").count() // 2, "c_custkey", 1)
 
 
 @query("oversample", f"SELECT * FROM {_over_sql('80 and above', 500)}")
