@@ -195,9 +195,10 @@ def model_flow(df: DataFrame, *, key: str, label: str, features: Sequence[str],
                                    forest.minInstancesPerNode: list(use["Random Forest"]["min_leaf"])}),
         "XGBoost": (boosted, boosted_axis),
     }
-    fitted = {name: L.grid_search(est, grid, train, "label_idx", folds, "accuracy", parallelism, seed, stratify_key=key).bestModel
+    plain = train.select(qcol(key).alias("_key"), "label_idx", "features")  # Spark ML resolves columns by name: no dotted ones
+    fitted = {name: L.grid_search(est, grid, plain, "label_idx", folds, "accuracy", parallelism, seed, stratify_key="_key").bestModel
               for name, (est, grid) in tuned.items()}
-    fitted["SVM"] = L.svm_grid_search(train, "label_idx", key, folds=folds, seed=seed, **use["SVM"])[0]
+    fitted["SVM"] = L.svm_grid_search(plain, "label_idx", "_key", folds=folds, seed=seed, **use["SVM"])[0]
     if out_dir:
         from cohort_spark.sources.tables import append_metrics, save_model
 

@@ -518,8 +518,8 @@ def q_feature_flow(spark, sf):
 
 #: One or two settings per classifier, given by this caller to end in minutes; the flow's default grids are the full ones.
 SMALL_GRIDS = {"Logistic Regression": {"C": (0.1, 1.0), "max_iter": (50,)}, "Random Forest": {"trees": (20,), "depths": (5,), "min_leaf": (1,)},
-               "XGBoost": {"depths": (3,), "steps": (0.1,), "iters": (10,), "subsamples": (1.0,)},
-               "SVM": {"Cs": (1.0,), "kernels": ("linear",), "gammas": ("scale",), "max_iter": 20}}
+               "XGBoost": {"depths": (3,), "steps": (0.1,), "iters": (5,), "subsamples": (1.0,)},
+               "SVM": {"Cs": (1.0,), "kernels": ("linear",), "gammas": ("scale",), "max_iter": 10}}
 
 
 @query("model_flow")
