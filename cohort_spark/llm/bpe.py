@@ -1,9 +1,10 @@
 """Operator 4, byte-level BPE by a global shuffle of distinct words.
 
-Texts are split into pre-tokens. The distinct pre-tokens of each block of texts are shuffled by word; where equal words of
-all blocks meet they are encoded once, and the ids go back to their blocks, in which every text is reassembled by the
-positions of its words. A word therefore crosses the network once per block instead of once per occurrence, and a frequent
-word costs one row per block, so no word is hot. Decoding joins ids with the token-byte table, which has one row per token.
+Texts are split into pre-tokens. The distinct pre-tokens of each block of texts are shuffled by word (in rows that hold a
+block's words of one hash bucket); where equal words of all blocks meet they are encoded once, and the ids go back to
+their blocks, in which every text is reassembled by the positions of its words. A word therefore crosses the network once
+per block instead of once per occurrence, so no word is hot. Decoding joins the ids with the token-byte table, which has one
+row per token.
 
 The rank file is a parameter; it is read on the driver and broadcast (one entry per token of the vocabulary). Inputs must be
 stable tables (files, checkpoints): the blocks are formed twice, once for the words and once for the positions, and are
@@ -15,7 +16,10 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+import itertools
+import re
+import zlib
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +28,7 @@ from pyspark.sql import functions as F
 
 from cohort_spark.llm.common import pick
 
-BLOCK_CHARS = 32_000_000  # a block ends once its texts have so many characters; it holds at least one text
+BLOCK_CHARS = 12_000_000  # a block ends once its texts have so many characters; it holds at least one text
 CHUNK = 200_000  # words of a text that are reassembled at once
 
 
@@ -41,16 +45,17 @@ def bpe(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     n = len(word)
     if n > 100:
         return _bpe_long(word, ranks)
+    none = len(ranks) + 1
     parts = [word[i:i + 1] for i in range(n)]
-    while len(parts) > 1:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            r = ranks.get(parts[i] + parts[i + 1])
-            if r is not None and (best is None or r < best):
-                best, at = r, i
-        if best is None:
-            break
-        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    pairs = [ranks.get(word[i:i + 2], none) for i in range(n - 1)]
+    while pairs and (best := min(pairs)) != none:
+        i = pairs.index(best)
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        del pairs[i]
+        if i:
+            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
+        if i < len(pairs):
+            pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
     return [ranks[p] for p in parts]
 
 
@@ -80,49 +85,89 @@ def _bpe_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:end[i]]] for i in range(n) if alive[i]]
 
 
+WHITE_AT_SPACE = re.compile(r"\s |[ ]\s|^ | $")  # where a space is next to white space, or ends the text
+LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+
+
+def segments(s: str) -> list[str]:
+    """The text cut at its single spaces between non-space characters. No pre-token runs across such a place, and each
+    begins with the space, so a segment's pre-tokens don't depend on its neighbours and need to be found once per block."""
+    return LONE_SPACE.split(s) if WHITE_AT_SPACE.search(s) else s.split(" ")
+
+
 class _Block:
-    """Texts of one block: ids, word numbers, distinct words, and a digest of the content as its key."""
+    """Distinct segments (first ones of texts, and others, which follow a space) and a digest of the content as key;
+    with ``places``, also the ids and the segment numbers of each text."""
 
-    def __init__(self):
-        self.ids, self.texts, self.number, self.size, self._digest = [], [], {}, 0, hashlib.blake2b(digest_size=8)
+    def __init__(self, places: bool):
+        self.size, self._digest, self.texts, self.ids = 0, hashlib.blake2b(digest_size=8), [], []
+        count = itertools.count()
+        self.first: dict = defaultdict(count.__next__) if places else {}
+        self.after: dict = defaultdict(count.__next__) if places else {}
+        self._places = places
 
-    def add(self, i, s: str, found: list[str]) -> None:
+    def add(self, i, s: str) -> None:
         self._digest.update(repr((i.as_py(), len(s))).encode())
         self._digest.update(s.encode("utf-8", "surrogatepass"))
-        number = self.number
-        for w in found:
-            if w not in number:
-                number[w] = len(number)
-        self.ids.append(i)
-        self.texts.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
-        self.size += len(s)
-
-    def close(self) -> tuple[int, list, list[np.ndarray], list[str]]:
-        """Key, ids, word numbers per text, words; numbers by falling frequency, which packs them well."""
-        words = list(self.number)
-        counts = np.zeros(len(words), np.int64)
-        for t in self.texts:
-            np.add.at(counts, t, 1) if len(t) < 64 else np.add(counts, np.bincount(t, minlength=len(words)), out=counts)
-        order = np.argsort(-counts, kind="stable")
-        rank = np.empty(len(words), np.int32)
-        rank[order] = np.arange(len(words), dtype=np.int32)
-        return (int.from_bytes(self._digest.digest(), "little", signed=True), self.ids, [rank[t] for t in self.texts],
-                [words[i] for i in order])
-
-
-def _blocks(batches, pattern: str) -> Iterator[tuple[int, list, list[np.ndarray], list[str]]]:
+        parts = segments(s)
+        if self._places:
+            self.ids.append(i)
+            where = np.empty(len(parts), np.int32)
+            where[0] = self.first[parts[0]]
+            where[1:] = np.fromiter(map(self.after.__getitem__, parts[1:]), np.int32, len(parts) - 1)
+            self.texts.append(where)
+        else:
+            self.first[parts[0]] = 0
+            self.after.update(dict.fromkeys(parts[1:], 0))
+        self.size += max(1, len(s))
+
+    def key(self) -> int:
+        return int.from_bytes(self._digest.digest(), "little", signed=True)
+
+    def words(self, split) -> dict[str, int]:
+        """The distinct pre-tokens; with ``places``, also ``flat`` and ``start``: word numbers of each segment."""
+        number: dict = defaultdict(itertools.count().__next__)
+        if not self._places:
+            for p in self.first:
+                for w in split(p):
+                    number[w]
+            for p in self.after:
+                for w in split(" " + p):
+                    number[w]
+            return number
+        found: list = [None] * (len(self.first) + len(self.after))
+        for p, k in self.first.items():
+            found[k] = [number[w] for w in split(p)]
+        for p, k in self.after.items():
+            found[k] = [number[w] for w in split(" " + p)]
+        self.start = np.concatenate([[0], np.cumsum([len(f) for f in found], dtype=np.int64)])
+        self.flat = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(self.start[-1]))
+        return number
+
+
+def _blocks(batches, pattern: str, places: bool):
     import regex
 
-    split, block = regex.compile(pattern).findall, _Block()
+    split, block = regex.compile(pattern).findall, _Block(places)
     for b in batches:
         for i, text in zip(b.column("id"), b.column("text")):
-            s = text.as_py() or ""
-            block.add(i, s, split(s))
+            block.add(i, text.as_py() or "")
             if block.size >= BLOCK_CHARS:
-                yield block.close()
-                block = _Block()
-    if block.ids:
-        yield block.close()
+                yield block, block.words(split)
+                block = _Block(places)
+    if block.size:
+        yield block, block.words(split)
+
+
+def _by_bucket(words, buckets: int) -> list[list[bytes]]:
+    """The words of a block by hash bucket, sorted: the same order wherever it is formed."""
+    out: list[list[bytes]] = [[] for _ in range(buckets)]
+    for w in words:
+        raw = w.encode("utf-8", "surrogatepass")
+        out[zlib.crc32(raw) % buckets].append(raw)
+    for x in out:
+        x.sort()
+    return out
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -137,39 +182,67 @@ def _unpack(raw: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
-def _words_out(pattern: str):
+def _words_out(pattern: str, buckets: int):
+    """A row per block and hash bucket with its words (lengths, bytes)."""
     def run(batches):
-        for key, _, _, words in _blocks(batches, pattern):
-            for at in range(0, len(words), 100_000):
-                part = words[at:at + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array([key] * len(part), pa.int64()), pa.array(range(at, at + len(part)), pa.int32()),
-                                                  pa.array([w.encode() for w in part], pa.binary())], names=["block", "idx", "word"])
+        for block, words in _blocks(batches, pattern, False):
+            rows = [(k, x) for k, x in enumerate(_by_bucket(words, buckets)) if x]
+            raw = [b"".join(x) for _, x in rows]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block.key()] * len(rows), pa.int64()), pa.array([k for k, _ in rows], pa.int32()), pa.array([len(x) for _, x in rows], pa.int64()),
+                 pa.array([_pack(np.array([len(w) for w in x])) for _, x in rows], pa.binary()), pa.array([len(r) for r in raw], pa.int64()),
+                 pa.array([pa.compress(r, codec="zstd", asbytes=True) for r in raw], pa.binary())], names=["block", "bucket", "n", "sizes", "n_bytes", "raw"])
     return run
 
 
-def _texts_out(pattern: str):
+def _texts_out(pattern: str, buckets: int):
+    """Per text the numbers of its words (by falling frequency in the block, which packs well), and per block, as a row with
+    ``n = -1 - number of words``, the place of each number among the words as ``_words_out`` orders them."""
     def run(batches):
-        for key, ids, texts, _ in _blocks(batches, pattern):
-            for at in range(0, len(ids), 2_000):
-                part = texts[at:at + 2_000]
+        for block, number in _blocks(batches, pattern, True):
+            uses = np.bincount(np.concatenate(block.texts), minlength=len(block.start) - 1)
+            counts = np.bincount(block.flat, np.repeat(uses, np.diff(block.start)), minlength=len(number)) if len(number) else np.zeros(0)
+            order = np.argsort(-counts, kind="stable")
+            rank = np.empty(len(number), np.int64)
+            rank[order] = np.arange(len(number))
+            ordered = [w for x in _by_bucket(number, buckets) for w in x]
+            place = {w: k for k, w in enumerate(ordered)}
+            names = np.fromiter((place[w.encode("utf-8", "surrogatepass")] for w in number), np.int64, len(number))  # by number
+            kind, key = block.ids[0].type, block.key()
+            yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([None], kind), pa.array([-1 - len(number)], pa.int64()),
+                                              pa.array([_pack(names[order])], pa.binary())], names=["block", "id", "n", "places"])
+            for at in range(0, len(block.ids), 2_000):
+                part = [rank[_gather(block.flat, block.start, t)] for t in block.texts[at:at + 2_000]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([key] * len(part), pa.int64()), pa.array([i.as_py() for i in ids[at:at + 2_000]], ids[0].type),
+                    [pa.array([key] * len(part), pa.int64()), pa.array([i.as_py() for i in block.ids[at:at + 2_000]], kind),
                      pa.array([len(t) for t in part], pa.int64()), pa.array([_pack(t) for t in part], pa.binary())],
                     names=["block", "id", "n", "places"])
     return run
 
 
-def _encode_sorted(ranks):
-    """Ids of each row's word; rows arrive sorted by word, so every distinct word is encoded once."""
+def _encode_buckets(ranks):
+    """Ids of the words of each row. Rows of a bucket arrive together; a distinct word is encoded once."""
     def run(batches):
-        table, last, ids = ranks.value, None, b""
+        table, known, now = ranks.value, {}, None
         for b in batches:
-            out = []
-            for w in b.column("word").to_pylist():
-                if w != last:
-                    last, ids = w, np.array(bpe(w, table), "<u4").tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("idx"), pa.array(out, pa.binary())], names=["block", "idx", "ids"])
+            sizes, packed, ids_n = [], [], []
+            for bucket, n, lengths, n_bytes, raw in zip(*(b.column(c).to_pylist() for c in ("bucket", "n", "sizes", "n_bytes", "raw"))):
+                if bucket != now:
+                    known, now = {}, bucket
+                data, at, flat, counts = pa.decompress(raw, n_bytes, codec="zstd", asbytes=True), 0, [], []
+                for k in _unpack(lengths, n).tolist():
+                    w = data[at:at + k]
+                    at += k
+                    ids = known.get(w)
+                    if ids is None:
+                        ids = known[w] = bpe(w, table)
+                    flat += ids
+                    counts.append(len(ids))
+                sizes.append(_pack(np.array(counts)))
+                packed.append(_pack(np.array(flat)))
+                ids_n.append(len(flat))
+            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("bucket"), b.column("n"), pa.array(sizes, pa.binary()),
+                                              pa.array(ids_n, pa.int64()), pa.array(packed, pa.binary())], names=["block", "bucket", "n", "sizes", "n_ids", "ids"])
     return run
 
 
@@ -190,15 +263,20 @@ def _reassemble(tokens, digests: bool):
     def run(key, texts, words):
         import pandas as pd
 
-        words = words.drop_duplicates("idx").sort_values("idx")  # equal blocks send equal words
-        flat, start = _pieces(list(words["ids"]), "<u4")
+        words = words.drop_duplicates("bucket").sort_values("bucket")  # equal blocks send equal rows
+        order = texts[texts["n"] < 0]
+        texts = texts[texts["n"] >= 0]
+        n_words = -1 - int(order["n"].iloc[0])
+        if int(words["n"].sum()) != n_words:
+            raise RuntimeError(f"block {key[0]} was formed differently for words and positions: the input is not a stable table")
+        flat = np.concatenate([_unpack(r, n) for r, n in zip(words["ids"], words["n_ids"])] or [np.zeros(0, np.int64)]).astype("<u4")
+        start = np.concatenate([[0], *[_unpack(r, n) for r, n in zip(words["sizes"], words["n"])]]).cumsum()
+        names = _unpack(order["places"].iloc[0], n_words) if n_words else np.zeros(0, np.int64)
         if digests:
             token_bytes, token_start = tokens.value
         rows = []
         for i, n, raw in zip(texts["id"], texts["n"], texts["places"]):
-            places = _unpack(raw, n)
-            if n and (places.max() >= len(words) or len(words) != int(words["idx"].iloc[-1]) + 1):
-                raise RuntimeError(f"block {key[0]} was formed differently for words and positions: the input is not a stable table")
+            places = names[_unpack(raw, n)]
             count, a, b, ids = 0, hashlib.sha256(), hashlib.sha256(), []
             for at in range(0, n, CHUNK):
                 part = _gather(flat, start, places[at:at + CHUNK])
@@ -226,6 +304,7 @@ def bpe_encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc
     decoded_sha256)``: SHA-256 of the ids as little-endian unsigned 32-bit integers and of the bytes that they decode to.
 
     Each match of ``pattern`` in the whole text is encoded by itself, as the tiktoken library would, without special tokens.
+    No match may run from a non-space character over a space (true of the customary patterns).
     Null or empty text: no ids. Repeated rows give repeated rows; null ids stay. Columns besides the two named are ignored.
     Empty table: empty result. A very long text is one block and is reassembled in chunks.
     """
@@ -234,9 +313,11 @@ def bpe_encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc
     ranks, tokens = sc.broadcast(table), sc.broadcast(_token_table(table)) if digests else None
     src = pick(docs, id=id_col, text=text_col)
     kind = dict(src.dtypes)["id"]
-    words = (src.mapInArrow(_words_out(pattern), "block long, idx int, word binary").repartition("word").sortWithinPartitions("word")
-             .mapInArrow(_encode_sorted(ranks), "block long, idx int, ids binary"))
-    texts = src.mapInArrow(_texts_out(pattern), f"block long, id {kind}, n long, places binary")
+    buckets = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    words = (src.mapInArrow(_words_out(pattern, buckets), "block long, bucket int, n long, sizes binary, n_bytes long, raw binary")
+             .repartition("bucket").sortWithinPartitions("bucket")
+             .mapInArrow(_encode_buckets(ranks), "block long, bucket int, n long, sizes binary, n_ids long, ids binary"))
+    texts = src.mapInArrow(_texts_out(pattern, buckets), f"block long, id {kind}, n long, places binary")
     out = texts.groupBy("block").cogroup(words.groupBy("block")).applyInPandas(
         _reassemble(tokens, digests), f"id {kind}, n_tokens long, " + ("ids_sha256 string, decoded_sha256 string" if digests else "ids array<long>"))
     return out.withColumnRenamed("id", id_col)
