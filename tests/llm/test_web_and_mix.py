@@ -301,6 +301,22 @@ def test_pipeline_stages(spark, docs):
     assert public_tokenizers.path(corpus_pipeline.RANKS)
 
 
+def test_pipeline_drops_near_copies_from_similarity_80(spark):
+    """Pairs of 0.72 to 0.9, most between 0.80 and 0.85, against brute force at 80."""
+    rng = random.Random(11)
+    rows = []
+    for k in range(240):  # one end replaced: 96 shingles, of which c are new
+        w = [f"w{k}x{i}" for i in range(100)]
+        c = rng.choice((5, 9, 10, 10, 10, 11, 16))
+        rows += [w, w[:100 - c] + [f"v{k}x{i}" for i in range(c)]]
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in rows]
+    near = [100 * len(a & b) >= 80 * len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    want = {i for k, linked in enumerate(near) for i in ([2 * k] if linked else [2 * k, 2 * k + 1])}
+    assert any(100 * len(a & b) < 85 * len(a | b) for n, a, b in zip(near, sets[::2], sets[1::2]) if n) and not all(near)
+    df = spark.createDataFrame([(i, " ".join(w), "s") for i, w in enumerate(rows)], "doc_id long, text string, source string")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, corpus_pipeline.stage(df, "near"), SF).collect()} == want
+
+
 def test_pipeline_edges(spark, odd_docs, no_docs):
     for df in (odd_docs.withColumn("n_chars", F.lit(1).cast("long")), no_docs):
         table = corpus_pipeline.stage(df, "odd")
