@@ -2,8 +2,8 @@
 
 Each line is normalised (A-Z lower-cased; digits, ASCII marks and white space dropped) and hashed; per host the
 documents that hold it are counted. Lines above the limit are boilerplate and are removed; a document that they
-deplete is rejected. Copies must not make each other's text boilerplate, so documents are counted by content: by the
-smallest hash of their 5-word shingles (a one-row minhash), which exact copies share always and near copies mostly.
+deplete is rejected. Copies must not make each other's text boilerplate, so documents are counted by content: by a hash of
+the whole text, which exact copies share and different documents don't, however many lines they have in common.
 """
 
 from __future__ import annotations
@@ -52,19 +52,17 @@ def _lines(batches):
     """(host line key, host key, content) of every line with letters, and one row per document for its host's total."""
     import xxhash
 
-    hasher, one = WordHasher(), xxhash.xxh64_intdigest
-    hosts: dict = {}
+    one, hosts = xxhash.xxh64_intdigest, {}
     for b in batches:
         rows = set()
         for text, host in zip(b.column("text"), b.column("host")):
             raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-            words = raw.split()
-            if not words:
+            if not raw.strip():
                 continue
             h = host.as_py()
             if h not in hosts:
                 hosts[h] = _host_line(h, 0, one)
-            content = int(window_hashes(hasher(words), 5).min()) - 2**63
+            content = one(raw) - 2**63
             rows.add((hosts[h], hosts[h], content))
             keys = {line_key(x, one) for x in raw.split(b"\n")} - {0}
             mixed = mix64(np.array(list(keys), np.int64).view(np.uint64) ^ np.array([hosts[h]], np.int64).view(np.uint64)).view(np.int64)

@@ -143,3 +143,17 @@ def test_boilerplate_lines(spark):
         assert out[300].n_removed_words == 0  # another host
         texts = by_id(apply_quality_rules(df, broadcast_lines=limit))
         assert common not in texts[0].text and 100 not in texts and texts[101].text == rows[51][1]
+
+
+def test_boilerplate_of_documents_that_are_mostly_boilerplate(spark):
+    """Different documents count each, also if nearly all of their words are the shared line."""
+    import random
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    shared = " ".join(word() for _ in range(49))
+    rows = [(i, " ".join(word() for _ in range(40)), "s") for i in range(90)]
+    rows += [(1000 + i, shared + "\n" + " ".join(word() for _ in range(5)), "s") for i in range(60)]
+    out = by_id(quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")))
+    assert all(out[i].kept and not out[i].n_removed_words for i in range(90))
+    assert all(out[1000 + i].n_removed_words == 49 and not out[1000 + i].kept and not out[1000 + i].base_failed for i in range(60))
