@@ -1,4 +1,4 @@
-"""Operators of a training-data pipeline (ten operators, one module each).
+"""Operators of a training-data pipeline (thirteen operators, one module each).
 
 Nothing outside this subpackage imports it. Their registered queries and SQL are in
 ``queries.py``; ``corpus_pipeline.py`` at the repository top chains five of them.

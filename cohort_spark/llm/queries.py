@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohort_spark.llm.bpe import bpe_encode
 from cohort_spark.llm.embedding_dedup import embedding_dedup
+from cohort_spark.llm.hard_negatives import hard_negatives
 from cohort_spark.llm.html_extract import html_extract
 from cohort_spark.llm.license_scan import license_scan, license_sql
 from cohort_spark.llm.minhash_dedup import minhash_dedup
@@ -118,3 +120,25 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_url_filter")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(tb(spark, sf_dir, "pages"))
+
+
+@_query("op12_hard_negatives", """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, a.e AS anchor, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON len(a.e) = len(b.e) AND (a.vec_id IS DISTINCT FROM b.vec_id OR a.e <> b.e) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, anchor, id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id, anchor ORDER BY score DESC, id NULLS LAST) <= 5
+)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS "rank", s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives AS p JOIN scores AS s ON s.anchor_id = p.anchor_id AND s.anchor = p.anchor AND NOT s.same
+  AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+QUALIFY "rank" <= 5 WINDOW w AS (PARTITION BY p.anchor_id, p.anchor, p.positive_id ORDER BY s.score DESC, s.id NULLS LAST)
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(tb(spark, sf_dir, "embeddings").withColumn("label", noisy))
