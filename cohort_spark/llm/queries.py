@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort_spark.llm.bpe import bpe_encode
+from cohort_spark.llm.conversation_repair import damage_and_repair
 from cohort_spark.llm.embedding_dedup import embedding_dedup
 from cohort_spark.llm.hard_negatives import hard_negatives
 from cohort_spark.llm.html_extract import html_extract
@@ -122,6 +123,62 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(tb(spark, sf_dir, "pages"))
 
 
+@_query("op11_conversation_repair", r"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 AS kind
+  FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM src, unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copies(c) WHERE kind <> 0
+), flagged AS (
+  SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(length(role) || ':' || role || text)) AS rn
+  FROM damaged
+), numbered AS (
+  SELECT conv_id, turn, rn, role, text, CASE WHEN bare = '' THEN 1 WHEN rn > min(rn) OVER (PARTITION BY conv_id, role, text) THEN 2 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+         CASE left(role, 1) WHEN 's' THEN 1 WHEN 'u' THEN 2 WHEN 'a' THEN 3 ELSE 0 END AS ini,
+         left(lag(role) OVER (PARTITION BY conv_id ORDER BY rn), 1) || left(role, 1) AS pair, rn > 1 AS later FROM flagged
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+         count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (later AND pair NOT IN ('su', 'ua', 'au')) AS illegal, max(rn) AS n
+  FROM numbered GROUP BY conv_id
+), inserts(before, spot, price, letters, lines) AS (VALUES
+  (0, 0, 0, '', ''), (0, 2, 2, 'I', chr(10) || 'user:'), (0, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (1, 1, 0, '', ''), (1, 2, 2, 'I', chr(10) || 'user:'), (1, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (2, 2, 0, '', ''), (2, 3, 2, 'I', chr(10) || 'assistant:'), (3, 3, 0, '', ''), (3, 2, 2, 'I', chr(10) || 'user:')
+), walk(conv_id, rn, best) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), struct_pack(cost := CAST(0 AS BIGINT), audit := '', lines := '', state := 0) FROM counts
+  UNION ALL
+  SELECT conv_id, rn, min(way) FROM (
+    SELECT w.conv_id, r.rn, struct_pack(
+        cost := CAST(w.best.cost + i.price + CASE e.edit WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END + CASE WHEN e.edit <> 'D' AND r.fault = 3 THEN 1 ELSE 0 END AS BIGINT),
+        audit := w.best.audit || i.letters || e.edit,
+        lines := w.best.lines || i.lines || CASE e.edit WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || r.role || ':' || r.text
+                 ELSE chr(10) || CASE WHEN i.spot = 2 THEN 'assistant:' ELSE 'user:' END || r.text END,
+        state := CASE e.edit WHEN 'D' THEN i.spot WHEN 'K' THEN r.ini ELSE CASE WHEN i.spot = 2 THEN 3 ELSE 2 END END) AS way
+    FROM walk AS w JOIN numbered AS r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.rn = w.rn + 1
+    JOIN inserts AS i ON i.before = w.best.state
+    JOIN (VALUES ('D'), ('K'), ('R')) AS e(edit)
+      ON e.edit = 'D' OR r.fault NOT IN (1, 2) AND (e.edit = 'R' OR (r.ini = 1 AND i.spot = 0) OR (r.ini = 2 AND i.spot <> 2) OR (r.ini = 3 AND i.spot = 2))
+  ) AS ways GROUP BY conv_id, rn, way.state
+), ends AS (
+  SELECT w.conv_id, min(struct_pack(cost := w.best.cost + t.price, audit := w.best.audit || t.letters, lines := w.best.lines || t.lines)) AS b
+  FROM walk AS w JOIN counts AS c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.rn
+  JOIN inserts AS t ON t.before = w.best.state AND (t.spot = 3 OR t.before = 0 AND t.spot = 0) GROUP BY w.conv_id
+)
+SELECT o.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated,
+       coalesce(c.illegal, 0) AS illegal, coalesce(e.b.cost, 0) AS cost, coalesce(e.b.audit, '') AS audit, sha256(coalesce(substr(e.b.lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o LEFT JOIN counts AS c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN ends AS e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return damage_and_repair(tb(spark, sf_dir, "conversations"))
+
+
 @_query("op12_hard_negatives", """
 WITH v AS (
   SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
