@@ -14,6 +14,7 @@ from cohort_spark.llm.hard_negatives import hard_negatives
 from cohort_spark.llm.html_extract import html_extract
 from cohort_spark.llm.license_scan import license_scan, license_sql
 from cohort_spark.llm.minhash_dedup import minhash_dedup
+from cohort_spark.llm.pii import pii_scan
 from cohort_spark.llm.quality_rules import quality_rules
 from cohort_spark.llm.secret_scan import secret_scan
 from cohort_spark.llm.source_mix import source_mix
@@ -199,3 +200,8 @@ QUALIFY "rank" <= 5 WINDOW w AS (PARTITION BY p.anchor_id, p.anchor, p.positive_
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(tb(spark, sf_dir, "embeddings").withColumn("label", noisy))
+
+
+@_query("op13_pii")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_scan(tb(spark, sf_dir, "documents")).drop("n_added")
