@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohort_spark.functions.names import qcol
 from cohort_spark.operators.columns import columns_of_kind, drop_strict
-from cohort_spark.operators.ordered import exact_quantiles, fused_single_row, modes, value_counts_long
+from cohort_spark.operators.neighbours import MAX_CELLS, nearest_means
+from cohort_spark.operators.ordered import exact_quantiles, fused_single_row, modes, reliable, value_counts_long
 from cohort_spark.operators.stats import missing_ratio_map, small_distinct_counts
 
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -140,35 +141,23 @@ def handle_missing_values(df, identify_only: bool = False, drop_threshold: float
     return _fill(out, values).select(*[rules[c](qcol(c)).alias(c) if callable(rules.get(c)) else qcol(c) for c in kept])
 
 
-KNN_BROADCAST_PATTERNS = 20000  # recipient patterns broadcast per chunk (size-checked)
-KNN_DONOR_BUCKETS = 16  # salt for the per-recipient top-k
-KNN_MAX_MASKS = 64  # presence masks handled by the exact-match stage
-
-
-def _knn_pick(cands: DataFrame, order: list, k: int, target: str, name: str) -> DataFrame:
-    """Mean ``target`` of the first ``k`` donors (with multiplicity ``_cnt``) of each recipient
-    ``_r`` in ``order``: the k first are kept per (recipient, donor bucket), then per recipient."""
-    wb = Window.partitionBy("_r", "_b").orderBy(*order)
-    local = (cands.withColumn("_pre", F.coalesce(F.sum("_cnt").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                                                 F.lit(0))).where(F.col("_pre") < k))
-    w = Window.partitionBy("_r").orderBy(*order)
-    upto = local.withColumn("_before", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                                  F.lit(0)))
-    taken = upto.withColumn("_take", F.greatest(F.least(F.col("_cnt"), F.lit(k) - F.col("_before")), F.lit(0)))
-    return taken.groupBy("_r").agg((F.sum(F.col("_take") * F.col("_d").getField(target)) / F.sum("_take")).alias(name))
+def _present(c: str) -> Column:
+    """The column as a double; NaN is missing too."""
+    v = qcol(c).cast("double")
+    return F.when(~F.isnan(v), v)
 
 
 def knn_donors(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict[str, float]]:
     """What :func:`knn_impute` needs of the rows it was fitted on: their distinct value patterns with counts
     (columns ``_d0``, ``_d1``, … and ``_cnt``) and the column means."""
-    means = fused_single_row(df, {f"m{i}": F.avg(qcol(c).cast("double")) for i, c in enumerate(cols)})
-    patterns = df.groupBy(*[qcol(c).cast("double").alias(f"_d{i}") for i, c in enumerate(cols)]).agg(F.count(F.lit(1)).alias("_cnt"))
+    means = fused_single_row(df, {f"m{i}": F.avg(_present(c)) for i, c in enumerate(cols)})
+    patterns = df.groupBy(*[_present(c).alias(f"_d{i}") for i, c in enumerate(cols)]).agg(F.count(F.lit(1)).alias("_cnt"))
     return patterns, {c: means[f"m{i}"] for i, c in enumerate(cols)}
 
 
-def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5, max_broadcast: int = KNN_BROADCAST_PATTERNS,
+def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5, max_cells: int = MAX_CELLS,
                donors: DataFrame | None = None, means: dict[str, float] | None = None) -> DataFrame:
-    """M6: fill missing values of ``cols`` with the mean of the ``k`` nearest rows that have the value.
+    """M6: fill missing values (NULL or NaN) of ``cols`` with the mean of the ``k`` nearest rows that have the value.
 
     Distance is the NaN-aware Euclidean distance over ``cols``: squared
     differences over the coordinates present in both rows, scaled by
@@ -176,95 +165,37 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5, max_broadcast: in
     original values (not from other imputed columns). A row with no comparable
     donor gets the column mean. Donors are the rows of ``df`` itself, or those that
     ``donors`` and ``means`` (from :func:`knn_donors`) keep of the rows of a fit. Equal distances are ordered by more shared
-    coordinates first, then by the donor's values (smallest first), so the
+    coordinates first, then by the donor's values (smallest first, missing ones last), so the
     result does not depend on row order.
 
-    Scale: rows are first reduced to distinct value patterns with counts.
-    Stage 1 is an equi-join: donors equal to a recipient on all of its present
-    coordinates are at distance 0 with the most shared coordinates, hence its
-    nearest; a recipient with at least ``k`` of them is settled there. Only the
-    remaining recipient patterns reach stage 2, where they are broadcast in
-    size-checked chunks of at most ``max_broadcast`` and compared with the
-    distributed donor patterns; the k nearest are kept per (recipient, donor
-    bucket) before the per-recipient choice.
+    Scale: rows are first reduced to distinct value patterns with counts; the patterns with gaps, all
+    their missing columns at once, look up their donors in the metric index of
+    :mod:`cohort_spark.operators.neighbours`, whatever the number of presence masks.
     """
     cols = list(cols)
-    x = df.withColumn("_pat", F.struct(*[qcol(c).cast("double").alias(c) for c in cols]))
-    ratios = missing_ratio_map(df, cols)
-    means = means or knn_donors(df, cols)[1]
-    d = float(len(cols))
-    filled: dict[int, DataFrame] = {}
-    pats = None
-    for i, c in enumerate(cols):
-        if ratios[c] == 0:
-            continue
-        if pats is None:
-            from cohort_spark.operators.ordered import reliable
-
-            pats = reliable(x.groupBy("_pat").agg(F.count(F.lit(1)).alias("_cnt")))  # distinct patterns, reused
-            given = pats if donors is None else reliable(donors.select(
-                F.struct(*[F.col(f"_d{j}").alias(o) for j, o in enumerate(cols)]).alias("_pat"), "_cnt"))
-        others = [o for o in cols if o != c]
-        rec = pats.where(F.col("_pat").getField(c).isNull()).select(F.col("_pat").alias("_r"))
-        don = given.where(F.col("_pat").getField(c).isNotNull()).select(
-            F.col("_pat").alias("_d"), "_cnt", F.pmod(F.xxhash64("_pat"), F.lit(KNN_DONOR_BUCKETS)).alias("_b"))
-        by_values = [F.col("_d").getField(o).asc_nulls_last() for o in cols]
-        parts = []
-        # stage 1: exact matches on every present coordinate of the recipient (equi-join per presence mask)
-        mask = F.concat_ws("", *[F.when(F.col("_r").getField(o).isNotNull(), "1").otherwise("0") for o in others])
-        masks = [r[0] for r in rec.select(mask.alias("m")).distinct().limit(KNN_MAX_MASKS + 1).collect()]
-        settled = None
-        if 0 < len(masks) <= KNN_MAX_MASKS:
-            matches = None
-            for m in masks:
-                present = [o for o, bit in zip(others, m) if bit == "1"]
-                if not present:
-                    continue
-                rk = rec.where(mask == m).select("_r", F.struct(*[F.col("_r").getField(o) for o in present]).alias("_key"))
-                dk = don.where(F.greatest(*[F.col("_d").getField(o).isNull() for o in present] + [F.lit(False)]) == F.lit(False)) \
-                    .select("_d", "_cnt", "_b", F.struct(*[F.col("_d").getField(o) for o in present]).alias("_key"))
-                mm = rk.join(dk, "_key").drop("_key")  # equi-join on the recipient's present values
-                matches = mm if matches is None else matches.unionByName(mm)
-            if matches is not None:
-                enough = matches.groupBy("_r").agg(F.sum("_cnt").alias("_n0")).where(F.col("_n0") >= k).select("_r")
-                settled = matches.join(enough, matches["_r"].eqNullSafe(enough["_r"]), "left_semi")
-                parts.append(_knn_pick(settled, by_values, k, c, f"_imp{i}"))
-                rec = rec.join(enough, rec["_r"].eqNullSafe(enough["_r"]), "left_anti")
-        # stage 2: remaining recipients against all donors
-        n_rec = rec.count()
-        if n_rec:
-            chunks = max(1, -(-n_rec // max_broadcast))
-            both = [F.col("_r").getField(o).isNotNull() & F.col("_d").getField(o).isNotNull() for o in others]
-            n_common = sum(F.when(b, 1).otherwise(0) for b in both) if both else F.lit(0)
-            ssum = (sum(F.when(b, (F.col("_r").getField(o) - F.col("_d").getField(o)) ** 2).otherwise(0.0)
-                        for b, o in zip(both, others)) if both else F.lit(0.0))
-            order = [F.col("_dist"), F.col("_common").desc()] + by_values
-            for j in range(chunks):
-                rj = rec.where(F.pmod(F.xxhash64("_r"), F.lit(chunks)) == j) if chunks > 1 else rec
-                pairs = (don.join(F.broadcast(rj), how="inner")  # bounded: at most max_broadcast recipient patterns
-                         .select("_r", "_d", "_cnt", "_b", n_common.alias("_common"),
-                                 F.when(n_common > 0, F.sqrt(F.lit(d) / n_common * ssum)).alias("_dist"))
-                         .where(F.col("_dist").isNotNull()))
-                parts.append(_knn_pick(pairs, order, k, c, f"_imp{i}"))
-        if not parts:
-            continue
-        imp = parts[0]
-        for extra in parts[1:]:
-            imp = imp.unionByName(extra)
-        filled[i] = imp
-    if not filled:
-        return _fill(df, {c: means[c] for c in cols if ratios[c] > 0})
-    # one table of imputed values per recipient pattern (pattern-sized), then a single join to the rows
-    table = None
-    for i, imp in filled.items():
-        table = imp if table is None else table.join(imp, table["_r"].eqNullSafe(imp["_r"]), "full_outer").select(
-            F.coalesce(table["_r"], imp["_r"]).alias("_r"), *[F.col(f"_imp{j}") for j in filled if j <= i])
-    out = x.join(table, x["_pat"].eqNullSafe(table["_r"]), "left").drop("_r")
-    for i, c in enumerate(cols):
-        if ratios[c] > 0:
-            fill = F.coalesce(F.col(f"_imp{i}"), F.lit(means[c])) if i in filled else F.lit(means[c])
-            out = out.withColumn(c, F.when(qcol(c).isNull(), fill).otherwise(qcol(c).cast("double")))
-    return out.drop("_pat", *[f"_imp{i}" for i in filled])
+    d = len(cols)
+    if means is None or donors is None:
+        patterns, own = knn_donors(df, cols)
+        donors, means = (patterns if donors is None else donors), means or own
+    names = [f"d{i}" for i in range(d)]
+    missing = fused_single_row(df, {f"n{i}": F.count_if(_present(c).isNull()) for i, c in enumerate(cols)})
+    targets = [i for i in range(d) if missing[f"n{i}"]]
+    out = df
+    if targets:
+        given = reliable(donors.select(*[F.col(f"_d{i}").cast("double").alias(n) for i, n in enumerate(names)], F.col("_cnt").cast("long").alias("cnt")))
+        gaps = F.lit(False)
+        for i in targets:
+            gaps = gaps | _present(cols[i]).isNull()
+        asking = reliable(df.where(gaps).select(*[_present(c).alias(n) for c, n in zip(cols, names)]).distinct()
+                          .withColumn("rid", F.monotonically_increasing_id()))
+        found = nearest_means(asking, given, d, k, targets, max_cells)
+        x = df
+        if found is not None:
+            wide = asking.join(found, "rid").groupBy(F.struct(*names).alias("_r")).agg(*[F.max(F.when(F.col("target") == i, F.col("imp"))).alias(f"_imp{i}") for i in targets])
+            x = df.withColumn("_pat", F.struct(*[_present(c).alias(n) for c, n in zip(cols, names)])).join(wide, F.col("_pat").eqNullSafe(F.col("_r")), "left")
+        fill = {cols[i]: F.coalesce(*([F.col(f"_imp{i}")] if found is not None else []), F.lit(means[cols[i]]).cast("double")) for i in targets}
+        out = x.select(*[F.coalesce(_present(c), fill[c]).alias(c) if c in fill else qcol(c) for c in df.columns])
+    return out
 
 
 def drop_id_columns(df: DataFrame, cols: Sequence[str], numerical: Sequence[str] | None = None):

@@ -51,6 +51,7 @@ DOUBLE_COLUMNS = {'accuracy': ['accuracy'],
  'join_left_dropkey': ['c_acctbal', 's_acctbal'],
  'join_on_group_min': ['o_totalprice'],
  'knn_impute': ['a', 'b', 's'],
+ 'knn_impute_wide': ['a', 'b', 'e', 'f', 'g', 'h', 'j'],
  'ks_drift': ['statistic', 'p_value'],
  'mask_replace': ['l_discount'],
  'missing_ratio': ['missing_ratio'],

@@ -403,7 +403,7 @@ KNN_SRC = """(SELECT c_custkey, CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey
  CAST(length(c_mktsegment) AS DOUBLE) AS s FROM customer)"""
 
 
-def _knn_sql(target, others, all_cols, k=5):
+def _knn_sql(target, others, all_cols, k=5, src=KNN_SRC):
     d = len(all_cols)
     common = " + ".join(f"CASE WHEN r.{o} IS NOT NULL AND d.{o} IS NOT NULL THEN 1 ELSE 0 END" for o in others)
     ssum = " + ".join(f"CASE WHEN r.{o} IS NOT NULL AND d.{o} IS NOT NULL THEN (r.{o} - d.{o}) ^ 2 ELSE 0 END"
@@ -412,7 +412,7 @@ def _knn_sql(target, others, all_cols, k=5):
     return f"""(SELECT c_custkey, avg(v) AS imp FROM (
   SELECT r.c_custkey, d.{target} AS v, row_number() OVER (PARTITION BY r.c_custkey ORDER BY
     sqrt({d}.0 / ({common}) * ({ssum})), ({common}) DESC, {order}) AS rn
-  FROM {KNN_SRC} r, {KNN_SRC} d
+  FROM {src} r, {src} d
   WHERE r.{target} IS NULL AND d.{target} IS NOT NULL AND ({common}) > 0) WHERE rn <= {k} GROUP BY c_custkey)"""
 
 
@@ -426,6 +426,22 @@ def q_knn_impute(spark, sf):
     return M.knn_impute(knn_frame(spark, sf), ["a", "b", "s"], 5)
 
 
+WIDE = {"a": "c_acctbal", "b": "c_acctbal / (1 + c_custkey % 17)", "e": "(c_custkey % 101) * 1.5E0 + c_acctbal / 70", "f": "c_nationkey + c_acctbal / 7000",
+        "g": "(c_custkey % 37) / 3.0E0", "h": "c_acctbal * (c_custkey % 5)", "j": "c_nationkey * 1.0E0"}
+WIDE_GAPS = (3, 4, 5, 7, 8, 11, 13)  # 128 presence masks
+WIDE_SRC = "(SELECT c_custkey, " + ", ".join(f"CASE WHEN c_custkey % {m} > {m // 3} THEN CAST({e} AS DOUBLE) END AS {c}" for (c, e), m in zip(WIDE.items(), WIDE_GAPS)) + " FROM customer)"
+
+
+@query("knn_impute_wide", f"""SELECT t.c_custkey, {", ".join(f"CASE WHEN t.{c} IS NULL THEN coalesce(i{c}.imp, (SELECT avg({c}) FROM {WIDE_SRC})) ELSE t.{c} END AS {c}" for c in WIDE)}
+FROM {WIDE_SRC} t {" ".join(f"LEFT JOIN {_knn_sql(c, [o for o in WIDE if o != c], list(WIDE), src=WIDE_SRC)} i{c} ON t.c_custkey = i{c}.c_custkey" for c in WIDE)}""")
+def q_knn_impute_wide(spark, sf):
+    """Continuous values; presence masks that vary with the key."""
+    c = tb(spark, sf, "customer")
+    key = F.col("c_custkey")
+    cols = [F.when(key % m > m // 3, F.expr(e).cast("double")).alias(n) for (n, e), m in zip(WIDE.items(), WIDE_GAPS)]
+    return M.knn_impute(c.select("c_custkey", *cols), list(WIDE), 5)
+
+
 @query("drop_id_columns", "SELECT c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def q_drop_id_columns(spark, sf):
     return M.drop_id_columns(tb(spark, sf, "customer"), ["c_custkey", "c_name"])

@@ -61,13 +61,13 @@ def test_drop_sparse_and_classify(data):
     assert "PISTDY" in cat and "AV133STDY" in cat and "GAITSTDY" in num and "NP4DYSTN" in num
 
 
-@pytest.mark.parametrize("max_broadcast,n", [(20000, 40), (2, 40), (20000, 300)])
-def test_knn_impute_matches_brute_force(spark, max_broadcast, n):
+@pytest.mark.parametrize("max_cells,n", [(20000, 40), (2, 40), (20000, 300)])
+def test_knn_impute_matches_brute_force(spark, max_cells, n):
     import math
 
     rows = [(i, float(i % 3) if i % 4 else None, float(i % 5) if i % 3 else None, float(i % 2)) for i in range(n)]
     df = spark.createDataFrame(rows, "id long, a double, b double, s double")
-    got = {r.id: (r.a, r.b) for r in M.knn_impute(df, ["a", "b", "s"], 5, max_broadcast=max_broadcast).collect()}
+    got = {r.id: (r.a, r.b) for r in M.knn_impute(df, ["a", "b", "s"], 5, max_cells=max_cells).collect()}
     cols = ["a", "b", "s"]
     data = [dict(zip(["id", *cols], r)) for r in rows]
     for t in ("a", "b"):
