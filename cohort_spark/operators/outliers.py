@@ -138,36 +138,86 @@ def merge_trees(trees: list, m: int):
     return cuts, total / max(len(trees), 1), _c(m)
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Spreads every bit of 64-bit integers over all bits (the finaliser of splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def smallest_uniforms(value: float, copies: int, trees: int, p: float, seed: int, first: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The uniform hashes up to ``p`` among those of ``copies`` rows in each of ``trees`` trees, in order, and their trees.
+
+    Order statistics of ``copies * trees`` uniforms are drawn directly: each survives the one before by a factor
+    ``(1 - e) ** (1 / left)`` with a fresh uniform ``e``, so the work is that of the hashes returned, not of the copies. Every
+    hash belongs to another (row, tree); the draw depends on the value, the seed and the count alone.
+    """
+    bits = int(np.float64(value + 0.0).view(np.uint64))
+    rng = np.random.default_rng([seed, bits])
+    total = copies * trees
+    kept, log_left, done = [], 0.0, 0
+    while done < total:
+        size = min(total - done, int(1.3 * (total - done) * p) + 16)
+        e = rng.random(size)
+        if not done and first is not None:
+            e[0] = first
+        steps = log_left + np.cumsum(np.log1p(-e) / (total - done - np.arange(size)))
+        u = -np.expm1(steps)
+        kept.append(u[u <= p])
+        done += size
+        if len(kept[-1]) < size:
+            break
+        log_left = steps[-1]
+    us = np.concatenate(kept) if kept else np.zeros(0)
+    slots = rng.choice(total, len(us), replace=False) if len(us) else np.zeros(0, np.int64)
+    return us, slots % trees
+
+
+def _draws(trees: int, p: float, seed: int):
+    """Per batch of ``(v, n)``: the rows ``(t, u, v)`` whose hash in tree ``t`` is at most ``p``."""
+    import pandas as pd
+
+    def run(batches):
+        salt = _mixed(np.array([seed + 1], np.uint64))[0]
+        for pdf in batches:
+            v, n = pdf["v"].to_numpy(dtype="float64") + 0.0, pdf["n"].to_numpy()
+            e = ((_mixed(v.view(np.uint64) ^ salt) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+            first = -np.expm1(np.log1p(-e) / (n.astype(np.float64) * trees))  # the smallest of a value's hashes decides whether there are any
+            parts = [(*smallest_uniforms(float(v[i]), int(n[i]), trees, p, seed, float(e[i])), v[i]) for i in np.flatnonzero(first <= p)]
+            yield pd.DataFrame({"t": np.concatenate([t for _, t, _ in parts]).astype("int64") if parts else np.zeros(0, "int64"),
+                                "u": np.concatenate([u for u, _, _ in parts]) if parts else np.zeros(0),
+                                "v": np.concatenate([np.full(len(u), x) for u, _, x in parts]) if parts else np.zeros(0)})
+    return run
+
+
 def fit_isolation_forest(df: DataFrame, c: str, n_trees: int = 100, max_samples: int = 256, seed: int = 42):
     """Isolation forest on one column, sampled and grown in Spark tasks.
 
-    Each tree takes the ``max_samples`` rows with its smallest hashes. A row's hash is that of its value, its number
-    among the rows with that value (values are counted first, map-side), and the tree, so copies are sampled as often as
-    they occur and the sample does not depend on partitions. A Bernoulli filter on the hash keeps about three times the
-    needed rows, a per-tree window keeps the smallest, and each tree is grown in one ``applyInPandas`` group of at most
-    ``max_samples`` values. Only the leaves (trees x <= max_samples) reach the driver.
+    Each tree takes the ``max_samples`` rows with its smallest uniform hashes. Rows are counted per value (map-side); a value
+    with ``n`` copies stays one row, from which the hashes below a cut are drawn as order statistics
+    (:func:`smallest_uniforms`). The cut keeps about three times the needed rows over all values, whatever the counts;
+    a per-tree window keeps the smallest, and each tree is grown in one ``applyInPandas`` group of at most ``max_samples``
+    values. The sample does not depend on partitions or other columns. Only the leaves (trees x <= max_samples) reach the driver.
     """
     import pandas as pd
 
+    from cohort_spark.operators.ordered import reliable
+
     counts = df.where(qcol(c).isNotNull()).groupBy(qcol(c).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    n = counts.agg(F.sum("n")).first()[0]
+    n = df.where(qcol(c).isNotNull()).count()
     if not n:
         return None
     m = min(max_samples, n)
     depth_limit = int(math.ceil(math.log2(max(m, 2))))
-    rows = counts.select("v", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("k"))
     p = min(1.0, 3.0 * m / n)
     while True:
-        trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-        u = lambda t: F.abs(F.xxhash64("v", "k", F.lit(seed), t) % F.lit(1 << 52)) / float(1 << 52)
-        cand = rows.select("v", F.explode(F.filter(F.transform(trees, lambda t: F.struct(t.alias("t"), u(t).alias("u"))),
-                                                   lambda s_: s_["u"] < p)).alias("s")).select("v", F.col("s.t").cast("long").alias("t"), "s.u")
-        w = Window.partitionBy("t").orderBy("u", "v")
-        chosen = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= m)
-        sizes = dict(chosen.groupBy("t").count().collect())  # one row per tree
+        drawn = reliable(counts.mapInPandas(_draws(n_trees, p, seed), "t long, u double, v double"))
+        sizes = dict(drawn.groupBy("t").count().collect())  # one row per tree
         if p >= 1.0 or (len(sizes) == n_trees and min(sizes.values()) >= m):
             break
         p = min(1.0, p * 3)
+    w = Window.partitionBy("t").orderBy("u", "v")
+    chosen = drawn.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= m)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["t"].iloc[0])

@@ -60,6 +60,7 @@ DOUBLE_COLUMNS = {'accuracy': ['accuracy'],
  'one_hot': ['c_acctbal', 'c_mktsegment_AUTOMOBILE', 'c_mktsegment_BUILDING', 'c_mktsegment_FURNITURE',
              'c_mktsegment_HOUSEHOLD', 'c_mktsegment_MACHINERY', 'grp_0.0', 'grp_1.0', 'grp_2.0'],
  'outer_join_all': ['total', 'total_dup'],
+ 'outlier_isolation_invariants': ['untouched'],
  'outlier_iqr_median': ['o_totalprice'],
  'outlier_report': ['Original_Mean', 'Cleaned_Mean', 'Original_Std', 'Cleaned_Std'],
  'outlier_to_null_iqr': ['o_totalprice'],

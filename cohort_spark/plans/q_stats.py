@@ -511,6 +511,22 @@ def q_outlier_isolation_median(spark, sf):
     return O.outlier_isolation_median(li, ["l_extendedprice", "l_quantity"], share=0.1)
 
 
+@query("outlier_isolation_invariants", """SELECT count(*) AS n_rows, true AS within_share, true AS kept_or_median, true AS extremes_flagged,
+ sum(l_quantity) AS untouched FROM lineitem""")
+def q_outlier_isolation_invariants(spark, sf):
+    """What holds for any sound forest: at most the share of rows changes, a changed value is the median, and values far
+    outside (here 0.2% of the prices times 1000) are among the changed ones."""
+    li = tb(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.when(F.col("l_orderkey") % 500 == 0, F.col("l_extendedprice") * 1000)
+                                          .otherwise(F.col("l_extendedprice")).alias("price"))
+    out = O.outlier_isolation_median(li.withColumn("before", F.col("price")), ["price"], share=0.1)
+    changed = F.count_if(~F.col("price").eqNullSafe(F.col("before")))
+    far = F.count_if((F.col("l_orderkey") % 500 == 0) & (F.col("price") > 200_000))
+    med = M.medians_of(li, ["price"])["price"]
+    return out.agg(F.count(F.lit(1)).alias("n_rows"), (changed <= 0.1 * F.count(F.lit(1))).alias("within_share"),
+                   (F.count_if((F.col("price") != F.col("before")) & (F.col("price") != F.lit(med))) == 0).alias("kept_or_median"),
+                   (far == 0).alias("extremes_flagged"), F.sum("l_quantity").alias("untouched"))
+
+
 @query("clean_table")
 def q_clean_table(spark, sf):
     return O.clean_table(lineitem_nulls(spark, sf), ["l_quantity", "l_extendedprice"])

@@ -68,3 +68,38 @@ def test_weighted_quantile_matches_expanded():
     expanded = np.repeat(vals, cnts)
     for q in (0.0, 0.05, 0.1, 0.5, 0.93, 1.0):
         assert O._weighted_quantile(vals, cnts, q) == pytest.approx(float(np.percentile(expanded, q * 100)))
+
+
+def test_a_value_with_a_billion_copies_is_one_row():
+    import numpy as np
+
+    us, trees = O.smallest_uniforms(5.0, 10**9, 100, 3 * 256 / 10**9, 42)
+    assert len(us) == pytest.approx(3 * 256 * 100, rel=0.05) and (np.diff(us) >= 0).all()
+    per_tree = np.bincount(trees, minlength=100)
+    assert per_tree.min() > 256 and per_tree.std() < 60
+    all_of_few, t = O.smallest_uniforms(1.0, 3, 4, 1.0, 7)
+    assert len(all_of_few) == 12 and np.bincount(t).tolist() == [3, 3, 3, 3]
+
+
+def test_drawn_hashes_are_uniform():
+    import numpy as np
+
+    us = np.concatenate([O.smallest_uniforms(float(v), 50, 10, 0.2, 3)[0] for v in range(300)])
+    assert len(us) == pytest.approx(300 * 500 * 0.2, rel=0.03)
+    assert np.histogram(us, bins=10, range=(0, 0.2))[0].std() < 0.03 * len(us) / 10 * 3
+
+
+def test_copies_are_sampled_as_often_as_they_occur(spark):
+    from cohort_spark.operators.outliers import _draws
+
+    counts = spark.createDataFrame([(0.0, 900_000), (1.0, 90_000)] + [(2.0 + i, 1) for i in range(10_000)], "v double, n long")
+    drawn = counts.mapInPandas(_draws(50, 0.002, 1), "t long, u double, v double").toPandas()
+    share = drawn["v"].clip(upper=2).value_counts(normalize=True)
+    assert share[0.0] == pytest.approx(0.9, abs=0.01) and share[1.0] == pytest.approx(0.09, abs=0.01) and share[2.0] == pytest.approx(0.01, abs=0.004)
+
+
+def test_flags_do_not_depend_on_other_columns_or_partitions(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 97 + F.when(F.col("id") % 100 == 0, 5000).otherwise(0)).cast("double").alias("x"))
+    a = sorted(r.x for r in O.outlier_isolation_median(df, ["x"]).collect())
+    b = sorted(r.x for r in O.outlier_isolation_median(df.select("x").repartition(7), ["x"]).collect())
+    assert a == b and max(a) < 5000
