@@ -192,10 +192,10 @@ WITH v AS (
   SELECT anchor_id, anchor, id AS positive_id, score AS positive_score FROM scores WHERE same
   QUALIFY row_number() OVER (PARTITION BY anchor_id, anchor ORDER BY score DESC, id NULLS LAST) <= 5
 )
-SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS "rank", s.id AS negative_id, p.positive_score, s.score AS negative_score
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.anchor, p.positive_id ORDER BY s.score DESC, s.id NULLS LAST) AS INTEGER) AS "rank", s.id AS negative_id, p.positive_score, s.score AS negative_score
 FROM positives AS p JOIN scores AS s ON s.anchor_id = p.anchor_id AND s.anchor = p.anchor AND NOT s.same
   AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
-QUALIFY "rank" <= 5 WINDOW w AS (PARTITION BY p.anchor_id, p.anchor, p.positive_id ORDER BY s.score DESC, s.id NULLS LAST)
+QUALIFY "rank" <= 5
 """)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
