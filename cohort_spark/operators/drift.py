@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort_spark.operators.columns import columns_of_kind
-from cohort_spark.operators.ordered import cumulative_sums, unpivot_values
+from cohort_spark.operators.ordered import carried_sums, range_sorted, unpivot_values
 
 KS_TERMS = 20  # either series below is exact to double precision with far fewer
 
@@ -41,8 +41,9 @@ def ks_drift(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None, alph
     Missing values are dropped; a column without values on one side has a NULL statistic, p-value and flag."""
     cols = list(cols or [c for c in columns_of_kind(a, "number") if c in b.columns])
     counts = _two_sample_counts(a, b, cols, "double")
-    cum = cumulative_sums(counts, ["column"], ["value"], ["na", "nb"])
-    tot = counts.groupBy("column").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
+    ranged = range_sorted(counts, ["column"], ["value"])
+    cum = carried_sums(ranged, ["column"], ["na", "nb"])
+    tot = ranged.groupBy("column").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
     d = (cum.join(F.broadcast(tot), "column")  # one row per column
          .groupBy("column", "tot_a", "tot_b")
          .agg(F.max(F.abs(F.try_divide("cum_na", "tot_a") - F.try_divide("cum_nb", "tot_b"))).alias("statistic")))
@@ -151,17 +152,12 @@ def feature_drift_score(a: DataFrame, b: DataFrame, num_cols: Sequence[str] | No
 
 def wasserstein(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, wasserstein)``: ∫|F_a − F_b| over consecutive distinct values (no global window)."""
-    counts = _two_sample_counts(a, b, cols, "double")
-    cum = cumulative_sums(counts, ["column"], ["value"], ["na", "nb"])
-    ones = cum.withColumn("_one", F.lit(1))
-    ranked = cumulative_sums(ones, ["column"], ["value"], ["_one"], prefix="rk")  # rank of the value
-    tot = counts.groupBy("column").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
-    cur = ranked.join(F.broadcast(tot), "column").select(  # one row per column
-        "column", "value", "rk_one",
-                                            F.abs(F.try_divide("cum_na", "tot_a") - F.try_divide("cum_nb", "tot_b")).alias("gap"))
-    nxt = ranked.select("column", (F.col("rk_one") - 1).alias("rk_one"), F.col("value").alias("next_value"))
-    return (cur.join(nxt, ["column", "rk_one"])
-            .groupBy("column").agg(F.sum(F.col("gap") * (F.col("next_value") - F.col("value"))).alias("wasserstein")))
+    ranged = range_sorted(_two_sample_counts(a, b, cols, "double"), ["column"], ["value"])
+    tot = ranged.groupBy("column").agg(F.sum("na").alias("tot_a"), F.sum("nb").alias("tot_b"))
+    cum = carried_sums(ranged, ["column"], ["na", "nb"], lead=["value"]).join(F.broadcast(tot), "column")  # one row per column
+    gap = F.abs(F.try_divide("cum_na", "tot_a") - F.try_divide("cum_nb", "tot_b"))
+    return (cum.where("next_value is not null").groupBy("column")
+            .agg(F.sum(gap * (F.col("next_value") - F.col("value"))).alias("wasserstein")))
 
 
 def jensen_shannon(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -96,21 +96,16 @@ def roc_curve(df: DataFrame, y: str, score: str, pos_label=1, drop_intermediate:
     """V5: ``(threshold, fpr, tpr)`` at every distinct score (descending), starting at
     (+inf, 0, 0). ``drop_intermediate`` removes points collinear with their neighbours (equal
     positive and negative counts at the next threshold), as the usual ROC routine does by default;
-    neighbours are found by joining distributed ranks, not by a global window."""
+    each row's neighbour comes with the running sums, not from a global window."""
     spark = df.sparkSession
     base = df.where(qcol(score).isNotNull()).select(
         qcol(score).cast("double").alias("threshold"), (qcol(y) == F.lit(pos_label)).cast("long").alias("pos"))
     per = base.groupBy("threshold").agg(F.sum("pos").alias("pos"), F.sum(1 - F.col("pos")).alias("neg"))
     P, N = per.agg(F.sum("pos"), F.sum("neg")).collect()[0]
-    per = per.withColumn("_g", F.lit(0)).withColumn("_one", F.lit(1))
-    cum = cumulative_sums(per, ["_g"], [F.col("threshold").desc()], ["pos", "neg", "_one"])
+    cum = cumulative_sums(per, [], [F.col("threshold").desc()], ["pos", "neg"], lead=["pos", "neg"])
     if drop_intermediate:
-        n_pts = cum.count()
-        nxt = cum.select((F.col("cum__one") - 1).alias("cum__one"), F.col("pos").alias("_npos"),
-                         F.col("neg").alias("_nneg"))
-        cum = (cum.join(nxt, "cum__one", "left")
-               .where((F.col("cum__one") == 1) | (F.col("cum__one") == n_pts)
-                      | (F.col("pos") != F.col("_npos")) | (F.col("neg") != F.col("_nneg"))))
+        first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
+        cum = cum.where(first | F.col("next_pos").isNull() | (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg")))
     pts = cum.select("threshold", (F.col("cum_neg") / F.lit(float(N))).alias("fpr") if N else F.lit(None).alias("fpr"),
                      (F.col("cum_pos") / F.lit(float(P))).alias("tpr") if P else F.lit(None).alias("tpr"))
     start = spark.createDataFrame([(float("inf"), 0.0, 0.0)], "threshold double, fpr double, tpr double")

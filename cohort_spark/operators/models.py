@@ -139,14 +139,34 @@ def fit_svm(df: DataFrame, label: str = "label", C: float = 1.0, kernel: str = "
 
 def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 3, seed: int = 42,
                      out: str = "fold") -> DataFrame:
-    """Fold number per row: within each class, rows ordered by md5('<seed>:<key>') are dealt
-    round-robin to ``folds`` folds (class shares equal in every fold, up to one row)."""
-    from cohort_spark.operators.ordered import cumulative_sums
+    """Fold number per row: within each class, rows ordered by md5('<seed>:<key>') are cut into
+    ``folds`` runs (class shares equal in every fold, up to one row).
+
+    Only (label, hash, key) are put in order, to find the last row of each run; the folds are then comparisons, so the
+    frame with its feature vectors is neither shuffled nor joined. Rows without a label get no fold."""
+    from cohort_spark.operators.ordered import kth_in_order
     from cohort_spark.operators.sample import seeded_hash
 
-    h = df.withColumn("_h", seeded_hash(key, seed)).withColumn("_one", F.lit(1))
-    ranked = cumulative_sums(h, [label], [F.col("_h"), F.col(key)], ["_one"])
-    return ranked.withColumn(out, ((F.col("cum__one") - 1) % folds).cast("int")).drop("_h", "_one", "cum__one")
+    sizes = sorted((r[0], r[1]) for r in df.where(qcol(label).isNotNull()).groupBy(qcol(label)).count().collect())  # one row per class
+    cuts, before = {}, 0
+    for cls, n in sizes:
+        for f in range(1, folds):
+            k = n * f // folds
+            if k:
+                cuts[cls, f] = before + k
+        before += n
+    h = seeded_hash(key, seed)
+    last = kth_in_order(df.where(qcol(label).isNotNull()), [label, h, qcol(key)], list(cuts.values())) if cuts else {}
+    fold = F.lit(0)
+    for (cls, f), k in sorted(cuts.items(), key=lambda x: x[0][1]):  # a row beyond the last of run f - 1 is at least in run f
+        _, at, row = last[k]
+        beyond = (h > F.lit(at)) | ((h == F.lit(at)) & (qcol(key) > F.lit(row)))
+        fold = F.when((qcol(label) == F.lit(cls)) & beyond, f).otherwise(fold)
+    for cls, n in sizes:  # a class of fewer rows than folds: its first runs are empty
+        empty = sum(1 for f in range(1, folds) if n * f // folds == 0)
+        if empty:
+            fold = F.when((qcol(label) == F.lit(cls)) & (fold == 0), empty).otherwise(fold)
+    return df.withColumn(out, F.when(qcol(label).isNotNull(), fold.cast("int")))
 
 
 def grid_search(est: Estimator, grid: dict, df: DataFrame, label: str = "label", folds: int = 3,

@@ -39,7 +39,7 @@ def _within_first(df: DataFrame, key: str, seed, ks: Sequence[int]) -> list[Colu
     from cohort_spark.operators.ordered import kth_in_order
 
     want = [k for k in ks if k > 0]
-    thr = kth_in_order(df, [seeded_hash(key, seed), qcol(key)], want) if want else {}
+    thr = kth_in_order(df, [seeded_hash(key, seed), qcol(key)], want, unique=True) if want else {}
     h, kv = seeded_hash(key, seed), qcol(key)
     out = []
     for k in ks:
@@ -54,7 +54,15 @@ def _within_first(df: DataFrame, key: str, seed, ks: Sequence[int]) -> list[Colu
 
 
 def _size_of(df: DataFrame, key: str) -> int:
-    """Row count; raises unless ``key`` is unique and never missing (else the parts would not have the asked sizes)."""
+    """Row count; raises if ``key`` is missing anywhere. That it is unique is seen where the keys are put in order."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count(qcol(key)).alias("k")).collect()[0]
+    if r["n"] != r["k"]:
+        raise ValueError(f"the key {key} must not be missing: {r['n']} rows, {r['k']} keys")
+    return r["n"]
+
+
+def _unique_size_of(df: DataFrame, key: str) -> int:
+    """Row count; raises unless ``key`` is unique and never missing."""
     r = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(qcol(key)).alias("k")).collect()[0]
     if r["n"] != r["k"]:
         raise ValueError(f"the key {key} must be unique and not missing: {r['n']} rows, {r['k']} different keys")
@@ -108,7 +116,7 @@ def oversample(df: DataFrame, col: str, v, n: int, key: str, seed: int = 1) -> D
     draws are a distributed range joined to the ranked group on the rank.
     """
     g = df.where(qcol(col) == F.lit(v))
-    m = _size_of(g, key)
+    m = _unique_size_of(g, key)
     if n <= 0:
         return df.limit(0)
     if m == 0:

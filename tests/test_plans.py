@@ -48,3 +48,27 @@ def test_wide_correlation_takes_the_moment_path(spark):
     out = A.correlation_matrix(df)  # 136 pairs > 100: per-partition moments, one scan
     assert "Aggregate" not in plan(out)  # the result is a small driver-built table, not a per-batch aggregate
     assert out.count() == 256
+
+
+def test_ks_drift_has_few_exchanges(spark, monkeypatch):
+    """Two before the checkpoint (distinct values, range), two after (totals, maximum); rows are never shuffled again."""
+    import re
+
+    from cohort_spark.operators import ordered
+
+    before = []
+    keep = ordered.reliable
+    monkeypatch.setattr(ordered, "reliable", lambda df: (before.append(plan(df)), keep(df))[1])
+    after = plan(E.queries()["ks_drift"](spark, SF))
+    count = lambda p: len(re.findall(r"(?<!Broadcast)Exchange ", p))
+    assert sum(map(count, before)) + count(after) <= 4 and "Window" not in after
+
+
+def test_folds_leave_features_where_they_are(spark):
+    from pyspark.sql import functions as F
+
+    from cohort_spark.operators import models as L
+
+    df = spark.range(50).select(F.col("id").alias("k"), (F.col("id") % 3).cast("int").alias("y"), F.array(F.lit(1.0)).alias("features"))
+    p = plan(L.stratified_folds(df, "y", "k"))
+    assert "Exchange" not in p and "Join" not in p
