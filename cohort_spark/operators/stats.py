@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cohort_spark.functions.names import qcol
 from cohort_spark.operators.columns import columns_of_kind
 from cohort_spark.operators.ordered import (exact_quantiles, fused_single_row, modes, quantiles_of_ranged,
-                                            ranged_counts, unpivot_values, value_counts_long)
+                                            ranged_counts, reliable, unpivot_values, value_counts_long)
 
 
 def _long_from_row(df: DataFrame, per_col: dict[str, dict[str, Column]], types: dict[str, str],
@@ -300,8 +300,11 @@ def validate_table(df: DataFrame, expected: Sequence[str], raise_error: bool = F
 
 def column_statistics(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
     """Q2: per column — count, missing, zeros, distinct, mean, std, min, median, max, most frequent
-    value (as text, smallest on ties) and average text length. ``approx=True`` estimates the
-    distinct counts with HyperLogLog instead of shuffling every distinct value."""
+    value (as text, smallest on ties) and average text length.
+
+    Two scans: one fused aggregate, and one count of every (column, value) from which the distinct
+    count, the median and the most frequent value all follow. ``approx=True`` estimates the distinct counts with
+    HyperLogLog; :mod:`cohort_spark.operators.profile` keeps sketches of daily batches and merges them."""
     cols = list(cols or df.columns)
     num = set(columns_of_kind(df, "number"))
     stats = {}
@@ -311,26 +314,26 @@ def column_statistics(df: DataFrame, cols: Sequence[str] | None = None, approx:
         stats[c] = {
             "count": F.count(qcol(col)), "missing": F.count_if(col.isNull()),
             "zeros": F.count_if(col == 0) if isnum else F.lit(None),
-            "distinct": F.approx_count_distinct(col) if approx else F.count_distinct(col),
+            **({"distinct": F.approx_count_distinct(col)} if approx else {}),
             "mean": F.avg(qcol(col)) if isnum else F.lit(None),
             "std": F.stddev_samp(qcol(col)) if isnum else F.lit(None),
             "min": F.min(col.cast("double")) if isnum else F.lit(None),
             "max": F.max(col.cast("double")) if isnum else F.lit(None),
             "avg_length": F.avg(F.length(col.cast("string"))) if not isnum else F.lit(None),
         }
-    types = {"count": "bigint", "missing": "bigint", "zeros": "bigint", "distinct": "bigint", "mean": "double",
+    types = {"count": "bigint", "missing": "bigint", "zeros": "bigint", **({"distinct": "bigint"} if approx else {}), "mean": "double",
              "std": "double", "min": "double", "max": "double", "avg_length": "double"}
     basic = _long_from_row(df, stats, types)
-    numc = [c for c in cols if c in num]
-    out = basic
-    if numc:
-        med = exact_quantiles(df, numc, [0.5]).select("column", F.col("value").alias("median"))
-        out = out.join(med, "column", "left")
-    else:
-        out = out.withColumn("median", F.lit(None).cast("double"))
-    top = modes(value_counts_long(df, cols, "string")).select("column", F.col("mode").alias("top"))
-    return out.join(top, "column", "left").select("column", "count", "missing", "zeros", "distinct", "mean", "std",
-                                                  "min", "median", "max", "top", "avg_length")
+    number = F.when(F.col("column").isin([c for c in cols if c in num]), F.col("value").cast("double"))
+    counts = value_counts_long(df, cols, "string").withColumn("number", number)
+    ranged = reliable(counts.repartitionByRange(F.col("column"), F.col("number"), F.col("value")).withColumn("_pid", F.spark_partition_id()))
+    med = quantiles_of_ranged(ranged.where("number is not null").select("_pid", "column", F.col("number").alias("value"), "n"), [0.5]).select("column", F.col("value").alias("median"))
+    best = ranged.groupBy("column").agg(F.min(F.struct((-F.col("n")).alias("m"), "value")).alias("b"), F.count(F.lit(1)).alias("distinct"))
+    found = best.select("column", F.col("b.value").alias("top"), *([] if approx else ["distinct"]))
+    out = basic.join(F.broadcast(found.join(med, "column", "left")), "column", "left")  # one row per column
+    if not approx:
+        out = out.withColumn("distinct", F.coalesce("distinct", F.lit(0)))
+    return out.select("column", "count", "missing", "zeros", "distinct", "mean", "std", "min", "median", "max", "top", "avg_length")
 
 
 def infer_schema_constraints(df: DataFrame, max_domain: int = 20) -> DataFrame:

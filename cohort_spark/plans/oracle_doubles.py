@@ -68,6 +68,7 @@ DOUBLE_COLUMNS = {'accuracy': ['accuracy'],
  'outlier_zscore_median': ['l_extendedprice'],
  'parse_feature_record': ['f_quantity', 'f_discount', 'f_tax'],
  'participant_flow': ['c_acctbal', 'o_totalprice'],
+ 'profile_merge': ['mean', 'std', 'min', 'q25', 'median', 'q75', 'max', 'avg_length'],
  'profile_report': ['missing_cell_share'],
  'read_table': ['c_acctbal'],
  'rename_key': ['c_acctbal'],

@@ -12,6 +12,7 @@ from cohort_spark import functions as FN
 from cohort_spark.operators import encode as E
 from cohort_spark.operators import missing as M
 from cohort_spark.operators import outliers as O
+from cohort_spark.operators import profile as PR
 from cohort_spark.operators import stats as A
 from cohort_spark.plans.registry import query, tb
 
@@ -230,6 +231,29 @@ def q_profile_report(spark, sf):
     return A.profile_report(lineitem_nulls(spark, sf))["overview"]
 
 
+PROFILE_NUM, PROFILE_TEXT = ("l_quantity", "l_discount", "l_tax", "l_extendedprice"), ("l_returnflag", "l_linestatus")
+
+
+def _profile_sql(c: str) -> str:
+    num, few = c in PROFILE_NUM, c != "l_extendedprice"
+    q = lambda p: f"quantile_cont({c}, {p})" if num and few else "NULL::DOUBLE"
+    n = lambda e: e if num else "NULL::DOUBLE"
+    return f"""SELECT '{c}' AS "column", count({c}) AS count, count(*) - count({c}) AS missing, {f"count(*) FILTER ({c} = 0)" if num else "NULL::BIGINT"} AS zeros,
+ {f"count(DISTINCT {c})" if few else "NULL::BIGINT"} AS "distinct", {n(f"avg({c})")} AS mean, {n(f"stddev_samp({c})")} AS std, {n(f"min({c})")} AS min, {q(0.25)} AS q25, {q(0.5)} AS median,
+ {q(0.75)} AS q75, {n(f"max({c})")} AS max, {f"(SELECT {c} FROM lineitem GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)" if not num else "NULL::VARCHAR"} AS top,
+ {f"avg(length({c}))" if not num else "NULL::DOUBLE"} AS avg_length, {str(few).lower()} AS exact FROM lineitem"""
+
+
+@query("profile_merge", _union([_profile_sql(c) for c in (*PROFILE_NUM, *PROFILE_TEXT)]))
+def q_profile_merge(spark, sf):
+    """Three batches profiled apart and merged; estimates (and the text of a number) are left out of the comparison."""
+    li = tb(spark, sf, "lineitem").select("l_orderkey", *PROFILE_NUM, *PROFILE_TEXT)
+    parts = [PR.profile_day(li.where(F.col("l_orderkey") % 3 == d).drop("l_orderkey")) for d in range(3)]
+    t = PR.profile_table(PR.merge_profiles(parts[0].unionByName(parts[1]).unionByName(parts[2])))
+    t = t.withColumns({c: F.when(F.col("exact"), F.col(c)) for c in ("distinct", "q25", "median", "q75")})
+    return t.withColumn("top", F.when(F.col("column").isin(*PROFILE_TEXT), F.col("top")))
+
+
 # ------------------------------------------------------------------ scalar functions
 
 @query("parse_date", """SELECT o_orderkey, try_strptime(CASE WHEN o_orderkey % 13 = 0 THEN 'xx'
