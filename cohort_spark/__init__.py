@@ -8,7 +8,6 @@ operators  DataFrame -> DataFrame operators (joins, de-duplication, statistics,
            missing values, outliers, encoding, sampling, models, evaluation,
            fairness, drift, data quality) plus the ordered helpers they share
 plans      end-to-end flows and the registry of test-data queries
-streaming  nothing: the workflows are daily batch jobs (see its docstring)
 """
 
 from cohort_spark.session import get_spark

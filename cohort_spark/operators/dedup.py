@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohort_spark.functions.names import qcol
 from cohort_spark.operators.ordered import global_rank
@@ -55,6 +57,30 @@ def earliest_per_key(df: DataFrame, key: str | Sequence[str], ts: str, tie: Sequ
     return _first_by(df, keys, [ts, *tie, *rest])
 
 
+def update_earliest(day_rows: DataFrame, path: str, day: str, key: str | Sequence[str], ts: str, tie: Sequence[str] = ()) -> DataFrame:
+    """D1 kept up daily: the first row per key of all days up to ``day``, from the state stored for the latest day before
+    and the new day's rows alone. The state of each day is a partition of ``path``; running a day again replaces its own,
+    so it leaves the same tables (states of later days must then be run again too)."""
+    spark = day_rows.sparkSession
+    whole = day_rows
+    try:
+        stored = spark.read.schema(_with_day(day_rows)).parquet(path)
+        before = stored.where(F.col("_day") < day).agg(F.max("_day")).collect()[0][0]
+    except AnalysisException as e:  # the first day: there is no state yet
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        before = None
+    if before is not None:
+        whole = stored.where(F.col("_day") == before).select(*[qcol(c) for c in day_rows.columns]).unionByName(day_rows)
+    state = earliest_per_key(whole, key, ts, tie).withColumn("_day", F.lit(day))
+    state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_day").parquet(path)
+    return spark.read.schema(_with_day(day_rows)).parquet(path).where(F.col("_day") == day).drop("_day")
+
+
+def _with_day(df: DataFrame) -> T.StructType:
+    return T.StructType([*df.schema.fields, T.StructField("_day", T.StringType())])
+
+
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     """Whole-row distinct."""
     return df.dropDuplicates()

@@ -174,7 +174,13 @@ def apply_preprocessor(df: DataFrame, pre: Preprocessor, impute: bool = True) ->
 
 
 def class_moments(df: DataFrame, features: Sequence[str], label: str) -> dict:
-    """Per class: row count, feature sums and the cross-product matrix XᵀX.
+    """Per class: row count, feature sums and the cross-product matrix XᵀX."""
+    centre, parts = centred_moments(df, features, label)
+    return {c: (n, s + n * centre, xx + np.outer(centre, s) + np.outer(s, centre) + n * np.outer(centre, centre)) for c, (n, s, xx) in parts.items()}
+
+
+def centred_moments(df: DataFrame, features: Sequence[str], label: str) -> tuple[np.ndarray, dict]:
+    """The features' means over all rows, and per class the row count, feature sums and cross-product matrix of the features less those means.
 
     Each task folds its rows into one (count, sums, XᵀX) per class with NumPy
     (``mapInPandas``); the per-task results — classes × (1 + p + p²) numbers per
@@ -186,6 +192,8 @@ def class_moments(df: DataFrame, features: Sequence[str], label: str) -> dict:
     feats = list(features)
     p = len(feats)
     cols = [f"f{i}" for i in range(p)]
+    means = fused_single_row(df, {c: F.avg(qcol(f).cast("double")) for f, c in zip(feats, cols)})
+    centre = np.array([means[c] or 0.0 for c in cols])  # scatter is the same from any origin; from this one it loses no digits
     base = df.select(qcol(label).cast("string").alias("_cls"),
                      *[qcol(f).cast("double").alias(c) for f, c in zip(feats, cols)])
 
@@ -194,7 +202,7 @@ def class_moments(df: DataFrame, features: Sequence[str], label: str) -> dict:
         for pdf in batches:
             for cls, g in pdf.groupby("_cls"):
                 x = g[cols].to_numpy(dtype="float64")
-                x = x[~np.isnan(x).any(axis=1)]  # rows with a missing feature are left out
+                x = x[~np.isnan(x).any(axis=1)] - centre  # rows with a missing feature are left out
                 n0, s0, xx0 = acc.get(cls, (0, np.zeros(p), np.zeros((p, p))))
                 acc[cls] = (n0 + len(x), s0 + x.sum(axis=0), xx0 + x.T @ x)
         yield pd.DataFrame({"_cls": list(acc), "n": [v[0] for v in acc.values()],
@@ -208,20 +216,20 @@ def class_moments(df: DataFrame, features: Sequence[str], label: str) -> dict:
         n, vals = out.setdefault(r["_cls"], [0, np.zeros(p + p * p)])
         vals[r["i"]] = r["v"]
         out[r["_cls"]][0] = r["n"]
-    return {c: (n, v[:p], v[p:].reshape(p, p)) for c, (n, v) in out.items()}
+    return centre, {c: (n, v[:p], v[p:].reshape(p, p)) for c, (n, v) in out.items()}
 
 
 def lda_project(df: DataFrame, features: Sequence[str], label: str, n_components: int | None = None,
                 out_prefix: str = "LD") -> DataFrame:
     """Linear discriminant projection to min(features, classes - 1) axes.
 
-    Class counts, sums and cross-product sums come from :func:`class_moments`
-    (one scan); the p×p eigen-problem is solved on the driver and the projection
+    Class counts, sums and cross-product sums come from :func:`centred_moments`
+    (a scan for the means and one for the centred moments); the p×p eigen-problem is solved on the driver and the projection
     is a column expression.
     """
     feats = list(features)
     p = len(feats)
-    mom = class_moments(df, feats, label)
+    _, mom = centred_moments(df, feats, label)
     classes = sorted(mom)
     n_tot = sum(m[0] for m in mom.values())
     mu = sum(m[1] for m in mom.values()) / n_tot

@@ -220,29 +220,26 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
     """Accuracy drop when one feature's values are permuted across rows.
 
     The permutation pairs the row of rank i in key order with the row of rank i
-    in ``md5(seed:key)`` order. One equi-join on the rank attaches the permuted
-    copy of every feature at once and is materialised once; each feature then
-    costs one scoring pass (a projection and an aggregate, no shuffle of rows).
+    in ``md5(seed:key)`` order; one equi-join on the rank attaches the permuted copy of every feature. One scoring
+    pass then does for all features: each row is scored as it is and once per feature with that feature's permuted
+    value, and one aggregate gives every accuracy.
     """
     from cohort_spark.operators.ordered import global_rank, reliable
     from cohort_spark.operators.sample import seeded_hash
 
     assemble_fn = assemble_fn or (lambda d: assemble(d, list(features)))
-    def score(d: DataFrame) -> float:
-        x = assemble_fn(d).select(qcol(label).alias("_label"), "features")
-        return accuracy(model.transform(x), "_label", "prediction").collect()[0][0]
-
-    base = score(df)
     by_key = global_rank(df, [qcol(key)], "_rk")
     by_hash = global_rank(df.select(*[qcol(c) for c in [key, *features]]), [seeded_hash(key, seed), qcol(key)], "_rh")
     perm = [f"_perm{i}" for i in range(len(features))]
     donors = by_hash.select(F.col("_rh").alias("_rk"), *[qcol(f).alias(p) for f, p in zip(features, perm)])
     both = reliable(by_key.join(donors, "_rk"))
-    rows = []
-    for f, p in zip(features, perm):
-        shuffled = both.withColumn(f, F.col(p))
-        acc = score(shuffled)
-        rows.append((f, float(base), float(acc), float(base - acc)))
+    at = {f: i for i, f in enumerate(features)}
+    copies = both.withColumn("_f", F.explode(F.sequence(F.lit(-1), F.lit(len(features) - 1))))  # -1: the row as it is
+    copies = copies.select("_f", *[F.when(F.col("_f") == at[c], F.col(f"_perm{at[c]}")).otherwise(qcol(c)).alias(c) if c in at else qcol(c) for c in df.columns])
+    scored = model.transform(assemble_fn(copies).select("_f", qcol(label).alias("_label"), "features"))
+    hit = F.coalesce((F.col("prediction") == F.col("_label")).cast("double"), F.lit(0.0))  # a missing prediction is a miss
+    acc = {r["_f"]: r["a"] for r in scored.groupBy("_f").agg(F.avg(hit).alias("a")).collect()}  # one row per feature
+    rows = [(f, float(acc[-1]), float(acc[i]), float(acc[-1] - acc[i])) for i, f in enumerate(features)] if acc else []
     return df.sparkSession.createDataFrame(rows, "feature string, base_accuracy double, permuted_accuracy double, "
                                                  "importance double")
 

@@ -1,13 +1,15 @@
 """Generated by tools/gen_double_columns.py: DOUBLE output columns of each oracle query."""
 
-DOUBLE_COLUMNS = {'accuracy': ['accuracy'],
+DOUBLE_COLUMNS = {'drop_duplicate_rows': ['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax'],
+ 'update_earliest': ['o_totalprice'],
+ 'accuracy': ['accuracy'],
  'analyze_duplicates': ['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax'],
  'append_metrics': ['value'],
  'assessment_flow': ['TOT1', 'PRICE', 'TOT2', 'PRICE_dup', 'TOT3', 'TOT4', 'TOT5'],
  'assessment_union_flow': ['TOT1', 'PRICE', 'TOT2', 'TOT3', 'TOT4', 'TOT5'],
  'bias_report': ['accuracy', 'dp_diff', 'eo_diff', 'slice_accuracy'],
  'box_stats': ['q1', 'median', 'q3', 'iqr', 'whisker_low', 'whisker_high'],
- 'chi2_drift': ['statistic'],
+ 'chi2_drift': ['statistic', 'p_value'],
  'classification_report': ['precision', 'recall', 'f1'],
  'column_statistics': ['mean', 'std', 'min', 'median', 'max', 'avg_length'],
  'compare_distributions': ['lower', 'upper'],
@@ -52,6 +54,7 @@ DOUBLE_COLUMNS = {'accuracy': ['accuracy'],
  'join_on_group_min': ['o_totalprice'],
  'knn_impute': ['a', 'b', 's'],
  'knn_impute_wide': ['a', 'b', 'e', 'f', 'g', 'h', 'j'],
+ 'ks_drift_exact': ['statistic', 'p_value'],
  'ks_drift': ['statistic', 'p_value'],
  'mask_replace': ['l_discount'],
  'missing_ratio': ['missing_ratio'],

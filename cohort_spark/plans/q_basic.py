@@ -160,10 +160,11 @@ def q_filter_ne_keep_null(spark, sf):
     return P.filter_ne_keep_null(orders_priority_nulls(spark, sf), "o_orderpriority", "1-URGENT")
 
 
-@query("split_target", "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer")
+@query("split_target", """SELECT 'features' AS half, c_custkey, c_name, c_nationkey, c_acctbal, NULL::VARCHAR AS c_mktsegment FROM customer
+UNION ALL SELECT 'target', c_custkey, NULL, NULL, NULL, c_mktsegment FROM customer""")
 def q_split_target(spark, sf):
-    x, _ = P.split_target(tb(spark, sf, "customer"), "c_mktsegment", key="c_custkey")
-    return x
+    x, y = P.split_target(tb(spark, sf, "customer"), "c_mktsegment", key="c_custkey")
+    return x.withColumn("half", F.lit("features")).unionByName(y.withColumn("half", F.lit("target")), allowMissingColumns=True)
 
 
 @query("attach_target", """SELECT d.doc_id, d.lang, d.n_chars, l.quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id""")
@@ -311,9 +312,29 @@ def q_earliest_per_key(spark, sf):
     return D.earliest_per_key(orders_date_nulls(spark, sf), "o_custkey", "o_orderdate", ["o_orderkey"])
 
 
-@query("drop_duplicate_rows", "SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber FROM lineitem")
+LI_TWICE = "(SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 3 = 0)"
+
+
+def lineitem_twice(spark, sf):
+    """All columns of lineitem, a third of the orders twice."""
+    li = tb(spark, sf, "lineitem")
+    return li.unionByName(li.where(F.col("l_orderkey") % 3 == 0))
+
+
+@query("drop_duplicate_rows", f"SELECT DISTINCT * FROM {LI_TWICE}")
 def q_drop_duplicate_rows(spark, sf):
-    return D.drop_duplicate_rows(tb(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber"))
+    return D.drop_duplicate_rows(lineitem_twice(spark, sf))
+
+
+@query("update_earliest", """SELECT * EXCLUDE rn FROM (SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice,
+ row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS LAST, o_orderkey) AS rn FROM orders) WHERE rn = 1""")
+def q_update_earliest(spark, sf):
+    """Four days of orders, the second run twice; each run reads the state before and its own day."""
+    o = tb(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    path = scratch_path(spark, "first-orders")
+    for day in (0, 1, 1, 2, 3):
+        out = D.update_earliest(o.where(F.col("o_orderkey") % 4 == day), path, str(day), "o_custkey", "o_orderdate", ["o_orderkey"])
+    return out
 
 
 _LI_COLS = [c for c, _ in _LI_TYPES]
@@ -355,11 +376,9 @@ def q_analyze_duplicates(spark, sf):
     return D.analyze_duplicates(tb(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query("count_duplicates", """
-SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber FROM lineitem))
- AS n_duplicates FROM lineitem""")
+@query("count_duplicates", f"SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS n_duplicates FROM {LI_TWICE}")
 def q_count_duplicates(spark, sf):
-    return D.count_duplicates(tb(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber"))
+    return D.count_duplicates(lineitem_twice(spark, sf))
 
 
 @query("sort_rows", f"SELECT * FROM {_ORDERS_NULLED} ORDER BY o_orderdate NULLS LAST, o_orderkey")
@@ -390,21 +409,29 @@ def q_union_groups(spark, sf):
     return J.union_groups([o.where(F.col("o_orderstatus") == s) for s in ("F", "O", "P")])
 
 
-@query("same_columns", "SELECT true AS same, []::VARCHAR[] AS only_a, []::VARCHAR[] AS only_b")
+EVENT_COLS = ("event_id", "ts", "user_id", "event_type", "value")
+
+
+@query("same_columns", " UNION ALL ".join([f"""SELECT '{c}' AS "column", true AS same, count({c}) FILTER (ts < TIMESTAMP '2024-01-16') AS n_a,
+ count({c}) FILTER (ts >= TIMESTAMP '2024-01-16') AS n_b FROM events""" for c in EVENT_COLS]))
 def q_same_columns(spark, sf):
+    """The check of both halves' columns, beside the values that each half has in them."""
     a, b = events_ab(spark, sf)
-    return J.same_columns(a, b)
+    held = lambda d, n: d.agg(*[F.count(c).alias(c) for c in EVENT_COLS]).unpivot([], list(EVENT_COLS), "column", n)
+    return held(a, "n_a").join(held(b, "n_b"), "column").crossJoin(J.same_columns(a, b).select("same"))  # one row of the check
 
 
 EXPECTED_CUSTOMER = ["c_custkey", "c_name", "c_address", "c_nationkey", "c_phone", "c_acctbal", "c_mktsegment"]
 
 
-@query("missing_columns", 'SELECT * FROM (VALUES (2, \'c_address\'), (4, \'c_phone\')) t(position, "column")')
+@query("missing_columns", " UNION ALL ".join([f"""SELECT '{c}' AS "column", {str(c in ("c_address", "c_phone")).lower()} AS missing,
+ {"count(*) * 0" if c in ("c_address", "c_phone") else f"count({c})"} AS n_values FROM customer""" for c in EXPECTED_CUSTOMER]))
 def q_missing_columns(spark, sf):
+    """Every expected column, whether it is absent, and how many values it has."""
     cust = tb(spark, sf, "customer")
-    miss = set(J.missing_columns(cust, EXPECTED_CUSTOMER))
-    rows = [(i, c) for i, c in enumerate(EXPECTED_CUSTOMER) if c in miss]
-    return spark.createDataFrame(rows, "position int, column string")
+    absent = set(J.missing_columns(cust, EXPECTED_CUSTOMER))
+    counts = cust.agg(*[(F.lit(0).cast("long") if c in absent else F.count(c)).alias(c) for c in EXPECTED_CUSTOMER])
+    return counts.unpivot([], EXPECTED_CUSTOMER, "column", "n_values").withColumn("missing", F.col("column").isin(*absent))
 
 
 # ------------------------------------------------------------------ flows W2, W5

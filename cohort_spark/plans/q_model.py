@@ -211,7 +211,18 @@ def q_evaluate_model(spark, sf):
     from cohort_spark.operators.models import fit_logistic
 
     train, test = model_split(spark, sf)
-    return V.evaluate_model(fit_logistic(train, "label", C=1.0), test, "label")["report"]
+    tables = V.evaluate_model(fit_logistic(train, "label", C=1.0), test, "label")
+    parts = []
+    for name, t in tables.items():  # all four tables, one cell a row
+        named = t.select(*[F.col(c).cast("string").alias(c) for c in t.columns])
+        key = named.columns[:2] if name == "confusion" else named.columns[:1] if len(named.columns) > 1 else []
+        cells = [c for c in named.columns if c not in key]
+        parts.append(named.select(F.lit(name).alias("part"), F.concat_ws("|", *key).alias("row"), *cells).unpivot(["part", "row"], cells, "cell", "text")
+                     .select("part", "row", "cell", F.col("text").cast("double").alias("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 # ------------------------------------------------------------------ fairness
@@ -336,7 +347,27 @@ def _ks_sql(col):
 @query("ks_drift", "SELECT *, p_value < 0.05 AS drift FROM (" + _union([_ks_sql(c) for c in ("l_extendedprice", "l_quantity")]) + ")")
 def q_ks_drift(spark, sf):
     a, b = returnflag_ab(spark, sf)
-    return C.ks_drift(a, b, ["l_extendedprice", "l_quantity"])
+    return C.ks_drift(a, b, ["l_extendedprice", "l_quantity"], exact_up_to=0)
+
+
+KS_SMALL = """WITH RECURSIVE s AS (SELECT s_acctbal AS v, s_nationkey % 3 = 0 AS a FROM supplier WHERE s_acctbal IS NOT NULL AND s_nationkey IS NOT NULL),
+n AS (SELECT count(*) FILTER (a) AS m, count(*) FILTER (NOT a) AS n FROM s),
+d AS (SELECT max(abs(ca / m - cb / n)) AS d FROM (SELECT sum(CAST(a AS INTEGER)) OVER w AS ca, sum(CAST(NOT a AS INTEGER)) OVER w AS cb FROM s WINDOW w AS (ORDER BY v)), n),
+walk(t, i, p) AS (
+ SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(1 AS DOUBLE)
+ UNION ALL SELECT t, i, sum(p) FROM (
+  SELECT w.t + 1 AS t, w.i + x.up AS i, w.p * CASE WHEN x.up = 1 THEN n.m - w.i ELSE n.n - (w.t - w.i) END / (n.m + n.n - w.t) AS p
+  FROM walk AS w, n, (VALUES (0), (1)) AS x(up) WHERE w.t < n.m + n.n) AS step, n, d
+ WHERE i <= m AND t - i <= n AND abs(i / m - (t - i) / n) < d - 1e-9 GROUP BY t, i)
+SELECT 's_acctbal' AS "column", d AS statistic, 1 - coalesce((SELECT sum(p) FROM walk, n WHERE t = m + n), 0) AS p_value,
+ m AS n_a, n AS n_b, 1 - coalesce((SELECT sum(p) FROM walk, n WHERE t = m + n), 0) < 0.05 AS drift FROM d, n"""
+
+
+@query("ks_drift_exact", KS_SMALL)
+def q_ks_drift_exact(spark, sf):
+    """Samples small enough for the exact p-value."""
+    s = tb(spark, sf, "supplier")
+    return C.ks_drift(s.where(F.col("s_nationkey") % 3 == 0), s.where(F.col("s_nationkey") % 3 != 0), ["s_acctbal"])
 
 
 EV_COUNTS = """(SELECT event_type AS value, sum(CAST(ts < TIMESTAMP '2024-01-16' AS INTEGER)) AS na,
@@ -347,10 +378,14 @@ CHI2_SQL = f"""SELECT sum((na - (na + nb) * tot_a / (tot_a + tot_b)) ^ 2 / ((na
  any_value(tot_a + tot_b) AS N, any_value(r) AS r FROM {EV_COUNTS}, {EV_TOT}"""
 
 
-@query("chi2_drift", f"SELECT 'event_type' AS \"column\", statistic, dof FROM ({CHI2_SQL})")
+#: Five event types give four degrees of freedom, for which the upper tail has this closed form.
+CHI2_P = "exp(-statistic / 2) * (1 + statistic / 2)"
+
+
+@query("chi2_drift", f"SELECT 'event_type' AS \"column\", statistic, dof, {CHI2_P} AS p_value, {CHI2_P} < 0.05 AS drift FROM ({CHI2_SQL})")
 def q_chi2_drift(spark, sf):
     a, b = events_ab(spark, sf)
-    return C.chi2_drift(a, b, ["event_type"], with_p=False)
+    return C.chi2_drift(a, b, ["event_type"])
 
 
 @query("drift_report")

@@ -84,11 +84,14 @@ def q_distinct_counts(spark, sf):
     return A.distinct_counts(tb(spark, sf, "lineitem"))
 
 
-@query("distinct_values", _union(
-    [f"SELECT DISTINCT '{c}' AS \"column\", {c} AS value FROM orders WHERE {c} IS NOT NULL"
-     for c in ("o_orderstatus", "o_orderpriority")]))
+@query("distinct_values", _union([f"SELECT DISTINCT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM orders WHERE {c} IS NOT NULL"
+                                  for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "cents", "day")])
+       .replace("FROM orders", "FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders)"))
 def q_distinct_values(spark, sf):
-    return A.distinct_values(tb(spark, sf, "orders").select("o_orderstatus", "o_orderpriority"))
+    """Every column of the table; prices in cents and dates as days, whose text is the same in any engine."""
+    o = tb(spark, sf, "orders")
+    return A.distinct_values(o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"),
+                                      F.date_format("o_orderdate", "yyyy-MM-dd").alias("day")))
 
 
 @query("describe_stats", _union([f"""SELECT '{c}' AS "column", count({c}) AS count, avg({c}) AS mean,

@@ -59,15 +59,13 @@ def read_dir(spark: SparkSession, directory: str, suffix: str = ".csv") -> list[
     return [(n[: -len(suffix)], read_table(spark, directory.rstrip("/") + "/" + n)) for n in names]
 
 
-def load_tables(spark: SparkSession, sf_dir: str, names: Sequence[str] = TEST_TABLES) -> dict[str, DataFrame]:
-    """The test tables of one scale factor directory, by name."""
-    return {n: spark.read.parquet(os.path.join(sf_dir, f"{n}.parquet")) for n in names}
-
-
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
-                partition_by: Sequence[str] = ()) -> str:
-    """S3: write without an index column (CSV with header, or Parquet)."""
+                partition_by: Sequence[str] = (), replace_partitions: bool = False) -> str:
+    """S3: write without an index column (CSV with header, or Parquet). With ``replace_partitions`` only the
+    partitions that ``df`` has rows for are replaced, so a day that is run again leaves the same table."""
     writer = df.write.mode(mode)
+    if replace_partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
@@ -120,11 +118,12 @@ METRIC_SCHEMA = "run string, model string, metric string, value double"
 
 
 def append_metrics(df: DataFrame, path: str) -> DataFrame:
-    """Append ``(run, model, metric, value)`` rows to a Parquet metric log."""
+    """Add ``(run, model, metric, value)`` rows to a Parquet metric log. The log is keyed: the same run, model and metric
+    written again (a rerun) replaces its earlier value."""
     out = df.select(F.col("run").cast("string"), F.col("model").cast("string"),
                     F.col("metric").cast("string"), F.col("value").cast("double"))
-    out.write.mode("append").parquet(path)
-    return df.sparkSession.read.schema(METRIC_SCHEMA).parquet(path)
+    write_table(out, path, partition_by=["run", "model", "metric"], replace_partitions=True)
+    return df.sparkSession.read.schema(METRIC_SCHEMA).parquet(path).select("run", "model", "metric", "value")
 
 
 def save_preprocessor(spark: SparkSession, pre, path: str) -> str:

@@ -64,3 +64,13 @@ def test_earliest_per_key_nulls_last(spark):
 
 def test_count_duplicates(data):
     assert D.count_duplicates(data).collect()[0]["n_duplicates"] == 2
+
+
+def test_daily_state_equals_the_whole(spark, tmp_path):
+    from cohort_spark.operators import dedup as D
+
+    df = spark.range(500).selectExpr("id % 37 AS k", "CASE WHEN id % 5 = 0 THEN NULL ELSE (id * 31) % 97 END AS t", "id AS v", "CAST(id % 4 AS STRING) AS day")
+    whole = sorted(map(tuple, D.earliest_per_key(df.drop("day"), "k", "t", ["v"]).collect()))
+    for day in ("0", "1", "2", "2", "3"):
+        out = D.update_earliest(df.where(f"day = '{day}'").drop("day"), str(tmp_path / "s"), day, "k", "t", ["v"])
+    assert sorted(map(tuple, out.collect())) == whole

@@ -40,7 +40,7 @@ def test_auc_matches_pairs(spark):
 def test_ks(spark):
     a = spark.createDataFrame([(float(i),) for i in range(100)], "x double")
     b = spark.createDataFrame([(float(i) + 30.0,) for i in range(100)], "x double")
-    r = C.ks_drift(a, b, ["x"]).collect()[0]
+    r = C.ks_drift(a, b, ["x"], exact_up_to=0).collect()[0]
     assert r.statistic == pytest.approx(0.3)
     lam = math.sqrt(50) * 0.3
     want = sum(2 * (-1) ** (k - 1) * math.exp(-2 * k * k * lam * lam) for k in range(1, 101))
@@ -81,3 +81,34 @@ def test_roc_drop_intermediate(spark):
     assert len(got) == len(want)
     for g, w in zip(got, want):
         assert g == pytest.approx(w)
+
+
+def test_exact_ks_equals_enumeration():
+    """Every order of two samples of up to 8 values each."""
+    import itertools
+    from math import comb
+
+    from cohort_spark.operators.drift import exact_ks_p
+
+    for n_a, n_b in itertools.product(range(1, 9), repeat=2):
+        found = []
+        for taken in itertools.combinations(range(n_a + n_b), n_a):
+            chosen, i, j, d = set(taken), 0, 0, 0.0
+            for k in range(n_a + n_b):
+                i, j = i + (k in chosen), j + (k not in chosen)
+                d = max(d, abs(i * n_b - j * n_a))
+            found.append(d)
+        for far in sorted(set(found)):
+            want = sum(x >= far for x in found) / comb(n_a + n_b, n_a)
+            assert exact_ks_p(n_a, n_b, far / (n_a * n_b)) == pytest.approx(want, rel=1e-9), (n_a, n_b, far)
+
+
+def test_ks_takes_the_exact_value_for_small_samples(spark):
+    a = spark.createDataFrame([(float(i), 1.0) for i in range(8)], "x double, y double")
+    b = spark.createDataFrame([(float(i) + 3.5, None) for i in range(8)], "x double, y double")
+    from cohort_spark.operators.drift import exact_ks_p, ks_drift
+
+    got = {r["column"]: r for r in ks_drift(a, b).collect()}
+    assert got["x"].p_value == pytest.approx(exact_ks_p(8, 8, 0.5)) and got["y"].p_value is None
+    large = ks_drift(a, b, ["x"], exact_up_to=7).collect()[0]
+    assert large.p_value != got["x"].p_value

@@ -146,3 +146,26 @@ def test_bucketed_stages_join_without_shuffle(spark):
         assert joined.count() == 2000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_lda_keeps_its_digits_far_from_the_origin(spark):
+    rows = [(float(i % 2), i % 7 + 3.0 * (i % 2), (i * 5) % 11 - 2.0 * (i % 2)) for i in range(200)]
+    near = spark.createDataFrame(rows, "y double, a double, b double")
+    far = near.select("y", (F.col("a") + 1e8).alias("a"), (F.col("b") - 1e8).alias("b"))
+    p, q = (sorted(r.LD1 for r in E.lda_project(d, ["a", "b"], "y").collect()) for d in (near, far))
+    spread = lambda v: [x - v[0] for x in v]
+    assert spread(q) == pytest.approx(spread(p), abs=1e-6) or spread(q) == pytest.approx([v[-1] - x for v in [p] for x in reversed(v)], abs=1e-6)
+
+
+def test_metric_log_and_daily_table_survive_a_rerun(spark, tmp_path):
+    from cohort_spark import sources as S
+
+    rows = spark.createDataFrame([("r1", "m", "acc", 0.5), ("r1", "m", "n", 3.0)], "run string, model string, metric string, value double")
+    for value in (rows, rows, rows.where("metric = 'acc'").withColumn("value", F.lit(0.75))):
+        log = S.append_metrics(value, str(tmp_path / "log"))
+    S.append_metrics(rows.withColumn("run", F.lit("r2")), str(tmp_path / "log"))
+    assert sorted((r.run, r.metric, r.value) for r in spark.read.schema("run string, model string, metric string, value double").parquet(str(tmp_path / "log")).collect()) == [
+        ("r1", "acc", 0.75), ("r1", "n", 3.0), ("r2", "acc", 0.5), ("r2", "n", 3.0)] and log.columns == ["run", "model", "metric", "value"]
+    for day, n in ((1, 5), (2, 7), (1, 6)):
+        S.write_table(spark.range(n).withColumn("day", F.lit(day)), str(tmp_path / "t"), partition_by=["day"], replace_partitions=True)
+    assert dict(spark.read.parquet(str(tmp_path / "t")).groupBy("day").count().collect()) == {1: 6, 2: 7}
