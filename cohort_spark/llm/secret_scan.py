@@ -29,7 +29,8 @@ ASSIGN_MIN = 6
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # AKIA[A-Z0-9]+ of 20 characters or more
 HEX = re.compile(r"[0-9a-f]{24,}")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")  # candidates; a hex match always lies in one
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{10,}")  # candidates; a hex match always lies in one
+SHORT = 16  # shorter candidates need a digit and letters: words and numbers of that length are everywhere
 
 LITERAL = 4  # characters of a credential that are kept as they are
 TRAIN_SYMBOLS = 64  # symbols of a training credential that enter the prefix tree
@@ -43,7 +44,7 @@ def base_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, i
         spans += [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_MIN]
     if "AKIA" in text:
         spans += [("access", *m.span()) for m in ACCESS.finditer(text)]
-    tokens = [m.span() for m in TOKEN.finditer(text)]
+    tokens = [m.span() for m in TOKEN.finditer(text) if m.end() - m.start() >= SHORT or shape(m[0]) == (True, True)]
     for s, e in tokens:
         if e - s >= 24:
             spans += [("hex", *m.span()) for m in HEX.finditer(text, s, e)]
@@ -162,16 +163,26 @@ class Automaton:
 
 class Formats:
     """The inferred formats and the cut: what ``ratio`` gives to a tenth of the labelled credentials at most, raised
-    until at most one ordinary token in a hundred reaches it."""
+    until at most one ordinary token in a hundred reaches it.
+
+    The sample of other tokens may hold many bare credentials. Those that fit a credential format as well as all but one in
+    a hundred of its own examples do are neither taught as ordinary nor counted for the cut, so the cut does not rise with their number."""
 
     def __init__(self, labelled: dict[str, list[str]], ordinary: list[str], min_ratio: float = 0.2):
         train = {k: [symbols(v)[:TRAIN_SYMBOLS] for v in vs] for k, vs in labelled.items() if vs}
         self.kinds = {k: Automaton(v) for k, v in train.items()}
+        fits, held = {}, []
+        for k, v in train.items():  # scored by automata of the other half, as tokens that were never taught are
+            halves = v[::2], v[1::2]
+            own = [(a.score(s), s) for a, other in zip(map(Automaton, halves), halves[::-1]) for s in other] if len(v) > 1 else [(self.kinds[k].score(v[0]), v[0])]
+            fits[k] = sorted(x for x, _ in own)[len(own) // 100]
+            held += [x for x in own if len(x[1]) >= 10]
+        ordinary = [v for v in ordinary if not any(self.kinds[k].score(symbols(v)) >= fits[k] for k in fits) or shape(v) != (True, True)]
         shapes: dict[tuple[bool, bool], list[str]] = {}
         for v in ordinary:
             shapes.setdefault(shape(v), []).append(v)
         self.ordinary = [Automaton([symbols(v)[:TRAIN_SYMBOLS] for v in vs]) for _, vs in sorted(shapes.items())] or [Automaton([])]
-        good = sorted(self.ratio(v) for vs in labelled.values() for v in vs if len(v) >= 16)
+        good = sorted(x - max(a.score(s) for a in self.ordinary) for x, s in held)
         bad = sorted(self.ratio(v) for v in ordinary)
         self.cut = max([min_ratio, *good[len(good) // 10:][:1], *bad[len(bad) * 99 // 100:][:1]])
 

@@ -20,7 +20,6 @@ from cohort_spark.llm.common import checked_broadcast, pick, stage
 from cohort_spark.llm.components import connected_components
 from cohort_spark.operators.ordered import global_rank
 
-FILLS = 4  # documents that may fill what the seeded order leaves of a pattern's flow
 BUCKET_BITS = 12  # hash ranges per pattern (4,096); only the range that holds the cut is ordered exactly
 
 
@@ -150,44 +149,60 @@ def choose_documents(rows: DataFrame, plan: DataFrame, wide: DataFrame | None =
     (pattern, words, flow).
 
     With ``full = flow div words`` uses of every document, the rest goes to the documents that come first by ``h`` (a seeded
-    hash) while they fit, and then, a few times, to the one of the others whose size is nearest to what is left, if that comes
-    nearer than leaving it. Rows with equal ``h`` in a pattern are taken together. Only sums per hash range are gathered; a pattern's
-    documents are never ordered whole: just those of the one range that holds the cut are. ``wide`` meets only tables of one
-    row per pattern.
+    hash) and fit into what is left: one that does not is passed over, and the order goes on behind it. So less is left than
+    the smallest document passed over, which is taken too if that comes nearer. Rows with equal ``h`` in a pattern are taken together. Each round finds how far the order goes until
+    the next document that does not fit: sums per hash range are gathered, and only the one range that holds that
+    document is ordered. A round takes at least one document and leaves less than the size of the one that stopped it, so there are few. ``wide``
+    meets only tables of one row per pattern.
     """
     plan = stage(plan.where("words > 0").select("pattern", F.expr("flow div words").alias("full"), F.expr("flow % words").alias("rest")), "mix-plan")
     n = plan.count()
     bucket = F.shiftrightunsigned("h", 64 - BUCKET_BITS)
-    sums = rows.groupBy("pattern", bucket.alias("bucket")).agg(F.sum("size").alias("words"))
-    upto = F.sum("words").over(Window.partitionBy("pattern").orderBy("bucket"))  # at most 2**BUCKET_BITS rows a pattern
-    cuts = (sums.withColumn("upto", upto).join(checked_broadcast(plan, n), "pattern")
-            .where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("words") <= F.col("rest"))))
-    cuts = stage(cuts.select(F.col("pattern").alias("p"), "full", "rest", "bucket", (F.col("upto") - F.col("words")).alias("before")), "mix-cuts")
-    edge = rows.join(checked_broadcast(cuts, n), (F.col("pattern") == F.col("p")) & (bucket == F.col("bucket")))
-    keys = edge.groupBy("p", "h", "before", "rest").agg(F.sum("size").alias("size"))
-    upto = F.sum("size").over(Window.partitionBy("p").orderBy("h")) + F.col("before")
-    fit = keys.withColumn("upto", upto).where("upto <= rest").groupBy("p").agg(F.max("h").alias("last"), F.max("upto").alias("got"))
-    fit = stage(cuts.join(fit, "p", "left").select("p", "full", "bucket", "last", (F.col("rest") - F.coalesce("got", "before")).alias("gap")), "mix-fit")
-    fits = checked_broadcast(fit, n)
-    first = F.coalesce((bucket < F.col("bucket")) | ((bucket == F.col("bucket")) & (F.col("h") <= F.col("last"))), F.lit(False))
-    left, fill = fit.select("p", "gap"), None
-    for _ in range(FILLS):
-        gaps = checked_broadcast(fit.drop("gap").join(left, "p"), n)
-        others = rows.join(gaps, F.col("pattern") == F.col("p")).where(~first & (F.col("size") > 0) & (F.col("size") < 2 * F.col("gap")))
-        if fill is not None:
-            others = others.join(checked_broadcast(fill, n * FILLS), (F.col("pattern") == F.col("fp")) & (F.col("h") == F.col("fh")), "left_anti")
-        best = (others.groupBy("pattern", "h", "gap").agg(F.sum("size").alias("size"))
-                .groupBy("pattern", "gap").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("size")).alias("off"), "h", "size")).alias("best")).where("best.off < gap"))
-        best = stage(best.select(F.col("pattern").alias("fp"), F.col("best.h").alias("fh"), (F.col("gap") - F.col("best.size")).alias("gap")), "mix-fill")
-        fill = best.drop("gap") if fill is None else fill.unionAll(best.drop("gap"))
-        left = best.where("gap > 0").select(F.col("fp").alias("p"), "gap")
+    keys = stage(rows.where("size > 0").groupBy("pattern", bucket.alias("bucket"), "h").agg(F.sum("size").alias("total"), F.max("size").alias("size")), "mix-keys")
+    left = plan.where("rest > 0").select(F.col("pattern").alias("p"), F.col("rest").alias("gap"), F.lit(-1).cast("long").alias("b0"), F.lit(0).cast("long").alias("h0"))
+    rounds = None
+    while True:
+        left = stage(left, "mix-left")
         if left.isEmpty():
             break
-    uses = F.coalesce("full", F.lit(0)) + (first | F.col("fh").isNotNull()).cast("int")
-    return ((rows if wide is None else wide).join(fits, F.col("pattern") == F.col("p"), "left")
-            .join(checked_broadcast(fill, n * FILLS), (F.col("pattern") == F.col("fp")) & (F.col("h") == F.col("fh")), "left")
-            .withColumn("uses", F.when(F.col("size") > 0, uses).otherwise(0).cast("int"))
-            .drop("p", "full", "bucket", "last", "gap", "fp", "fh"))
+        behind = (F.col("bucket") > F.col("b0")) | ((F.col("bucket") == F.col("b0")) & (F.col("h") > F.col("h0")))
+        open_ = keys.join(checked_broadcast(left, n), (F.col("pattern") == F.col("p")) & behind & (F.col("size") <= F.col("gap")))
+        sums = open_.groupBy("p", "gap", "b0", "h0", "bucket").agg(F.sum("total").alias("words"))
+        by = Window.partitionBy("p").orderBy("bucket")  # at most 2**BUCKET_BITS rows a pattern
+        sums = sums.withColumn("upto", F.sum("words").over(by))
+        stop = sums.groupBy("p", "gap", "b0", "h0").agg(F.min(F.when(F.col("upto") > F.col("gap"), F.struct("bucket", (F.col("upto") - F.col("words")).alias("before")))).alias("at"),
+                                                        F.max("upto").alias("all"))
+        stop = stage(stop.select("p", "gap", "b0", "h0", F.col("at.bucket").alias("b1"), F.col("at.before").alias("before"), "all"), "mix-stops")
+        edge = open_.select("p", "bucket", "h", "total").join(checked_broadcast(stop.where("b1 is not null").select(F.col("p").alias("q"), "b1", "before", F.col("gap").alias("g")), n),
+                                                              (F.col("p") == F.col("q")) & (F.col("bucket") == F.col("b1")))
+        edge = edge.withColumn("upto", F.sum("total").over(Window.partitionBy("p").orderBy("h")) + F.col("before"))
+        first_out = edge.groupBy("p").agg(F.min(F.when(F.col("upto") > F.col("g"), F.struct("h", (F.col("upto") - F.col("total")).alias("got")))).alias("x"))
+        # to the end of the order, or up to (not with) the document at (b1, h1)
+        done = stage(stop.join(first_out, "p", "left").select("p", "gap", "b0", "h0", "b1", F.col("x.h").alias("h1"), F.coalesce("x.got", "all").alias("got")), "mix-round")
+        end = done.where("b1 is null and gap > got").select("p", (F.col("gap") - F.col("got")).alias("short"))
+        ends = end if rounds is None else ends.unionAll(end)
+        part = done.select("p", F.struct("gap", "b0", "h0", "b1", "h1").alias("r"))
+        rounds = part if rounds is None else rounds.unionAll(part)
+        left = done.where("b1 is not null and gap > got").select("p", (F.col("gap") - F.col("got")).alias("gap"), F.col("b1").alias("b0"), F.col("h1").alias("h0"))
+    steps = plan.select(F.col("pattern").alias("p"), "full")
+    steps = steps.withColumn("steps", F.array().cast("array<struct<gap:long,b0:long,h0:long,b1:long,h1:long>>")) if rounds is None else (
+        steps.join(rounds.groupBy("p").agg(F.collect_list("r").alias("steps")), "p", "left"))  # a few rounds a pattern
+    steps = stage(steps, "mix-steps")
+    here = lambda r: ((bucket > r["b0"]) | ((bucket == r["b0"]) & (F.col("h") > r["h0"]))) & (
+        r["b1"].isNull() | (bucket < r["b1"]) | ((bucket == r["b1"]) & (F.col("h") < r["h1"])))
+    taken = F.coalesce(F.exists("steps", lambda r: here(r) & (F.col("size") <= r["gap"])), F.lit(False))
+    if rounds is not None:
+        open_ = steps.join(stage(ends, "mix-ends").select(F.col("p").alias("q"), "short"), F.col("p") == F.col("q")).drop("q")
+        near = (keys.drop("bucket").join(checked_broadcast(open_, n), (F.col("pattern") == F.col("p")) & (F.col("total") < 2 * F.col("short"))).where(~taken)
+                .groupBy("p").agg(F.min(F.struct("total", "h")).alias("near")))
+        steps = steps.join(near.select(F.col("p").alias("q"), F.col("near.h").alias("over")), F.col("p") == F.col("q"), "left").drop("q")
+    else:
+        steps = steps.withColumn("over", F.lit(None).cast("long"))
+    steps = checked_broadcast(stage(steps, "mix-taken"), n)
+    taken = taken | F.coalesce(F.col("h") == F.col("over"), F.lit(False))
+    uses = F.coalesce("full", F.lit(0)) + taken.cast("int")
+    return ((rows if wide is None else wide).join(steps, F.col("pattern") == F.col("p"), "left")
+            .withColumn("uses", F.when(F.col("size") > 0, uses).otherwise(0).cast("int")).drop("p", "full", "steps", "over"))
 
 
 class _Mix:

@@ -25,16 +25,15 @@ SYMBOLS = 64  # 0: anything that is no letter; 1..: LETTERS; 63: other letters
 CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
 #: Letters that a character may stand for in leetspeak.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c"}
-SWAP, DROP, SPACE = 1.0, 0.7, 0.2  # channel costs: a stand-in, a dropped repetition, a dropped separator
+SWAP, DROP, SPACE, BREAK = 1.0, 0.7, 0.2, 0.2  # channel costs: a stand-in, a dropped repetition, a dropped separator, one that ends a word
 
 WORD = re.compile(r"[^\W\d_]+")
 SPACED = re.compile(r"(?<!\S)[^\W_](?: [^\W_]){2,}(?!\S)")  # single characters between spaces
-MAYBE_SPACED = re.compile(r" \S \S \S ")
+MAYBE_SPACED = re.compile(r" \S \S(?:\s|\Z)")  # found wherever SPACED finds something
 DOTTED = re.compile(r"(?<![^\W_])[^\W_](?:[.*_-][^\W_]){2,}(?![^\W_])")  # within a token
 LEET_RUN = re.compile(r"(?:[^\W_]|[@$!|+(])+")
 TRAILING = re.compile(r"(?:([@$!|+(])\1+|[!|+(])$")  # punctuation rather than stand-ins
 STRETCHED = re.compile(r"([^\W\d_])\1\1")
-LONGEST = 24  # characters of a disguised word; longer tokens (keys, numbers) are no words
 
 
 def trigram_counts(batches):
@@ -43,14 +42,13 @@ def trigram_counts(batches):
     for c in range(0x10000):
         if chr(c).isalpha():
             table[c] = CODE.get(chr(c), SYMBOLS - 1)
-    edge, total = np.zeros(1, np.int32), np.zeros(SYMBOLS ** 3, np.int64)
+    total = np.zeros(SYMBOLS ** 3, np.int64)
     for b in batches:
         for text in b.column("text"):
-            s = (text.as_py() or "").lower()
+            s = " " + (text.as_py() or "").lower() + " "
             for at in range(0, len(s), 1_000_000):  # bounds memory; neighbours overlap by two characters
                 c = np.frombuffer(s[max(0, at - 2):at + 1_000_000].encode("utf-32-le", "surrogatepass"), np.uint32)
                 k = table[np.minimum(c, 0xFFFF)]
-                k = np.concatenate([edge, k, edge]) if len(s) <= 1_000_000 else k
                 total += np.bincount(k[:-2] * SYMBOLS**2 + k[1:-1] * SYMBOLS + k[2:], minlength=SYMBOLS**3) if len(k) > 2 else 0
     ids = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["gram", "n"])
@@ -75,58 +73,64 @@ class Restorer:
         return self._seen[token]
 
     def _decode(self, token: str) -> str:
-        cost, paths, before = self._cost, {(0, 0): (0.0, "")}, ""
+        cost, paths, before = self._cost, {(0, 0): (0.0, None)}, ""  # a path is its last letter and the path before
         for ch in token:
             choices: list[tuple[str, float]] = []
-            if ch in CODE:
-                choices.append((ch, 0.0))
-            elif ch.isalpha():
+            if ch.isalpha():
                 choices.append((ch, 0.0))
             choices += [(x, SWAP) for x in LEET.get(ch, "")]
             if ch == before:
                 choices.append(("", DROP))
             if not choices or ch in " .*_-":
-                choices.append(("", SPACE))
-            step: dict[tuple[int, int], tuple[float, str]] = {}
+                choices += [("", SPACE), (" ", BREAK)]
+            step: dict[tuple[int, int], tuple] = {}
             for (p, q), (total, path) in paths.items():
                 for letter, extra in choices:
-                    if letter:
-                        k = CODE.get(letter, SYMBOLS - 1)
-                        key, value = (q, k), (total + extra + cost[p, q, k], path + letter)
+                    if not letter:
+                        key, value = (p, q), total + extra
+                    elif letter == " ":
+                        if not q:
+                            continue
+                        key, value = (q, 0), total + extra + cost[p, q, 0]
                     else:
-                        key, value = (p, q), (total + extra, path)
-                    if key not in step or value < step[key]:
-                        step[key] = value
+                        k = CODE.get(letter, SYMBOLS - 1)
+                        key, value = (q, k), total + extra + cost[p, q, k]
+                    if key not in step or value < step[key][0]:
+                        step[key] = (value, (letter, path) if letter else path)
             paths, before = step, ch
-        return min((total + cost[p, q, 0], path) for (p, q), (total, path) in paths.items())[1]
+        _, path = min(((total + (cost[p, q, 0] if q else 0.0), path) for (p, q), (total, path) in paths.items()), key=lambda x: x[0])
+        out = []
+        while path is not None:
+            letter, path = path
+            out.append(letter)
+        return "".join(reversed(out))
 
 
 def _disguised(run: str) -> bool:
-    """Whether a run may be a word with stand-ins: short, with letters and stand-ins, and not mostly digits."""
+    """Whether a run may be a word with stand-ins: with letters and stand-ins, and not mostly digits."""
     letters, marks = sum(map(str.isalpha, run)), sum(c in LEET for c in run)
-    return len(run) <= LONGEST and letters >= 2 and marks > 0 and 5 * sum(map(str.isdigit, run)) <= 3 * len(run)
+    return letters >= 2 and marks > 0 and 5 * sum(map(str.isdigit, run)) <= 3 * len(run)
 
 
 def token_words(token: str, restore: Restorer) -> list[str]:
     """The words of a lower-cased token without white space, with the restored forms of disguised ones."""
     words = WORD.findall(token)
     if not token.isalpha() and len(token) > 2:
-        words += [x for m in DOTTED.finditer(token) if len(m[0]) <= 2 * LONGEST for x in WORD.findall(restore(m[0]))]
+        words += [x for m in DOTTED.finditer(token) for x in WORD.findall(restore(m[0]))]
         for m in LEET_RUN.finditer(token):
             run = TRAILING.sub("", m[0])
             if _disguised(run):
                 words += WORD.findall(restore(run))
     if STRETCHED.search(token):
-        words += [x for w in WORD.findall(token) if len(w) <= LONGEST and STRETCHED.search(w) for x in WORD.findall(restore(w))]
+        words += [x for w in WORD.findall(token) if STRETCHED.search(w) for x in WORD.findall(restore(w))]
     return words
 
 
 def spaced_words(low: str, restore: Restorer) -> list[str]:
     """Restored forms of spaced-out words of a lower-cased text."""
-    padded = " " + low + " "
-    if not MAYBE_SPACED.search(padded):
+    if not MAYBE_SPACED.search(low):
         return []
-    return [w for m in SPACED.finditer(low) if len(m[0]) <= 2 * LONGEST for w in WORD.findall(restore(m[0]))]
+    return [w for m in SPACED.finditer(low) for w in WORD.findall(restore(m[0]))]
 
 
 def restored_words(text: str, restore: Restorer) -> set[str]:
@@ -181,13 +185,13 @@ class Scorer:
         return 1 / (1 + exp(-max(-30.0, min(30.0, z))))
 
 
-def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.1) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; slopes are kept non-negative (evidence never counts against)."""
+def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1) -> np.ndarray:
+    """Ridge logistic regression of weighted rows by Newton steps; slopes are kept non-negative (evidence never counts against)."""
     x = np.column_stack([np.ones(len(x)), x])
     beta = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge * np.eye(len(beta)), x.T @ (y - p) - ridge * beta)
+        step = np.linalg.solve(x.T @ (x * (weight * p * (1 - p))[:, None]) + ridge * np.eye(len(beta)), x.T @ (weight * (y - p)) - ridge * beta)
         beta = beta + step
         if np.abs(step).max() < 1e-8:
             break
@@ -236,7 +240,9 @@ def learn(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clean: int, mi
 
     seen = train.mapInArrow(weigh, "toxic boolean, top double, total double").toPandas()
     if toxic and clean:
-        scorer.beta = _fit(seen[["top", "total"]].to_numpy(), seen["toxic"].to_numpy().astype(float))
+        given = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}  # the bounds may thin one kind more than the other
+        y = seen["toxic"].to_numpy().astype(bool)
+        scorer.beta = _fit(seen[["top", "total"]].to_numpy(), y.astype(float), np.where(y, max(1.0, given[True] / max_toxic), max(1.0, given[False] / max_clean)))
     else:
         scorer.beta = np.array([log((toxic + 0.5) / (clean + 0.5)), 0.0, 0.0])
     scorer.counts = counts

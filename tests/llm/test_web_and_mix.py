@@ -286,8 +286,8 @@ def test_pipeline_stages(spark, docs):
     before, kept = rows["minhash near-dedup"]
     sets = {i: {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} for i, r in before.items() for w in [r.text.encode().lower().split()]}
     ids = {r.doc_id for r in kept}
-    alike = lambda a, b: 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
-    assert all(any(alike(a, b) for b in before if b != a) for a in before if a not in ids)
+    alike = lambda a, b: 100 * len(sets[a] & sets[b]) >= corpus_pipeline.NEAR_PERCENT * len(sets[a] | sets[b])
+    assert corpus_pipeline.NEAR_PERCENT == 80 and all(any(alike(a, b) for b in before if b != a) for a in before if a not in ids)
     assert not any(alike(a, b) for a in ids for b in ids if a < b)
     before, kept = rows["secret scans"]
     assert len(kept) == len(before)
