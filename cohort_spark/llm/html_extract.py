@@ -4,14 +4,17 @@ A page is a sequence of words and tags. Words score positive, tags negative; one
 with the largest sum, the content region. The weights come from labelled pages, those that mark their text with an
 ``article`` or ``main`` element: a word weighs what share of the words of its enclosing element kind lies inside marked
 text, a tag costs the more the larger the share of its kind lies outside (next to nothing within elements that are left out). The scale of the tag costs is chosen on a
-bounded sample of the labelled pages. Elements that are never content (menus, forms, scripts, comments, adverts ...)
-are left out wherever they stand.
+bounded sample of the labelled pages. Elements that are never content (menus, scripts, footers ...) are left out wherever
+they stand; elements that a class, id or role names as such (comments, adverts ...), and forms, only where they wrap neither
+marked text nor most of the page, as many pages put everything into one form or into ``has-sidebar``.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+import zlib
+from collections import defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,7 +27,7 @@ RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe",
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr", "param"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark",
           "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
-NEVER = {"nav", "header", "footer", "aside", "form", "button", "select", "option", "fieldset", "dialog", "menu", "audio", "video", "canvas", "head"}
+NEVER = {"nav", "header", "footer", "aside", "button", "select", "option", "fieldset", "dialog", "menu", "audio", "video", "canvas", "head"}
 MARKED = {"article", "main"}
 CLOSES_P = {"p", "div", "ul", "ol", "li", "dl", "table", "section", "article", "main", "aside", "nav", "header", "footer", "form", "blockquote", "pre",
             "h1", "h2", "h3", "h4", "h5", "h6", "figure", "hr", "address", "fieldset"}
@@ -35,7 +38,10 @@ NOISE = {"ad", "ads", "advert", "adverts", "advertisement", "adsense", "banner",
          "social", "related", "recommended", "newsletter", "subscribe", "subscription", "signup", "login", "search", "pagination", "pager", "widget", "widgets",
          "toolbar", "contentinfo", "complementary", "skip", "copyright"}
 
-PIECE = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^"'<>]|"[^"]*"|'[^']*')*)(?:>|(?=<)|\Z)""", re.S)
+PIECE = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^"'<>]++|"[^"]*"|'[^']*')*+)(?:>|(?=<)|\Z)""", re.S)
+HEADINGS = {"h1", "h2", "h3"}
+WRAPS = 0.8  # an element with this share of a page's words is no menu, whatever it is called
+BUCKETS = 1 << 16  # of kinds: weights are held per hash of the kind, so their number is bounded whatever names a crawl has
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|itemprop)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 NAME_PART = re.compile(r"[a-z]+|[0-9]+")
 UNSEEN_OUTSIDE = 0.02  # share outside of a tag that no labelled page shows
@@ -55,19 +61,54 @@ def _names(attributes: str) -> tuple[list[str], bool]:
     return parts, hidden
 
 
+class _Open:
+    """The open elements, innermost last. Each lookup is by position, so deep or unclosed markup costs no more than other markup."""
+
+    def __init__(self):
+        self.items: list[tuple] = []  # name, kind, skipped, marked, place of the innermost block
+        self.at: dict[str, list[int]] = defaultdict(list)  # places per name
+
+    def push(self, name: str, kind: str, skipped: bool, marked: bool) -> None:
+        n = len(self.items)
+        block = n if name not in INLINE else self.items[-1][4] if self.items else -1
+        self.at[name].append(n)
+        self.items.append((name, kind, skipped, marked, block))
+
+    def cut(self, place: int) -> None:
+        """Close all elements from ``place`` on."""
+        while len(self.items) > place:
+            self.at[self.items.pop()[0]].pop()
+
+    def last(self, *names: str) -> int:
+        return max(self.at[n][-1] if self.at[n] else -1 for n in names)
+
+    def state(self) -> tuple[bool, bool]:
+        return (self.items[-1][2], self.items[-1][3]) if self.items else (False, False)
+
+    def block(self) -> tuple | None:
+        place = self.items[-1][4] if self.items else -1
+        return self.items[place] if place >= 0 else None
+
+
 def tokens(page: str) -> list[tuple]:
     """Tokens of a page: ``("tag", kind, is_block, in_marked, skipped)`` and ``("text", string, kind of the enclosing element, in_marked, skipped)``.
     Unclosed and misnested elements are closed as browsers do in the common cases; a ``<`` that opens no tag is text."""
     out: list[tuple] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # name, kind, skipped, marked
-    at, end = 0, len(page)
+    open_, at, end, unclosed = _Open(), 0, len(page), set()
+    named: list[list[int]] = []  # elements that only their names call noise: first token, token after
+    inside: dict[int, int] = {}  # place of an open one -> its number
 
     def text(s: str) -> None:
         if s:
-            top = next((x for x in reversed(stack) if x[0] not in INLINE), None)
-            skipped, marked = (stack[-1][2], stack[-1][3]) if stack else (False, False)
+            top = open_.block()
+            skipped, marked = open_.state()
             out.append(("text", s, top[1] if top else "", marked, skipped))
 
+    def close(place: int) -> None:
+        for p in [p for p in reversed(inside) if p >= place] if inside else ():
+            named[inside.pop(p)][1] = len(out)
+        open_.cut(place)
+
     while at < end:
         m = PIECE.search(page, at)
         if not m:
@@ -78,44 +119,68 @@ def tokens(page: str) -> list[tuple]:
         name = (m[2] or "").lower()
         if not name:
             if m[0].startswith("<![CDATA["):
-                text(m[0][9:-3])
+                text(m[0][9:].removesuffix("]]>"))
             continue
         if m[1]:
-            _, _, skipped, marked = stack[-1] if stack else ("", "", False, False)
-            if any(x[0] == name for x in stack):
-                while (top := stack.pop())[0] != name:
-                    pass
-                skipped, marked = top[2], marked and top[3] and name not in MARKED
+            skipped, marked = open_.state()
+            place = open_.last(name)
+            if place >= 0:
+                _, _, skipped, held, _ = open_.items[place]
+                marked = marked and held and name not in MARKED
+                close(place)
             out.append(("tag", "/" + name, name not in INLINE, marked, skipped))
             continue
         parts, hidden = _names(m[3])
         if name in RAW and not m[3].rstrip().endswith("/"):
-            close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            at = close.end() if close else end if name in ("script", "style", "template", "svg") else at
-            out.append(("tag", name, True, bool(stack) and stack[-1][3], True))
+            ended = None if name in unclosed else re.compile(rf"</{name}\s*>", re.I).search(page, at)
+            if not ended:
+                unclosed.add(name)
+            at = ended.end() if ended else end if name in ("script", "style", "template", "svg") else at
+            out.append(("tag", name, True, open_.state()[1], True))
             continue
-        if name in CLOSES_P and stack:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
-                    del stack[i:]
-                    break
-                if stack[i][0] not in INLINE:
-                    break
-        if name in ("li", "dt", "dd", "tr", "td", "th", "option") and any(x[0] == name for x in stack):
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ("ul", "ol", "dl", "table"):
-                    break
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-        kind = name + ("." + parts[0][:20] if parts else "")
-        above_skipped, above_marked = (stack[-1][2], stack[-1][3]) if stack else (False, False)
-        noise = name not in ("body", "html", *MARKED) and (name in NEVER or hidden or any(p in NOISE for p in parts))
-        out.append(("tag", kind, name not in INLINE, above_marked, above_skipped or noise))
+        if name in CLOSES_P and (top := open_.block()) and top[0] == "p":
+            close(open_.items[-1][4])
+        if name in ("li", "dt", "dd", "tr", "td", "th", "option") and open_.last(name) > open_.last("ul", "ol", "dl", "table"):
+            close(open_.last(name))
+        kind = name + ("." + parts[0] if parts else "")
+        above_skipped, above_marked = open_.state()
+        plain = name not in ("body", "html", *MARKED)
+        never = plain and (name in NEVER or hidden)
+        maybe = plain and not never and not above_skipped and (name == "form" or any(p in NOISE for p in parts))
+        out.append(("tag", kind, name not in INLINE, above_marked, above_skipped or never))
         if name in VOID or m[3].rstrip().endswith("/") and name not in CLOSES_P:
+            if maybe:
+                named.append([len(out) - 1, len(out)])
             continue
-        stack.append((name, kind, above_skipped or noise, above_marked or name in MARKED))
-    return out
+        open_.push(name, kind, above_skipped or never, above_marked or name in MARKED)
+        if maybe:
+            inside[len(open_.items) - 1] = len(named)
+            named.append([len(out) - 1, end + 1])
+    return _without_noise(out, named) if named else out
+
+
+def _without_noise(out: list[tuple], named: list[list[int]]) -> list[tuple]:
+    """The tokens with the named elements left out, but for those that wrap the content: they hold an ``article`` or ``main``, most of
+    the page's words, or, within marked text, a heading."""
+    n = len(out)
+    words, starts, heads = [0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+    for i, t in enumerate(out):
+        tag = t[1].split(".")[0] if t[0] == "tag" else ""
+        words[i + 1] = words[i] + (len(t[1].split()) if t[0] == "text" and not t[4] else 0)
+        starts[i + 1] = starts[i] + (tag in MARKED)
+        heads[i + 1] = heads[i] + (tag in HEADINGS)
+    left_out = [0] * (n + 1)
+    for a, b in named:
+        b = min(b, n)
+        wraps = starts[b] > starts[a] or words[n] and words[b] - words[a] >= WRAPS * words[n] or out[a][3] and heads[b] > heads[a]
+        if not wraps:
+            left_out[a] += 1
+            left_out[b] -= 1
+    depth, result = 0, []
+    for i, t in enumerate(out):
+        depth += left_out[i]
+        result.append(t if not depth else (*t[:4], True))
+    return result
 
 
 def blocks(found: list[tuple]) -> str:
@@ -140,10 +205,14 @@ def blocks(found: list[tuple]) -> str:
     return "\n\n".join(parts)
 
 
+def bucket(kind: str) -> int:
+    return zlib.crc32(kind.encode("utf-8", "surrogatepass")) % BUCKETS
+
+
 class Weights:
-    """Word and tag weights from counts per kind: ``(words inside, outside, tags inside, outside)`` of labelled pages."""
+    """Word and tag weights from counts per hash of a kind: ``(words inside, outside, tags inside, outside)`` of labelled pages."""
 
-    def __init__(self, counts: dict[str, tuple[int, int, int, int]], scale: float):
+    def __init__(self, counts: dict[int, tuple[int, int, int, int]], scale: float):
         total = [sum(c[i] for c in counts.values()) for i in range(4)]
         prior = (total[0] + 1) / (total[0] + total[1] + 2)
         tag_prior = UNSEEN_OUTSIDE  # what labelled pages do not show may well be content
@@ -152,12 +221,12 @@ class Weights:
         self._tag = {k: (d + 2 * tag_prior) / (c + d + 2) for k, (_, _, c, d) in counts.items()}
 
     def word(self, kind: str) -> float:
-        v = self._word.get(kind)
-        return v if v is not None else self._word.get(kind.split(".")[0], self._default[0])
+        v = self._word.get(bucket(kind))
+        return v if v is not None else self._word.get(bucket(kind.split(".")[0]), self._default[0])
 
     def tag(self, kind: str) -> float:
-        v = self._tag.get(kind)
-        v = v if v is not None else self._tag.get(kind.split(".")[0], self._default[1])
+        v = self._tag.get(bucket(kind))
+        v = v if v is not None else self._tag.get(bucket(kind.split(".")[0]), self._default[1])
         return -0.05 - self.scale * v
 
 
@@ -183,9 +252,9 @@ def extract(page: str, w: Weights) -> str:
 
 
 def _counts(batches):
-    """Per kind: words inside and outside of marked text, tags inside and outside, over labelled pages."""
+    """Per hash of a kind: words inside and outside of marked text, tags inside and outside, over labelled pages."""
     for b in batches:
-        sums: dict[str, list[int]] = {}
+        sums: dict[int, list[int]] = {}
         for page in b.column("html"):
             found = tokens(page.as_py() or "")
             if not any(t[3] for t in found):
@@ -194,22 +263,24 @@ def _counts(batches):
                 if t[4]:
                     continue
                 for kind in {t[1], t[1].split(".")[0]} if t[0] == "tag" else {t[2], t[2].split(".")[0]}:
-                    c = sums.setdefault(kind, [0, 0, 0, 0])
+                    c = sums.setdefault(bucket(kind), [0, 0, 0, 0])
                     if t[0] == "tag":
                         c[2 if t[3] else 3] += 1
                     else:
                         c[0 if t[3] else 1] += len(t[1].split())
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), *[pa.array([c[i] for c in sums.values()], pa.int64()) for i in range(4)]],
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), *[pa.array([c[i] for c in sums.values()], pa.int64()) for i in range(4)]],
                                          names=["kind", "a", "b", "c", "d"])
 
 
-def learn_weights(src: DataFrame, kinds: int, sample: int) -> Weights:
-    """Weights over all labelled pages, for the ``kinds`` most frequent kinds (rarer ones fall back to their element name);
-    the scale with the best word overlap on ``sample`` labelled pages with the smallest hashes."""
-    rows = (src.select("html").mapInArrow(_counts, "kind string, a long, b long, c long, d long").groupBy("kind")
-            .agg(*[F.sum(x).alias(x) for x in "abcd"]).orderBy(F.desc(F.expr("a + b + c + d")), "kind").limit(kinds).collect())
+def learn_weights(src: DataFrame, sample: int) -> Weights:
+    """Weights over all labelled pages; the scale with the best word overlap on ``sample`` different labelled pages, those with the
+    smallest hashes (only hashes are put in order)."""
+    rows = (src.select("html").mapInArrow(_counts, "kind long, a long, b long, c long, d long").groupBy("kind")
+            .agg(*[F.sum(x).alias(x) for x in "abcd"]).collect())  # at most BUCKETS rows
     counts = {r["kind"]: (r["a"], r["b"], r["c"], r["d"]) for r in rows}
-    chosen = stage(src.select("html").where(F.col("html").rlike("(?i)<(article|main)[ >]")).orderBy(F.xxhash64("html"), "html").limit(sample), "html-sample")
+    marked = src.select("html", F.xxhash64("html").alias("h")).where(F.col("html").rlike("(?i)<(article|main)[ >]"))
+    last = marked.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    chosen = stage(marked.where(F.col("h") <= F.lit(last)).groupBy("h").agg(F.first("html").alias("html")).select("html"), "html-sample")
 
     def overlap(batches):
         models = [Weights(counts, s) for s in GRID]
@@ -232,7 +303,7 @@ def learn_weights(src: DataFrame, kinds: int, sample: int) -> Weights:
 
 
 def html_extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                 kinds: int = 2_000, sample: int = 1_000) -> DataFrame:
+                 sample: int = 1_000) -> DataFrame:
     """One row per page: ``(id, url, text, n_chars)``.
 
     ``text`` is the content region's blocks in page order (see the module text), character references decoded, white space
@@ -241,7 +312,7 @@ def html_extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     whole. Rows may repeat; null ids and urls stay. Columns besides the three named are ignored.
     """
     src = pick(pages, id=id_col, url=url_col, html=html_col)
-    weights = pages.sparkSession.sparkContext.broadcast(learn_weights(src, kinds, sample))
+    weights = pages.sparkSession.sparkContext.broadcast(learn_weights(src, sample))
 
     def run(batches):
         for b in batches:

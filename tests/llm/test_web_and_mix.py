@@ -155,6 +155,27 @@ def test_extraction_edges(spark):
     assert extract("<p>a b</p>", Weights({}, 10.0)) == "a b"
 
 
+def test_wrappers_do_not_empty_a_page():
+    w = Weights({}, 10.0)
+    story = "<h1>Title here</h1><p>One two three four five six seven eight nine ten.</p>"
+    want = "Title here\n\nOne two three four five six seven eight nine ten."
+    for page in (f'<div class="has-sidebar"><article>{story}</article><div class="sidebar"><p>Popular posts</p></div></div>', f'<div class="no-comments"><article>{story}</article></div>',
+                 f'<form id="aspnetForm"><article>{story}</article><input></form>', f'<article><div class="post-header"><h1>Title here</h1></div>{story[len("<h1>Title here</h1>"):]}</article>',
+                 f'<div class="page-with-ads"><div id="content">{story}</div></div>', f'<form>{story}</form>',
+                 f'<article>{story}<form>Subscribe now <input></form><div class="comments"><p>I am a reader of many words indeed</p></div></article>'):
+        assert extract(page, w) == want, page
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    for piece in ("<![CDATA[", "<b>", "<p>", "<!a", "<textarea>", "<a '", "<li><div>", "</b>", "<ul><li><div>", "<div class='ads'>", "<", "<b", "<!--"):
+        page, began = piece * (1_000_000 // len(piece)), time.time()
+        extract(page, Weights({}, 10.0))
+        took = time.time() - began
+        assert took < 12, (piece, took)
+
+
 def test_toxicity_held_out_accuracy(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     out = {r.doc_id: r for r in X.toxicity(docs, labels).collect()}
