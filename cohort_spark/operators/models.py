@@ -2,7 +2,7 @@
 
 Fits are distributed Spark ML estimators; grid search is ``CrossValidator``
 with parallel fits. Multi-class boosting and SVM use ``OneVsRest``; the RBF
-kernel is approximated by random Fourier features so that the linear SVM still
+kernel is approximated on landmark rows (Nyström) so that the linear SVM still
 trains distributed.
 """
 
@@ -70,41 +70,68 @@ def fit_boosted_trees(df: DataFrame, label: str = "label", **kw):
     return boosted_trees(label, **kw).fit(df)
 
 
-class RandomFourierFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
-    """Approximate RBF kernel map z(x) = sqrt(2/D) cos(Wx + b), W ~ N(0, 2γ), b ~ U(0, 2π).
+class NystroemFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
+    """Low-rank RBF kernel map z(x) = K(x, L) K(L, L)^(-1/2) on landmark rows L, so z(x)·z(y) approximates exp(-γ|x − y|²)
+    and equals it where x or y is a landmark.
 
-    The projection matrix follows from the params (sizes, gamma, seed), so a saved map is its params; scoring is
-    one vectorised pandas UDF per batch."""
+    The landmarks are params, so a saved map is its params; mapping is one vectorised pandas UDF per batch. ``error`` is the mean
+    absolute kernel error that :func:`nystroem_map` measured on other rows."""
 
+    landmarks = Param(Params._dummy(), "landmarks", "landmark rows, one after the other", TypeConverters.toListFloat)
     n_in = Param(Params._dummy(), "n_in", "number of input features", TypeConverters.toInt)
-    n_out = Param(Params._dummy(), "n_out", "number of mapped features", TypeConverters.toInt)
     gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
-    seed = Param(Params._dummy(), "seed", "seed of the projection", TypeConverters.toInt)
+    error = Param(Params._dummy(), "error", "mean absolute kernel error on a sample", TypeConverters.toFloat)
     input_col = Param(Params._dummy(), "input_col", "vector column to map", TypeConverters.toString)
     output_col = Param(Params._dummy(), "output_col", "mapped vector column", TypeConverters.toString)
 
-    def __init__(self, n_in: int = 1, gamma: float = 1.0, n_out: int = 200, seed: int = 42, input_col: str = "features",
-                 output_col: str = "rff"):
+    def __init__(self, landmarks: Sequence[float] = (), n_in: int = 1, gamma: float = 1.0, error: float = 0.0, input_col: str = "features", output_col: str = "kernel"):
         super().__init__()
-        self._set(n_in=n_in, n_out=n_out, gamma=gamma, seed=seed, input_col=input_col, output_col=output_col)
+        self._set(landmarks=[float(x) for x in landmarks], n_in=n_in, gamma=gamma, error=error, input_col=input_col, output_col=output_col)
+
+    def mapping(self):
+        """The map of a matrix of rows."""
+        marks = np.array(self.getOrDefault(self.landmarks)).reshape(-1, self.getOrDefault(self.n_in))
+        gamma = self.getOrDefault(self.gamma)
+        values, vectors = np.linalg.eigh(rbf_kernel(marks, marks, gamma))
+        keep = values > 1e-10 * max(values.max(initial=0.0), 1e-300)  # landmarks that depend on others add nothing
+        root = vectors[:, keep] / np.sqrt(values[keep])
+        return lambda x: rbf_kernel(x, marks, gamma) @ root
 
     def _transform(self, df: DataFrame) -> DataFrame:
         import pandas as pd
 
-        n_in, n_out, gamma, seed, input_col, output_col = (
-            self.getOrDefault(p) for p in (self.n_in, self.n_out, self.gamma, self.seed, self.input_col, self.output_col))
-        rng = np.random.default_rng(seed)
-        w, b = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_in, n_out)), rng.uniform(0.0, 2.0 * math.pi, size=n_out)
-        scale = math.sqrt(2.0 / w.shape[1])
+        to, width = self.mapping(), self.getOrDefault(self.n_in)
 
         @F.pandas_udf("array<double>")
-        def rff(x: pd.Series) -> pd.Series:
-            m = np.vstack(x.to_numpy()) if len(x) else np.zeros((0, w.shape[0]))
-            z = scale * np.cos(m @ w + b)
-            return pd.Series(list(z))
+        def mapped(x: pd.Series) -> pd.Series:
+            return pd.Series(list(to(np.vstack(x.to_numpy()) if len(x) else np.zeros((0, width)))))
+
+        tmp = df.withColumn("_arr", vector_to_array(F.col(self.getOrDefault(self.input_col))))
+        return tmp.withColumn(self.getOrDefault(self.output_col), array_to_vector(mapped(F.col("_arr")))).drop("_arr")
+
+
+def rbf_kernel(x: np.ndarray, y: np.ndarray, gamma: float) -> np.ndarray:
+    far = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1) - 2.0 * x @ y.T
+    return np.exp(-gamma * np.maximum(far, 0.0))
+
+
+def nystroem_map(df: DataFrame, label: str, gamma: float, n_landmarks: int = 200, seed: int = 42, features_col: str = "features", tested: int = 300) -> NystroemFeatures:
+    """A kernel map on a seeded sample of different rows, as many of each class, with its error measured on ``tested`` other rows. Only
+    these bounded samples reach the driver."""
+    rows = df.select(qcol(label).alias("y"), vector_to_array(qcol(features_col)).alias("x")).where("y is not null")
+    classes = sorted(r[0] for r in rows.select("y").distinct().collect())  # one row per class
+    share = -(-n_landmarks // max(1, len(classes)))
 
-        tmp = df.withColumn("_arr", vector_to_array(F.col(input_col)))
-        return tmp.withColumn(output_col, array_to_vector(rff(F.col("_arr")))).drop("_arr")
+    def pick(part: DataFrame, salt: int, n: int) -> list:
+        return [r["x"] for r in part.select("x").distinct().orderBy(F.xxhash64(F.lit(salt), "x"), "x").limit(n).collect()]
+
+    marks = np.array([x for c in classes for x in pick(rows.where(F.col("y") == F.lit(c)), seed, share)])
+    other = np.array(pick(rows, seed + 1, tested))
+    width = marks.shape[1]
+    made = NystroemFeatures(marks.ravel().tolist(), width, gamma, 0.0, features_col)
+    z = made.mapping()(other)
+    error = float(np.abs(rbf_kernel(other, other, gamma) - z @ z.T).mean())
+    return made._set(error=error)
 
 
 def rbf_gamma(df: DataFrame, features_col: str, n_features: int, gamma: str | float = "scale") -> float:
@@ -119,19 +146,19 @@ def rbf_gamma(df: DataFrame, features_col: str, n_features: int, gamma: str | fl
 
 def fit_svm(df: DataFrame, label: str = "label", C: float = 1.0, kernel: str = "linear", gamma: str | float = "scale",
             n_components: int = 200, seed: int = 42, features_col: str = "features", max_iter: int = 100):
-    """L4: one-vs-rest linear SVM (regParam = 1 / (C · n)); ``kernel='rbf'`` first maps the
-    features with random Fourier features. Returns a fitted pipeline."""
+    """L4: one-vs-rest linear SVM (regParam = 1 / (C · n)); ``kernel='rbf'`` first maps the features to
+    ``n_components`` landmarks (:func:`nystroem_map`, which measures the kernel error: ``model.stages[0].error``). Returns a fitted pipeline."""
     from cohort_spark.operators.ordered import reliable
 
     n = df.count()
     svc = LinearSVC(labelCol=label, regParam=1.0 / (C * n), maxIter=max_iter)
     if kernel == "rbf":
         p = len(df.select(features_col).first()[0])
-        rff = RandomFourierFeatures(p, rbf_gamma(df, features_col, p, gamma), n_components, seed, features_col, "rff")
-        svc.setFeaturesCol("rff")
-        ovr = OneVsRest(classifier=svc, featuresCol="rff", labelCol=label, parallelism=4)
-        mapped = reliable(rff.transform(df))  # the Python mapping runs once, not once per iteration
-        return PipelineModel(stages=[rff, ovr.fit(mapped)])
+        kernel_map = nystroem_map(df, label, rbf_gamma(df, features_col, p, gamma), n_components, seed, features_col)
+        svc.setFeaturesCol("kernel")
+        ovr = OneVsRest(classifier=svc, featuresCol="kernel", labelCol=label, parallelism=4)
+        mapped = reliable(kernel_map.transform(df))  # the Python mapping runs once, not once per iteration
+        return PipelineModel(stages=[kernel_map, ovr.fit(mapped)])
     svc.setFeaturesCol(features_col)
     ovr = OneVsRest(classifier=svc, featuresCol=features_col, labelCol=label, parallelism=4)
     return ovr.fit(df)
@@ -245,27 +272,50 @@ def permutation_importance(model, df: DataFrame, features: Sequence[str], label:
 
 
 def svm_grid_search(df: DataFrame, label: str, key: str, Cs=(0.1, 1.0, 10.0), kernels=("linear", "rbf"),
-                    gammas=("scale", "auto"), folds: int = 3, seed: int = 42, max_iter: int = 100):
+                    gammas=("scale", "auto"), folds: int = 3, seed: int = 42, max_iter: int = 100, log: str | None = None, run: str = "svm"):
     """L4 + L5: cross-validated grid over C, kernel and gamma (gamma only matters for ``rbf``),
     class-stratified folds, refit of the best setting on all of ``df``.
-    Returns (best model, rows of (C, kernel, gamma, mean accuracy))."""
+    Returns (best model, rows of (C, kernel, gamma, mean accuracy)). With ``log`` every setting's result is written to that
+    metric log (S6) under ``run`` as it ends, and a rerun starts with the settings that are not there yet."""
     from cohort_spark.operators.ordered import reliable
+    from cohort_spark.sources.tables import append_metrics
 
+    spark = df.sparkSession
+    known = {r["metric"]: r["value"] for r in _logged(spark, log).where(F.col("run") == run).collect()} if log else {}  # one row per setting
     data = reliable(stratified_folds(df, label, key, folds, seed, "_fold"))
     settings = [(c, k, g) for c in Cs for k in kernels for g in (gammas if k == "rbf" else ("scale",))]
     scores = []
     for c, k, g in settings:
-        accs = []
-        for f in range(folds):
-            model = fit_svm(data.where(F.col("_fold") != f), label, C=c, kernel=k, gamma=g, seed=seed,
-                            max_iter=max_iter)
-            accs.append(accuracy(model.transform(data.where(F.col("_fold") == f)), label, "prediction").collect()[0][0])
-        scores.append((float(c), k, g, float(sum(accs) / len(accs))))
+        name = f"accuracy C={float(c)} kernel={k} gamma={g} folds={folds} seed={seed} iterations={max_iter}"
+        if name not in known:
+            accs = []
+            for f in range(folds):
+                model = fit_svm(data.where(F.col("_fold") != f), label, C=c, kernel=k, gamma=g, seed=seed,
+                                max_iter=max_iter)
+                accs.append(accuracy(model.transform(data.where(F.col("_fold") == f)), label, "prediction").collect()[0][0])
+            known[name] = float(sum(accs) / len(accs))
+            if log:
+                append_metrics(spark.createDataFrame([(run, "SVM", name, known[name])], "run string, model string, metric string, value double"), log)
+        scores.append((float(c), k, g, known[name]))
     best = scores[max(range(len(scores)), key=lambda i: (scores[i][3], -i))]  # first setting wins ties
     model = fit_svm(data, label, C=best[0], kernel=best[1], gamma=best[2], seed=seed, max_iter=max_iter)
     return model, scores
 
 
+def _logged(spark, path: str) -> DataFrame:
+    """The metric log at ``path``; empty before its first row."""
+    from pyspark.errors import AnalysisException
+
+    from cohort_spark.sources.tables import METRIC_SCHEMA
+
+    try:
+        return spark.read.schema(METRIC_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], METRIC_SCHEMA)
+
+
 def boosted_grid(label: str = "label", depths=(3, 6, 10), steps=(0.01, 0.1, 0.3), iters=(50, 100, 200),
                  subsamples=(0.8, 0.9, 1.0), seed: int = 42):
     """L3 + L5: a one-vs-rest estimator and the grid of boosted-tree classifiers to search (the
