@@ -165,13 +165,15 @@ def model_flow(df: DataFrame, *, key: str, label: str, features: Sequence[str],
     validation part, ranking (B5), best model (B6), and its full test evaluation (V8: accuracy,
     confusion matrix, report, and AUC where the model gives probabilities).
 
-    ``grids`` overrides entries of :data:`MODEL_GRIDS`, the workflow's grids, which are the default. With
-    ``out_dir`` the tuned models are saved there (S5) and their accuracies appended to its metric log (S6).
+    ``grids`` overrides entries of :data:`MODEL_GRIDS`, the workflow's grids, which are the default. Boosted trees are
+    one softmax model whose numbers of rounds share a fit. With ``out_dir`` the tuned models are saved there (S5), their accuracies
+    are written to its metric log (S6), and the results of the two longest searches (boosting, SVM) as they end, from which a rerun goes on.
     """
     from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 
     from cohort_spark.functions.scalar import cut_equal_width
     from cohort_spark.operators import models as L
+    from cohort_spark.operators.boosting import boosted_grid_search
     from cohort_spark.operators.encode import label_encode
     from cohort_spark.operators.fairness import bias_report, model_ranking, select_best
     from cohort_spark.operators.metrics import evaluate_model, model_accuracies
@@ -187,18 +189,18 @@ def model_flow(df: DataFrame, *, key: str, label: str, features: Sequence[str],
     use = {**MODEL_GRIDS, **(grids or {})}
     logistic = LogisticRegression(labelCol="label_idx", elasticNetParam=0.0, standardization=False)
     forest = RandomForestClassifier(labelCol="label_idx", seed=seed)
-    boosted, boosted_axis = L.boosted_grid("label_idx", seed=seed, **use["XGBoost"])
     tuned = {
         "Logistic Regression": (logistic, {logistic.regParam: [1.0 / (c * n) for c in use["Logistic Regression"]["C"]],
                                            logistic.maxIter: list(use["Logistic Regression"]["max_iter"])}),
         "Random Forest": (forest, {forest.numTrees: list(use["Random Forest"]["trees"]), forest.maxDepth: list(use["Random Forest"]["depths"]),
                                    forest.minInstancesPerNode: list(use["Random Forest"]["min_leaf"])}),
-        "XGBoost": (boosted, boosted_axis),
     }
     plain = train.select(qcol(key).alias("_key"), "label_idx", "features")  # Spark ML resolves columns by name: no dotted ones
     fitted = {name: L.grid_search(est, grid, plain, "label_idx", folds, "accuracy", parallelism, seed, stratify_key="_key").bestModel
               for name, (est, grid) in tuned.items()}
-    fitted["SVM"] = L.svm_grid_search(plain, "label_idx", "_key", folds=folds, seed=seed, **use["SVM"])[0]
+    log = f"{out_dir}/metrics" if out_dir else None  # both searches keep their results there and resume
+    fitted["XGBoost"] = boosted_grid_search(plain, "label_idx", "_key", folds=folds, seed=seed, log=log, run=f"{run}-boosted", **use["XGBoost"])[0]
+    fitted["SVM"] = L.svm_grid_search(plain, "label_idx", "_key", folds=folds, seed=seed, log=log, run=f"{run}-svm", **use["SVM"])[0]
     if out_dir:
         from cohort_spark.sources.tables import append_metrics, save_model
 

@@ -445,6 +445,15 @@ def q_fit_boosted_trees(spark, sf):
     return predict_batch(fit_boosted_trees(train, "label", max_depth=3, n_iter=10), test, ["vec_id", "label"])
 
 
+@query("fit_softmax_trees")
+def q_fit_softmax_trees(spark, sf):
+    from cohort_spark.operators.boosting import fit_softmax_trees
+    from cohort_spark.operators.models import predict_batch
+
+    train, test = model_split(spark, sf)
+    return predict_batch(fit_softmax_trees(train, "label", max_depth=3, step=0.3, n_iter=20), test, ["vec_id", "label"]).drop("probability")
+
+
 @query("fit_svm")
 def q_fit_svm(spark, sf):
     from cohort_spark.operators.models import fit_svm, predict_batch
