@@ -39,15 +39,17 @@ def get_spark(master: str | None = None, app: str = "cohort_spark",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is only read here.
+    On a cluster the setting must point at shared storage (a ``file:`` path, which each machine resolves for
+    itself, is refused) and is only read here.
     When it is unset and the master is local (tests, bench), a fresh folder under
     the system temp directory is created and registered.
     """
     sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    refuse_machine_local(sc.master, conf_dir)
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
@@ -59,6 +61,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def refuse_machine_local(master: str, folder: str | None) -> None:
+    """Raise if ``folder`` names a ``file:`` path while the master is a cluster."""
+    if folder and folder.startswith("file:") and not master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on a cluster, not {folder}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for staged tables."""
     base = ensure_checkpoint_dir(spark)

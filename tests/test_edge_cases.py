@@ -110,3 +110,12 @@ def test_rbf_svm_is_saved_and_loaded(spark, tmp_path):
     model = fit_svm(df, kernel="rbf", n_components=16, max_iter=5)
     loaded = load_model(save_model(model, str(tmp_path / "svm")))
     assert [r.prediction for r in loaded.transform(df).collect()] == [r.prediction for r in model.transform(df).collect()]
+
+
+def test_machine_local_checkpoints_are_refused_on_a_cluster():
+    from cohort_spark.session import refuse_machine_local
+
+    for master, folder in (("local[4]", "file:/tmp/x"), ("local-cluster[3,2,3000]", "file:///tmp/x"), ("yarn", "hdfs:///ckpt"), ("spark://h:7077", None)):
+        refuse_machine_local(master, folder)
+    with pytest.raises(RuntimeError):
+        refuse_machine_local("spark://h:7077", "file:///tmp/x")
