@@ -22,6 +22,14 @@ from cohort_spark.llm.components import connected_components
 
 BLOCK = 512  # documents per side of a block comparison
 HASH_CHUNK = 8192  # shingles hashed at once, bounds memory for very long texts
+SLICE = 512  # documents whose sketches or sets a task holds before it sends them on
+CACHED_WORDS = 100_000
+
+
+def _slices(batches):
+    for b in batches:
+        for i in range(0, b.num_rows, SLICE):
+            yield b.slice(i, SLICE)
 
 
 def _shingles(text: bytes | None, hasher: WordHasher, n: int) -> np.ndarray:
@@ -49,8 +57,8 @@ def _sketch(n: int, halves: int, rows: int, seed: int):
     add = rng.integers(0, 2**63, 2 * halves * rows, dtype=np.uint64)
 
     def run(batches):
-        hasher = WordHasher()
-        for b in batches:
+        hasher = WordHasher(CACHED_WORDS)
+        for b in _slices(batches):
             sizes, digests, keys = [], [], []
             for text in b.column("text"):
                 s = _shingles(text.as_py(), hasher, n)
@@ -66,8 +74,8 @@ def _sketch(n: int, halves: int, rows: int, seed: int):
 def _sets(n: int):
     """The full shingle sets of the wanted documents (rows whose digest is another text's are skipped)."""
     def run(batches):
-        hasher = WordHasher()
-        for b in batches:
+        hasher = WordHasher(CACHED_WORDS)
+        for b in _slices(batches):
             cids, sets = [], []
             for text, digest, cid in zip(b.column("text"), b.column("digest"), b.column("cid")):
                 s = _shingles(text.as_py(), hasher, n)
