@@ -205,8 +205,9 @@ def centred_moments(df: DataFrame, features: Sequence[str], label: str) -> tuple
                 x = x[~np.isnan(x).any(axis=1)] - centre  # rows with a missing feature are left out
                 n0, s0, xx0 = acc.get(cls, (0, np.zeros(p), np.zeros((p, p))))
                 acc[cls] = (n0 + len(x), s0 + x.sum(axis=0), xx0 + x.T @ x)
-        yield pd.DataFrame({"_cls": list(acc), "n": [v[0] for v in acc.values()],
-                            "vals": [np.concatenate([v[1], v[2].ravel()]).tolist() for v in acc.values()]})
+        if acc:  # an empty partition has no numbers, and an empty list column no type
+            yield pd.DataFrame({"_cls": list(acc), "n": [v[0] for v in acc.values()],
+                                "vals": [np.concatenate([v[1], v[2].ravel()]).tolist() for v in acc.values()]})
 
     part = base.mapInPandas(fold, "_cls string, n long, vals array<double>")
     summed = (part.select("_cls", "n", F.posexplode("vals").alias("i", "v"))

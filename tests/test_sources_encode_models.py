@@ -169,3 +169,14 @@ def test_metric_log_and_daily_table_survive_a_rerun(spark, tmp_path):
     for day, n in ((1, 5), (2, 7), (1, 6)):
         S.write_table(spark.range(n).withColumn("day", F.lit(day)), str(tmp_path / "t"), partition_by=["day"], replace_partitions=True)
     assert dict(spark.read.parquet(str(tmp_path / "t")).groupBy("day").count().collect()) == {1: 6, 2: 7}
+
+
+def test_lda_with_partitions_that_hold_no_rows(spark):
+    rows = [(float(i % 2), i % 7 + 3.0 * (i % 2), (i * 5) % 11 - 2.0 * (i % 2)) for i in range(40)]
+    whole = spark.createDataFrame(rows, "y double, a double, b double").coalesce(1)
+    part = F.when(F.col("a") >= 0, F.lit(1))  # all rows in one of the partitions
+    spread = whole.repartition(6, part)
+    nulls = spread.unionByName(spark.createDataFrame([(None, 1.0, 2.0)], spread.schema))  # a partition with only a missing label
+    want = sorted(r.LD1 for r in E.lda_project(whole, ["a", "b"], "y").collect())
+    assert sorted(r.LD1 for r in E.lda_project(spread, ["a", "b"], "y").collect()) == pytest.approx(want)
+    assert E.lda_project(nulls, ["a", "b"], "y").count() == 41
