@@ -17,7 +17,9 @@ from cohort_spark.functions.names import qcol
 from cohort_spark.operators.columns import columns_of_kind
 from cohort_spark.operators.dedup import drop_duplicate_rows
 from cohort_spark.operators.missing import drop_sparse_columns, impute_mean_mode, medians_of
-from cohort_spark.operators.ordered import exact_quantiles, fused_single_row
+from cohort_spark.operators.ordered import exact_quantiles, fused_single_row, reliable
+from cohort_spark.session import scratch_path
+from cohort_spark.sources import stage_table
 
 
 def _quartiles(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[float, float]]:
@@ -313,8 +315,12 @@ def outlier_isolation_median(df: DataFrame, cols: Sequence[str], share: float =
 
 def clean_table(df: DataFrame, outlier_cols: Sequence[str], sparse_t: float = 0.6) -> DataFrame:
     """Whole-row de-duplication, drop sparse columns (share > ``sparse_t``), mean/mode
-    filling, then isolation-forest treatment of ``outlier_cols``."""
+    filling, then isolation-forest treatment of ``outlier_cols``.
+
+    The later steps scan the rows some ten times, so the de-duplicated table is kept: it is shuffled and written once."""
     out = drop_duplicate_rows(df)
+    # Parquet has no void columns
+    out = reliable(out) if "void" in dict(out.dtypes).values() else stage_table(out, scratch_path(df.sparkSession, "clean-rows"))
     out = drop_sparse_columns(out, sparse_t)
     out = impute_mean_mode(out)
     return outlier_isolation_median(out, [c for c in outlier_cols if c in out.columns])

@@ -103,3 +103,15 @@ def test_flags_do_not_depend_on_other_columns_or_partitions(spark):
     a = sorted(r.x for r in O.outlier_isolation_median(df, ["x"]).collect())
     b = sorted(r.x for r in O.outlier_isolation_median(df.select("x").repartition(7), ["x"]).collect())
     assert a == b and max(a) < 5000
+
+
+def test_clean_table_deduplicates_once(spark):
+    from cohort_spark.operators.outliers import clean_table
+
+    rows = [(i % 50, float(i % 7), None if i % 9 == 0 else float(i % 13)) for i in range(400)]
+    out = clean_table(spark.createDataFrame(rows, "k long, a double, b double"), ["a", "b"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan  # the result starts from the kept rows
+    assert out.count() == len(set(rows))
+    empty = clean_table(spark.createDataFrame([], "k long, a double, v void"), ["a"])
+    assert empty.count() == 0
