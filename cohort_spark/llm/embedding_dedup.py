@@ -6,9 +6,8 @@ window of half-width W around its own value in each, and a pair collides as ofte
 other's window. Pairs with at least ``min_hits`` collisions are verified with the exact cosine. ``min_hits``
 is the largest count that a pair just at the threshold reaches with the asked recall (binomial tail).
 
-Large labels are first dealt into cells by a few further projections (floor of shifted values, several
-independent tables, so that the tables' joint recall also holds); the number of leading projections grows
-with the logarithm of the label's size, so a cell's expected size stays bounded.
+Every pair of a label is judged, in blocks of bounded size, whatever the label's size: whether a pair is linked
+depends on its two vectors alone.
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from cohort_spark.llm.common import checked_broadcast, forest, pick, stage
 from cohort_spark.llm.components import connected_components
 
-BLOCK = 1024  # vectors per side of a comparison task
+CHUNK = 512  # vectors of the left side that are compared at once
 
 
 def window_plan(cosine: float, projections: int, recall: float) -> tuple[float, int]:
@@ -40,7 +39,8 @@ def window_plan(cosine: float, projections: int, recall: float) -> tuple[float,
 
 def table_plan(n: int, cosine: float, recall: float, cell: int) -> tuple[int, int]:
     """Leading projections and tables for a label of ``n`` vectors: a cell of width 1 holds at most ~0.4 of a
-    standard normal and keeps a threshold pair together with probability ``1 - E|difference|``."""
+    standard normal and keeps a threshold pair together with probability ``1 - E|difference|``. Not used by
+    :func:`embedding_dedup`: tables that depend on ``n`` would make a pair's link depend on the other rows."""
     lead = max(0, ceil(log(max(n, 1) / cell) / log(1 / 0.4))) if n > cell else 0
     meet = (1 - sqrt(2 - 2 * cosine) * sqrt(2 / np.pi)) ** lead
     return lead, 1 if lead == 0 else ceil(log(1 - recall) / log(1 - meet))
@@ -80,34 +80,6 @@ def _unit(raw: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _cells(seed: int):
-    """Cell of each vector in each of its label's tables."""
-    def run(batches):
-        for b in batches:
-            raw, lead, tables = (b.column(c).to_pylist() for c in ("raw", "lead", "tables"))
-            out = []
-            for r, k, t in zip(raw, lead, tables):
-                if k == 0:
-                    out.append([0])
-                    continue
-                u = _unit([r])
-                d = _cached(seed, u.shape[1], t * k)
-                shift = np.random.default_rng([seed, 1, t * k]).random(t * k)
-                z = np.floor((u @ d)[0] + shift).astype(np.int64).reshape(t, k)
-                out.append([int.from_bytes(hashlib.blake2b(row.tobytes(), digest_size=8).digest(), "little", signed=True) for row in z])
-            cols = [b.column(c) for c in ("cid", "label", "dim", "copies", "raw")]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(out, pa.list_(pa.int64()))],
-                                             names=["cid", "label", "dim", "copies", "raw", "cells"])
-
-    made: dict = {}
-
-    def _cached(s, dim, n):
-        if (dim, n) not in made:
-            made[dim, n] = _directions(s, dim, 10_000, n)
-        return made[dim, n]
-    return run
-
-
 def _collide(left: np.ndarray, right: np.ndarray, half: float) -> np.ndarray:
     """Collisions of every pair: on each projection the right side is sorted and each left value opens its window."""
     hits = np.zeros((len(left), len(right)), np.int16)
@@ -125,7 +97,7 @@ def _compare(cosine: float, projections: int, half: float, min_hits: int, seed:
     def run(key, pdf):
         import pandas as pd
 
-        _, dim, table, _, i, j = key
+        _, dim, i, j = key
         pdf = pdf.sort_values("cid", ignore_index=True)
         blk = pdf["block"].to_numpy()
         left, right = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
@@ -134,18 +106,14 @@ def _compare(cosine: float, projections: int, half: float, min_hits: int, seed:
             cid, copies = pdf["cid"].to_numpy(), pdf["copies"].to_numpy()
             u = _unit(list(pdf["raw"]))
             p = u @ _directions(seed, int(dim), 0, projections)
-            ok = _collide(p[left], p[right], half) >= min_hits
-            x, y = np.flatnonzero(ok.any(axis=1)), np.flatnonzero(ok.any(axis=0))
-            near = np.zeros_like(ok)
-            near[np.ix_(x, y)] = u[left[x]] @ u[right[y]].T >= cosine
-            ok &= near
+            ok = np.zeros((len(left), len(right)), bool)
+            for at in range(0, len(left), CHUNK):
+                some = left[at:at + CHUNK]
+                hit = _collide(p[some], p[right], half) >= min_hits
+                x, y = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+                ok[np.ix_(at + x, y)] = hit[np.ix_(x, y)] & (u[some[x]] @ u[right[y]].T >= cosine)
             if i == j:
                 np.fill_diagonal(ok, False)
-            cells = np.stack([np.asarray(c) for c in pdf["cells"]])
-            for t in range(int(table)):  # a pair that an earlier table holds is counted there
-                if not ok.any():
-                    break
-                ok &= cells[left, t][:, None] != cells[right, t][None, :]
             n_left, n_right = ok @ copies[right], copies[left] @ ok
             pairs = [np.stack([cid[left], n_left], 1)] + ([] if i == j else [np.stack([cid[right], n_right], 1)])
             counts = np.concatenate(pairs)
@@ -169,10 +137,9 @@ def embedding_dedup(vecs: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     smallest id. Rows that repeat an id each count as a vector. Empty table: empty result. Columns besides the
     three named are ignored.
 
-    Equal vectors are one class, counted map-side. Classes are compared in cells (see the module text), each
-    cell in blocks of about 1024, every block pair its own task; a task returns each vector's link count and a
-    spanning forest, so neither a cell nor its pairs are ever gathered or emitted, and a pair that meets in
-    several tables is counted in the first.
+    Equal vectors are one class, counted map-side. All classes of a label are compared, in blocks of about ``cell``,
+    every block pair its own task; a task returns each vector's link count and a spanning forest, so neither a label
+    nor its pairs are ever gathered or emitted. The work grows with the square of a label's distinct vectors.
     """
     half, min_hits = window_plan(cosine, projections, recall)
     src = pick(vecs, id=id_col, v=vec_col, label=label_col)
@@ -182,24 +149,12 @@ def embedding_dedup(vecs: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
                 .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("raw").alias("raw"))
                 .withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
     sizes = stage(cls.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("size")), "vector-labels")
-    lead, tables = F.lit(0), F.lit(1)
-    for power in range(1, 24):  # the plan only changes when a label outgrows another factor of 1/0.4
-        least = cell / 0.4 ** (power - 1)
-        k, t = table_plan(int(least) + 1, cosine, recall, cell)
-        lead, tables = F.when(F.col("size") > int(least), k).otherwise(lead), F.when(F.col("size") > int(least), t).otherwise(tables)
-    plan = sizes.select("label", "dim", lead.alias("lead"), tables.alias("tables"))
-    dealt = stage(cls.select("cid", "label", "dim", "copies", "raw").join(checked_broadcast(plan, sizes.count()), ["label", "dim"])
-                  .mapInArrow(_cells(seed), f"cid long, label {dict(src.dtypes)['label']}, dim int, copies long, raw binary, cells array<long>"),
-                  "vector-cells")
-    spots = dealt.select("cid", "label", "dim", F.posexplode("cells").alias("tab", "cell"))
-    where = ["label", "dim", "tab", "cell"]
-    blocks = stage(spots.groupBy(*where).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-                   .select(*where, F.ceil(F.col("c") / BLOCK).alias("nb")), "vector-blocks")
-    placed = (spots.join(checked_broadcast(blocks), where)
+    blocks = sizes.where("size > 1").select("label", "dim", F.ceil(F.col("size") / cell).alias("nb"))
+    placed = (cls.select("cid", "label", "dim", "copies", "raw").join(checked_broadcast(blocks, sizes.count()), ["label", "dim"])
               .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("nb")))
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
-              .select("cid", *where, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
-    found = stage(placed.join(dealt.select("cid", "copies", "raw", "cells"), "cid").groupBy("label", "dim", "tab", "cell", "i", "j")
+              .select("cid", "label", "dim", "copies", "raw", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
+    found = stage(placed.groupBy("label", "dim", "i", "j")
                   .applyInPandas(_compare(cosine, projections, half, min_hits, seed), "a long, b long, n long"), "vector-links")
     comp = connected_components(found.where("b is not null").select("a", "b"))
     links = found.where("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("more"))

@@ -119,6 +119,20 @@ def test_embedding_groups(spark):
     assert embedding_dedup(df.limit(0)).count() == 0
 
 
+def test_embedding_links_do_not_depend_on_other_rows(spark):
+    rng = np.random.default_rng(8)
+    few = []
+    for v in rng.standard_normal((60, 16)):  # pairs just inside the limit
+        d = rng.standard_normal(16)
+        d -= d @ v / (v @ v) * v
+        few += [v, v + d / np.linalg.norm(d) * np.linalg.norm(v) * 0.195]
+    many = rng.standard_normal((1500, 16))
+    rows = [(i, [float(x) for x in v], 1) for i, v in enumerate([*few, *many])]
+    small, large = ({r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup(spark.createDataFrame(x, "vec_id long, embedding array<double>, label int"), cell=128).collect()}
+                    for x in (rows[:len(few)], rows))
+    assert {i: large[i] for i in small} == small and sum(n for n, _ in small.values()) >= 100
+
+
 def test_plans_keep_the_recall():
     half, hits = window_plan(0.98, 16, 0.995)
     assert 0.39 < half < 0.41 and 8 <= hits <= 14
