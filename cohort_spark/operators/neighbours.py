@@ -1,6 +1,6 @@
 """Exact nearest donors for KNN filling, found with a metric index.
 
-Donor patterns are assigned to pivots (a seeded sample of them, about the square root of their number). A cell keeps,
+Donor patterns are dealt into cells of some ``DONORS`` rows around pivots (a seeded sample of them). A cell keeps,
 per coordinate, its smallest and largest value and how many donors have it, and its radius around the pivot. For a
 recipient these give a lower bound of the distance to every donor of the cell, whichever coordinates are missing: box
 gaps and the triangle inequality on the coordinates that all its donors have, scaled by the most coordinates that any of
@@ -8,6 +8,10 @@ them shares. A recipient is first compared with the nearest cells that hold ``k`
 ``k``-th nearest donor cannot exceed, and then only with the cells whose bound does not exceed that distance: nothing
 nearer can be elsewhere.
 
+Within a cell, the recipients of one presence mask see the donors in disjoint lists, each sorted on the first coordinate
+that its donors share with them. The neighbours in these lists limit the ``k``-th distance, and only the donors in the
+limit's window of each list are compared, so that a recipient costs a few searches instead of a pass over the donors.
+
 Cells are joined by equality in blocks of bounded size, and each task returns at most ``k`` donors per recipient and
 cell block. Only the cell table, of at most ``max_cells`` rows, reaches the driver and is broadcast.
 """
@@ -24,7 +28,8 @@ from pyspark.sql import functions as F
 from cohort_spark.operators.ordered import fused_single_row, reliable
 
 MAX_CELLS = 16_384
-DONORS, RECIPIENTS = 8192, 1024  # of one comparison task
+DONORS, RECIPIENTS = 65_536, 65_536  # of one comparison task, at most; recipients are counted once per target
+TASKS, KINDS = 48, 4096  # blocks of recipients in small inputs; hashed presence masks that are kept together
 CHUNK = 2_000_000  # numbers in one matrix of a task
 
 
@@ -118,6 +123,54 @@ def build_cells(donors: DataFrame, d: int, max_cells: int) -> tuple[DataFrame, C
     return dealt, cells
 
 
+def _windows(x, given, target, y, has, spread, d: int, k: int, cap):
+    """Candidates of recipients that share one presence mask and one target: ``(limit, [(donors in the order of a coordinate, from, to)])``.
+
+    Donors with the target are listed under the first coordinate, widest spread first, that they share with the recipients, and sorted on it.
+    The ``k`` donors next to a recipient in each list limit its ``k``-th distance; whatever is as near lies in the limit's window of its list.
+    """
+    shared = sorted(np.flatnonzero(given).tolist(), key=lambda c: -spread[c])
+    rest, lists = has[:, target].copy(), []
+    for n, c in enumerate(shared):
+        at = np.flatnonzero(rest & has[:, c])
+        rest[at] = False
+        if len(at):
+            at = at[np.argsort(y[at, c], kind="stable")]
+            lists.append((c, len(shared) - n, at, y[at, c]))
+    limit = np.full(len(x), np.inf)
+    step = max(1, CHUNK // (2 * k * (d + 1) * max(1, len(lists))))
+    for a in range(0, len(x), step):
+        part = x[a:a + step]
+        near = [np.full((len(part), k), np.inf)]
+        for c, _, at, v in lists:
+            beside = np.searchsorted(v, part[:, c])[:, None] + np.arange(-k, k)
+            there = (beside >= 0) & (beside < len(v))
+            r, j = np.nonzero(there)
+            far = np.full(there.shape, np.inf)
+            far[r, j] = _distances(part, r, y, has, at[beside[r, j]], shared, d)[0]
+            near.append(far)
+        limit[a:a + step] = np.partition(np.nan_to_num(np.concatenate(near, axis=1), nan=np.inf, posinf=np.inf), k - 1, axis=1)[:, k - 1]
+    limit = np.minimum(limit, cap) * (1 + 1e-9)
+    out = []
+    for c, m, at, v in lists:  # a donor of the list shares at most m coordinates
+        wide = limit * sqrt(m / d) * (1 + 1e-9) + 1e-150
+        with np.errstate(invalid="ignore"):
+            low, high = np.searchsorted(v, x[:, c] - wide, "left"), np.searchsorted(v, x[:, c] + wide, "right")
+        out.append((at, np.where(np.isinf(limit), 0, low), np.where(np.isinf(limit), len(v), high)))
+    return limit, out
+
+
+def _distances(x, r, y, has, at, shared, d: int):
+    """Distance and number of shared coordinates of recipients ``x[r]`` and donors ``y[at]``."""
+    total, common = np.zeros(len(r)), np.zeros(len(r), np.int32)
+    with np.errstate(invalid="ignore", over="ignore"):
+        for i in sorted(shared):
+            off, both = x[r, i] - y[at, i], has[at, i]
+            total += np.where(both, off * off, 0.0)
+            common += both
+        return np.sqrt(float(d) / common * total), common
+
+
 def _nearest(d: int, k: int):
     """Per recipient and target, the first ``k`` donors of a donor block by distance, more shared coordinates, then values."""
     import pandas as pd
@@ -131,45 +184,62 @@ def _nearest(d: int, k: int):
             return empty
         y, cnt = right[names].to_numpy(dtype="float64"), right["cnt"].to_numpy()
         has = ~np.isnan(y)
-        keys = [k_ for i in range(d) for k_ in (~has[:, i], np.nan_to_num(y[:, i]))]
+        keys = np.stack([k_ for i in range(d) for k_ in ((~has[:, i]).astype(np.float64), np.where(has[:, i], y[:, i], 0.0))], axis=1)
         rank = np.empty(len(y), np.int64)
-        rank[np.lexsort(keys[::-1])] = np.arange(len(y))  # donors in the order of their values, missing ones last
+        rank[np.lexsort(keys.T[::-1])] = np.arange(len(y))  # donors in the order of their values, missing ones last
+        with np.errstate(invalid="ignore", over="ignore"):
+            spread = np.nan_to_num(np.array([y[has[:, i], i].std() if has[:, i].any() else 0.0 for i in range(d)]), posinf=0.0)
+        x, targets, rid, cap = left[names].to_numpy(dtype="float64"), left["target"].to_numpy(), left["rid"].to_numpy(), left["cap"].to_numpy(dtype="float64")
+        kinds, kind = np.unique(np.column_stack([~np.isnan(x), targets]), axis=0, return_inverse=True)
+        order = np.argsort(kind.ravel(), kind="stable")
+        ends = np.searchsorted(kind.ravel()[order], np.arange(len(kinds) + 1))
         out = []
-        step = max(1, CHUNK // len(y))
-        for a in range(0, len(left), step):
-            part = left.iloc[a:a + step]
-            x, targets, rid = part[names].to_numpy(dtype="float64"), part["target"].to_numpy(), part["rid"].to_numpy()
-            given = ~np.isnan(x)
-            total, common = np.zeros((len(x), len(y))), np.zeros((len(x), len(y)), np.int32)
-            for i in range(d):
-                r, c = np.flatnonzero(given[:, i]), np.flatnonzero(has[:, i])
-                if len(r) and len(c):
-                    off = x[r, i][:, None] - y[c, i]
-                    total[np.ix_(r, c)] += off * off
-                    common[np.ix_(r, c)] += 1
-            with np.errstate(divide="ignore", invalid="ignore"):
-                dist = np.where(common > 0, np.sqrt(float(d) / common * total), np.inf)
-            for j in range(len(x)):
-                t = targets[j]
-                ok = np.flatnonzero(has[:, t] & (common[j] > 0))
-                if len(ok) > k:
-                    far = dist[j, ok]
-                    ok = ok[far <= np.partition(far, k - 1)[k - 1]]
-                ok = ok[np.lexsort((rank[ok], -common[j, ok], dist[j, ok]))][:k]
-                out += [(rid[j], t, dist[j, o], common[j, o], [float(q[o]) for q in keys], cnt[o], y[o, t]) for o in ok]
-        return pd.DataFrame(out, columns=list(empty.columns)) if out else empty
+        for g, row in enumerate(kinds):
+            of, given, t = order[ends[g]:ends[g + 1]], row[:d].astype(bool), int(row[d])
+            shared = np.flatnonzero(given)
+            limit, lists = _windows(x[of], given, t, y, has, spread, d, k, cap[of])
+            if not lists:
+                continue
+            many = np.cumsum(sum(high - low for _, low, high in lists))
+            a = 0
+            while a < len(of):  # candidates of one round are at most CHUNK numbers, or those of one recipient
+                b = max(a + 1, int(np.searchsorted(many, (many[a - 1] if a else 0) + CHUNK // (d + 1), "right")))
+                r, at = [], []
+                for donors, low, high in lists:
+                    n = (high - low)[a:b]
+                    own = np.repeat(np.arange(a, b), n)
+                    r.append(own)
+                    at.append(donors[np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n) + low[own]])
+                r, at = np.concatenate(r), np.concatenate(at)
+                dist, common = _distances(x[of], r, y, has, at, shared, d)
+                keep = ~(dist > limit[r])
+                r, at, dist, common = r[keep], at[keep], dist[keep], common[keep]
+                by = np.lexsort((rank[at], -common, dist, r))
+                by = by[np.arange(len(by)) - np.searchsorted(r[by], r[by]) < k]
+                r, at = r[by], at[by]
+                out.append(pd.DataFrame({"rid": rid[of[r]], "target": np.full(len(r), t, np.int32), "dist": dist[by], "common": common[by],
+                                         "vals": list(keys[at]), "cnt": cnt[at], "y": y[at, t]}))
+                a = b
+        out = [o for o in out if len(o)]
+        return pd.concat(out, ignore_index=True) if out else empty
 
     return run
 
 
 def _compare(ask: DataFrame, dealt: DataFrame, cells: Cells, d: int, k: int) -> DataFrame:
-    """``ask`` rows (rid, target, cell and the recipient's values) against the donors of their cells."""
+    """``ask`` rows (rid, target, cell, a limit of the distance and the recipient's values) against the donors of their cells.
+
+    Recipients of one presence mask and target stay together, in as many blocks as their number asks for: a task sorts the donors for few masks.
+    """
     spark = ask.sparkSession
     blocks = spark.createDataFrame([(i, ceil(int(r) / DONORS)) for i, r in enumerate(cells.rows)], "cell long, nb long")  # at most max_cells rows
-    ask = reliable(ask)
-    parts = ask.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / RECIPIENTS).alias("nr"))  # at most max_cells rows
-    left = (ask.join(F.broadcast(blocks), "cell").join(F.broadcast(parts), "cell").withColumn("rb", F.pmod(F.xxhash64("rid", "target"), "nr"))
-            .withColumn("db", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1))).drop("nb", "nr"))
+    ask = reliable(ask.withColumn("kind", F.pmod(F.xxhash64("target", *[F.col(n).isNull() for n in _names(d)]), F.lit(KINDS))))
+    size = max(1, min(RECIPIENTS, max(RECIPIENTS // 32, ceil(ask.count() / TASKS))))
+    kinds = ask.groupBy("cell", "kind").agg(F.ceil(F.count(F.lit(1)) / size).alias("salt"))  # at most max_cells times KINDS rows
+    parts = ask.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / size).alias("nr"))  # at most max_cells rows
+    left = (ask.join(F.broadcast(blocks), "cell").join(F.broadcast(parts), "cell").join(kinds, ["cell", "kind"])
+            .withColumn("rb", F.pmod(F.xxhash64("kind", F.pmod(F.xxhash64("rid", "target"), "salt")), "nr"))
+            .withColumn("db", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1))).drop("nb", "nr", "salt", "kind"))
     right = dealt.join(F.broadcast(parts), "cell").withColumn("rb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nr") - 1))).drop("nr")
     schema = "rid long, target int, dist double, common int, vals array<double>, cnt long, y double"
     by = ["cell", "db", "rb"]
@@ -185,7 +255,7 @@ def nearest_means(recipients: DataFrame, donors: DataFrame, d: int, k: int, targ
     import pandas as pd
 
     names = _names(d)
-    dealt, cells = build_cells(donors, d, max_cells)
+    dealt, cells = build_cells(donors, d, max(1, min(max_cells, ceil(donors.count() / DONORS))))
     if cells is None:
         return None
     shared = recipients.sparkSession.sparkContext.broadcast(cells)
@@ -212,19 +282,22 @@ def nearest_means(recipients: DataFrame, donors: DataFrame, d: int, k: int, targ
                             target += [t] * len(hit)
                             cell += hit.tolist()
                     yield pd.DataFrame({"rid": pdf["rid"].to_numpy()[rows], "target": np.array(target, np.int32), "cell": np.array(cell, np.int64),
-                                        **{n: x[rows, i] for i, n in enumerate(names)}})
+                                        "cap": pdf["limit"].to_numpy(dtype="float64")[rows] if known else np.full(len(rows), np.inf), **{n: x[rows, i] for i, n in enumerate(names)}})
         return run
 
-    schema = "rid long, target int, cell long, " + ", ".join(f"{c} double" for c in names)
+    schema = "rid long, target int, cell long, cap double, " + ", ".join(f"{c} double" for c in names)
     first = reliable(_compare(recipients.select("rid", *names).mapInPandas(ask(False), schema), dealt, cells, d, k))
     order = ["dist", F.col("common").desc(), "vals"]
     w = Window.partitionBy("rid", "target").orderBy(*order)
     before = F.coalesce(F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    limit = (first.withColumn("pre", before).groupBy("rid", "target")
-             .agg(F.when(F.sum("cnt") >= k, F.max(F.when(F.col("pre") < k, F.col("dist")))).otherwise(F.lit(float("inf"))).alias("limit")))
-    open_ = recipients.select("rid", F.explode(F.array(*[F.when(F.col(f"d{t}").isNull(), F.lit(t)) for t in wanted])).alias("target"), *names).where("target is not null")
-    again = (open_.join(limit, ["rid", "target"], "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf")))))
-    second = _compare(again.mapInPandas(ask(True), schema), dealt, cells, d, k)
-    both = first.unionByName(second).withColumn("pre", before).where(F.col("pre") < k)
+    both = first
+    if len(cells.rows) > 1:  # otherwise every donor has been compared
+        limit = (first.withColumn("pre", before).groupBy("rid", "target")
+                 .agg(F.when(F.sum("cnt") >= k, F.max(F.when(F.col("pre") < k, F.col("dist")))).otherwise(F.lit(float("inf"))).alias("limit")))
+        open_ = recipients.select("rid", F.explode(F.array(*[F.when(F.col(f"d{t}").isNull(), F.lit(t)) for t in wanted])).alias("target"), *names).where("target is not null")
+        again = (open_.join(limit, ["rid", "target"], "left").withColumn("limit", F.coalesce("limit", F.lit(float("inf")))))
+        second = _compare(again.mapInPandas(ask(True), schema), dealt, cells, d, k)
+        both = first.unionByName(second)
+    both = both.withColumn("pre", before).where(F.col("pre") < k)
     take = F.least(F.col("cnt"), F.lit(k) - F.col("pre"))
     return both.groupBy("rid", "target").agg((F.sum(take * F.col("y")) / F.sum(take)).alias("imp"))

@@ -88,3 +88,31 @@ def test_bounds_never_exceed_distances(spark):
         assert (low[n > 0, int(r[6])] <= dist[n > 0] + 1e-9).all()
         pruned += (low[:, int(r[6])] > 0).sum()
     assert len(cells.rows) > 5 and pruned > 1000
+
+
+def test_a_recipient_meets_few_of_the_donors(spark, monkeypatch):
+    """The kernel compares what the sorted windows leave, not all pairs, and still finds the first donors."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(2)
+    y = np.where(rng.random((3000, 6)) < 0.6, np.round(rng.normal(size=(3000, 6)) * [1, 2, 3, 40, 5, 6], 3), np.nan)
+    y[:, 5] = np.where(np.isnan(y[:, 5]), np.nan, np.round(y[:, 5]))  # ties
+    y[0, 0], y[1, 3] = np.inf, 1e200
+    names = [f"d{i}" for i in range(6)]
+    right = pd.DataFrame(y, columns=names).assign(cnt=1)
+    asks = [(j, t) for j in range(len(y)) for t in range(6) if np.isnan(y[j, t]) and not np.isnan(y[j]).all()]
+    left = pd.DataFrame(y[[j for j, _ in asks]], columns=names).assign(rid=[j for j, _ in asks], target=np.array([t for _, t in asks], np.int32), cap=np.inf)
+    seen, whole = [], N._distances
+    monkeypatch.setattr(N, "_distances", lambda x, r, *a: seen.append(len(r)) or whole(x, r, *a))
+    out = N._nearest(6, 5)(left, right)
+    assert sum(seen) < 0.1 * len(asks) * len(y)
+    got = {key: g["y"].tolist() for key, g in out.groupby(["rid", "target"])}
+    for j, t in [asks[i] for i in range(0, len(asks), 97)]:
+        both = ~np.isnan(y) & ~np.isnan(y[j])
+        n = both.sum(axis=1)
+        with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
+            dist = np.sqrt(6 / n * np.where(both, (y - y[j]) ** 2, 0).sum(axis=1))
+        ok = np.flatnonzero((n > 0) & ~np.isnan(y[:, t]))
+        first = sorted(ok, key=lambda q: (dist[q], -n[q], [(np.isnan(v), 0 if np.isnan(v) else v) for v in y[q]]))[:5]
+        assert got[j, t] == [y[q, t] for q in first]
