@@ -62,6 +62,20 @@ def forest(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarra
     return np.unique(out[out[:, 0] != out[:, 1]], axis=0)
 
 
+def join_parts(part: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``part`` (each node's smallest known node) after the edges ``(a, b)``; the time follows the number of edges."""
+    while len(a):
+        x, y = part[a], part[b]
+        apart = x != y
+        if not apart.any():
+            break
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(part, np.maximum(x, y), np.minimum(x, y))
+        while (part[part] != part).any():
+            part = part[part]
+    return part
+
+
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

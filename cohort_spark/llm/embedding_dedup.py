@@ -1,10 +1,9 @@
-"""Operator 3, embedding near-dedup by collision counting over one-dimensional projections.
+"""Operator 3, embedding near-dedup by collision counting over sorted one-dimensional projections.
 
-A pair of unit vectors at distance r projects, on a random Gaussian direction, to points that differ by a
-normal deviate of standard deviation r. Each vector is sorted on many such projections; a query opens a
-window of half-width W around its own value in each, and a pair collides as often as one lies in the
-other's window. Pairs with at least ``min_hits`` collisions are verified with the exact cosine. ``min_hits``
-is the largest count that a pair just at the threshold reaches with the asked recall (binomial tail).
+Two unit vectors at distance r differ by at most r in all on orthonormal directions, so on fewer than ``r**2 / w**2`` of
+them by more than ``w``. Each side of a comparison is sorted on every projection; a vector opens a window of half-width
+``w`` around its own value in each, and a pair collides as often as one lies in the other's window. Every pair within r
+reaches ``min_hits`` collisions, and pairs that do are verified with the exact cosine: no link is lost.
 
 Every pair of a label is judged, in blocks of bounded size, whatever the label's size: whether a pair is linked
 depends on its two vectors alone.
@@ -20,14 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohort_spark.llm.common import checked_broadcast, forest, pick, stage
+from cohort_spark.llm.common import checked_broadcast, join_parts, pick, stage
 from cohort_spark.llm.components import connected_components
 
-CHUNK = 512  # vectors of the left side that are compared at once
+CHUNK = 64  # vectors of the left side that are compared at once
+NUMBERS = 4_000_000  # components of candidate pairs that are verified at once
 
 
 def window_plan(cosine: float, projections: int, recall: float) -> tuple[float, int]:
-    """Window half-width (two standard deviations at the threshold) and the calibrated collision count."""
+    """Window half-width (two standard deviations at the threshold) and the collision count calibrated for Gaussian
+    directions. Not used by :func:`embedding_dedup`, whose plan loses no pair (:func:`collision_plan`)."""
     half = 2 * sqrt(2 - 2 * cosine)
     p = erf(2 / sqrt(2))
 
@@ -37,6 +38,14 @@ def window_plan(cosine: float, projections: int, recall: float) -> tuple[float,
     return half, max(k for k in range(1, projections + 1) if k == 1 or tail(k) >= recall)
 
 
+def collision_plan(cosine: float, directions: int) -> tuple[float, float, int]:
+    """Distance at the threshold, window half-width and collisions that every pair at the threshold reaches on
+    orthonormal directions, with room for rounding: one miss is allowed, as more windows would have to be wider."""
+    misses = min(1, directions - 1)
+    reach = sqrt(max(0.0, 2 - 2 * cosine)) * (1 + 1e-9) + 1e-7
+    return reach, reach / sqrt(misses + 1) * (1 + 1e-9), directions - misses
+
+
 def table_plan(n: int, cosine: float, recall: float, cell: int) -> tuple[int, int]:
     """Leading projections and tables for a label of ``n`` vectors: a cell of width 1 holds at most ~0.4 of a
     standard normal and keeps a threshold pair together with probability ``1 - E|difference|``. Not used by
@@ -80,45 +89,66 @@ def _unit(raw: list[bytes]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _collide(left: np.ndarray, right: np.ndarray, half: float) -> np.ndarray:
-    """Collisions of every pair: on each projection the right side is sorted and each left value opens its window."""
-    hits = np.zeros((len(left), len(right)), np.int16)
-    rows = np.arange(len(left))
-    for a, b in zip(left.T, right.T):
-        order = np.argsort(b, kind="stable")
-        edge = np.zeros((len(left), len(right) + 1), np.int8)
-        edge[rows, np.searchsorted(b[order], a - half, "left")] += 1
-        edge[rows, np.searchsorted(b[order], a + half, "right")] -= 1
-        hits[:, order] += np.cumsum(edge[:, :-1], axis=1, dtype=np.int8)
-    return hits
-
-
-def _compare(cosine: float, projections: int, half: float, min_hits: int, seed: int):
+def _windows(values: np.ndarray, others: np.ndarray, half: float):
+    """On one projection: the place of each of ``others`` in sorted order, and of each of ``values`` its window's first place and length."""
+    order = np.argsort(others, kind="stable")
+    kind = np.uint16 if len(others) < 2**16 else np.uint32
+    place = np.empty(len(others), kind)
+    place[order] = np.arange(len(others), dtype=kind)
+    ranked = others[order]
+    first = np.searchsorted(ranked, values - half, "left")
+    return place, first.astype(kind), (np.searchsorted(ranked, values + half, "right") - first).astype(kind)
+
+
+def _linked(u: np.ndarray, left: np.ndarray, right: np.ndarray, cosine: float, projections: int, seed: int):
+    """The linked pairs of rows ``left`` and ``right`` of ``u`` (each once if both are the same), in bounded pieces."""
+    own = left is right
+    basis = np.linalg.qr(_directions(seed, u.shape[1], 0, min(projections, u.shape[1])))[0]
+    reach, half, min_hits = collision_plan(cosine, basis.shape[1])
+    p = u @ basis
+    right = right[np.argsort(p[right, 0], kind="stable")]
+    left = right if own else left[np.argsort(p[left, 0], kind="stable")]
+    windows = [_windows(x, y, half) for x, y in zip(p[left].T, p[right].T)]
+    line, step = p[right, 0], max(1, NUMBERS // u.shape[1])
+    for at in range(0, len(left), CHUNK):
+        some = left[at:at + CHUNK]
+        low = int(np.searchsorted(line, p[some[0], 0] - reach, "left"))  # beyond reach on one direction: no link
+        high = int(np.searchsorted(line, p[some[-1], 0] + reach, "right"))
+        if own:
+            low = max(low, at)
+        hits = np.zeros((len(some), high - low), np.uint8 if projections < 256 else np.uint16)
+        for place, first, length in windows:  # before the window's first place, the unsigned difference is beyond its length
+            hits += (place[None, low:high] - first[at:at + CHUNK, None]) < length[at:at + CHUNK, None]
+        x, y = np.nonzero(hits >= min_hits)
+        y += low
+        if own:
+            x, y = x[y > x + at], y[y > x + at]
+        for i in range(0, len(x), step):
+            a, b = some[x[i:i + step]], right[y[i:i + step]]
+            ok = np.einsum("ij,ij->i", u[a], u[b]) >= cosine
+            yield a[ok], b[ok]
+
+
+def _compare(cosine: float, projections: int, seed: int):
     def run(key, pdf):
         import pandas as pd
 
-        _, dim, i, j = key
+        _, _, i, j = key
         pdf = pdf.sort_values("cid", ignore_index=True)
         blk = pdf["block"].to_numpy()
-        left, right = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
+        left = np.flatnonzero(blk == i)
+        right = left if i == j else np.flatnonzero(blk == j)
         counts, edges = np.zeros((0, 2), np.int64), np.zeros((0, 2), np.int64)
         if len(left) and len(right):
             cid, copies = pdf["cid"].to_numpy(), pdf["copies"].to_numpy()
-            u = _unit(list(pdf["raw"]))
-            p = u @ _directions(seed, int(dim), 0, projections)
-            ok = np.zeros((len(left), len(right)), bool)
-            for at in range(0, len(left), CHUNK):
-                some = left[at:at + CHUNK]
-                hit = _collide(p[some], p[right], half) >= min_hits
-                x, y = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
-                ok[np.ix_(at + x, y)] = hit[np.ix_(x, y)] & (u[some[x]] @ u[right[y]].T >= cosine)
-            if i == j:
-                np.fill_diagonal(ok, False)
-            n_left, n_right = ok @ copies[right], copies[left] @ ok
-            pairs = [np.stack([cid[left], n_left], 1)] + ([] if i == j else [np.stack([cid[right], n_right], 1)])
-            counts = np.concatenate(pairs)
-            counts = counts[counts[:, 1] > 0]
-            edges = forest(ok, cid[left], cid[right])
+            links, part = np.zeros(len(pdf)), np.arange(len(pdf))
+            for a, b in _linked(_unit(list(pdf["raw"])), left, right, cosine, projections, seed):
+                links += np.bincount(a, copies[b], len(pdf)) + np.bincount(b, copies[a], len(pdf))
+                part = join_parts(part, a, b)
+            some = np.flatnonzero(links)
+            counts = np.stack([cid[some], links[some].astype(np.int64)], 1)
+            some = np.flatnonzero(part != np.arange(len(pdf)))
+            edges = np.stack([cid[some], cid[part[some]]], 1)
         return pd.DataFrame({"a": np.concatenate([counts[:, 0], edges[:, 0]]),
                              "b": pd.array([None] * len(counts) + edges[:, 1].tolist(), "Int64"),
                              "n": np.concatenate([counts[:, 1], np.zeros(len(edges), np.int64)])})
@@ -139,9 +169,9 @@ def embedding_dedup(vecs: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
 
     Equal vectors are one class, counted map-side. All classes of a label are compared, in blocks of about ``cell``,
     every block pair its own task; a task returns each vector's link count and a spanning forest, so neither a label
-    nor its pairs are ever gathered or emitted. The work grows with the square of a label's distinct vectors.
+    nor its pairs are ever gathered or emitted. The work grows with the square of a label's distinct vectors, by a few
+    comparisons of two-byte places a pair. Every link is found, so any ``recall`` is met.
     """
-    half, min_hits = window_plan(cosine, projections, recall)
     src = pick(vecs, id=id_col, v=vec_col, label=label_col)
     rows = stage(src.mapInArrow(_read, f"id long, label {dict(src.dtypes)['label']}, dim int, digest binary, raw binary"),
                  "vectors")
@@ -155,7 +185,7 @@ def embedding_dedup(vecs: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
               .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
               .select("cid", "label", "dim", "copies", "raw", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
     found = stage(placed.groupBy("label", "dim", "i", "j")
-                  .applyInPandas(_compare(cosine, projections, half, min_hits, seed), "a long, b long, n long"), "vector-links")
+                  .applyInPandas(_compare(cosine, projections, seed), "a long, b long, n long"), "vector-links")
     comp = connected_components(found.where("b is not null").select("a", "b"))
     links = found.where("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("more"))
     merged = (cls.select("cid", "label", "dim", "digest", "rep", "copies").join(links, "cid", "left")

@@ -1,12 +1,13 @@
 """Operators 3 and 9 and the components, against brute force."""
 
 import random
+import time
 
 import numpy as np
 
-from cohort_spark.llm.common import forest
+from cohort_spark.llm.common import forest, join_parts
 from cohort_spark.llm.components import connected_components
-from cohort_spark.llm.embedding_dedup import embedding_dedup, table_plan, window_plan
+from cohort_spark.llm.embedding_dedup import _compare, _unit, embedding_dedup, table_plan, window_plan
 from cohort_spark.llm.minhash_dedup import minhash_dedup
 
 
@@ -133,6 +134,48 @@ def test_embedding_links_do_not_depend_on_other_rows(spark):
     assert {i: large[i] for i in small} == small and sum(n for n, _ in small.values()) >= 100
 
 
+def at_the_limit(rng, n, dim):
+    """Pairs of unit vectors whose cosine is just within 0.98."""
+    v = rng.standard_normal((n, dim))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    d = rng.standard_normal((n, dim))
+    d -= (d * v).sum(axis=1, keepdims=True) * v
+    w = (0.98 + 1e-9) * v + np.sqrt(1 - (0.98 + 1e-9) ** 2) * d / np.linalg.norm(d, axis=1, keepdims=True)
+    return np.concatenate([v, w])
+
+
+def test_embedding_links_at_the_limit_are_all_found(spark):
+    for dim in (2, 40):
+        x = at_the_limit(np.random.default_rng(dim), 1500 if dim > 2 else 20, dim)
+        got = {r.vec_id: r.n_links for r in embedding_dedup(spark.createDataFrame([(i, [float(c) for c in v], 1) for i, v in enumerate(x)],
+                                                                                   "vec_id long, embedding array<double>, label int"), cell=400).collect()}
+        u = x / np.linalg.norm(x, axis=1, keepdims=True)
+        want = (u @ u.T >= 0.98).sum(axis=1) - 1
+        assert [got[i] for i in range(len(x))] == want.tolist() and want.min() >= 1
+
+
+def test_embedding_block_takes_little_time():
+    """A block of 4,096 vectors: 8 million pairs, most of which collide too seldom."""
+    import pandas as pd
+
+    x = at_the_limit(np.random.default_rng(9), 2048, 64)
+    raw = [v.tobytes() for v in x]
+    pdf = pd.DataFrame({"cid": np.arange(len(x)), "copies": 1, "raw": raw, "block": 0})
+    start = time.thread_time()
+    out = _compare(0.98, 16, 3)((1, 64, 0, 0), pdf)
+    assert time.thread_time() - start < 2
+    u = _unit(raw)
+    assert out["n"].sum() == (u @ u.T >= 0.98).sum() - len(u) == 2 * 2048 and out["b"].notna().sum() == 2048
+
+
+def test_parts_join_like_edges():
+    rng = np.random.default_rng(5)
+    part, edges = np.arange(300), rng.integers(0, 300, (220, 2))
+    for a in range(0, 220, 30):
+        part = join_parts(part, edges[a:a + 30, 0], edges[a:a + 30, 1])
+    assert dict(enumerate(part.tolist())) == roots(range(300), edges.tolist())
+
+
 def test_plans_keep_the_recall():
     half, hits = window_plan(0.98, 16, 0.995)
     assert 0.39 < half < 0.41 and 8 <= hits <= 14
