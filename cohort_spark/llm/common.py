@@ -30,6 +30,12 @@ def checked_broadcast(df: DataFrame, rows: int | None = None, limit: int = BROAD
     return F.broadcast(df) if n <= limit else df
 
 
+def sorted_join(df: DataFrame) -> DataFrame:
+    """``df`` with the hint that its next join is a sort-merge join. For joins with exploded rows: Spark takes an exploded
+    table for as large as its source and would gather it at the driver to broadcast it. Skewed partitions are still split."""
+    return df.hint("merge")
+
+
 def pick(df: DataFrame, **cols: str):
     """Only the named columns under internal names, so that further columns cannot clash."""
     return df.select(*[qcol(c).alias(a) for a, c in cols.items()])

@@ -17,13 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohort_spark.llm.common import WordHasher, checked_broadcast, forest, mix64, pick, stage, window_hashes
+from cohort_spark.llm.common import WordHasher, checked_broadcast, forest, mix64, pick, sorted_join, stage, window_hashes
 from cohort_spark.llm.components import connected_components
 
 BLOCK = 512  # documents per side of a block comparison
 HASH_CHUNK = 8192  # shingles hashed at once, bounds memory for very long texts
 SLICE = 512  # documents whose sketches or sets a task holds before it sends them on
 CACHED_WORDS = 100_000
+WANTED_ROWS = 500_000  # rows (two ids and a digest) that are broadcast to leave the texts where they are
 
 
 def _slices(batches):
@@ -157,10 +158,10 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                    f"halves[{halves} + t % {halves}]))")
     tables = cls.where("rep is not null").select("cid", F.explode(pairs).alias("key"))
     heads = tables.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("cid").alias("head")).where("c > 1")
-    members = stage(tables.join(heads.select("key", "head"), "key"), "minhash-buckets")
+    members = stage(tables.join(sorted_join(heads.select("key", "head")), "key"), "minhash-buckets")
 
     wanted = stage(members.select("cid").distinct().join(cls.select("cid", "rep", "digest"), "cid"), "minhash-wanted")
-    sets = stage(src.join(checked_broadcast(wanted, limit=2_000_000), F.col("id") == F.col("rep"))
+    sets = stage(src.join(checked_broadcast(wanted, limit=WANTED_ROWS), F.col("id") == F.col("rep"))
                  .select("cid", "digest", "text").mapInArrow(_sets(n), "cid long, shingles array<long>")
                  .dropDuplicates(["cid"]), "minhash-sets")
 
@@ -170,7 +171,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         return ranked.select("cid", F.explode(F.slice("h", 1, k)).alias("h")).select("cid", F.col("h.head").alias("head"))
 
     a = sets.select(F.col("cid").alias("head"), F.col("shingles").alias("sa"))
-    first = stage(best(3).join(a, "head").join(sets, "cid").where(_similar("sa", "shingles", percent))
+    first = stage(best(3).join(sorted_join(a), "head").join(sorted_join(sets), "cid").where(_similar("sa", "shingles", percent))
                   .select(F.col("cid").alias("a"), F.col("head").alias("b")), "minhash-links")
     comp = connected_components(first)
     labelled = members.join(comp, F.col("cid") == F.col("node"), "left").select(
@@ -184,7 +185,7 @@ def minhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
               .withColumn("block", F.pmod(F.xxhash64("cid"), F.col("nb")))
               .select("cid", "comp", "cluster", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("other"))
               .select("cid", "comp", "cluster", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
-    rest = (placed.join(sets, "cid").groupBy("cluster", "i", "j")
+    rest = (placed.join(sorted_join(sets), "cid").groupBy("cluster", "i", "j")
             .applyInPandas(_block_links(percent), "a long, b long"))
     links = connected_components(first.unionAll(rest))
     reps = cls.join(links, F.col("cid") == F.col("node"), "left").select("digest", "rep", F.coalesce("root", "cid").alias("root"))
