@@ -169,7 +169,7 @@ def knn_impute(df: DataFrame, cols: Sequence[str], k: int = 5, max_cells: int =
     result does not depend on row order.
 
     Scale: rows are first reduced to distinct value patterns with counts; the patterns with gaps, all
-    their missing columns at once, look up their donors in the metric index of
+    their missing columns at once, look up their donors in the lists of
     :mod:`cohort_spark.operators.neighbours`, whatever the number of presence masks.
     """
     cols = list(cols)
