@@ -2,6 +2,9 @@
 
 import re
 
+import corpus_pipeline
+import pytest
+
 from cohort_spark.llm import components, minhash_dedup
 
 
@@ -15,7 +18,8 @@ def _broadcast_subtrees(plan: str):
             yield "\n".join(lines[i:end])
 
 
-def test_near_dedup_broadcasts_no_exploded_rows(spark, monkeypatch):
+@pytest.mark.parametrize("pipeline", [False, True])
+def test_near_dedup_broadcasts_no_exploded_rows(spark, monkeypatch, pipeline):
     plans = []
 
     def kept(df, name):
@@ -27,8 +31,11 @@ def test_near_dedup_broadcasts_no_exploded_rows(spark, monkeypatch):
     monkeypatch.setattr(components, "stage", kept)
     text = [" ".join([*(f"w{g}x{i}" for i in range(60)), f"end{v}"]) for g in range(30) for v in range(8)]
     docs = spark.createDataFrame(list(enumerate(text)), "doc_id long, text string")
-    rows = minhash_dedup.minhash_dedup(docs, percent=80, rows=2).collect()
-    assert len(rows) == len(text) and len({r["component_id"] for r in rows}) == 30
+    if pipeline:
+        assert corpus_pipeline.near_dedup(spark, docs, "").count() == 30
+    else:
+        rows = minhash_dedup.minhash_dedup(docs, percent=80, rows=2).collect()
+        assert len(rows) == len(text) and len({r["component_id"] for r in rows}) == 30
     by_name = {n: p for n, p in plans}
     assert "BroadcastHashJoin" not in by_name["minhash-buckets"] and "SortMergeJoin" in by_name["minhash-buckets"]
     assert "BroadcastHashJoin" not in by_name["minhash-links"]
